@@ -371,3 +371,46 @@ def k9(fx: Fixture) -> DataFrame:
     # Target rows the batch can collide with: its own date range only.
     target = raw.filter((ts >= start) & (ts < day.cast("timestamp_ntz")))
     return unique_append(batch, target, ["event_id"])
+
+
+# --- phase 5: streaming (stream = batch) -----------------------------------
+
+
+def _kafka_files(fx: Fixture) -> str:
+    """The Kafka-shaped frame of ``events`` written as Parquet files under the
+    shared checkpoint folder, range-split by offset so the stream sees
+    several micro-batches."""
+    from telewatch.session import scratch_path
+
+    path = scratch_path(fx.spark, "kafka-frame")
+    n = max(2, fx.spark.sparkContext.defaultParallelism)
+    kafka_frame_from_events(fx.events).repartitionByRange(n, "offset").write.parquet(path)
+    return path
+
+
+def _run_stream(fx: Fixture, which: str):
+    from telewatch.session import scratch_path
+    from telewatch.sources.tables import Warehouse
+    from telewatch.streaming.jobs import run_available, start_alerting, start_ingestion, stream_checkpoint
+    from telewatch.streaming.sources import kafka_files_stream
+
+    source = kafka_files_stream(fx.spark, _kafka_files(fx), max_files_per_trigger=2)
+    wh = Warehouse(fx.spark, scratch_path(fx.spark, "warehouse"))
+    start = start_ingestion if which == "ingestion" else start_alerting
+    q = start(source, wh, stream_checkpoint(wh.root, which), trigger={"availableNow": True},
+              name=f"{which}_{id(wh)}")
+    run_available(q)
+    return wh
+
+
+@register("t4_stream_raw_events")
+def t4_raw(fx: Fixture) -> DataFrame:
+    wh = _run_stream(fx, "ingestion")
+    raw = wh.read("raw_network_events").select(*RAW_EVENT_COLUMNS)
+    return raw.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz"))
+
+
+@register("t5_stream_alerts_by_severity")
+def t5(fx: Fixture) -> DataFrame:
+    wh = _run_stream(fx, "alerting")
+    return dash.alerts_by(wh.read("alerts"), "severity")

@@ -389,5 +389,14 @@ FROM tel WHERE ingested_at > (SELECT t FROM as_of_t) - INTERVAL 1 HOUR"""
        bandwidth_mbps, packet_loss, latency_ms, temperature, status
 FROM tel WHERE event_timestamp >= (SELECT CAST(CAST(t AS DATE) AS TIMESTAMP) FROM as_of_t)"""
         ),
+        "t4_stream_raw_events": _q(
+            """SELECT event_id, date_trunc('millisecond', event_timestamp) AS event_timestamp, device_id, device_type,
+       region, cpu_usage, memory_usage, bandwidth_mbps, packet_loss, latency_ms, temperature, status
+FROM tel WHERE fixture_k IS DISTINCT FROM 97"""
+        ),
+        "t5_stream_alerts_by_severity": _q(
+            """SELECT a.severity, count(*) AS count FROM alerts_t a JOIN tel t ON t.event_id = a.event_id
+WHERE t.fixture_k IS DISTINCT FROM 97 GROUP BY a.severity ORDER BY count DESC, a.severity"""
+        ),
     }
     return q

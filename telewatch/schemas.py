@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    DateType,
+    DoubleType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 METRIC_COLUMNS = (
     "cpu_usage",
@@ -123,3 +131,25 @@ PRIMARY_KEYS = {
     "daily_monitoring_summary": SUMMARY_KEY,
     "devices": ("device_id",),
 }
+
+SUMMARY_SCHEMA = StructType(
+    [
+        StructField("summary_date", DateType(), False),
+        StructField("device_id", StringType(), False),
+        StructField("device_type", StringType(), True),
+        StructField("region", StringType(), True),
+        StructField("total_events", LongType(), True),
+        *[
+            StructField(c, DoubleType(), True)
+            for c in (
+                "avg_cpu_usage", "avg_memory_usage", "avg_bandwidth_mbps", "avg_latency_ms",
+                "avg_packet_loss",
+            )
+        ],
+        *[
+            StructField(c, LongType(), True)
+            for c in ("total_alerts", "critical_alerts", "high_alerts", "medium_alerts")
+        ],
+        StructField("computed_at", TimestampType(), True),
+    ]
+)
