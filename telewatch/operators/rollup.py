@@ -35,13 +35,28 @@ def _days(df: DataFrame, ts_col: str, ds, date_col: str) -> tuple[DataFrame, Col
 
 def daily_event_stats(events: DataFrame, ds=None) -> DataFrame:
     """G1: per device and day — MAX(type), MAX(region), COUNT(*), 5×AVG.
-    AVG skips NULL metrics; COUNT(*) counts every reading."""
+    AVG skips NULL metrics; COUNT(*) counts every reading.
+
+    Two levels: string MAX has no fixed-width buffer, so in one aggregate it
+    would force a sort-based aggregate over every raw reading.  Instead the
+    raw rows go through a hash aggregate keyed by (day, device, type,
+    region) — counts and sums only, combined map-side — and the MAX runs on
+    that result, which has about one row per device-day.
+    """
     df, day = _days(events, "event_timestamp", ds, "event_date")
-    return df.groupBy(day.alias("summary_date"), "device_id").agg(
+    partial = df.groupBy(day.alias("summary_date"), "device_id", "device_type", "region").agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[agg for _, src in AVG_METRICS
+          for agg in (F.sum(src).alias(f"_s_{src}"), F.count(src).alias(f"_c_{src}"))],
+    )
+    return partial.groupBy("summary_date", "device_id").agg(
         F.max("device_type").alias("device_type"),
         F.max("region").alias("region"),
-        F.count(F.lit(1)).alias("total_events"),
-        *[F.avg(src).alias(name) for name, src in AVG_METRICS],
+        F.sum("_n").alias("total_events"),
+        *[
+            F.when(F.sum(f"_c_{src}") > 0, F.sum(f"_s_{src}") / F.sum(f"_c_{src}")).alias(name)
+            for name, src in AVG_METRICS
+        ],
     )
 
 
