@@ -35,16 +35,20 @@ def parse_payload(decoded: DataFrame, keep_raw: bool = False) -> DataFrame:
     A malformed or null payload yields a row whose wire fields are all NULL
     (kept here; ``split_rejects`` routes it).  ``keep_raw`` keeps the text for
     the rejects table.
+
+    The struct is flattened with ``inline(array(from_json(...)))``: a
+    Generate, which filters on the parsed fields cannot be pushed through.
+    With a plain ``select("data.*")`` the optimizer pushes such a filter
+    below the projection by inlining ``from_json`` into the condition, and
+    every payload is then parsed once per referenced field.
     """
     passthrough = [c for c in decoded.columns if c != "json_value"]
     if keep_raw:
         passthrough.append("json_value")
     parsed = decoded.select(
-        *passthrough, F.from_json(F.col("json_value"), EVENT_WIRE_SCHEMA).alias("data")
+        *passthrough, F.inline(F.array(F.from_json(F.col("json_value"), EVENT_WIRE_SCHEMA)))
     )
-    return parsed.select(*passthrough, "data.*").withColumn(
-        "event_timestamp", event_time(F.col("timestamp"))
-    ).drop("timestamp")
+    return parsed.withColumn("event_timestamp", event_time(F.col("timestamp"))).drop("timestamp")
 
 
 def parse_kafka(kafka_df: DataFrame, keep_key: bool = True, provenance: bool = False) -> DataFrame:

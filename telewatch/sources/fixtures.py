@@ -79,7 +79,9 @@ def telemetry_from_events(events: DataFrame, extra: tuple[Column, ...] = ()) ->
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    from telewatch.session import spread
+
+    return spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
 def read_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
