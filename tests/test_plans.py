@@ -25,11 +25,20 @@ def fx(spark):
     return Fixture(spark, SF01)
 
 
-def test_alert_detection_is_map_only(fx):
-    p = plan(fx.alerts)
+def test_alert_detection_is_map_only(spark):
+    from telewatch.functions.enrich import enrich
+    from telewatch.operators.alerts import detect_alerts
+    from telewatch.sources.fixtures import telemetry_from_events
+
+    raw = telemetry_from_events(spark.read.parquet(f"{SF01}/events.parquet"))
+    p = plan(detect_alerts(enrich(raw)))
     assert "Exchange" not in p and "Generate" in p
 
 
+def test_narrow_scan_is_spread_round_robin(fx):
+    assert "RoundRobinPartitioning" in plan(fx.events)
+
+
 def test_scan_prunes_unused_columns(fx):
     p = plan(dash.alerts_by(fx.alerts, "severity"))
     schema = p[p.index("ReadSchema: struct<"):].split(">")[0]
