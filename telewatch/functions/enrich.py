@@ -25,21 +25,23 @@ def bandwidth_pct(mbps: Column | None = None) -> Column:
     return (mbps / F.lit(LINK_CAPACITY_MBPS)) * F.lit(100)
 
 
-def any_warning(thresholds=WARNING_THRESHOLDS) -> Column:
-    """three-valued OR of the soft breaches (NULL metrics stay NULL)."""
+def any_warning(thresholds=WARNING_THRESHOLDS, columns: dict[str, Column] | None = None) -> Column:
+    """three-valued OR of the soft breaches (NULL metrics stay NULL).
+    ``columns`` substitutes expressions for column names."""
     cond = None
     for column, limit in thresholds:
-        term = F.col(column) > F.lit(limit)
+        value = (columns or {}).get(column, F.col(column))
+        term = value > F.lit(limit)
         cond = term if cond is None else (cond | term)
     return cond
 
 
-def health_status(thresholds=WARNING_THRESHOLDS) -> Column:
+def health_status(thresholds=WARNING_THRESHOLDS, columns: dict[str, Column] | None = None) -> Column:
     """DOWN → CRITICAL, else any soft breach → WARNING, else HEALTHY.
     A NULL breach test falls through to HEALTHY, as in the reference."""
     return (
         F.when(F.col("status") == F.lit("DOWN"), F.lit("CRITICAL"))
-        .when(any_warning(thresholds), F.lit("WARNING"))
+        .when(any_warning(thresholds, columns), F.lit("WARNING"))
         .otherwise(F.lit("HEALTHY"))
     )
 
@@ -51,5 +53,11 @@ def with_bandwidth_pct(df: DataFrame) -> DataFrame:
 
 
 def enrich(df: DataFrame) -> DataFrame:
-    """Add ``bandwidth_utilization_pct`` and ``health_status`` (one Project)."""
-    return with_bandwidth_pct(df).withColumn("health_status", health_status())
+    """Add ``bandwidth_utilization_pct`` and ``health_status`` in one Project."""
+    pct = F.col("bandwidth_utilization_pct") if "bandwidth_utilization_pct" in df.columns else bandwidth_pct()
+    return df.withColumns(
+        {
+            "bandwidth_utilization_pct": pct,
+            "health_status": health_status(columns={"bandwidth_utilization_pct": pct}),
+        }
+    )

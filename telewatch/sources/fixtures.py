@@ -41,14 +41,19 @@ def props_k(props: Column | None = None) -> Column:
     return F.from_json(F.col("props") if props is None else props, "k BIGINT").getField("k")
 
 
-def telemetry_from_events(events: DataFrame, extra: tuple[Column, ...] = ()) -> DataFrame:
+def telemetry_from_events(events: DataFrame, extra: dict[str, Column] | None = None) -> DataFrame:
     """``events`` → raw telemetry (RAW_EVENT_COLUMNS + ingested_at).
 
     ``ingested_at`` is the event time in the fixture: arrival time is not in
     the source table, and equal times keep the freshness checks deterministic.
-    ``extra`` columns (expressions over ``events``) are carried alongside.
+    ``extra`` maps output names to expressions over the narrow base
+    (``event_id``, ``ts``, ``user_id``, ``event_type`` and the parsed ``_k``).
+
+    ``k`` is parsed from ``props`` once, in a narrow pre-projection that the
+    optimizer collapses into the scan's stage; every metric then refers to it.
     """
-    k = props_k()
+    base = events.select("event_id", "ts", "user_id", "event_type", props_k().alias("_k"))
+    k = F.col("_k")
     eid = F.col("event_id")
     uid = F.col("user_id")
     down = (F.col("event_type") == F.lit("error")) & (k < F.lit(5))
@@ -60,7 +65,7 @@ def telemetry_from_events(events: DataFrame, extra: tuple[Column, ...] = ()) ->
     cpu = F.when(k == F.lit(98), F.lit(None).cast("double")).otherwise(
         _ratio((eid * 37 + k * 101) % 10001, 100)
     )
-    return events.select(
+    return base.select(
         eid.cast("string").alias("event_id"),
         F.col("ts").alias("event_timestamp"),
         _pick([d[0] for d in SEED_DEVICES], idx).alias("device_id"),
@@ -74,7 +79,7 @@ def telemetry_from_events(events: DataFrame, extra: tuple[Column, ...] = ()) ->
         (F.lit(20.0) + _ratio((eid * 11) % 8001, 100)).alias("temperature"),
         F.when(down, F.lit("DOWN")).otherwise(F.lit("UP")).alias("status"),
         F.col("ts").alias("ingested_at"),
-        *extra,
+        *[c.alias(n) for n, c in (extra or {}).items()],
     )
 
 
@@ -102,7 +107,7 @@ def kafka_frame_from_events(events: DataFrame) -> DataFrame:
     the event id, timestamp = the event time.  Rows whose props k equals
     MALFORMED_K carry a truncated payload (everything but the closing brace).
     """
-    tele = telemetry_from_events(events, extra=(props_k().alias("_k"),))
+    tele = telemetry_from_events(events, extra={"_k": F.col("_k")})
     json_text = F.to_json(
         F.struct(
             "event_id",
