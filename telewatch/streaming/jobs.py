@@ -36,12 +36,24 @@ def parsed_stream(kafka_df: DataFrame, keep_key: bool = True, provenance: bool =
     event ids (producer retries) within that much event time, using Spark's
     bounded state store — optional, beyond the reference, which relied on
     its database's primary key."""
-    parsed = parse_kafka(kafka_df, keep_key=keep_key, provenance=provenance)
     if dedupe_watermark:
-        parsed = parsed.withWatermark("event_timestamp", dedupe_watermark).dropDuplicatesWithinWatermark(
-            ["event_id"]
+        # Rejected rows have no event id; key them by their Kafka position so
+        # they stay distinct.
+        parsed = parse_kafka(kafka_df, keep_key=keep_key, provenance=True)
+        key = F.coalesce(
+            F.col("event_id"),
+            F.concat_ws(":", F.lit("kafka"), F.col("kafka_partition"), F.col("kafka_offset")),
         )
-    return parsed
+        parsed = (
+            parsed.withColumn("_dedupe_key", key)
+            .withWatermark("event_timestamp", dedupe_watermark)
+            .dropDuplicatesWithinWatermark(["_dedupe_key"])
+            .drop("_dedupe_key")
+        )
+        if not provenance:
+            parsed = parsed.drop("json_value", "kafka_partition", "kafka_offset")
+        return parsed
+    return parse_kafka(kafka_df, keep_key=keep_key, provenance=provenance)
 
 
 def _ingestion_sinks(include_bronze: bool) -> list[TableSink]:

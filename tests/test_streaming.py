@@ -83,3 +83,16 @@ def test_supervise_raises_named_failure(spark, scratch):
     )
     with pytest.raises(RuntimeError, match="failing_sink"):
         supervise(spark, [q], poll_s=0.2)
+
+
+def test_in_stream_dedupe_keeps_rejects_distinct(spark, scratch):
+    from telewatch.streaming.jobs import start_ingestion
+
+    values = [payload(event_id="dup"), payload(event_id="dup"), payload(event_id="other"), "{bad", "{bad2", None]
+    kafka_rows(spark, values).write.parquet(f"{scratch}/frame")
+    wh = Warehouse(spark, f"{scratch}/wh")
+    q = start_ingestion(kafka_files_stream(spark, f"{scratch}/frame"), wh, f"{scratch}/ckpt",
+                        trigger={"availableNow": True}, dedupe_watermark="1 hour", name="dedupe_test")
+    run_available(q)
+    assert sorted(r["event_id"] for r in wh.read("raw_network_events").collect()) == ["dup", "other"]
+    assert wh.read("rejects").count() == 3
