@@ -25,7 +25,7 @@ from telewatch.functions.rules import DEFAULT_RULES
 from telewatch.operators.alerts import detect_alerts
 from telewatch.schemas import PROCESSED_EVENT_COLUMNS, RAW_EVENT_COLUMNS
 from telewatch.sources.tables import Warehouse
-from telewatch.streaming.sinks import FanOut, TableSink
+from telewatch.streaming.sinks import ExternalSink, FanOut, TableSink, jdbc_writer
 
 BRONZE_COLUMNS = ("kafka_key", *RAW_EVENT_COLUMNS, "bandwidth_utilization_pct", "health_status")
 
@@ -57,9 +57,7 @@ def parsed_stream(kafka_df: DataFrame, keep_key: bool = True, provenance: bool =
 
 
 def _ingestion_sinks(include_bronze: bool) -> list[TableSink]:
-    def accepted(df: DataFrame) -> DataFrame:
-        return df.filter(~is_rejected())
-
+    accepted = _accepted
     sinks = [
         TableSink(
             "raw_network_events",
@@ -85,6 +83,26 @@ def _ingestion_sinks(include_bronze: bool) -> list[TableSink]:
     return sinks
 
 
+def _accepted(df: DataFrame) -> DataFrame:
+    return df.filter(~is_rejected())
+
+
+def jdbc_fact_sinks(url: str, job: str, **options) -> list[ExternalSink]:
+    """K4 + K6/K7/K8: the reference's relational sinks — raw events (12
+    columns), processed events (7) for the ingestion job; alerts for the
+    alert job — as JDBC appends.  Keys are deterministic (event id, md5 alert
+    id), so a target primary key rejects a replayed row instead of storing a
+    second copy."""
+    if job == "ingestion":
+        return [
+            ExternalSink(lambda df: _accepted(df).select(*RAW_EVENT_COLUMNS),
+                         jdbc_writer(url, "raw_network_events", **options)),
+            ExternalSink(lambda df: _accepted(df).select(*PROCESSED_EVENT_COLUMNS),
+                         jdbc_writer(url, "processed_network_events", **options)),
+        ]
+    return [ExternalSink(lambda df: df.drop("event_id"), jdbc_writer(url, "alerts", **options))]
+
+
 def _start(df: DataFrame, name: str, fn, checkpoint: str, trigger: dict) -> StreamingQuery:
     return (
         df.writeStream.queryName(name)

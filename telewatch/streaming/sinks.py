@@ -136,6 +136,19 @@ def jdbc_writer(url: str, table: str, user_env: str = "TELEWATCH_DB_USER",
     return write
 
 
+@dataclass
+class ExternalSink:
+    """An extra writer of a ``FanOut``: project the prepared batch, then hand
+    it to ``write(df, batch_id)`` (e.g. ``jdbc_writer``).  Runs only for
+    batches the ledger has not completed."""
+
+    project: Callable[[DataFrame], DataFrame]
+    write: Callable[[DataFrame, int], None]
+
+    def __call__(self, prepared: DataFrame, batch_id: int) -> None:
+        self.write(self.project(prepared), batch_id)
+
+
 def console_preview(df: DataFrame, trigger: str = "10 seconds", name: str | None = None):
     """K1: untruncated console output for live checking (debug only, no
     checkpoint — it is not a durable sink)."""

@@ -96,3 +96,20 @@ def test_in_stream_dedupe_keeps_rejects_distinct(spark, scratch):
     run_available(q)
     assert sorted(r["event_id"] for r in wh.read("raw_network_events").collect()) == ["dup", "other"]
     assert wh.read("rejects").count() == 3
+
+
+def test_external_sinks_run_once_per_batch_with_fact_projection(spark, scratch):
+    from telewatch.schemas import PROCESSED_EVENT_COLUMNS, RAW_EVENT_COLUMNS
+    from telewatch.streaming import jobs
+    from telewatch.streaming.sinks import ExternalSink
+
+    seen = []
+    extras = [
+        ExternalSink(s.project, lambda df, bid: seen.append((bid, tuple(df.columns), df.count())))
+        for s in jobs.jdbc_fact_sinks("jdbc:none://nowhere/db", "ingestion")
+    ]
+    fan = FanOut(Warehouse(spark, scratch), "q", enrich, _ingestion_sinks(False), extras)
+    batch = _batch(spark)
+    fan(batch, 0)
+    fan(batch, 0)  # replay of a completed batch: extras not called again
+    assert seen == [(0, RAW_EVENT_COLUMNS, 5), (0, PROCESSED_EVENT_COLUMNS, 5)]
