@@ -27,6 +27,9 @@ def _parser() -> argparse.ArgumentParser:
         sp.add_argument("--checkpoint", default=None)
         sp.add_argument("--min-partitions", type=int, default=None)
         sp.add_argument("--max-offsets-per-trigger", type=int, default=None)
+        sp.add_argument("--jdbc-url", default=None,
+                        help="also append the fact rows to these JDBC tables (credentials from env)")
+        sp.add_argument("--jdbc-driver", default=None)
 
     ing = sub.add_parser("ingest", help="raw ingestion stream (bronze, raw, processed, rejects)")
     stream_args(ing, "earliest")
@@ -87,18 +90,21 @@ def main(argv: list[str] | None = None) -> int:
 
     if args.cmd in ("ingest", "alerts"):
         from telewatch.sources.tables import Warehouse
-        from telewatch.streaming.jobs import start_alerting, start_ingestion, stream_checkpoint
+        from telewatch.streaming.jobs import jdbc_fact_sinks, start_alerting, start_ingestion, stream_checkpoint
         from telewatch.streaming.supervise import attach_listener, supervise
 
         wh = Warehouse(spark, args.root)
         name = "raw_ingestion" if args.cmd == "ingest" else "alert_detection"
         ckpt = args.checkpoint or stream_checkpoint(wh.root, name)
         attach_listener(spark)
+        job = "ingestion" if args.cmd == "ingest" else "alerts"
+        extras = jdbc_fact_sinks(args.jdbc_url, job, driver=args.jdbc_driver) if args.jdbc_url else ()
         if args.cmd == "ingest":
             q = start_ingestion(_source(spark, args), wh, ckpt, _trigger(args.trigger),
-                                include_bronze=not args.no_bronze, dedupe_watermark=args.dedupe_watermark)
+                                include_bronze=not args.no_bronze, dedupe_watermark=args.dedupe_watermark,
+                                extra_writers=extras)
         else:
-            q = start_alerting(_source(spark, args), wh, ckpt, _trigger(args.trigger))
+            q = start_alerting(_source(spark, args), wh, ckpt, _trigger(args.trigger), extra_writers=extras)
         supervise(spark, [q])
         return 0
 

@@ -108,3 +108,16 @@ def test_summary_columns_contract(spark):
     ev = _events(spark, [("1", T0, "A", "router", "Giza", 1.0, 1.0, 1.0, 1.0, 1.0, "UP")])
     out = daily_summary(ev, _alerts(spark, []), ds=D1)
     assert tuple(out.columns) == SUMMARY_COLUMNS
+
+
+def test_kpi_bands_and_last_not_null(spark):
+    from telewatch.functions.bands import band, last_not_null
+
+    df = spark.createDataFrame([(1, 10.0), (2, 95.0), (3, None)], "t INT, v DOUBLE")
+    assert df.agg(last_not_null(F.col("v"), F.col("t")).alias("x")).first()["x"] == 95.0
+    colours = [r["c"] for r in spark.createDataFrame([(14,), (15,), (24,)], "n INT")
+               .select(band(F.col("n"), "active_devices").alias("c")).collect()]
+    assert colours == ["red", "orange", "green"]
+    colours = [r["c"] for r in spark.createDataFrame([(0,), (1,), (5,)], "n INT")
+               .select(band(F.col("n"), "device_failures").alias("c")).collect()]
+    assert colours == ["green", "orange", "red"]
