@@ -127,7 +127,7 @@ def start_ingestion(
     """Entry A.  ``trigger`` defaults to the reference's 10 s processing
     time; tests pass ``{"availableNow": True}``."""
     parsed = parsed_stream(kafka_df, provenance=True, dedupe_watermark=dedupe_watermark)
-    fan = FanOut(warehouse, name, enrich, _ingestion_sinks(include_bronze), extra_writers)
+    fan = FanOut(warehouse, checkpoint, enrich, _ingestion_sinks(include_bronze), extra_writers)
     return _start(parsed, name, fan, checkpoint, trigger or {"processingTime": "10 seconds"})
 
 
@@ -151,7 +151,7 @@ def start_alerting(
         TableSink("silver_alerts", lambda df: df),
         TableSink("alerts", lambda df: df.withColumn("created_at", F.current_timestamp())),
     ]
-    fan = FanOut(warehouse, name, prepare, sinks, extra_writers)
+    fan = FanOut(warehouse, checkpoint, prepare, sinks, extra_writers)
     return _start(parsed, name, fan, checkpoint, trigger or {"processingTime": "10 seconds"})
 
 

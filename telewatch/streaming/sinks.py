@@ -29,11 +29,13 @@ from telewatch.sources.tables import TABLES, Warehouse, hadoop_fs
 
 
 class BatchLedger:
-    """Start/done markers per (query, batch id) under a shared folder."""
+    """Start/done markers per batch id, kept inside the stream's checkpoint
+    folder: the checkpoint is the stream's identity (restarts resume from
+    it whatever the query is called), so its ledger lives and dies with it."""
 
-    def __init__(self, spark: SparkSession, root: str, query: str):
+    def __init__(self, spark: SparkSession, checkpoint: str):
         self.spark = spark
-        self.base = f"{root.rstrip('/')}/_ledger/{query}"
+        self.base = f"{checkpoint.rstrip('/')}/_ledger"
 
     def _marker(self, kind: str, batch_id: int):
         return hadoop_fs(self.spark, f"{self.base}/{kind}/{batch_id}")
@@ -64,14 +66,14 @@ class FanOut:
     batch (the batch is parsed once, not once per sink)."""
 
     warehouse: Warehouse
-    query_name: str
+    checkpoint: str
     prepare: Callable[[DataFrame], DataFrame]
     sinks: Sequence[TableSink]
     extra: Sequence[Callable[[DataFrame, int], None]] = field(default_factory=tuple)
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
-        ledger = BatchLedger(spark, self.warehouse.root, self.query_name)
+        ledger = BatchLedger(spark, self.checkpoint)
         state = ledger.state(batch_id)
         if state == "done":
             return
