@@ -151,8 +151,9 @@ def _q2() -> str:
     parts = []
     for t, src in _quality_tables().items():
         parts.append(
-            f"""SELECT '{t}' AS table_name, coalesce(sum(n), 0) AS total_rows, count(*) AS distinct_keys,
-       count(*) FILTER (WHERE n > 1) AS duplicate_keys, coalesce(sum(n - 1), 0) AS surplus_rows
+            f"""SELECT '{t}' AS table_name, CAST(coalesce(sum(n), 0) AS BIGINT) AS total_rows,
+       count(*) AS distinct_keys, count(*) FILTER (WHERE n > 1) AS duplicate_keys,
+       CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS surplus_rows
 FROM (SELECT {keys[t]}, count(*) AS n FROM {src} GROUP BY {keys[t]})"""
         )
     return _q("\nUNION ALL\n".join(parts), with_summary=True)
@@ -180,7 +181,8 @@ def _q4() -> str:
 
 def _j2() -> str:
     parts = [
-        f"""SELECT '{t}' AS table_name, count(*) AS orphan_devices, coalesce(sum(n), 0) AS orphan_rows
+        f"""SELECT '{t}' AS table_name, count(*) AS orphan_devices,
+       CAST(coalesce(sum(n), 0) AS BIGINT) AS orphan_rows
 FROM (SELECT device_id, count(*) AS n FROM {src} GROUP BY device_id) f
 WHERE NOT EXISTS (SELECT 1 FROM dev WHERE dev.device_id = f.device_id)"""
         for t, src in _quality_tables().items()
@@ -364,8 +366,8 @@ FROM summ WHERE summary_date = (SELECT CAST(t AS DATE) FROM as_of_t) ORDER BY to
         ),
         "k10_upsert_rerun": _q("SELECT * FROM summ", with_summary=True),
         "g14_day_totals": _q(
-            """SELECT summary_date, count(*) AS devices, sum(total_events) AS total_events,
-       sum(total_alerts) AS total_alerts FROM summ GROUP BY 1""",
+            """SELECT summary_date, count(*) AS devices, CAST(sum(total_events) AS BIGINT) AS total_events,
+       CAST(sum(total_alerts) AS BIGINT) AS total_alerts FROM summ GROUP BY 1""",
             with_summary=True,
         ),
         "k14_report_lines": _report(),

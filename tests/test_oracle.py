@@ -31,6 +31,7 @@ def test_matches_oracle(results, name):
     rec = results[name]
     assert "error" not in rec, rec
     assert rec["rows_match"] and rec["schema_match"] and rec["hash_match"], rec
+    assert rec["types_match"], rec
 
 
 def test_entry_smoke(spark):
