@@ -383,7 +383,7 @@ def _kafka_files(fx: Fixture) -> str:
     from telewatch.session import scratch_path
 
     path = scratch_path(fx.spark, "kafka-frame")
-    n = max(2, fx.spark.sparkContext.defaultParallelism)
+    n = 4 * fx.spark.sparkContext.defaultParallelism
     kafka_frame_from_events(fx.events).repartitionByRange(n, "offset").write.parquet(path)
     return path
 
@@ -394,7 +394,10 @@ def _run_stream(fx: Fixture, which: str):
     from telewatch.streaming.jobs import run_available, start_alerting, start_ingestion, stream_checkpoint
     from telewatch.streaming.sources import kafka_files_stream
 
-    source = kafka_files_stream(fx.spark, _kafka_files(fx), max_files_per_trigger=2)
+    # one file per core per trigger: four micro-batches, each using every core
+    source = kafka_files_stream(
+        fx.spark, _kafka_files(fx), max_files_per_trigger=fx.spark.sparkContext.defaultParallelism
+    )
     wh = Warehouse(fx.spark, scratch_path(fx.spark, "warehouse"))
     start = start_ingestion if which == "ingestion" else start_alerting
     q = start(source, wh, stream_checkpoint(wh.root, which), trigger={"availableNow": True},
