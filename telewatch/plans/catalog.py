@@ -383,7 +383,7 @@ def _kafka_files(fx: Fixture) -> str:
     from telewatch.session import scratch_path
 
     path = scratch_path(fx.spark, "kafka-frame")
-    n = 4 * fx.spark.sparkContext.defaultParallelism
+    n = 2 * fx.spark.sparkContext.defaultParallelism
     kafka_frame_from_events(fx.events).repartitionByRange(n, "offset").write.parquet(path)
     return path
 
@@ -394,7 +394,7 @@ def _run_stream(fx: Fixture, which: str):
     from telewatch.streaming.jobs import run_available, start_alerting, start_ingestion, stream_checkpoint
     from telewatch.streaming.sources import kafka_files_stream
 
-    # one file per core per trigger: four micro-batches, each using every core
+    # one file per core per trigger: two micro-batches, each using every core
     source = kafka_files_stream(
         fx.spark, _kafka_files(fx), max_files_per_trigger=fx.spark.sparkContext.defaultParallelism
     )
