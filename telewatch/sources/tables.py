@@ -145,13 +145,27 @@ class Warehouse:
         fs, p = hadoop_fs(self.spark, staged)
         fs.delete(p, True)  # our own uniquely named staging folder
 
-    def compact(self, table: str, start, end=None, rows_per_file: int = 2_000_000) -> int:
+    def compact(self, table: str, start, end=None, rows_per_file: int = 2_000_000,
+                min_age_days: int = 2) -> int:
         """Rewrite the partitions of ``start``..``end`` into files of about
         ``rows_per_file`` rows, range-partitioned and sorted by (date, device,
         time, key) so a device filter skips row groups.  Range partitioning
         samples the keys and cuts one hot device's rows across several tasks
         (the time and key columns make every boundary splittable).  Returns
-        the number of output partitions."""
+        the number of output partitions.
+
+        A rewrite replaces whole partitions, so it must not race a stream
+        still appending to them: only days at least ``min_age_days`` old
+        (closed for late data) are accepted; pass 0 to force."""
+        import datetime as dt
+
+        last = dt.date.fromisoformat(str(end if end is not None else start))
+        newest_allowed = dt.date.today() - dt.timedelta(days=min_age_days)
+        if min_age_days and last > newest_allowed:
+            raise ValueError(
+                f"refusing to compact {table} up to {last}: days after {newest_allowed} may still "
+                "receive appends (pass min_age_days=0 to force)"
+            )
         spec = TABLES[table]
         df = self.read(table, start, end)
         rows = df.count()

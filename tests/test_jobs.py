@@ -80,3 +80,9 @@ def test_compaction_keeps_rows(spark, loaded):
     loaded.compact("raw_network_events", day, rows_per_file=10)
     after = sorted(r["event_id"] for r in loaded.read_day("raw_network_events", day).collect())
     assert before == after
+
+
+def test_compaction_refuses_open_days(loaded):
+    today = dt.date.today()
+    with pytest.raises(ValueError):
+        loaded.compact("raw_network_events", today - dt.timedelta(days=1), today)
