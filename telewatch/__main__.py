@@ -48,6 +48,7 @@ def _parser() -> argparse.ArgumentParser:
     b.add_argument("--root", required=True)
     b.add_argument("--start", required=True)
     b.add_argument("--end", required=True)
+    b.add_argument("--report-dir", default=None)
 
     h = sub.add_parser("health", help="fail when nothing arrived in the last hours")
     h.add_argument("--root", required=True)
@@ -115,7 +116,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "backfill":
         from telewatch.plans.daily import run_range
 
-        run_range(spark, args.root, args.start, args.end)
+        run_range(spark, args.root, args.start, args.end, args.report_dir)
     elif args.cmd == "health":
         from telewatch.plans.health import check_recent_events
 

@@ -92,10 +92,6 @@ DEFAULT_RULES: tuple[Rule, ...] = (
     DEVICE_DOWN,
 )
 
-RULES_BY_TYPE = {r.alert_type: r for r in DEFAULT_RULES}
-
-SEVERITIES = ("CRITICAL", "HIGH", "MEDIUM")
-
 
 def fired_alerts(rules=DEFAULT_RULES) -> Column:
     """A3 + A4: the array of candidates with the non-firing (NULL) ones removed."""

@@ -24,6 +24,7 @@ from telewatch.operators import quality, report, rollup
 from telewatch.operators.alerts import alert_count, detect_alerts
 from telewatch.operators.merge import unique_append, upsert_summary, with_defaults
 from telewatch.schemas import (
+    PRIMARY_KEYS,
     PROCESSED_EVENT_COLUMNS,
     RAW_EVENT_COLUMNS,
     REQUIRED_COLUMNS,
@@ -307,14 +308,6 @@ def _tables(fx: Fixture) -> dict[str, DataFrame]:
     }
 
 
-_KEYS = {
-    "raw_network_events": ("event_id",),
-    "processed_network_events": ("event_id",),
-    "alerts": ("alert_id",),
-    "daily_monitoring_summary": ("summary_date", "device_id"),
-}
-
-
 def _union(frames: list[DataFrame]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:
@@ -324,7 +317,7 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 @register("q2_key_uniqueness")
 def q2(fx: Fixture) -> DataFrame:
-    return _union([quality.key_report(t, df, _KEYS[t]) for t, df in _tables(fx).items()])
+    return _union([quality.key_report(t, df, PRIMARY_KEYS[t]) for t, df in _tables(fx).items()])
 
 
 @register("q3_required_columns")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telewatch.operators.merge import upsert_summary
-from telewatch.operators.report import report_lines
+from telewatch.operators.report import report_lines, write_reports
 from telewatch.operators.rollup import daily_summary
 from telewatch.schemas import SUMMARY_COLUMNS, SUMMARY_SCHEMA
 from telewatch.session import configure
@@ -73,7 +73,15 @@ def run_daily(spark: SparkSession, root: str, ds, report_dir: str | None = None)
     return out
 
 
-def run_range(spark: SparkSession, root: str, start, end) -> None:
-    """Backfill ``start``..``end`` in one job."""
+def run_range(spark: SparkSession, root: str, start, end, report_dir: str | None = None) -> None:
+    """Backfill ``start``..``end`` in one job; optionally write every day's
+    report in one more job (one file per day, days without data included)."""
     configure(spark)
-    upsert_days(Warehouse(spark, root), start, end)
+    wh = Warehouse(spark, root)
+    upsert_days(wh, start, end)
+    if report_dir:
+        days = spark.sql(
+            "SELECT explode(sequence(to_date(:start), to_date(:end), interval 1 day)) AS summary_date",
+            args={"start": str(start), "end": str(end)},
+        )
+        write_reports(report_lines(wh.read(SUMMARY, start, end, schema=SUMMARY_SCHEMA), days), report_dir)

@@ -89,10 +89,6 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
-def read_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return telemetry_from_events(read_events(spark, sf_dir))
-
-
 def iso_millis(ts: Column) -> Column:
     """Timestamp → ISO-8601 text with milliseconds and a ``Z`` suffix, the
     producer's wire format (session time zone is UTC)."""

@@ -151,10 +151,10 @@ class ExternalSink:
         self.write(self.project(prepared), batch_id)
 
 
-def console_preview(df: DataFrame, trigger: str = "10 seconds", name: str | None = None):
+def console_preview(df: DataFrame, trigger: dict | None = None, name: str | None = None):
     """K1: untruncated console output for live checking (debug only, no
-    checkpoint — it is not a durable sink)."""
+    checkpoint — it is not a durable sink).  Trigger defaults to 10 s."""
     w = df.writeStream.format("console").option("truncate", "false").outputMode("append")
     if name:
         w = w.queryName(name)
-    return w.trigger(processingTime=trigger).start()
+    return w.trigger(**(trigger or {"processingTime": "10 seconds"})).start()

@@ -35,3 +35,18 @@ def test_cli_jobs(spark, scratch, tmp_path, capsys):
                  "--end", "2024-01-30", "--rows-per-file", "100"]) == 0
     assert summary_rows == wh.read("daily_monitoring_summary").count()
     assert wh.read("raw_network_events").count() + wh.read("rejects").count() == 1000
+
+
+def test_backfill_reports_every_day(spark, scratch, tmp_path):
+    from telewatch.plans.daily import run_range
+
+    frame = f"{scratch}/frame"
+    kafka_frame_from_events(read_events(spark, SF001)).write.parquet(frame)
+    root = f"{scratch}/wh"
+    assert main(["ingest", "--root", root, "--files", frame, "--trigger", "available-now"]) == 0
+    assert main(["alerts", "--root", root, "--files", frame, "--trigger", "available-now"]) == 0
+    run_range(spark, root, "2024-01-29", "2024-02-01", report_dir=str(tmp_path / "reports"))
+    days = sorted(p.name for p in (tmp_path / "reports").iterdir() if p.name.startswith("summary_date="))
+    assert days == [f"summary_date={d}" for d in ("2024-01-29", "2024-01-30", "2024-01-31", "2024-02-01")]
+    text = "".join(p.read_text() for p in (tmp_path / "reports" / "summary_date=2024-02-01").glob("part-*"))
+    assert "No data recorded for this date." in text

@@ -86,3 +86,13 @@ def test_compaction_refuses_open_days(loaded):
     today = dt.date.today()
     with pytest.raises(ValueError):
         loaded.compact("raw_network_events", today - dt.timedelta(days=1), today)
+
+
+def test_freshness_status_and_accepted_rows(spark, loaded):
+    from telewatch.operators.quality import accepted_rows
+    from telewatch.sources.devices import seed_devices
+
+    row = health.freshness_status(spark, loaded.root).first()
+    assert row["status"] == "OK" and row["recent_rows"] > 0
+    raw = loaded.read("raw_network_events")
+    assert accepted_rows(raw, seed_devices(spark), known_small=True).count() == raw.count()

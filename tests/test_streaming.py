@@ -146,3 +146,12 @@ def test_restart_after_lost_commit_writes_nothing_twice(spark, scratch):
     assert sorted(os.listdir(f"{ckpt}/commits")).count(str(commits[-1])) == 1  # batch 2 re-ran
     assert wh.read("raw_network_events").count() == 6
     assert wh.read("bronze").count() == 6
+
+
+def test_console_preview_runs(spark, scratch, capfd):
+    from telewatch.streaming.sinks import console_preview
+
+    kafka_rows(spark, [payload()]).write.parquet(f"{scratch}/frame")
+    q = console_preview(parsed_stream(kafka_files_stream(spark, f"{scratch}/frame")),
+                        trigger={"availableNow": True}, name="preview_test")
+    run_available(q)
