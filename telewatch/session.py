@@ -47,18 +47,16 @@ def build_session(
     return spark
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the semantic settings to a session someone else built.
+SEMANTIC_SETTINGS = {"spark.sql.session.timeZone": "UTC"}
 
-    Only runtime-settable SQL confs are touched; the session time zone is the
-    one that changes results (UTC, as the reference's database ran).
-    """
-    for key, value in SESSION_DEFAULTS.items():
-        try:
-            if spark.conf.get(key, None) != value:
-                spark.conf.set(key, value)
-        except Exception:  # static conf on a foreign session: leave it
-            pass
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Pin the settings that change *results* on a session someone else built:
+    only the session time zone (calendar days are UTC, as the reference's
+    database ran).  Performance settings are left to the session's owner."""
+    for key, value in SEMANTIC_SETTINGS.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     return spark
 
 
