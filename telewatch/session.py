@@ -90,15 +90,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the checkpoint root."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def spread(df, min_partitions: int | None = None):
-    """Give per-row work at least ``min_partitions`` tasks (default: the
-    session's parallelism).  A scan of a few large single-row-group files
-    yields one task per file; a round-robin repartition then spreads the
-    CPU-heavy per-row work over every core.  When the scan already has
-    enough splits — any large input — nothing is added."""
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want)

@@ -35,9 +35,6 @@ def test_alert_detection_is_map_only(spark):
     assert "Exchange" not in p and "Generate" in p
 
 
-def test_narrow_scan_is_spread_round_robin(fx):
-    assert "RoundRobinPartitioning" in plan(fx.events)
-
 
 def test_scan_prunes_unused_columns(fx):
     p = plan(dash.alerts_by(fx.alerts, "severity"))
