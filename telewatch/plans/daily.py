@@ -46,19 +46,38 @@ def report_for_day(wh: Warehouse, ds) -> DataFrame:
 
 
 def write_report(wh: Warehouse, ds, out_dir: str) -> str:
-    """One Markdown file for ``ds`` under ``out_dir/daily_report_<ds>``.
+    """The day's report as ONE file, ``out_dir/daily_report_<ds>.md``.
+
     A day's report is one document (one line per reporting device), so a
-    single writer task is intended here."""
-    path = f"{out_dir.rstrip('/')}/daily_report_{ds}"
+    single writer task is intended.  Spark writes a folder with one part
+    file; the part file is then renamed to the report's name (a metadata
+    operation on the file system, no data through the driver).
+    """
+    from telewatch.session import scratch_path
+    from telewatch.sources.tables import hadoop_fs
+
+    staged = scratch_path(wh.spark, f"report-{ds}")
     (
         report_for_day(wh, ds)
         .coalesce(1)
         .sortWithinPartitions("line_no")
         .select("line")
         .write.mode("overwrite")
-        .text(path)
+        .text(staged)
     )
-    return path
+    fs, staged_path = hadoop_fs(wh.spark, staged)
+    parts = [s.getPath() for s in fs.listStatus(staged_path) if s.getPath().getName().startswith("part-")]
+    if len(parts) != 1:
+        raise RuntimeError(f"expected one report part file in {staged}, found {len(parts)}")
+    target = f"{out_dir.rstrip('/')}/daily_report_{ds}.md"
+    fs_out, target_path = hadoop_fs(wh.spark, target)
+    fs_out.mkdirs(target_path.getParent())
+    if fs_out.exists(target_path):
+        fs_out.delete(target_path, False)
+    if not fs.rename(parts[0], target_path):
+        raise RuntimeError(f"could not move the report to {target}")
+    fs.delete(staged_path, True)  # our own uniquely named staging folder
+    return target
 
 
 def run_daily(spark: SparkSession, root: str, ds, report_dir: str | None = None) -> dict:

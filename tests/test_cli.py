@@ -28,7 +28,7 @@ def test_cli_jobs(spark, scratch, tmp_path, capsys):
     capsys.readouterr()
     assert main(["daily", "--root", root, "--ds", "2024-01-15", "--report-dir", str(tmp_path)]) == 0
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
-    assert out["device_rows"] > 0 and (tmp_path / "daily_report_2024-01-15").exists()
+    assert out["device_rows"] > 0 and (tmp_path / "daily_report_2024-01-15.md").is_file()
 
     assert main(["health", "--root", root]) == 0
     assert main(["compact", "--root", root, "--table", "raw_network_events", "--start", "2024-01-01",

@@ -57,8 +57,9 @@ def test_daily_job_upsert_is_idempotent_and_scoped(spark, loaded, tmp_path):
     assert sorted(map(tuple, other_before)) == sorted(
         map(tuple, loaded.read_day("daily_monitoring_summary", other).drop("computed_at").collect())
     )
-    text = "".join(p.read_text() for p in sorted((tmp_path / f"daily_report_{day}").glob("part-*")))
-    assert text.startswith(f"# Daily Network Monitoring Report — {day}")
+    text = (tmp_path / f"daily_report_{day}.md").read_text()
+    assert text.startswith(f"# Daily Network Monitoring Report — {day}\n\n- **Total events:** ")
+    assert "| Device | Region | Events | Alerts | Critical | High | Medium |" in text
 
 
 def test_report_for_day_without_data(spark, loaded):
