@@ -70,6 +70,7 @@ class FanOut:
     prepare: Callable[[DataFrame], DataFrame]
     sinks: Sequence[TableSink]
     extra: Sequence[Callable[[DataFrame, int], None]] = field(default_factory=tuple)
+    parallel: bool = True
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
@@ -83,17 +84,35 @@ class FanOut:
                 ledger.mark("done", batch_id)
                 return
             ledger.mark("started", batch_id)
-            for sink in self.sinks:
+
+            def write(sink: TableSink) -> None:
                 rows = sink.project(prepared)
                 if state == "started":
                     rows = self._not_yet_written(sink.table, rows)
                 self.warehouse.append(sink.table, rows)
-            for fn in self.extra:
-                fn(prepared, batch_id)
+
+            writers = [lambda s=s: write(s) for s in self.sinks]
+            writers += [lambda fn=fn: fn(prepared, batch_id) for fn in self.extra]
+            self._run_all(writers)
             ledger.mark("done", batch_id)
         finally:
             prepared.unpersist()
 
+    def _run_all(self, writers) -> None:
+        """Run the sink writes; concurrently when ``parallel`` (Spark runs
+        jobs from several driver threads at once, so one write's planning and
+        commit overlap another's tasks).  Any failure fails the batch before
+        it is marked done."""
+        if not self.parallel or len(writers) < 2:
+            for w in writers:
+                w()
+            return
+        from concurrent.futures import ThreadPoolExecutor
+
+        with ThreadPoolExecutor(max_workers=len(writers)) as pool:
+            for f in [pool.submit(w) for w in writers]:
+                f.result()
+
     def _not_yet_written(self, table: str, rows: DataFrame) -> DataFrame:
         """K9 against the target, read only for the dates in this batch."""
         spec = TABLES[table]
