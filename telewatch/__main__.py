@@ -74,7 +74,7 @@ def _source(spark, args):
         args.bootstrap,
         topic=args.topic,
         starting_offsets=args.starting_offsets,
-        min_partitions=args.min_partitions,
+        min_partitions=args.min_partitions or "auto",
         max_offsets_per_trigger=args.max_offsets_per_trigger,
     )
 

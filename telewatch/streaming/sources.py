@@ -37,14 +37,19 @@ def kafka_stream(
     bootstrap_servers: str,
     topic: str = "network-events",
     starting_offsets: str = "earliest",
-    min_partitions: int | None = None,
+    min_partitions: int | None | str = "auto",
     max_offsets_per_trigger: int | None = None,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """S1 (``earliest``: full replay on first start) / S2 (``latest``: only
     new events).  A checkpoint overrides the starting offsets on restart.
-    ``min_partitions`` splits a narrow topic over more tasks;
-    ``max_offsets_per_trigger`` bounds a catch-up batch."""
+
+    Messages are keyed by device, so one hot device makes one hot topic
+    partition — and by default one Spark task reads each topic partition.
+    ``min_partitions`` (default: the session's parallelism) makes Spark split
+    large offset ranges into several tasks in proportion to their size, so a
+    partition holding a third of the traffic is read by a third of the
+    tasks.  ``max_offsets_per_trigger`` bounds a catch-up batch."""
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap_servers)
@@ -52,6 +57,8 @@ def kafka_stream(
         .option("startingOffsets", starting_offsets)
         .option("failOnDataLoss", "true")
     )
+    if min_partitions == "auto":
+        min_partitions = spark.sparkContext.defaultParallelism
     if min_partitions:
         reader = reader.option("minPartitions", str(min_partitions))
     if max_offsets_per_trigger:
