@@ -155,3 +155,12 @@ def test_console_preview_runs(spark, scratch, capfd):
     q = console_preview(parsed_stream(kafka_files_stream(spark, f"{scratch}/frame")),
                         trigger={"availableNow": True}, name="preview_test")
     run_available(q)
+
+
+def test_kafka_source_needs_only_the_connector(spark):
+    """No Kafka connector ships here: the source is built up to Spark's
+    data-source lookup, which is the only thing that fails."""
+    from telewatch.streaming.sources import kafka_stream
+
+    with pytest.raises(Exception, match="(?i)kafka"):
+        kafka_stream(spark, "localhost:1", starting_offsets="latest")
