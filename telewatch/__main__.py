@@ -55,6 +55,10 @@ def _parser() -> argparse.ArgumentParser:
     h.add_argument("--hours", type=int, default=1)
     h.add_argument("--max-lateness-days", type=int, default=None)
 
+    db = sub.add_parser("dashboard", help="print the stat, gauge and alert panels as JSON")
+    db.add_argument("--root", required=True)
+    db.add_argument("--as-of", default=None, help="ISO time; default now (UTC)")
+
     c = sub.add_parser("compact", help="rewrite date partitions into larger, device-sorted files")
     c.add_argument("--root", required=True)
     c.add_argument("--table", required=True)
@@ -122,6 +126,17 @@ def main(argv: list[str] | None = None) -> int:
 
         n = check_recent_events(spark, args.root, hours=args.hours, max_lateness_days=args.max_lateness_days)
         print(json.dumps({"recent_rows": n, "status": "OK"}))
+    elif args.cmd == "dashboard":
+        import datetime as dt
+
+        from telewatch.plans.dashboard import panels
+
+        as_of = dt.datetime.fromisoformat(args.as_of) if args.as_of else None
+        small = ("total_events", "active_devices_5m", "device_failures_1h", "alerts_24h", "avg_cpu_5m",
+                 "avg_memory_5m", "alerts_by_severity", "alerts_by_region", "top_devices")
+        p = panels(spark, args.root, as_of=as_of)
+        # aggregates and top-k: a handful of rows each
+        print(json.dumps({k: [r.asDict() for r in p[k].collect()] for k in small}, default=str))
     elif args.cmd == "compact":
         from telewatch.sources.tables import Warehouse
 

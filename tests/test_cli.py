@@ -31,6 +31,10 @@ def test_cli_jobs(spark, scratch, tmp_path, capsys):
     assert out["device_rows"] > 0 and (tmp_path / "daily_report_2024-01-15.md").is_file()
 
     assert main(["health", "--root", root]) == 0
+    capsys.readouterr()
+    assert main(["dashboard", "--root", root, "--as-of", "2024-01-30T23:59:00"]) == 0
+    board = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert board["total_events"][0]["value"] == wh.read("raw_network_events").count()
     assert main(["compact", "--root", root, "--table", "raw_network_events", "--start", "2024-01-01",
                  "--end", "2024-01-30", "--rows-per-file", "100"]) == 0
     assert summary_rows == wh.read("daily_monitoring_summary").count()

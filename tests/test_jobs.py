@@ -97,3 +97,22 @@ def test_freshness_status_and_accepted_rows(spark, loaded):
     assert row["status"] == "OK" and row["recent_rows"] > 0
     raw = loaded.read("raw_network_events")
     assert accepted_rows(raw, seed_devices(spark), known_small=True).count() == raw.count()
+
+
+def test_dashboard_panels_prune_to_window_days(spark, loaded):
+    from telewatch.plans.dashboard import panels
+    from telewatch.operators import dashboard as dash
+
+    raw = loaded.read("raw_network_events")
+    as_of = raw.agg(F.max("event_timestamp")).first()[0]
+    p = panels(spark, loaded.root, as_of=as_of)
+    # same answers as the operators over the whole table
+    full = dash.active_devices(raw, F.lit(as_of)).first()["value"]
+    assert p["active_devices_5m"].first()["value"] == full
+    assert p["device_failures_1h"].first()["value"] == dash.device_failures(raw, F.lit(as_of)).first()["value"]
+    sev = {r["severity"]: r["count"] for r in p["alerts_by_severity"].collect()}
+    assert sum(sev.values()) == loaded.read("alerts").count()
+    assert p["top_devices"].count() <= 10 and p["total_events"].first()["value"] == raw.count()
+    # the recency panels only list the window's day partitions
+    plan = p["active_devices_5m"]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan and str(as_of.date()) in plan
