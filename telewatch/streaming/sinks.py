@@ -101,17 +101,30 @@ class FanOut:
     def _run_all(self, writers) -> None:
         """Run the sink writes; concurrently when ``parallel`` (Spark runs
         jobs from several driver threads at once, so one write's planning and
-        commit overlap another's tasks).  Any failure fails the batch before
-        it is marked done."""
+        commit overlap another's tasks).  ``InheritableThread`` carries the
+        streaming query's local properties (job group, cancellation) into
+        each thread.  Any failure fails the batch before it is marked done."""
         if not self.parallel or len(writers) < 2:
             for w in writers:
                 w()
             return
-        from concurrent.futures import ThreadPoolExecutor
+        from pyspark import InheritableThread
 
-        with ThreadPoolExecutor(max_workers=len(writers)) as pool:
-            for f in [pool.submit(w) for w in writers]:
-                f.result()
+        errors: list[BaseException] = []
+
+        def guarded(w):
+            try:
+                w()
+            except BaseException as exc:  # re-raised on the batch thread below
+                errors.append(exc)
+
+        threads = [InheritableThread(target=guarded, args=(w,)) for w in writers]
+        for t in threads:
+            t.start()
+        for t in threads:
+            t.join()
+        if errors:
+            raise errors[0]
 
     def _not_yet_written(self, table: str, rows: DataFrame) -> DataFrame:
         """K9 against the target, read only for the dates in this batch."""
