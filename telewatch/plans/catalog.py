@@ -350,19 +350,12 @@ def g15(fx: Fixture) -> DataFrame:
 
 @register("k9_unique_append")
 def k9(fx: Fixture) -> DataFrame:
-    """A replayed batch overlapping what already landed: the batch holds the
-    last two days plus a second copy of the last hour (at-least-once
-    delivery); the target holds everything before the last day.  Only the
+    """A full replay with at-least-once delivery: every event arrives twice,
+    while the target already holds every day before the last.  Only the
     last day's rows, once each, may be appended."""
-    day = fx.last_day()
-    start = F.date_sub(day, 1).cast("timestamp_ntz")
     raw = fx.raw.select(*RAW_EVENT_COLUMNS)
-    ts = F.col("event_timestamp")
-    batch = raw.filter(ts >= start).unionByName(
-        raw.filter(ts > fx.as_of - F.expr("INTERVAL 1 HOUR"))
-    )
-    # Target rows the batch can collide with: its own date range only.
-    target = raw.filter((ts >= start) & (ts < day.cast("timestamp_ntz")))
+    batch = raw.unionByName(raw)
+    target = raw.filter(F.col("event_timestamp") < fx.last_day().cast("timestamp_ntz"))
     return unique_append(batch, target, ["event_id"])
 
 
