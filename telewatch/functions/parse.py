@@ -8,17 +8,22 @@ from pyspark.sql import functions as F
 from telewatch.schemas import EVENT_WIRE_SCHEMA
 
 
-PROVENANCE_COLUMNS = ("kafka_partition", "kafka_offset")
+PROVENANCE_COLUMNS = ("kafka_partition", "kafka_offset", "kafka_timestamp")
 
 
 def decode(kafka_df: DataFrame, keep_key: bool = True, provenance: bool = False) -> DataFrame:
     """key/value bytes → text (``json_value``, optionally ``kafka_key``;
-    ``provenance`` adds the source partition/offset for the rejects table)."""
+    ``provenance`` adds the source partition/offset/time for the rejects
+    table)."""
     cols = [F.col("value").cast("string").alias("json_value")]
     if keep_key:
         cols.insert(0, F.col("key").cast("string").alias("kafka_key"))
     if provenance:
-        cols += [F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset")]
+        cols += [
+            F.col("partition").alias("kafka_partition"),
+            F.col("offset").alias("kafka_offset"),
+            F.col("timestamp").alias("kafka_timestamp"),
+        ]
     return kafka_df.select(*cols)
 
 

@@ -45,7 +45,8 @@ TABLES = {
         ),
         TableSpec("silver_alerts", "silver/alerts", "alert_date", "alert_timestamp", ("alert_id",)),
         TableSpec("alerts", "alerts", "alert_date", "alert_timestamp", ("alert_id",)),
-        TableSpec("rejects", "rejects", "ingest_date", None, ("kafka_partition", "kafka_offset")),
+        # Rejects are dated by the Kafka message time: stable across replays.
+        TableSpec("rejects", "rejects", "ingest_date", "kafka_timestamp", ("kafka_partition", "kafka_offset")),
         TableSpec(
             "daily_monitoring_summary", "daily_monitoring_summary", "summary_date", None,
             ("summary_date", "device_id"),

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from telewatch.functions.enrich import enrich
-from telewatch.functions.parse import is_rejected, parse_kafka
+from telewatch.functions.parse import PROVENANCE_COLUMNS, is_rejected, parse_kafka
 from telewatch.functions.rules import DEFAULT_RULES
 from telewatch.operators.alerts import detect_alerts
 from telewatch.schemas import PROCESSED_EVENT_COLUMNS, RAW_EVENT_COLUMNS
@@ -51,7 +51,7 @@ def parsed_stream(kafka_df: DataFrame, keep_key: bool = True, provenance: bool =
             .drop("_dedupe_key")
         )
         if not provenance:
-            parsed = parsed.drop("json_value", "kafka_partition", "kafka_offset")
+            parsed = parsed.drop("json_value", *PROVENANCE_COLUMNS)
         return parsed
     return parse_kafka(kafka_df, keep_key=keep_key, provenance=provenance)
 
@@ -72,7 +72,7 @@ def _ingestion_sinks(include_bronze: bool) -> list[TableSink]:
         TableSink(
             "rejects",
             lambda df: df.filter(is_rejected()).select(
-                "kafka_key", "kafka_partition", "kafka_offset", "json_value",
+                "kafka_key", "kafka_partition", "kafka_offset", "kafka_timestamp", "json_value",
                 F.current_timestamp().alias("rejected_at"),
             ),
         ),

@@ -33,6 +33,7 @@ def test_fanout_replay_is_effectively_once(spark, scratch):
     assert ledger.state(1) == "started"
     fan(batch, 1)
     assert wh.read("raw_network_events").count() == 5
+    assert wh.read("rejects").count() == 1 and wh.read("bronze").count() == 6
     assert ledger.state(1) == "done"
     # a genuinely new batch appends
     fan(parsed_stream(kafka_rows(spark, [payload(event_id="e-new")]), provenance=True), 2)
