@@ -37,7 +37,12 @@ class TableSpec:
 TABLES = {
     spec.name: spec
     for spec in (
-        TableSpec("bronze", "bronze/network_events", "event_date", "event_timestamp", ("event_id",)),
+        # Bronze archives messages as they arrived: dated by Kafka time, keyed
+        # by Kafka position (malformed rows have no event id or event time).
+        TableSpec(
+            "bronze", "bronze/network_events", "ingest_date", "kafka_timestamp",
+            ("kafka_partition", "kafka_offset"),
+        ),
         TableSpec("raw_network_events", "raw_network_events", "event_date", "event_timestamp", ("event_id",)),
         TableSpec(
             "processed_network_events", "processed_network_events", "event_date", "event_timestamp",

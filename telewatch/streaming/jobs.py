@@ -27,7 +27,12 @@ from telewatch.schemas import PROCESSED_EVENT_COLUMNS, RAW_EVENT_COLUMNS
 from telewatch.sources.tables import Warehouse
 from telewatch.streaming.sinks import ExternalSink, FanOut, TableSink, jdbc_writer
 
-BRONZE_COLUMNS = ("kafka_key", *RAW_EVENT_COLUMNS, "bandwidth_utilization_pct", "health_status")
+# Bronze keeps every parsed row, malformed ones included, with its Kafka
+# position: the position is the only key every row has.
+BRONZE_COLUMNS = (
+    "kafka_key", "kafka_partition", "kafka_offset", "kafka_timestamp",
+    *RAW_EVENT_COLUMNS, "bandwidth_utilization_pct", "health_status",
+)
 
 
 def parsed_stream(kafka_df: DataFrame, keep_key: bool = True, provenance: bool = True,
