@@ -129,14 +129,16 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "dashboard":
         import datetime as dt
 
-        from telewatch.plans.dashboard import panels
+        from telewatch.plans.dashboard import kpi_row, panels
 
         as_of = dt.datetime.fromisoformat(args.as_of) if args.as_of else None
         small = ("total_events", "active_devices_5m", "device_failures_1h", "alerts_24h", "avg_cpu_5m",
                  "avg_memory_5m", "alerts_by_severity", "alerts_by_region", "top_devices")
         p = panels(spark, args.root, as_of=as_of)
         # aggregates and top-k: a handful of rows each
-        print(json.dumps({k: [r.asDict() for r in p[k].collect()] for k in small}, default=str))
+        out = {k: [r.asDict() for r in p[k].collect()] for k in small}
+        out["kpis"] = kpi_row(spark, p).first().asDict()
+        print(json.dumps(out, default=str))
     elif args.cmd == "compact":
         from telewatch.sources.tables import Warehouse
 

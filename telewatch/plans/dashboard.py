@@ -16,6 +16,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from telewatch.functions.bands import band
 from telewatch.operators import dashboard as dash
 from telewatch.session import configure
 from telewatch.sources.tables import Warehouse
@@ -59,3 +60,23 @@ def panels(spark: SparkSession, root: str, as_of: dt.datetime | None = None,
         "alerts_by_region": dash.alerts_by(alerts_all, "region"),
         "top_devices": dash.alerts_by(alerts_all, "device_id", limit=10),
     }
+
+
+# panel name -> KPI band name (Q7)
+KPI_PANELS = {
+    "total_events": "total_events",
+    "active_devices_5m": "active_devices",
+    "device_failures_1h": "device_failures",
+    "alerts_24h": "alerts_24h",
+    "avg_cpu_5m": "avg_cpu",
+    "avg_memory_5m": "avg_memory",
+}
+
+
+def kpi_row(spark: SparkSession, p: dict[str, DataFrame]) -> DataFrame:
+    """Q7 over the stored tables: the stat/gauge values in one row with
+    their colour bands.  Each value is its (partition-pruned) panel as a
+    scalar subquery; the one-row base only carries them."""
+    values = {kpi: p[panel].select("value").scalar() for panel, kpi in KPI_PANELS.items()}
+    row = spark.range(1).select(*[v.alias(k) for k, v in values.items()])
+    return row.select(*values, *[band(F.col(k), k).alias(f"{k}_band") for k in values])

@@ -113,6 +113,12 @@ def test_dashboard_panels_prune_to_window_days(spark, loaded):
     sev = {r["severity"]: r["count"] for r in p["alerts_by_severity"].collect()}
     assert sum(sev.values()) == loaded.read("alerts").count()
     assert p["top_devices"].count() <= 10 and p["total_events"].first()["value"] == raw.count()
+    from telewatch.plans.dashboard import kpi_row
+
+    kpis = kpi_row(spark, p).first()
+    assert kpis["total_events"] == raw.count() and kpis["total_events_band"] == "blue"
+    assert kpis["active_devices"] == full
+    assert kpis["active_devices_band"] == ("green" if full >= 24 else "orange" if full >= 15 else "red")
     # the recency panels only list the window's day partitions
     plan = p["active_devices_5m"]._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan and str(as_of.date()) in plan
