@@ -7,7 +7,6 @@ import datetime as dt
 import pytest
 from conftest import SF01
 
-from pyspark.sql import functions as F
 
 from telewatch.operators import dashboard as dash
 from telewatch.operators import quality, rollup
