@@ -65,6 +65,15 @@ def test_alert_stream_matches_batch_and_supervisor_returns(spark, scratch):
     batch = sorted(r["alert_id"] for r in detect_alerts(enrich(accepted)).collect())
     assert streamed == batch and len(batch) == 4
     assert "created_at" in wh.read("alerts").columns
+    import time
+
+    for _ in range(50):  # listener events arrive asynchronously
+        st = listener.snapshot().get("alerts_test", {})
+        if st.get("state") == "stopped":
+            break
+        time.sleep(0.1)
+    assert st.get("state") == "stopped" and st.get("exception") is None
+    assert st.get("input_rows") is not None
 
 
 def test_supervise_raises_named_failure(spark, scratch):
