@@ -54,6 +54,22 @@ class StatusListener(StreamingQueryListener):
         with self._lock:
             return {k: dict(v) for k, v in self.status.items()}
 
+    def status_frame(self, spark: SparkSession):
+        """The status table: one row per query (name, id, state, last batch,
+        input rows, rows/s, failure text).  A handful of rows — one per
+        running query — built on the driver from the listener's record."""
+        rows = [
+            (name, st.get("id"), st.get("state"), st.get("batch_id"), st.get("input_rows"),
+             None if st.get("rows_per_second") is None else float(st["rows_per_second"]),
+             st.get("exception"))
+            for name, st in sorted(self.snapshot().items())
+        ]
+        return spark.createDataFrame(
+            rows,
+            "query_name STRING, query_id STRING, state STRING, batch_id BIGINT, input_rows BIGINT, "
+            "rows_per_second DOUBLE, exception STRING",
+        )
+
 
 def attach_listener(spark: SparkSession) -> StatusListener:
     listener = StatusListener()

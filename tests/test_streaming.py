@@ -74,6 +74,8 @@ def test_alert_stream_matches_batch_and_supervisor_returns(spark, scratch):
         time.sleep(0.1)
     assert st.get("state") == "stopped" and st.get("exception") is None
     assert st.get("input_rows") is not None
+    row = listener.status_frame(spark).filter("query_name = 'alerts_test'").first()
+    assert row["state"] == "stopped" and row["batch_id"] is not None
 
 
 def test_supervise_raises_named_failure(spark, scratch):
