@@ -98,10 +98,40 @@ def alerts_by(alerts: DataFrame, key: str, limit: int | None = None) -> DataFram
     return out if limit is None else out.limit(limit)
 
 
+def alert_count_partials(alerts: DataFrame) -> DataFrame:
+    """Alerts → counts per (day, device, region, severity): the rows the
+    alert stream appends to the ``alert_counts`` roll-up each micro-batch."""
+    return alerts.groupBy(
+        F.to_date("alert_timestamp").alias("alert_date"), "device_id", "region", "severity"
+    ).agg(F.count(F.lit(1)).alias("alerts"))
+
+
+def alerts_by_rollup(counts: DataFrame, key: str, limit: int | None = None) -> DataFrame:
+    """G11–G13 from the ``alert_counts`` roll-up: the same result as
+    ``alerts_by`` over the alerts, summing partial counts instead of
+    counting rows (the roll-up has about one row per device, day, severity
+    and micro-batch, whatever the alert volume)."""
+    out = (
+        counts.groupBy(key)
+        .agg(F.sum("alerts").alias("count"))
+        .orderBy(F.col("count").desc(), F.col(key))
+    )
+    return out if limit is None else out.limit(limit)
+
+
 def severity_share(alerts: DataFrame) -> DataFrame:
     """Count and percent of total per severity.  The window has no
     partition, but it runs over the 3-row aggregate, not over alerts."""
     counts = alerts.groupBy("severity").agg(F.count(F.lit(1)).alias("count"))
+    return _share(counts)
+
+
+def severity_share_rollup(counts: DataFrame) -> DataFrame:
+    """W1 from the ``alert_counts`` roll-up."""
+    return _share(counts.groupBy("severity").agg(F.sum("alerts").alias("count")))
+
+
+def _share(counts: DataFrame) -> DataFrame:
     total = F.sum("count").over(Window.partitionBy())
     return counts.select(
         "severity", "count", (F.col("count") * F.lit(100.0) / total).alias("percent")

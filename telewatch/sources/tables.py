@@ -50,6 +50,13 @@ TABLES = {
         ),
         TableSpec("silver_alerts", "silver/alerts", "alert_date", "alert_timestamp", ("alert_id",)),
         TableSpec("alerts", "alerts", "alert_date", "alert_timestamp", ("alert_id",)),
+        # Per-micro-batch alert counts by (day, device, region, severity): a
+        # small roll-up the all-time dashboard panels sum instead of scanning
+        # the alerts.  Rows are batch partials, so the batch id is in the key.
+        TableSpec(
+            "alert_counts", "gold/alert_counts", "alert_date", None,
+            ("alert_date", "device_id", "region", "severity", "source_batch"),
+        ),
         # Rejects are dated by the Kafka message time: stable across replays.
         TableSpec("rejects", "rejects", "ingest_date", "kafka_timestamp", ("kafka_partition", "kafka_offset")),
         TableSpec(

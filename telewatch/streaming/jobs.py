@@ -23,6 +23,7 @@ from telewatch.functions.enrich import enrich
 from telewatch.functions.parse import PROVENANCE_COLUMNS, is_rejected, parse_kafka
 from telewatch.functions.rules import DEFAULT_RULES
 from telewatch.operators.alerts import detect_alerts
+from telewatch.operators.dashboard import alert_count_partials
 from telewatch.schemas import PROCESSED_EVENT_COLUMNS, RAW_EVENT_COLUMNS
 from telewatch.sources.tables import Warehouse
 from telewatch.streaming.sinks import ExternalSink, FanOut, TableSink, jdbc_writer
@@ -154,7 +155,9 @@ def start_alerting(
     name: str = "alert_detection",
 ) -> StreamingQuery:
     """Entry B: alert rows into ``silver_alerts`` and ``alerts`` (with
-    ``created_at``).  Malformed payloads fire no rule and produce nothing."""
+    ``created_at``), and their counts per (day, device, region, severity)
+    into the ``alert_counts`` roll-up.  Malformed payloads fire no rule and
+    produce nothing."""
     parsed = parsed_stream(kafka_df, keep_key=False, provenance=False)
 
     def prepare(batch: DataFrame) -> DataFrame:
@@ -163,6 +166,7 @@ def start_alerting(
     sinks = [
         TableSink("silver_alerts", lambda df: df),
         TableSink("alerts", lambda df: df.withColumn("created_at", F.current_timestamp())),
+        TableSink("alert_counts", alert_count_partials, tag_batch=True),
     ]
     fan = FanOut(warehouse, checkpoint, prepare, sinks, extra_writers)
     return _start(parsed, name, fan, checkpoint, trigger or {"processingTime": "10 seconds"})

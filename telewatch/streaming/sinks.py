@@ -54,10 +54,13 @@ class BatchLedger:
 
 @dataclass
 class TableSink:
-    """Append a projection of the batch to a warehouse table."""
+    """Append a projection of the batch to a warehouse table.  With
+    ``tag_batch`` the rows carry ``source_batch`` (the micro-batch id), for
+    tables whose rows are per-batch partials and so keyed by it."""
 
     table: str
     project: Callable[[DataFrame], DataFrame]
+    tag_batch: bool = False
 
 
 @dataclass
@@ -87,6 +90,8 @@ class FanOut:
 
             def write(sink: TableSink) -> None:
                 rows = sink.project(prepared)
+                if sink.tag_batch:
+                    rows = rows.withColumn("source_batch", F.lit(batch_id).cast("bigint"))
                 if state == "started":
                     rows = self._not_yet_written(sink.table, rows)
                 self.warehouse.append(sink.table, rows)

@@ -122,3 +122,17 @@ def test_dashboard_panels_prune_to_window_days(spark, loaded):
     # the recency panels only list the window's day partitions
     plan = p["active_devices_5m"]._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan and str(as_of.date()) in plan
+
+
+def test_alert_rollup_matches_alerts(spark, loaded):
+    from telewatch.operators import dashboard as dash
+
+    assert loaded.exists("alert_counts")
+    counts, alerts = loaded.read("alert_counts"), loaded.read("alerts")
+    for key in ("severity", "region", "device_id"):
+        a = {r[key]: r["count"] for r in dash.alerts_by(alerts, key).collect()}
+        b = {r[key]: r["count"] for r in dash.alerts_by_rollup(counts, key).collect()}
+        assert a == b, key
+    share = [tuple(r) for r in dash.severity_share(alerts).collect()]
+    assert share == [tuple(r) for r in dash.severity_share_rollup(counts).collect()]
+    assert counts.count() < alerts.count()
