@@ -181,6 +181,12 @@ class Warehouse:
             )
         spec = TABLES[table]
         df = self.read(table, start, end)
+        if table == "alert_counts":
+            # Closed days receive no replays: merge the per-batch partials
+            # into one row per (day, device, region, severity).
+            df = df.groupBy("alert_date", "device_id", "region", "severity").agg(
+                F.sum("alerts").alias("alerts"), F.lit(-1).cast("bigint").alias("source_batch")
+            )
         rows = df.count()
         if rows == 0:
             return 0

@@ -136,3 +136,15 @@ def test_alert_rollup_matches_alerts(spark, loaded):
     share = [tuple(r) for r in dash.severity_share(alerts).collect()]
     assert share == [tuple(r) for r in dash.severity_share_rollup(counts).collect()]
     assert counts.count() < alerts.count()
+
+
+def test_compacting_alert_counts_merges_batch_partials(spark, loaded):
+    from telewatch.operators import dashboard as dash
+
+    before = {r["device_id"]: r["count"] for r in dash.alerts_by_rollup(loaded.read("alert_counts"), "device_id").collect()}
+    rows_before = loaded.read("alert_counts").count()
+    loaded.compact("alert_counts", "2024-01-01", "2024-01-30", rows_per_file=1000)
+    counts = loaded.read("alert_counts")
+    after = {r["device_id"]: r["count"] for r in dash.alerts_by_rollup(counts, "device_id").collect()}
+    assert before == after and counts.count() <= rows_before
+    assert {r["source_batch"] for r in counts.select("source_batch").distinct().collect()} == {-1}
