@@ -148,3 +148,18 @@ def test_compacting_alert_counts_merges_batch_partials(spark, loaded):
     after = {r["device_id"]: r["count"] for r in dash.alerts_by_rollup(counts, "device_id").collect()}
     assert before == after and counts.count() <= rows_before
     assert {r["source_batch"] for r in counts.select("source_batch").distinct().collect()} == {-1}
+
+
+def test_dashboard_trend_over_a_range(spark, loaded):
+    from telewatch.plans.dashboard import panels
+    from telewatch.operators import dashboard as dash
+
+    raw = loaded.read("raw_network_events")
+    lo, hi = raw.agg(F.min("event_timestamp"), F.max("event_timestamp")).first()
+    p = panels(spark, loaded.root, as_of=hi, start=lo, end=hi)
+    got = [tuple(r) for r in p["packet_loss_trend"].collect()]
+    want = [tuple(r) for r in dash.metric_trend(raw, ("packet_loss",)).collect()]
+    assert got == want and len(got) > 100
+    # a one-hour range keeps only that hour's minutes
+    hour = panels(spark, loaded.root, as_of=hi)["cpu_memory_trend"].collect()
+    assert all(hi - dt.timedelta(hours=1) - dt.timedelta(minutes=1) <= r["time"] <= hi for r in hour)
