@@ -2,11 +2,13 @@
 
 The test is on ``ingested_at`` (arrival), not on event time, and the table is
 partitioned by event date — a replay of old events arrives now but lands in
-old partitions.  So by default every partition is considered and the
-``ingested_at`` range reaches the Parquet reader as a pushed filter (row
-groups written long ago are skipped from their footer statistics).  When the
-operator knows a bound on lateness, ``max_lateness_days`` also prunes the
-partitions to the days that can hold such rows.
+old partitions, so date pruning alone would be wrong.  Instead the read skips
+*files*: a row stamped ``ingested_at`` inside the window was written by a
+micro-batch that started then, so its file was written after the window
+began.  ``modifiedAfter`` (window start minus a clock-skew slack) therefore
+drops every older file without opening it, and the ``ingested_at`` filter
+stays exact.  ``max_lateness_days`` additionally prunes partitions when the
+operator knows a bound on lateness.
 """
 
 from __future__ import annotations
@@ -21,13 +23,18 @@ from telewatch.session import configure
 from telewatch.sources.tables import Warehouse
 
 
+CLOCK_SKEW = dt.timedelta(minutes=10)
+
+
 def _recent_raw(spark: SparkSession, root: str, as_of: dt.datetime, hours: int,
                 max_lateness_days: int | None):
     wh = Warehouse(spark, root)
+    window_start = as_of - dt.timedelta(hours=hours)
+    newer = window_start - CLOCK_SKEW
     if max_lateness_days is None:
-        return wh.read("raw_network_events")
-    start = (as_of - dt.timedelta(hours=hours)).date() - dt.timedelta(days=max_lateness_days)
-    return wh.read("raw_network_events", start, None)
+        return wh.read("raw_network_events", modified_after=newer)
+    start = window_start.date() - dt.timedelta(days=max_lateness_days)
+    return wh.read("raw_network_events", start, None, modified_after=newer)
 
 
 def _now() -> dt.datetime:

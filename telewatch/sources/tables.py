@@ -96,16 +96,26 @@ class Warehouse:
 
     # -- reads ---------------------------------------------------------------
 
-    def read(self, table: str, start=None, end=None, schema: StructType | None = None) -> DataFrame:
+    def read(self, table: str, start=None, end=None, schema: StructType | None = None,
+             modified_after=None) -> DataFrame:
         """The table, restricted to dates ``start``..``end``
         (inclusive, either open).  A missing table reads as empty when a
-        ``schema`` is given."""
+        ``schema`` is given.  ``modified_after`` (a UTC datetime) skips files
+        written before it, using the file source's ``modifiedAfter`` option."""
         spec = TABLES[table]
         if not self.exists(table):
             if schema is None:
                 raise FileNotFoundError(self.path(table))
             return self.spark.createDataFrame([], schema)
-        df = self.spark.read.parquet(self.path(table))
+        reader = self.spark.read
+        if modified_after is not None:
+            # The schema comes from the table (one footer), so a read that
+            # keeps no file still has its columns.
+            full_schema = self.spark.read.parquet(self.path(table)).schema
+            reader = reader.schema(full_schema).option(
+                "modifiedAfter", modified_after.strftime("%Y-%m-%dT%H:%M:%S")
+            )
+        df = reader.parquet(self.path(table))
         if start is not None:
             df = df.filter(F.col(spec.date_col) >= as_date(start))
             if spec.ts_col:

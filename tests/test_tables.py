@@ -40,3 +40,12 @@ def test_overwrite_partitions_replaces_only_given_days(spark, scratch):
     wh.overwrite_partitions("raw_network_events", day2)  # reads the table it rewrites: staged
     got = sorted(r["event_id"] for r in wh.read("raw_network_events").collect())
     assert got == ["e1-0", "e1-23", "e2-0", "e3-0", "e3-23"]
+
+
+def test_modified_after_skips_older_files(spark, scratch):
+    wh = Warehouse(spark, scratch)
+    wh.append("raw_network_events", _events(spark, [1]))
+    now = dt.datetime.now(dt.UTC).replace(tzinfo=None)
+    assert wh.read("raw_network_events", modified_after=now - dt.timedelta(hours=1)).count() == 2
+    later = wh.read("raw_network_events", modified_after=now + dt.timedelta(minutes=5))
+    assert later.count() == 0 and "event_id" in later.columns
