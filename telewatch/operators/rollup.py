@@ -73,12 +73,31 @@ def daily_alert_counts(alerts: DataFrame, ds=None) -> DataFrame:
     )
 
 
-def daily_summary(events: DataFrame, alerts: DataFrame, ds=None, computed_at: Column | None = None) -> DataFrame:
+def daily_alert_counts_from_rollup(rollup: DataFrame, ds=None) -> DataFrame:
+    """G2 from the ``alert_counts`` roll-up (partial counts per day, device,
+    region, severity and micro-batch): the same rows as ``daily_alert_counts``
+    over the alerts, from a table a few rows per device instead of one row
+    per alert."""
+    df = rollup if ds is None else rollup.filter(F.col("alert_date") == as_date(ds))
+    sev, n = F.col("severity"), F.col("alerts")
+    zero = F.lit(0).cast("bigint")
+    return df.groupBy(F.col("alert_date").alias("summary_date"), "device_id").agg(
+        F.sum(n).alias("total_alerts"),
+        *[
+            F.sum(F.when(sev == F.lit(level), n).otherwise(zero)).alias(f"{level.lower()}_alerts")
+            for level in ("CRITICAL", "HIGH", "MEDIUM")
+        ],
+    )
+
+
+def daily_summary(events: DataFrame, alerts: DataFrame | None, ds=None, computed_at: Column | None = None,
+                  alert_counts: DataFrame | None = None) -> DataFrame:
     """J1 + P16: the daily_monitoring_summary rows for day ``ds`` (every day
     when None).  Only device-days with events get a row; alert counts of
-    device-days without alerts are 0."""
+    device-days without alerts are 0.  ``alert_counts`` (the output of
+    ``daily_alert_counts[_from_rollup]``) replaces ``alerts`` when given."""
     stats = daily_event_stats(events, ds)
-    counts = daily_alert_counts(alerts, ds)
+    counts = daily_alert_counts(alerts, ds) if alert_counts is None else alert_counts
     joined = stats.join(counts, ["summary_date", "device_id"], "left")
     return joined.select(
         "summary_date",

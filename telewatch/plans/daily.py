@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from telewatch.operators.merge import upsert_summary
 from telewatch.operators.report import report_lines, write_reports
-from telewatch.operators.rollup import daily_summary
+from telewatch.operators.rollup import daily_alert_counts_from_rollup, daily_summary
 from telewatch.schemas import SUMMARY_COLUMNS, SUMMARY_SCHEMA
 from telewatch.session import configure
 from telewatch.sources.tables import Warehouse
@@ -26,9 +26,15 @@ def compute_summary(wh: Warehouse, start, end=None, computed_at=None) -> DataFra
     """Merged summary rows for the days ``start``..``end`` (not written)."""
     end = start if end is None else end
     events = wh.read("raw_network_events", start, end)
-    alerts = wh.read("alerts", start, end)
     ds = start if start == end else None
-    updates = daily_summary(events, alerts, ds=ds, computed_at=computed_at)
+    if wh.exists("alert_counts"):
+        # alerts and their counts are written together (alert stream,
+        # append_alerts): the roll-up gives the same counts from a few rows
+        # per device instead of every alert of the day
+        counts = daily_alert_counts_from_rollup(wh.read("alert_counts", start, end))
+        updates = daily_summary(events, None, ds=ds, computed_at=computed_at, alert_counts=counts)
+    else:
+        updates = daily_summary(events, wh.read("alerts", start, end), ds=ds, computed_at=computed_at)
     target = wh.read(SUMMARY, start, end, schema=SUMMARY_SCHEMA).select(*SUMMARY_COLUMNS)
     return upsert_summary(target, updates, computed_at=computed_at)
 
@@ -104,3 +110,14 @@ def run_range(spark: SparkSession, root: str, start, end, report_dir: str | None
             args={"start": str(start), "end": str(end)},
         )
         write_reports(report_lines(wh.read(SUMMARY, start, end, schema=SUMMARY_SCHEMA), days), report_dir)
+
+
+def append_alerts(wh: Warehouse, alerts: DataFrame) -> None:
+    """Batch writer for alerts (e.g. a backfill with new rules): appends the
+    rows to ``alerts`` *and* their counts to the ``alert_counts`` roll-up, so
+    the invariant the daily job and the dashboard rely on holds.  The rows
+    carry ``source_batch`` = -1 (batch, not stream)."""
+    from telewatch.operators.dashboard import alert_count_partials
+
+    wh.append("alerts", alerts.withColumn("created_at", F.current_timestamp()))
+    wh.append("alert_counts", alert_count_partials(alerts).withColumn("source_batch", F.lit(-1).cast("bigint")))

@@ -121,3 +121,21 @@ def test_kpi_bands_and_last_not_null(spark):
     colours = [r["c"] for r in spark.createDataFrame([(0,), (1,), (5,)], "n INT")
                .select(band(F.col("n"), "device_failures").alias("c")).collect()]
     assert colours == ["green", "orange", "red"]
+
+
+def test_alert_counts_from_rollup_equal_counts_from_alerts(spark):
+    from telewatch.operators.dashboard import alert_count_partials
+    from telewatch.operators.rollup import daily_alert_counts, daily_alert_counts_from_rollup
+
+    T1 = dt.datetime(2024, 3, 2, 5, 0)
+    al = spark.createDataFrame(
+        [("a", T0, "A", "Giza", "HIGH"), ("b", T0, "A", "Giza", "CRITICAL"), ("c", T0, "B", "Cairo", "MEDIUM"),
+         ("d", T1, "A", "Giza", "HIGH"), ("e", T1, "A", "Giza", "HIGH")],
+        "alert_id STRING, alert_timestamp TIMESTAMP, device_id STRING, region STRING, severity STRING",
+    )
+    # two "micro-batches" of partials for the same rows split arbitrarily
+    parts = alert_count_partials(al.filter("alert_id < 'c'")).unionByName(alert_count_partials(al.filter("alert_id >= 'c'")))
+    want = sorted(tuple(r) for r in daily_alert_counts(al).collect())
+    assert sorted(tuple(r) for r in daily_alert_counts_from_rollup(parts).collect()) == want
+    one_day = sorted(tuple(r) for r in daily_alert_counts_from_rollup(parts, ds=D1).collect())
+    assert one_day == sorted(tuple(r) for r in daily_alert_counts(al, ds=D1).collect())

@@ -49,3 +49,18 @@ def test_modified_after_skips_older_files(spark, scratch):
     assert wh.read("raw_network_events", modified_after=now - dt.timedelta(hours=1)).count() == 2
     later = wh.read("raw_network_events", modified_after=now + dt.timedelta(minutes=5))
     assert later.count() == 0 and "event_id" in later.columns
+
+
+def test_append_alerts_keeps_rollup_in_step(spark, scratch):
+    from telewatch.plans.daily import append_alerts
+
+    wh = Warehouse(spark, scratch)
+    al = spark.createDataFrame(
+        [(f"a{i}", f"e{i}", dt.datetime(2024, 3, 1, i), "D", "router", "Giza", "CPU_HIGH", "HIGH", "x")
+         for i in range(5)],
+        "alert_id STRING, event_id STRING, alert_timestamp TIMESTAMP, device_id STRING, device_type STRING, "
+        "region STRING, alert_type STRING, severity STRING, description STRING",
+    )
+    append_alerts(wh, al)
+    assert wh.read("alerts").count() == 5
+    assert wh.read("alert_counts").groupBy().sum("alerts").first()[0] == 5
