@@ -200,3 +200,16 @@ def test_alert_fanout_partial_replay_does_not_double_count(spark, scratch):
     fan(batch, 7)
     assert wh.read("alerts").count() == 5
     assert wh.read("alert_counts").groupBy().sum("alerts").first()[0] == 5
+
+
+def test_fixture_frame_has_kafka_shape(spark):
+    from conftest import SF001
+
+    from telewatch.sources.fixtures import kafka_frame_from_events, read_events
+    from telewatch.streaming.sources import KAFKA_SCHEMA
+
+    frame = kafka_frame_from_events(read_events(spark, SF001))
+    assert [(f.name, f.dataType) for f in frame.schema] == [(f.name, f.dataType) for f in KAFKA_SCHEMA]
+    row = frame.filter("offset = 0").first()
+    assert row["key"].decode() == row["value"].decode().split('"device_id":"')[1].split('"')[0]
+    assert 0 <= row["partition"] < 3
