@@ -51,6 +51,36 @@ def report_for_day(wh: Warehouse, ds) -> DataFrame:
     return report_lines(summary, days=day)
 
 
+def _publish_reports(wh: Warehouse, lines: DataFrame, out_dir: str) -> list[str]:
+    """Write every day's report in one job (one task and one file per day),
+    staged, then move each day's file to ``out_dir/daily_report_<ds>.md``
+    (one rename per day on the file system)."""
+    from telewatch.session import scratch_path
+    from telewatch.sources.tables import hadoop_fs
+
+    staged = scratch_path(wh.spark, "reports")
+    write_reports(lines, staged)
+    fs, staged_path = hadoop_fs(wh.spark, staged)
+    out = []
+    for day_dir in fs.listStatus(staged_path):
+        name = day_dir.getPath().getName()
+        if not name.startswith("summary_date="):
+            continue
+        parts = [s.getPath() for s in fs.listStatus(day_dir.getPath()) if s.getPath().getName().startswith("part-")]
+        if len(parts) != 1:
+            raise RuntimeError(f"expected one report file in {day_dir.getPath()}, found {len(parts)}")
+        target = f"{out_dir.rstrip('/')}/daily_report_{name.split('=', 1)[1]}.md"
+        fs_out, target_path = hadoop_fs(wh.spark, target)
+        fs_out.mkdirs(target_path.getParent())
+        if fs_out.exists(target_path):
+            fs_out.delete(target_path, False)
+        if not fs.rename(parts[0], target_path):
+            raise RuntimeError(f"could not move a report to {target}")
+        out.append(target)
+    fs.delete(staged_path, True)  # our own uniquely named staging folder
+    return sorted(out)
+
+
 def write_report(wh: Warehouse, ds, out_dir: str) -> str:
     """The day's report as ONE file, ``out_dir/daily_report_<ds>.md``.
 
@@ -109,7 +139,8 @@ def run_range(spark: SparkSession, root: str, start, end, report_dir: str | None
             "SELECT explode(sequence(to_date(:start), to_date(:end), interval 1 day)) AS summary_date",
             args={"start": str(start), "end": str(end)},
         )
-        write_reports(report_lines(wh.read(SUMMARY, start, end, schema=SUMMARY_SCHEMA), days), report_dir)
+        lines = report_lines(wh.read(SUMMARY, start, end, schema=SUMMARY_SCHEMA), days)
+        _publish_reports(wh, lines, report_dir)
 
 
 def append_alerts(wh: Warehouse, alerts: DataFrame) -> None:

@@ -50,7 +50,10 @@ def test_backfill_reports_every_day(spark, scratch, tmp_path):
     assert main(["ingest", "--root", root, "--files", frame, "--trigger", "available-now"]) == 0
     assert main(["alerts", "--root", root, "--files", frame, "--trigger", "available-now"]) == 0
     run_range(spark, root, "2024-01-29", "2024-02-01", report_dir=str(tmp_path / "reports"))
-    days = sorted(p.name for p in (tmp_path / "reports").iterdir() if p.name.startswith("summary_date="))
-    assert days == [f"summary_date={d}" for d in ("2024-01-29", "2024-01-30", "2024-01-31", "2024-02-01")]
-    text = "".join(p.read_text() for p in (tmp_path / "reports" / "summary_date=2024-02-01").glob("part-*"))
+    files = sorted(p.name for p in (tmp_path / "reports").iterdir() if not p.name.startswith("."))
+    assert files == [f"daily_report_{d}.md" for d in ("2024-01-29", "2024-01-30", "2024-01-31", "2024-02-01")]
+    text = (tmp_path / "reports" / "daily_report_2024-02-01.md").read_text()
+    assert text.startswith("# Daily Network Monitoring Report — 2024-02-01")
     assert "No data recorded for this date." in text
+    full = (tmp_path / "reports" / "daily_report_2024-01-30.md").read_text().splitlines()
+    assert full[5].startswith("| Device |") and len(full) > 7
