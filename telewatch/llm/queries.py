@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from telewatch.llm import bpe, line_dedup, simhash
+from telewatch.llm import bpe, decontaminate, line_dedup, simhash
 
 _QUERIES = {
     "op3_simhash": (simhash.op3_simhash, None),
     "op7_bpe": (bpe.op7_bpe, None),
+    "op10_decontamination": (decontaminate.op10_decontamination, decontaminate.ORACLE),
     "op9_line_dedup": (line_dedup.op9_line_dedup, line_dedup.ORACLE),
 }
 
