@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from telewatch.llm import bpe, decontaminate, line_dedup, simhash
+from telewatch.llm import bpe, decontaminate, line_dedup, simhash, toxicity
 
 _QUERIES = {
+    "op4_toxicity": (toxicity.op4_toxicity, None),
     "op3_simhash": (simhash.op3_simhash, None),
     "op7_bpe": (bpe.op7_bpe, None),
     "op10_decontamination": (decontaminate.op10_decontamination, decontaminate.ORACLE),
