@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from telewatch.llm import bpe, decontaminate, line_dedup, simhash, toxicity
+from telewatch.llm import bpe, decontaminate, line_dedup, sharding, simhash, toxicity
 
 _QUERIES = {
+    "op1_sharding": (sharding.op1_sharding, sharding.ORACLE),
     "op4_toxicity": (toxicity.op4_toxicity, None),
     "op3_simhash": (simhash.op3_simhash, None),
     "op7_bpe": (bpe.op7_bpe, None),
