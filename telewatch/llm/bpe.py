@@ -30,8 +30,9 @@ from pyspark.sql import types as T
 from telewatch.llm.common import col, fresh, table
 
 TOKENIZER = "byte_bpe_50k.json"
-KEPT_PIECES = 1_000_000  # pieces whose ids a task keeps
-BATCH_CHARS = 24 << 20  # texts of about so many characters go to the index together
+KEPT_PIECES = 500_000  # pieces whose ids a task keeps
+BATCH_CHARS = 8 << 20  # texts of about so many characters go to the index together
+FEW = 24  # up to so many positions of a pair merge one by one, more as arrays
 
 # Fixed values of the byte-level alphabet: bytes that stand for themselves; the
 # others take the code points from 256 on, in order.
@@ -77,6 +78,7 @@ class Vocabulary:
         for merge in model["merges"]:
             a, b = merge if isinstance(merge, list) else merge.split(" ")
             self.merge_list.append((ids[a], ids[b], ids[a + b]))
+        self.rank_of = {(a, b): rank for rank, (a, b, _) in enumerate(self.merge_list)}
         keys = np.array([a << 32 | b for a, b, _ in self.merge_list], dtype=np.int64)
         self._key_ranks = np.argsort(keys, kind="stable")
         self._keys = keys[self._key_ranks]
@@ -108,9 +110,17 @@ def merge_pieces(pieces: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarra
     symbol[inside] = vocabulary.byte_ids[np.frombuffer(b"".join(pieces), dtype=np.uint8)]
     after = np.arange(1, n + 2, dtype=np.int32)
     before = np.arange(-1, n, dtype=np.int32)
-    #: rank of a pair -> arrays of its positions
-    positions: dict[int, list[np.ndarray]] = {}
+    #: rank of a pair -> its positions, as arrays and one by one
+    positions: dict[int, tuple[list[np.ndarray], list[int]]] = {}
     active: list[int] = []
+    known, merge_list = vocabulary.rank_of.get, vocabulary.merge_list
+    symbol_at, after_at, before_at = memoryview(symbol), memoryview(after), memoryview(before)
+
+    def listed(rank: int) -> tuple[list[np.ndarray], list[int]]:
+        if rank not in positions:
+            positions[rank] = ([], [])
+            heapq.heappush(active, rank)
+        return positions[rank]
 
     def add(at: np.ndarray, ranks: np.ndarray) -> None:
         found = ranks >= 0
@@ -121,21 +131,29 @@ def merge_pieces(pieces: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarra
         at, ranks = at[order], ranks[order]
         cuts = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
         starts = [0, *cuts.tolist()]
-        for rank, part in zip(ranks[starts].tolist(), np.split(at, cuts) if cuts.size else [at], strict=True):
-            if rank in positions:
-                positions[rank].append(part)
+        for start, end, rank in zip(starts, [*starts[1:], at.size], ranks[starts].tolist(), strict=True):
+            if end - start > FEW:
+                listed(rank)[0].append(at[start:end])
             else:
-                positions[rank] = [part]
-                heapq.heappush(active, rank)
-
-    first = np.flatnonzero(inside[:-1] & inside[1:])
-    add(first, vocabulary.ranks_of(symbol[first], symbol[first + 1]))
-    while active:
-        rank = heapq.heappop(active)
-        left, right, new = vocabulary.merge_list[rank]
-        lists = positions.pop(rank)
-        at = lists[0] if len(lists) == 1 else np.concatenate(lists)
-        # Earlier merges may have changed what stands at a listed position.
+                listed(rank)[1].extend(at[start:end].tolist())
+
+    def merge_few(at: list[int], left: int, right: int, new: int) -> None:
+        for p in sorted(at):
+            gone = after_at[p]
+            if symbol_at[p] != left or symbol_at[gone] != right:
+                continue  # an earlier merge has changed what stands here
+            end, start = after_at[gone], before_at[p]
+            symbol_at[p], symbol_at[gone] = new, -2
+            after_at[p], before_at[end] = end, p
+            rank = known((new, symbol_at[end]))
+            if rank is not None:
+                listed(rank)[1].append(p)
+            if start >= 0:
+                rank = known((symbol_at[start], new))
+                if rank is not None:
+                    listed(rank)[1].append(start)
+
+    def merge_many(at: np.ndarray, left: int, right: int, new: int) -> None:
         at = np.unique(at[(symbol[at] == left) & (symbol[after[at]] == right)])
         if left == right and at.size > 1:  # in a run of one symbol every other pair merges
             follows = np.concatenate(([False], after[at[:-1]] == at[1:]))
@@ -143,7 +161,7 @@ def merge_pieces(pieces: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarra
             run = np.maximum.accumulate(np.where(follows, 0, index))
             at = at[(index - run) % 2 == 0]
         if not at.size:
-            continue
+            return
         gone = after[at]
         end = after[gone]
         symbol[at], symbol[gone] = new, -2
@@ -151,7 +169,18 @@ def merge_pieces(pieces: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarra
         start = before[at]
         fused = np.full(at.size, new, dtype=np.int32)
         # Index -1, before the first piece, reads the -1 at the end.
-        add(np.concatenate((at, start)), vocabulary.ranks_of(np.concatenate((fused, symbol[start])), np.concatenate((symbol[end], fused))))
+        lefts, rights = np.concatenate((fused, symbol[start])), np.concatenate((symbol[end], fused))
+        add(np.concatenate((at, start)), vocabulary.ranks_of(lefts, rights))
+
+    first = np.flatnonzero(inside[:-1] & inside[1:])
+    add(first, vocabulary.ranks_of(symbol[first], symbol[first + 1]))
+    while active:
+        rank = heapq.heappop(active)
+        arrays, few = positions.pop(rank)
+        if arrays or len(few) > FEW:
+            merge_many(np.concatenate([*arrays, np.asarray(few, dtype=np.int64)]), *merge_list[rank])
+        else:
+            merge_few(few, *merge_list[rank])
     symbol = symbol[:n]
     symbol = symbol[symbol != -2]
     ends = np.flatnonzero(symbol == -1)
@@ -289,10 +318,13 @@ def bpe_decode(docs: DataFrame, path: str, ids_col: str = "ids", text_col: str =
     return docs.select(*[col(c) for c in keep], col(ids_col).alias(ids_)).mapInArrow(run, schema)
 
 
-def digests(encoded: DataFrame, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
+def digests(
+    encoded: DataFrame, ids_col: str = "ids", text_col: str = "decoded", keep_ids: bool = False
+) -> DataFrame:
     ids = F.transform(col(ids_col), lambda i: i.cast("string"))
     return encoded.select(
         "doc_id",
+        *([col(ids_col)] if keep_ids else []),
         F.size(col(ids_col)).cast("long").alias("n_tokens"),
         F.sha2(F.array_join(ids, ","), 256).alias("ids_sha256"),
         F.sha2(col(text_col), 256).alias("decoded_sha256"),
