@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from telewatch.llm import bpe, decontaminate, line_dedup, quality, sharding, simhash, toxicity
+from telewatch.llm import bpe, decontaminate, line_dedup, quality, sharding, simhash, substring_dedup, toxicity
 
 _QUERIES = {
     "op1_sharding": (sharding.op1_sharding, sharding.ORACLE),
     "op2_quality": (quality.op2_quality, None),
+    "op5_substring_dedup": (substring_dedup.op5_substring_dedup, None),
     "op4_toxicity": (toxicity.op4_toxicity, None),
     "op3_simhash": (simhash.op3_simhash, None),
     "op7_bpe": (bpe.op7_bpe, None),
