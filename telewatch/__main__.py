@@ -34,10 +34,11 @@ def _parser() -> argparse.ArgumentParser:
     ing = sub.add_parser("ingest", help="raw ingestion stream (bronze, raw, processed, rejects)")
     stream_args(ing, "earliest")
     ing.add_argument("--no-bronze", action="store_true")
-    ing.add_argument("--dedupe-watermark", default=None, help="e.g. '10 minutes'")
+    ing.add_argument("--console", action="store_true", help="also print the parsed rows (debugging)")
 
     alr = sub.add_parser("alerts", help="alert detection stream (silver alerts, alerts)")
     stream_args(alr, "latest")
+    alr.add_argument("--rules", default=None, help="JSON file with the rule list; default: the built-in six")
 
     d = sub.add_parser("daily", help="upsert one day's summary and write its report")
     d.add_argument("--root", required=True)
@@ -53,11 +54,17 @@ def _parser() -> argparse.ArgumentParser:
     h = sub.add_parser("health", help="fail when nothing arrived in the last hours")
     h.add_argument("--root", required=True)
     h.add_argument("--hours", type=int, default=1)
-    h.add_argument("--max-lateness-days", type=int, default=None)
 
-    db = sub.add_parser("dashboard", help="print the stat, gauge and alert panels as JSON")
+    db = sub.add_parser("dashboard", help="print every panel as JSON")
     db.add_argument("--root", required=True)
-    db.add_argument("--as-of", default=None, help="ISO time; default now (UTC)")
+    db.add_argument("--as-of", default=None, help="ISO time, UTC unless it names a zone; default now")
+    db.add_argument("--from", dest="start", default=None, help="start of the trend panels' range (ISO)")
+    db.add_argument("--to", dest="end", default=None, help="end of the trend panels' range (ISO)")
+
+    ru = sub.add_parser("rollup", help="build the per-day counts that the all-time panels sum")
+    ru.add_argument("--root", required=True)
+    ru.add_argument("--start", default=None)
+    ru.add_argument("--end", default=None)
 
     c = sub.add_parser("compact", help="rewrite date partitions into larger, device-sorted files")
     c.add_argument("--root", required=True)
@@ -83,6 +90,10 @@ def _source(spark, args):
     )
 
 
+def _text(spark, path: str) -> str:
+    return spark.read.text(path, wholetext=True).first()[0]
+
+
 def _trigger(text: str) -> dict:
     return {"availableNow": True} if text == "available-now" else {"processingTime": text}
 
@@ -95,22 +106,36 @@ def main(argv: list[str] | None = None) -> int:
 
     if args.cmd in ("ingest", "alerts"):
         from telewatch.sources.tables import Warehouse
-        from telewatch.streaming.jobs import jdbc_fact_sinks, start_alerting, start_ingestion, stream_checkpoint
-        from telewatch.streaming.supervise import attach_listener, supervise
+        from telewatch.functions.rules import DEFAULT_RULES, load_rules
+        from telewatch.streaming.jobs import (
+            jdbc_fact_sinks,
+            parsed_stream,
+            start_alerting,
+            start_ingestion,
+            stream_checkpoint,
+        )
+        from telewatch.streaming.sinks import console_preview
+        from telewatch.streaming.supervise import attach_listener, supervise, write_status
 
         wh = Warehouse(spark, args.root)
         name = "raw_ingestion" if args.cmd == "ingest" else "alert_detection"
         ckpt = args.checkpoint or stream_checkpoint(wh.root, name)
-        attach_listener(spark)
+        listener = attach_listener(spark)
         job = "ingestion" if args.cmd == "ingest" else "alerts"
         extras = jdbc_fact_sinks(args.jdbc_url, job, driver=args.jdbc_driver) if args.jdbc_url else ()
         if args.cmd == "ingest":
             q = start_ingestion(_source(spark, args), wh, ckpt, _trigger(args.trigger),
-                                include_bronze=not args.no_bronze, dedupe_watermark=args.dedupe_watermark,
-                                extra_writers=extras)
+                                include_bronze=not args.no_bronze, extra_writers=extras)
         else:
-            q = start_alerting(_source(spark, args), wh, ckpt, _trigger(args.trigger), extra_writers=extras)
-        supervise(spark, [q])
+            rules = load_rules(_text(spark, args.rules)) if args.rules else DEFAULT_RULES
+            q = start_alerting(_source(spark, args), wh, ckpt, _trigger(args.trigger), rules, extra_writers=extras)
+        running = [q]
+        if args.cmd == "ingest" and args.console:
+            running.append(console_preview(parsed_stream(_source(spark, args)), _trigger(args.trigger)))
+        try:
+            supervise(spark, running, on_poll=lambda: write_status(spark, listener, wh.root))
+        finally:
+            write_status(spark, listener, wh.root, settle_s=5.0)
         return 0
 
     if args.cmd == "daily":
@@ -124,26 +149,29 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "health":
         from telewatch.plans.health import check_recent_events
 
-        n = check_recent_events(spark, args.root, hours=args.hours, max_lateness_days=args.max_lateness_days)
+        n = check_recent_events(spark, args.root, hours=args.hours)
         print(json.dumps({"recent_rows": n, "status": "OK"}))
     elif args.cmd == "dashboard":
         import datetime as dt
 
         from telewatch.plans.dashboard import kpi_row, panels
 
-        as_of = dt.datetime.fromisoformat(args.as_of) if args.as_of else None
-        small = ("total_events", "active_devices_5m", "device_failures_1h", "alerts_24h", "avg_cpu_5m",
-                 "avg_memory_5m", "alerts_by_severity", "alerts_by_region", "top_devices")
-        p = panels(spark, args.root, as_of=as_of)
-        # aggregates and top-k: a handful of rows each
-        out = {k: [r.asDict() for r in p[k].collect()] for k in small}
+        as_of, start, end = (dt.datetime.fromisoformat(x) if x else None for x in (args.as_of, args.start, args.end))
+        p = panels(spark, args.root, as_of, start, end)
+        # aggregates, top-k lists, and one row per minute of the panel range
+        out = {k: [r.asDict() for r in df.collect()] for k, df in p.items()}
         out["kpis"] = kpi_row(spark, p).first().asDict()
         print(json.dumps(out, default=str))
+    elif args.cmd == "rollup":
+        from telewatch.plans.daily import roll_up_days
+        from telewatch.sources.tables import Warehouse
+
+        print(json.dumps(roll_up_days(Warehouse(spark, args.root), args.start, args.end)))
     elif args.cmd == "compact":
         from telewatch.sources.tables import Warehouse
 
         n = Warehouse(spark, args.root).compact(args.table, args.start, args.end, args.rows_per_file)
-        print(json.dumps({"table": args.table, "partitions_written": n}))
+        print(json.dumps({"table": args.table, "files_written": n}))
     return 0
 
 

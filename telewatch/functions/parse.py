@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telewatch.schemas import EVENT_WIRE_SCHEMA
+from telewatch.schemas import EVENT_WIRE_SCHEMA, REQUIRED_COLUMNS, STRING_WIDTHS
 
 
 PROVENANCE_COLUMNS = ("kafka_partition", "kafka_offset", "kafka_timestamp")
@@ -64,14 +64,22 @@ def parse_kafka(kafka_df: DataFrame, keep_key: bool = True, provenance: bool = F
     )
 
 
+# Columns of the wire payload that the raw table requires, and their widths.
+_WIRE = {f.name for f in EVENT_WIRE_SCHEMA} - {"timestamp"} | {"event_timestamp"}
+REQUIRED_WIRE = tuple(c for c in REQUIRED_COLUMNS["raw_network_events"] if c in _WIRE)
+WIRE_WIDTHS = {c: n for c, n in STRING_WIDTHS["raw_network_events"].items() if c in _WIRE}
+
+
 def is_rejected() -> Column:
-    """Q6: rows that cannot enter the keyed fact tables — no event id, no
-    device id, or no parseable event time (the NOT NULL columns)."""
-    return (
-        F.col("event_id").isNull()
-        | F.col("device_id").isNull()
-        | F.col("event_timestamp").isNull()
-    )
+    """Q6: rows that the keyed fact tables cannot hold: a required column is
+    NULL (an event time that does not parse is), or a text is wider than its
+    column.  Never NULL itself."""
+    bad = F.lit(False)
+    for c in REQUIRED_WIRE:
+        bad = bad | F.col(c).isNull()
+    for c, n in WIRE_WIDTHS.items():
+        bad = bad | F.coalesce(F.length(F.col(c)) > F.lit(n), F.lit(False))
+    return bad
 
 
 def split_rejects(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:

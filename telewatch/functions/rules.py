@@ -7,6 +7,7 @@ rule set by passing a longer list; no streaming code changes (A6).
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -20,7 +21,8 @@ class Rule:
     Exactly one of ``above`` (strict ``column > above``) or ``equals``
     (``column == equals``) is set.  ``template`` is a Java format string for
     ``format_string``: threshold rules get (device_id, value), equality rules
-    get (device_id).
+    get (device_id).  ``rule_id`` (default: the alert type) tells rules of one
+    alert type apart in the alert ids.
     """
 
     alert_type: str
@@ -29,10 +31,13 @@ class Rule:
     template: str
     above: float | None = None
     equals: str | None = None
+    rule_id: str = ""
 
     def __post_init__(self):
         if (self.above is None) == (self.equals is None):
             raise ValueError(f"rule {self.alert_type}: set exactly one of above/equals")
+        if not self.rule_id:
+            object.__setattr__(self, "rule_id", self.alert_type)
 
     def condition(self) -> Column:
         if self.above is not None:
@@ -49,6 +54,7 @@ class Rule:
         return F.when(
             self.condition(),
             F.struct(
+                F.lit(self.rule_id).alias("rule_id"),
                 F.lit(self.alert_type).alias("alert_type"),
                 F.lit(self.severity).alias("severity"),
                 self.description().alias("description"),
@@ -96,9 +102,18 @@ DEFAULT_RULES: tuple[Rule, ...] = (
 def candidates(rules=DEFAULT_RULES) -> Column:
     """A3: one nullable struct per rule, in rule order; a NULL element is a
     rule that did not fire (A4 drops them after the explode)."""
+    ids = [r.rule_id for r in rules]
+    twice = sorted({i for i in ids if ids.count(i) > 1})
+    if twice:
+        raise ValueError(f"rule ids are not unique: {', '.join(twice)}")
     return F.array(*[r.candidate() for r in rules])
 
 
+def load_rules(text: str) -> tuple[Rule, ...]:
+    """Rules from a JSON list of objects with the fields of ``Rule``."""
+    return tuple(Rule(**fields) for fields in json.loads(text))
+
+
 def anomalous_reading() -> Column:
     """the simulator's own "anomalous reading" test — DOWN, or a metric
     past its hard threshold, with raw bandwidth > 950 Mbps instead of the

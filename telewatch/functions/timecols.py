@@ -49,19 +49,47 @@ def on_day(df: DataFrame, ts_col: str, ds, date_col: str | None = None) -> DataF
     return out
 
 
-def since(ts: Column, as_of: Column, interval: str) -> Column:
+class Latest:
+    """``(SELECT max(ts_col) FROM df)``: "now" derived from the data."""
+
+    def __init__(self, df: DataFrame, ts_col: str):
+        self._df, self._ts_col = df, ts_col
+
+    def column(self) -> Column:
+        """The value, as a scalar subquery evaluated once."""
+        return self._df.select(F.max(self._ts_col)).scalar()
+
+    def minus(self, interval: str) -> Column:
+        """The value less an interval.  The subtraction is inside the subquery,
+        so that a comparison with it is pushed to the Parquet scan."""
+        return self._df.select(F.max(self._ts_col) - F.expr(f"INTERVAL {interval}")).scalar()
+
+
+def since(ts: Column, as_of: Column | Latest, interval: str) -> Column:
     """``ts > as_of - INTERVAL …`` (strict, as the dashboard)."""
+    if isinstance(as_of, Latest):
+        return ts > as_of.minus(interval)
     return ts > (as_of - F.expr(f"INTERVAL {interval}"))
 
 
+def utc(moment: dt.datetime) -> dt.datetime:
+    """A naive time is UTC.  Literals of aware times are instants, whatever
+    the driver's own time zone."""
+    return moment.replace(tzinfo=dt.timezone.utc) if moment.tzinfo is None else moment.astimezone(dt.timezone.utc)
+
+
+def instant(moment: dt.datetime) -> Column:
+    return F.lit(utc(moment)).cast("timestamp")
+
+
 def between(ts: Column, start=None, end=None) -> Column | None:
     """the panel time filter ``ts BETWEEN start AND end`` (either side
     open when None)."""
     cond = None
     if start is not None:
-        cond = ts >= (start if isinstance(start, Column) else F.lit(start))
+        cond = ts >= (start if isinstance(start, Column) else instant(start))
     if end is not None:
-        term = ts <= (end if isinstance(end, Column) else F.lit(end))
+        term = ts <= (end if isinstance(end, Column) else instant(end))
         cond = term if cond is None else (cond & term)
     return cond
 
@@ -73,9 +101,8 @@ def bucket(df: DataFrame, ts_col: str, unit: str = "minute") -> Column:
 
 
 def latest(df: DataFrame, ts_col: str) -> Column:
-    """``as_of`` derived from data: ``(SELECT max(ts_col) FROM df)`` as a
-    scalar subquery, evaluated once before the outer plan runs."""
-    return df.select(F.max(ts_col)).scalar()
+    """``as_of`` derived from data, as a Column."""
+    return Latest(df, ts_col).column()
 
 
 def now() -> Column:

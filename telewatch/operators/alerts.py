@@ -19,15 +19,16 @@ from telewatch.functions.enrich import with_bandwidth_pct
 from telewatch.functions.rules import DEFAULT_RULES, candidates
 
 
-def alert_id(event_id: Column | None = None, alert_type: Column | None = None) -> Column:
-    """Deterministic id — md5 of ``event_id|alert_type``.
+def alert_id(event_id: Column | None = None, rule_id: Column | None = None) -> Column:
+    """Deterministic id — md5 of ``event_id|rule_id`` (a rule's id is its
+    alert type unless given); NULL for an event without an id.
 
     Replaces a random UUID: the same alert gets the same id in every sink and
     on replay, which makes appends idempotent and lets filters on the id push
     down (a nondeterministic id blocks pushdown)."""
     event_id = F.col("event_id") if event_id is None else event_id
-    alert_type = F.col("alert_type") if alert_type is None else alert_type
-    return F.md5(F.concat_ws("|", event_id, alert_type))
+    rule_id = F.col("alert_type") if rule_id is None else rule_id
+    return F.when(event_id.isNotNull(), F.md5(F.concat_ws("|", event_id, rule_id)))
 
 
 def detect_alerts(events: DataFrame, rules=DEFAULT_RULES) -> DataFrame:
@@ -46,7 +47,7 @@ def detect_alerts(events: DataFrame, rules=DEFAULT_RULES) -> DataFrame:
         F.explode(candidates(rules)).alias("_alert"),
     ).filter(F.col("_alert").isNotNull())
     return exploded.select(
-        alert_id(alert_type=F.col("_alert.alert_type")).alias("alert_id"),
+        alert_id(rule_id=F.col("_alert.rule_id")).alias("alert_id"),
         "event_id",
         "alert_timestamp",
         "device_id",

@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 
 from telewatch.functions.bands import band
 from telewatch.functions.rules import anomalous_reading
-from telewatch.functions.timecols import between, bucket, now, since
+from telewatch.functions.timecols import Latest, between, bucket, now, since
 
+AsOf = Column | Latest | None
 
-def _as_of(as_of: Column | None) -> Column:
+
+def _as_of(as_of: AsOf) -> Column | Latest:
     return now() if as_of is None else as_of
 
 
@@ -27,17 +29,14 @@ def total_events(events: DataFrame) -> DataFrame:
     return events.select(F.count(F.lit(1)).alias("value"))
 
 
-def active_devices(events: DataFrame, as_of: Column | None = None, window: str = "5 MINUTES",
-                   approximate: bool = False) -> DataFrame:
-    """Distinct devices reporting in the last 5 minutes.  Exact by default
-    (partial distinct per task, then a shuffle of the distinct ids only);
-    ``approximate`` switches to HyperLogLog++."""
+def active_devices(events: DataFrame, as_of: AsOf = None, window: str = "5 MINUTES") -> DataFrame:
+    """Distinct devices reporting in the last 5 minutes (partial distinct
+    per task, then a shuffle of the distinct ids only)."""
     recent = events.filter(since(F.col("event_timestamp"), _as_of(as_of), window))
-    agg = F.approx_count_distinct("device_id") if approximate else F.count_distinct("device_id")
-    return recent.select(agg.alias("value"))
+    return recent.select(F.count_distinct("device_id").alias("value"))
 
 
-def device_failures(events: DataFrame, as_of: Column | None = None, window: str = "1 HOUR") -> DataFrame:
+def device_failures(events: DataFrame, as_of: AsOf = None, window: str = "1 HOUR") -> DataFrame:
     """DOWN readings (not devices) in the last hour."""
     recent = events.filter(
         (F.col("status") == F.lit("DOWN")) & since(F.col("event_timestamp"), _as_of(as_of), window)
@@ -45,13 +44,13 @@ def device_failures(events: DataFrame, as_of: Column | None = None, window: str
     return recent.select(F.count(F.lit(1)).alias("value"))
 
 
-def recent_alerts(alerts: DataFrame, as_of: Column | None = None, window: str = "24 HOURS") -> DataFrame:
+def recent_alerts(alerts: DataFrame, as_of: AsOf = None, window: str = "24 HOURS") -> DataFrame:
     """Alerts in the last 24 hours."""
     recent = alerts.filter(since(F.col("alert_timestamp"), _as_of(as_of), window))
     return recent.select(F.count(F.lit(1)).alias("value"))
 
 
-def recent_average(events: DataFrame, metric: str, as_of: Column | None = None,
+def recent_average(events: DataFrame, metric: str, as_of: AsOf = None,
                    window: str = "5 MINUTES") -> DataFrame:
     """Average of a metric over the last 5 minutes (NULL if none)."""
     recent = events.filter(since(F.col("event_timestamp"), _as_of(as_of), window))
@@ -71,7 +70,7 @@ def metric_trend(events: DataFrame, metrics: tuple[str, ...], start=None, end=No
     )
 
 
-def high_latency_recent(events: DataFrame, as_of: Column | None = None, threshold: float = 200.0,
+def high_latency_recent(events: DataFrame, as_of: AsOf = None, threshold: float = 200.0,
                         window: str = "1 HOUR", limit: int = 50) -> DataFrame:
     """O2 + F8: the latest ``limit`` readings above ``threshold`` ms in the
     last hour.  Top-k by (time desc, event_id) → TakeOrderedAndProject, a
@@ -99,18 +98,28 @@ def alerts_by(alerts: DataFrame, key: str, limit: int | None = None) -> DataFram
 
 
 def alert_count_partials(alerts: DataFrame) -> DataFrame:
-    """Alerts → counts per (day, device, region, severity): the rows the
-    alert stream appends to the ``alert_counts`` roll-up each micro-batch."""
+    """Alerts → counts per (day, device, region, severity): the rows of the
+    ``alert_counts`` roll-up."""
     return alerts.groupBy(
         F.to_date("alert_timestamp").alias("alert_date"), "device_id", "region", "severity"
     ).agg(F.count(F.lit(1)).alias("alerts"))
 
 
+def total_events_rollup(counts: DataFrame) -> DataFrame:
+    """G3 from per-day event counts."""
+    return counts.select(F.coalesce(F.sum("events"), F.lit(0).cast("bigint")).alias("value"))
+
+
+def latency_bands(readings: DataFrame) -> DataFrame:
+    """Q7 on the high-latency panel: each reading with its colour band."""
+    return readings.withColumn("latency_band", band(F.col("latency_ms"), "latency_ms"))
+
+
 def alerts_by_rollup(counts: DataFrame, key: str, limit: int | None = None) -> DataFrame:
     """G11–G13 from the ``alert_counts`` roll-up: the same result as
     ``alerts_by`` over the alerts, summing partial counts instead of
-    counting rows (the roll-up has about one row per device, day, severity
-    and micro-batch, whatever the alert volume)."""
+    counting rows (the roll-up has about one row per device, day and severity,
+    whatever the alert volume)."""
     out = (
         counts.groupBy(key)
         .agg(F.sum("alerts").alias("count"))
@@ -138,7 +147,7 @@ def _share(counts: DataFrame) -> DataFrame:
     ).orderBy(F.col("count").desc(), F.col("severity"))
 
 
-def kpi_panel(events: DataFrame, alerts: DataFrame, as_of: Column | None = None) -> DataFrame:
+def kpi_panel(events: DataFrame, alerts: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Q7: every stat/gauge panel value with its colour band, in one row.
 
     One conditional-aggregate pass over the telemetry; the alert count joins

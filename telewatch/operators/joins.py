@@ -1,4 +1,4 @@
-"""Join helpers with an explicit size check before broadcasting."""
+"""Join helper for dimensions of proven size."""
 
 from __future__ import annotations
 
@@ -7,23 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest side (rows) we will hint as broadcast after checking it.
-BROADCAST_ROW_LIMIT = 1_000_000
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has ≤ ``max_rows`` rows.  ``limit(n + 1).count()``
-    stops scanning once the bound is exceeded, so the check costs at most
-    n + 1 rows of work even when the side is huge."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
 
 def join_small(big: DataFrame, small: DataFrame, on: Sequence[str] | str, how: str = "inner",
-               max_rows: int = BROADCAST_ROW_LIMIT, known_small: bool = False) -> DataFrame:
-    """Join ``big`` to ``small``, broadcasting ``small`` only after proving its
-    size (or when the caller knows it, e.g. a literal table).  Beyond the
-    bound it is a plain shuffle join; AQE's skew-join handling then splits a
-    hot key's partition on the big side."""
-    if known_small or has_at_most(small, max_rows):
-        return big.join(F.broadcast(small), on, how)
-    return big.join(small, on, how)
+               known_small: bool = False) -> DataFrame:
+    """Join ``big`` to ``small``.  ``known_small`` says that the side's size has
+    a bound (a literal table, say), and it is broadcast; otherwise the
+    optimizer decides from statistics, and AQE splits a hot key's partition."""
+    return big.join(F.broadcast(small) if known_small else small, on, how)

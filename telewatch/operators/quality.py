@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telewatch.functions.timecols import now, since
+from telewatch.functions.timecols import Latest, now, since
 from telewatch.operators.joins import join_small
 
 
@@ -62,8 +62,7 @@ def width_report(table: str, df: DataFrame, widths: Mapping[str, int]) -> DataFr
 def orphan_devices(fact: DataFrame, devices: DataFrame, known_small: bool = False) -> DataFrame:
     """Device ids in ``fact`` missing from ``devices``, with their
     row counts.  The fact is first reduced to one row per device id (partial
-    aggregate), so the anti-join sees device cardinality, not fact volume;
-    the dimension is broadcast only after its size is checked."""
+    aggregate), so the anti-join sees device cardinality, not fact volume."""
     per_device = fact.groupBy("device_id").agg(F.count(F.lit(1)).alias("rows"))
     return join_small(per_device, devices.select("device_id"), "device_id", "left_anti",
                       known_small=known_small)
@@ -98,7 +97,7 @@ def reconcile(processed: DataFrame, raw: DataFrame, key: str = "event_id") -> Da
     )
 
 
-def freshness(raw: DataFrame, as_of: Column | None = None, window: str = "1 HOUR",
+def freshness(raw: DataFrame, as_of: Column | Latest | None = None, window: str = "1 HOUR",
               ts_col: str = "ingested_at") -> DataFrame:
     """G15 + Q1: rows that *arrived* (``ingested_at``, not event time) in the
     last hour, with an OK / STALE status."""
@@ -110,12 +109,12 @@ def freshness(raw: DataFrame, as_of: Column | None = None, window: str = "1 HOUR
     )
 
 
-def assert_fresh(raw: DataFrame, as_of: Column | None = None, window: str = "1 HOUR") -> int:
+def assert_fresh(raw: DataFrame, as_of: Column | Latest | None = None, window: str = "1 HOUR") -> int:
     """Q1 as a gate: raise when nothing arrived in the window."""
     row = freshness(raw, as_of, window).first()
     if row["recent_rows"] == 0:
         raise RuntimeError(
-            f"No network events ingested in the last {window.lower()} — "
-            "the producer or the ingestion stream may be down."
+            f"stale telemetry: not a single row arrived within {window.lower()}; "
+            "check that devices still send and that ingestion runs"
         )
     return row["recent_rows"]

@@ -74,8 +74,8 @@ def daily_alert_counts(alerts: DataFrame, ds=None) -> DataFrame:
 
 
 def daily_alert_counts_from_rollup(rollup: DataFrame, ds=None) -> DataFrame:
-    """G2 from the ``alert_counts`` roll-up (partial counts per day, device,
-    region, severity and micro-batch): the same rows as ``daily_alert_counts``
+    """G2 from the ``alert_counts`` roll-up (counts per day, device, region and
+    severity): the same rows as ``daily_alert_counts``
     over the alerts, from a table a few rows per device instead of one row
     per alert."""
     df = rollup if ds is None else rollup.filter(F.col("alert_date") == as_date(ds))

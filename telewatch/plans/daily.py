@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from telewatch.operators.merge import upsert_summary
 from telewatch.operators.report import report_lines, write_reports
 from telewatch.operators.rollup import daily_alert_counts_from_rollup, daily_summary
-from telewatch.schemas import SUMMARY_COLUMNS, SUMMARY_SCHEMA
+from telewatch.schemas import SUMMARY_COLUMNS
 from telewatch.session import configure
-from telewatch.sources.tables import Warehouse
+from telewatch.sources.devices import update_devices
+from telewatch.sources.tables import ROLLUPS, Warehouse
 
 SUMMARY = "daily_monitoring_summary"
 
@@ -27,15 +28,10 @@ def compute_summary(wh: Warehouse, start, end=None, computed_at=None) -> DataFra
     end = start if end is None else end
     events = wh.read("raw_network_events", start, end)
     ds = start if start == end else None
-    if wh.exists("alert_counts"):
-        # alerts and their counts are written together (alert stream,
-        # append_alerts): the roll-up gives the same counts from a few rows
-        # per device instead of every alert of the day
-        counts = daily_alert_counts_from_rollup(wh.read("alert_counts", start, end))
-        updates = daily_summary(events, None, ds=ds, computed_at=computed_at, alert_counts=counts)
-    else:
-        updates = daily_summary(events, wh.read("alerts", start, end), ds=ds, computed_at=computed_at)
-    target = wh.read(SUMMARY, start, end, schema=SUMMARY_SCHEMA).select(*SUMMARY_COLUMNS)
+    # From the roll-up where it covers the day, else from the day's alerts.
+    counts = daily_alert_counts_from_rollup(wh.counts("alert_counts", start, end))
+    updates = daily_summary(events, None, ds=ds, computed_at=computed_at, alert_counts=counts)
+    target = wh.read(SUMMARY, start, end).select(*SUMMARY_COLUMNS)
     return upsert_summary(target, updates, computed_at=computed_at)
 
 
@@ -46,7 +42,7 @@ def upsert_days(wh: Warehouse, start, end=None, computed_at=None) -> None:
 
 def report_for_day(wh: Warehouse, ds) -> DataFrame:
     """The day's report lines (the empty-day text when no rows)."""
-    summary = wh.read(SUMMARY, ds, ds, schema=SUMMARY_SCHEMA)
+    summary = wh.read(SUMMARY, ds, ds)
     day = wh.spark.range(1).select(F.lit(str(ds)).cast("date").alias("summary_date"))
     return report_lines(summary, days=day)
 
@@ -117,11 +113,14 @@ def write_report(wh: Warehouse, ds, out_dir: str) -> str:
 
 
 def run_daily(spark: SparkSession, root: str, ds, report_dir: str | None = None) -> dict:
-    """The scheduled task: upsert the day, then write its report."""
+    """The scheduled task: merge the day's devices, roll its counts up, upsert
+    its summary, then write its report."""
     configure(spark)
     wh = Warehouse(spark, root)
+    update_devices(wh, ds, ds)
+    roll_up_days(wh, ds, ds)
     upsert_days(wh, ds)
-    rows = wh.read_day(SUMMARY, ds).count() if wh.exists(SUMMARY) else 0
+    rows = wh.read_day(SUMMARY, ds).count()
     out = {"ds": str(ds), "device_rows": rows}
     if report_dir:
         out["report"] = write_report(wh, ds, report_dir)
@@ -133,22 +132,24 @@ def run_range(spark: SparkSession, root: str, start, end, report_dir: str | None
     report in one more job (one file per day, days without data included)."""
     configure(spark)
     wh = Warehouse(spark, root)
+    update_devices(wh, start, end)
+    roll_up_days(wh, start, end)
     upsert_days(wh, start, end)
     if report_dir:
         days = spark.sql(
             "SELECT explode(sequence(to_date(:start), to_date(:end), interval 1 day)) AS summary_date",
             args={"start": str(start), "end": str(end)},
         )
-        lines = report_lines(wh.read(SUMMARY, start, end, schema=SUMMARY_SCHEMA), days)
+        lines = report_lines(wh.read(SUMMARY, start, end), days)
         _publish_reports(wh, lines, report_dir)
 
 
+def roll_up_days(wh: Warehouse, start=None, end=None) -> dict[str, list[str]]:
+    """Build every roll-up for the days of the range; the days covered."""
+    return {name: wh.roll_up(name, start, end) for name in ROLLUPS}
+
+
 def append_alerts(wh: Warehouse, alerts: DataFrame) -> None:
     """Batch writer for alerts (e.g. a backfill with new rules): appends the
-    rows to ``alerts`` *and* their counts to the ``alert_counts`` roll-up, so
-    the invariant the daily job and the dashboard rely on holds.  The rows
-    carry ``source_batch`` = -1 (batch, not stream)."""
-    from telewatch.operators.dashboard import alert_count_partials
-
-    wh.append("alerts", alerts.withColumn("created_at", F.current_timestamp()))
-    wh.append("alert_counts", alert_count_partials(alerts).withColumn("source_batch", F.lit(-1).cast("bigint")))
+    rows whose ids ``alerts`` lacks.  Running it twice adds nothing."""
+    wh.append_unique("alerts", alerts.withColumn("created_at", F.current_timestamp()))

@@ -1,14 +1,12 @@
 """Dashboard panels over the warehouse tables.
 
 The reference's dashboard re-issues its SQL every 10 seconds.  Here every
-recency panel reads only the date partitions its window can touch (the
-window's start day through ``as_of``'s day), computed on the driver from
-``as_of``, so a panel over "the last 5 minutes" lists and scans one or two
-day partitions however long the history is.  The all-time alert panels
-(by severity / region / device) sum the ``alert_counts`` roll-up the alert
-stream maintains, about one row per device, day, severity and micro-batch,
-instead of scanning every alert.  Total events counts rows from Parquet
-metadata-friendly scans of one column.
+recency panel reads only the date partitions its window can touch, from the
+window's first day on, so a panel over "the last 5 minutes" lists and scans the
+newest day or two however long the history is.  As in the reference, a window
+has no upper bound: readings ahead of the clock count.  The all-time panels sum
+the per-day roll-ups and count only days without one from the tables
+themselves.  Times are instants; naive ones are UTC.
 """
 
 from __future__ import annotations
@@ -19,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telewatch.functions.bands import band
+from telewatch.functions.timecols import instant, utc
 from telewatch.operators import dashboard as dash
 from telewatch.session import configure
 from telewatch.sources.tables import Warehouse
@@ -28,50 +27,37 @@ WINDOWS = {"5 MINUTES": dt.timedelta(minutes=5), "1 HOUR": dt.timedelta(hours=1)
 
 
 def _recent(wh: Warehouse, table: str, as_of: dt.datetime, window: str) -> DataFrame:
-    start = (as_of - WINDOWS[window]).date()
-    return wh.read(table, start, as_of.date())
+    return wh.read(table, (as_of - WINDOWS[window]).date())
 
 
 def panels(spark: SparkSession, root: str, as_of: dt.datetime | None = None,
            start: dt.datetime | None = None, end: dt.datetime | None = None) -> dict[str, DataFrame]:
-    """Every panel as a DataFrame.  ``as_of`` defaults to now (UTC);
+    """Every panel as a DataFrame.  ``as_of`` defaults to now;
     ``start``/``end`` is the panel time range of the trend charts (default:
     the last hour, as the dashboard's default range)."""
     configure(spark)
     wh = Warehouse(spark, root)
-    as_of = as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    t = F.lit(as_of)
-    end = end or as_of
-    start = start or (end - dt.timedelta(hours=1))
-    raw_all = wh.read("raw_network_events")
+    as_of = utc(as_of or dt.datetime.now(dt.timezone.utc))
+    t = instant(as_of)
+    end = utc(end or as_of)
+    start = utc(start or (end - dt.timedelta(hours=1)))
     trend_rows = wh.read("raw_network_events", start.date(), end.date())
-    if wh.exists("alert_counts"):
-        # all-time alert panels from the streaming roll-up: same answers,
-        # a few rows per device-day instead of every alert
-        counts = wh.read("alert_counts")
-        by_severity = dash.severity_share_rollup(counts)
-        by_region = dash.alerts_by_rollup(counts, "region")
-        top = dash.alerts_by_rollup(counts, "device_id", limit=10)
-    else:
-        alerts_all = wh.read("alerts")
-        by_severity = dash.severity_share(alerts_all)
-        by_region = dash.alerts_by(alerts_all, "region")
-        top = dash.alerts_by(alerts_all, "device_id", limit=10)
+    counts = wh.counts("alert_counts")
+    hour = _recent(wh, "raw_network_events", as_of, "1 HOUR")
+    minutes = _recent(wh, "raw_network_events", as_of, "5 MINUTES")
     return {
-        "total_events": dash.total_events(raw_all),
-        "active_devices_5m": dash.active_devices(_recent(wh, "raw_network_events", as_of, "5 MINUTES"), t),
-        "device_failures_1h": dash.device_failures(_recent(wh, "raw_network_events", as_of, "1 HOUR"), t),
+        "total_events": dash.total_events_rollup(wh.counts("event_counts")),
+        "active_devices_5m": dash.active_devices(minutes, t),
+        "device_failures_1h": dash.device_failures(hour, t),
         "alerts_24h": dash.recent_alerts(_recent(wh, "alerts", as_of, "24 HOURS"), t),
-        "avg_cpu_5m": dash.recent_average(_recent(wh, "raw_network_events", as_of, "5 MINUTES"), "cpu_usage", t),
-        "avg_memory_5m": dash.recent_average(
-            _recent(wh, "raw_network_events", as_of, "5 MINUTES"), "memory_usage", t
-        ),
-        "cpu_memory_trend": dash.metric_trend(trend_rows, ("cpu_usage", "memory_usage"), F.lit(start), F.lit(end)),
-        "packet_loss_trend": dash.metric_trend(trend_rows, ("packet_loss",), F.lit(start), F.lit(end)),
-        "high_latency_1h": dash.high_latency_recent(_recent(wh, "raw_network_events", as_of, "1 HOUR"), t),
-        "alerts_by_severity": by_severity,
-        "alerts_by_region": by_region,
-        "top_devices": top,
+        "avg_cpu_5m": dash.recent_average(minutes, "cpu_usage", t),
+        "avg_memory_5m": dash.recent_average(minutes, "memory_usage", t),
+        "cpu_memory_trend": dash.metric_trend(trend_rows, ("cpu_usage", "memory_usage"), start, end),
+        "packet_loss_trend": dash.metric_trend(trend_rows, ("packet_loss",), start, end),
+        "high_latency_1h": dash.latency_bands(dash.high_latency_recent(hour, t)),
+        "alerts_by_severity": dash.severity_share_rollup(counts),
+        "alerts_by_region": dash.alerts_by_rollup(counts, "region"),
+        "top_devices": dash.alerts_by_rollup(counts, "device_id", limit=10),
     }
 
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    DataType,
     DateType,
     DoubleType,
+    IntegerType,
     LongType,
     StringType,
     StructField,
@@ -153,3 +155,49 @@ SUMMARY_SCHEMA = StructType(
         StructField("computed_at", TimestampType(), True),
     ]
 )
+
+_DOUBLES = {*METRIC_COLUMNS, "bandwidth_utilization_pct"}
+
+
+def _column_type(name: str) -> DataType:
+    if name in _DOUBLES:
+        return DoubleType()
+    return TimestampType() if name.endswith(("_timestamp", "_at")) else StringType()
+
+
+def _fields(*names: str) -> list[StructField]:
+    return [StructField(n, _column_type(n)) for n in names]
+
+
+_KAFKA_FIELDS = [
+    StructField("kafka_key", StringType()),
+    StructField("kafka_partition", IntegerType()),
+    StructField("kafka_offset", LongType()),
+    StructField("kafka_timestamp", TimestampType()),
+]
+
+# Declared schemas of the stored tables, partition column last: a table reads
+# the same whether or not it holds a file yet.
+TABLE_SCHEMAS = {
+    "bronze": StructType(
+        [*_KAFKA_FIELDS, *_fields(*RAW_EVENT_COLUMNS, "bandwidth_utilization_pct", "health_status"),
+         StructField("ingest_date", DateType())]
+    ),
+    "raw_network_events": StructType(
+        [*_fields(*RAW_EVENT_COLUMNS, "ingested_at"), StructField("event_date", DateType())]
+    ),
+    "processed_network_events": StructType(
+        [*_fields(*PROCESSED_EVENT_COLUMNS, "processed_at"), StructField("event_date", DateType())]
+    ),
+    "silver_alerts": StructType([*_fields(*ALERT_COLUMNS), StructField("alert_date", DateType())]),
+    "alerts": StructType([*_fields(*ALERT_COLUMNS, "created_at"), StructField("alert_date", DateType())]),
+    "alert_counts": StructType(
+        [*_fields("device_id", "region", "severity"), StructField("alerts", LongType()),
+         StructField("alert_date", DateType())]
+    ),
+    "event_counts": StructType([StructField("events", LongType()), StructField("event_date", DateType())]),
+    "rejects": StructType(
+        [*_KAFKA_FIELDS, *_fields("json_value", "rejected_at"), StructField("ingest_date", DateType())]
+    ),
+    "daily_monitoring_summary": SUMMARY_SCHEMA,
+}

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from telewatch.sources.tables import hadoop_fs, path_exists
+
 # The 26 seeded devices (id, type, region), in seed order.
 # The order is part of the test fixture: device number n (0-25) is row n.
 SEED_DEVICES = [
@@ -50,8 +54,56 @@ def seed_devices(spark: SparkSession) -> DataFrame:
     )
 
 
-def read_devices(spark: SparkSession, path: str | None = None) -> DataFrame:
-    """The dimension from a table path when one exists, else the seed."""
-    if path:
-        return spark.read.parquet(path)
-    return seed_devices(spark)
+def observed_devices(telemetry: DataFrame) -> DataFrame:
+    """Devices as the telemetry shows them: type and region of the first
+    reading, and the first and last time seen.  Partial aggregates of fixed
+    width; a hot device costs no single task."""
+    return telemetry.groupBy("device_id").agg(
+        F.min_by(F.struct("device_type", "region"), F.struct("event_timestamp", "event_id")).alias("_first"),
+        F.min("event_timestamp").alias("first_seen_at"),
+        F.max("event_timestamp").alias("last_seen_at"),
+    ).select("device_id", "_first.device_type", "_first.region", "first_seen_at", "last_seen_at")
+
+
+def merge_devices(existing: DataFrame, telemetry: DataFrame) -> DataFrame:
+    """K11 on the dimension: devices of the telemetry that ``existing`` lacks
+    are inserted; known ones keep type, region and status, and their times
+    seen widen."""
+    seen = observed_devices(telemetry).select(
+        F.col("device_id").alias("_id"), F.col("device_type").alias("_type"), F.col("region").alias("_region"),
+        F.col("first_seen_at").alias("_first"), F.col("last_seen_at").alias("_last"),
+    )
+    joined = existing.join(seen, existing.device_id == seen._id, "full_outer")
+    known = F.col("device_id").isNotNull()
+    return joined.select(
+        F.coalesce("device_id", "_id").alias("device_id"),
+        F.when(known, F.col("device_type")).otherwise(F.col("_type")).alias("device_type"),
+        F.when(known, F.col("region")).otherwise(F.col("_region")).alias("region"),
+        F.when(known, F.col("current_status")).otherwise(F.lit("UP")).alias("current_status"),
+        F.least("first_seen_at", "_first").alias("first_seen_at"),
+        F.greatest("last_seen_at", "_last").alias("last_seen_at"),
+    )
+
+
+def read_devices(wh) -> DataFrame:
+    """The stored dimension of a warehouse; before the first update the seed,
+    not seen yet."""
+    path = f"{wh.root}/devices"
+    if path_exists(wh.spark, path):
+        return wh.spark.read.parquet(path)
+    never = F.lit(None).cast("timestamp")
+    return seed_devices(wh.spark).select("*", never.alias("first_seen_at"), never.alias("last_seen_at"))
+
+
+def update_devices(wh, start=None, end=None) -> None:
+    """Merge the raw events of a date range into the stored dimension.  Widening
+    is idempotent, so a day may be merged again.  The new version is written
+    beside the old one, then takes its place."""
+    merged = merge_devices(read_devices(wh), wh.read("raw_network_events", start, end))
+    staged = f"{wh.root}/_devices-{uuid.uuid4().hex[:12]}"
+    merged.write.parquet(staged)
+    fs, new = hadoop_fs(wh.spark, staged)
+    _, path = hadoop_fs(wh.spark, f"{wh.root}/devices")
+    fs.delete(path, True)
+    if not fs.rename(new, path):
+        raise RuntimeError(f"could not move {staged} to {path}")

@@ -1,11 +1,19 @@
 """Date-partitioned Parquet tables of the telemetry warehouse (S3–S5, K2, K3,
-K6–K8, K10 write path).
+K6–K8, K9, K10 write path).
 
-Every fact table is partitioned by a date column derived from its event time
-(``event_date``, ``alert_date``, ``summary_date``).  Readers pass a date range
-and get *both* a partition filter (static pruning: only those directories are
-listed and read) and, where the table has one, a timestamp range that reaches
-the Parquet reader as a pushed filter.
+Every fact table is partitioned by a date column and has a declared schema, so
+a table without files reads as empty.  A read lists the table's day folders
+and then only the days it was asked for; where the table has a time column,
+the range also reaches the Parquet reader as a pushed filter.
+
+``append_unique`` is the append of every writer: it enforces the table's key
+within the rows and against the days they touch.  One writer per table at a
+time is assumed, as one stream or job owns each table.
+
+Roll-ups hold one partition per day of their source and cover exactly the days
+they have a partition for.  An append to a source day drops that day's roll-up
+before and after it writes; readers count uncovered days from the source
+itself, so a missing roll-up costs time and never an answer.
 
 Writes never overwrite the path they read: a partition rewrite is staged
 under the shared checkpoint folder first, then swapped in with dynamic
@@ -14,7 +22,11 @@ partition overwrite, so a crash mid-write leaves the old partition intact.
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 import math
+import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,8 +34,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from telewatch.functions.timecols import as_date
+from telewatch.operators.dashboard import alert_count_partials
+from telewatch.operators.merge import unique_append
+from telewatch.schemas import TABLE_SCHEMAS
 from telewatch.session import scratch_path
 
+NULL_DAY = "__HIVE_DEFAULT_PARTITION__"
+
 
 @dataclass(frozen=True)
 class TableSpec:
@@ -33,6 +50,10 @@ class TableSpec:
     ts_col: str | None
     key: tuple[str, ...]
 
+    @property
+    def schema(self) -> StructType:
+        return TABLE_SCHEMAS[self.name]
+
 
 TABLES = {
     spec.name: spec
@@ -50,13 +71,11 @@ TABLES = {
         ),
         TableSpec("silver_alerts", "silver/alerts", "alert_date", "alert_timestamp", ("alert_id",)),
         TableSpec("alerts", "alerts", "alert_date", "alert_timestamp", ("alert_id",)),
-        # Per-micro-batch alert counts by (day, device, region, severity): a
-        # small roll-up the all-time dashboard panels sum instead of scanning
-        # the alerts.  Rows are batch partials, so the batch id is in the key.
         TableSpec(
             "alert_counts", "gold/alert_counts", "alert_date", None,
-            ("alert_date", "device_id", "region", "severity", "source_batch"),
+            ("alert_date", "device_id", "region", "severity"),
         ),
+        TableSpec("event_counts", "gold/event_counts", "event_date", None, ("event_date",)),
         # Rejects are dated by the Kafka message time: stable across replays.
         TableSpec("rejects", "rejects", "ingest_date", "kafka_timestamp", ("kafka_partition", "kafka_offset")),
         TableSpec(
@@ -67,6 +86,17 @@ TABLES = {
 }
 
 
+def _event_counts(events: DataFrame) -> DataFrame:
+    return events.groupBy("event_date").agg(F.count(F.lit(1)).alias("events"))
+
+
+# roll-up -> (source table, its rows from the source's rows)
+ROLLUPS = {
+    "alert_counts": ("alerts", alert_count_partials),
+    "event_counts": ("raw_network_events", _event_counts),
+}
+
+
 def hadoop_fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -78,6 +108,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def _day(value) -> str | None:
+    return None if value is None else str(value)[:10]
+
+
 class Warehouse:
     """The telemetry tables under one root folder (local, HDFS, S3, …)."""
 
@@ -96,36 +130,42 @@ class Warehouse:
 
     # -- reads ---------------------------------------------------------------
 
-    def read(self, table: str, start=None, end=None, schema: StructType | None = None,
-             modified_after=None) -> DataFrame:
+    def days(self, table: str, start=None, end=None) -> list[str]:
+        """The table's day partitions within ``start``..``end`` (inclusive,
+        either open), oldest first; rows without a day count only when both
+        sides are open.  One listing of the table's own folder."""
+        fs, p = hadoop_fs(self.spark, self.path(table))
+        if not fs.exists(p):
+            return []
+        mark = f"{TABLES[table].date_col}="
+        names = (status.getPath().getName() for status in fs.listStatus(p))
+        found = sorted(n[len(mark):] for n in names if n.startswith(mark))
+        low, high = _day(start), _day(end)
+        if low is None and high is None:
+            return found
+        return [d for d in found if d != NULL_DAY and (low is None or d >= low) and (high is None or d <= high)]
+
+    def day_path(self, table: str, day: str) -> str:
+        return f"{self.path(table)}/{TABLES[table].date_col}={day}"
+
+    def read_days(self, table: str, days: Iterable[str]) -> DataFrame:
+        """Exactly these day partitions; other days are not listed."""
+        spec = TABLES[table]
+        paths = [self.day_path(table, d) for d in days]
+        if not paths:
+            return self.spark.createDataFrame([], spec.schema)
+        reader = self.spark.read.schema(spec.schema).option("basePath", self.path(table))
+        return reader.parquet(*paths)
+
+    def read(self, table: str, start=None, end=None) -> DataFrame:
         """The table, restricted to dates ``start``..``end``
-        (inclusive, either open).  A missing table reads as empty when a
-        ``schema`` is given.  ``modified_after`` (a UTC datetime) skips files
-        written before it, using the file source's ``modifiedAfter`` option."""
+        (inclusive, either open).  A missing or empty table has no rows."""
         spec = TABLES[table]
-        if not self.exists(table):
-            if schema is None:
-                raise FileNotFoundError(self.path(table))
-            return self.spark.createDataFrame([], schema)
-        reader = self.spark.read
-        if modified_after is not None:
-            # The schema comes from the table (one footer), so a read that
-            # keeps no file still has its columns.
-            full_schema = self.spark.read.parquet(self.path(table)).schema
-            reader = reader.schema(full_schema).option(
-                "modifiedAfter", modified_after.strftime("%Y-%m-%dT%H:%M:%S")
-            )
-        df = reader.parquet(self.path(table))
-        if start is not None:
-            df = df.filter(F.col(spec.date_col) >= as_date(start))
-            if spec.ts_col:
-                df = df.filter(F.col(spec.ts_col) >= _ts_like(df, spec.ts_col, as_date(start)))
-        if end is not None:
-            df = df.filter(F.col(spec.date_col) <= as_date(end))
-            if spec.ts_col:
-                df = df.filter(
-                    F.col(spec.ts_col) < _ts_like(df, spec.ts_col, F.date_add(as_date(end), 1))
-                )
+        df = self.read_days(table, self.days(table, start, end))
+        if start is not None and spec.ts_col:
+            df = df.filter(F.col(spec.ts_col) >= as_date(_day(start)).cast("timestamp"))
+        if end is not None and spec.ts_col:
+            df = df.filter(F.col(spec.ts_col) < F.date_add(as_date(_day(end)), 1).cast("timestamp"))
         return df
 
     def read_day(self, table: str, ds) -> DataFrame:
@@ -141,16 +181,48 @@ class Warehouse:
             return df.withColumn(spec.date_col, F.current_date())
         return df.withColumn(spec.date_col, F.to_date(F.col(spec.ts_col)))
 
-    def append(self, table: str, df: DataFrame) -> None:
-        """Append rows as new files in their date partitions.  No shuffle:
-        each task writes its own rows; file count is tamed by ``compact``."""
+    def days_of(self, table: str, df: DataFrame) -> list[str]:
+        """The day partitions that ``df`` writes to (one row per day)."""
+        day = F.coalesce(F.col(TABLES[table].date_col).cast("string"), F.lit(NULL_DAY))
+        return sorted(r[0] for r in self.with_date(table, df).select(day).distinct().collect())
+
+    def append(self, table: str, df: DataFrame, days: list[str] | None = None) -> None:
+        """Append rows as new files in their date partitions, whatever the
+        table holds.  No shuffle: each task writes its own rows; file count is
+        tamed by ``compact``."""
         spec = TABLES[table]
-        (
-            self.with_date(table, df)
-            .write.mode("append")
-            .partitionBy(spec.date_col)
-            .parquet(self.path(table))
-        )
+        of_table = [name for name, (source, _) in ROLLUPS.items() if source == table]
+        if of_table and days is None:
+            days = self.days_of(table, df)
+        for name in of_table:
+            self.drop_days(name, days)
+        self.with_date(table, df).write.mode("append").partitionBy(spec.date_col).parquet(self.path(table))
+        for name in of_table:
+            self.drop_days(name, days)
+
+    def append_unique(self, table: str, df: DataFrame) -> None:
+        """K9: append the rows that a primary key on the table's key accepts:
+        the first of each key, and none that the days touched already hold.
+        The target is read for its key columns alone.  Rows with a NULL in
+        the key have no identity and are all kept."""
+        spec = TABLES[table]
+        rows = self.with_date(table, df)
+        days = self.days_of(table, rows)
+        if not days:
+            return
+        present = set(self.days(table))
+        target = self.read_days(table, [d for d in days if d in present]).select(*spec.key)
+        keyed = F.lit(True)
+        for k in spec.key:
+            keyed = keyed & F.col(k).isNotNull()
+        new = unique_append(rows.filter(keyed), target, spec.key).unionByName(rows.filter(~keyed))
+        self.append(table, new, days)
+
+    def drop_days(self, table: str, days: Iterable[str]) -> None:
+        for d in days:
+            fs, p = hadoop_fs(self.spark, self.day_path(table, d))
+            if fs.exists(p):
+                fs.delete(p, True)
 
     def overwrite_partitions(self, table: str, df: DataFrame) -> None:
         """Replace exactly the date partitions present in ``df`` (others are
@@ -158,48 +230,78 @@ class Warehouse:
         spec = TABLES[table]
         staged = scratch_path(self.spark, f"stage-{table}")
         self.with_date(table, df).write.mode("overwrite").partitionBy(spec.date_col).parquet(staged)
-        (
-            self.spark.read.parquet(staged)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(spec.date_col)
-            .parquet(self.path(table))
-        )
         fs, p = hadoop_fs(self.spark, staged)
+        if any(s.getPath().getName().startswith(f"{spec.date_col}=") for s in fs.listStatus(p)):
+            (
+                self.spark.read.schema(spec.schema)
+                .parquet(staged)
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(spec.date_col)
+                .parquet(self.path(table))
+            )
         fs.delete(p, True)  # our own uniquely named staging folder
 
+    # -- roll-ups --------------------------------------------------------------
+
+    def roll_up(self, name: str, start=None, end=None) -> list[str]:
+        """Write the roll-up of the source's days in the range and return the
+        days covered.  A day whose files changed meanwhile is dropped again."""
+        source, aggregate = ROLLUPS[name]
+        days = [d for d in self.days(source, start, end) if d != NULL_DAY]
+        before = {d: self._files(source, d) for d in days}
+        self.overwrite_partitions(name, aggregate(self.read_days(source, days)))
+        changed = [d for d in days if self._files(source, d) != before[d]]
+        self.drop_days(name, changed)
+        return [d for d in days if d not in changed]
+
+    def counts(self, name: str, start=None, end=None) -> DataFrame:
+        """The roll-up's rows for every day of its source: read where the
+        roll-up covers the day, else counted from the source."""
+        source, aggregate = ROLLUPS[name]
+        days = self.days(source, start, end)
+        covered = set(self.days(name, start, end))
+        stored = self.read_days(name, [d for d in days if d in covered])
+        return stored.unionByName(aggregate(self.read_days(source, [d for d in days if d not in covered])))
+
+    def _files(self, table: str, day: str) -> list[str]:
+        fs, p = hadoop_fs(self.spark, self.day_path(table, day))
+        if not fs.exists(p):
+            return []
+        names = (s.getPath() for s in fs.listStatus(p))
+        return sorted(str(f) for f in names if not f.getName().startswith(("_", ".")))
+
+    # -- compaction ------------------------------------------------------------
+
     def compact(self, table: str, start, end=None, rows_per_file: int = 2_000_000,
                 min_age_days: int = 2) -> int:
-        """Rewrite the partitions of ``start``..``end`` into files of about
-        ``rows_per_file`` rows, range-partitioned and sorted by (date, device,
-        time, key) so a device filter skips row groups.  Range partitioning
-        samples the keys and cuts one hot device's rows across several tasks
-        (the time and key columns make every boundary splittable).  Returns
-        the number of output partitions.
-
-        A rewrite replaces whole partitions, so it must not race a stream
-        still appending to them: only days at least ``min_age_days`` old
-        (closed for late data) are accepted; pass 0 to force."""
-        import datetime as dt
-
-        last = dt.date.fromisoformat(str(end if end is not None else start))
-        newest_allowed = dt.date.today() - dt.timedelta(days=min_age_days)
+        """Rewrite the files that the days ``start``..``end`` hold now into
+        files of about ``rows_per_file`` rows, range-partitioned and sorted by
+        (date, device, time, key) so a device filter skips row groups.  Range
+        partitioning samples the keys and cuts one hot device's rows across
+        several tasks.  Returns the number of files written.
+
+        Only the listed files go; files that a stream appends meanwhile stay.
+        The new files are written once, beside the table; a manifest then
+        records both lists, so a rewrite that dies between moving the new
+        files in and removing the old ones is finished by the next call.
+        Days younger than ``min_age_days`` are refused: they still fill with
+        small files (0 to force)."""
+        last = dt.date.fromisoformat(_day(end if end is not None else start))
+        newest_allowed = dt.datetime.now(dt.timezone.utc).date() - dt.timedelta(days=min_age_days)
         if min_age_days and last > newest_allowed:
             raise ValueError(
-                f"refusing to compact {table} up to {last}: days after {newest_allowed} may still "
-                "receive appends (pass min_age_days=0 to force)"
+                f"refusing to compact {table} up to {last}: days after {newest_allowed} still "
+                "fill with small files (pass min_age_days=0 to force)"
             )
+        self.finish_compactions(table)
         spec = TABLES[table]
-        df = self.read(table, start, end)
-        if table == "alert_counts":
-            # Closed days receive no replays: merge the per-batch partials
-            # into one row per (day, device, region, severity).
-            df = df.groupBy("alert_date", "device_id", "region", "severity").agg(
-                F.sum("alerts").alias("alerts"), F.lit(-1).cast("bigint").alias("source_batch")
-            )
-        rows = df.count()
-        if rows == 0:
+        days = self.days(table, start, end if end is not None else start)
+        old = [f for d in days for f in self._files(table, d)]
+        if not old:
             return 0
+        df = self.spark.read.schema(spec.schema).option("basePath", self.path(table)).parquet(*old)
+        rows = df.count()  # from the file footers
         n = max(1, math.ceil(rows / rows_per_file))
         order = [spec.date_col]
         if "device_id" in df.columns:
@@ -207,12 +309,44 @@ class Warehouse:
         if spec.ts_col:
             order.append(spec.ts_col)
         order += [k for k in spec.key if k not in order]
-        self.overwrite_partitions(table, df.repartitionByRange(n, *order).sortWithinPartitions(*order))
-        return n
-
-
-def _ts_like(df: DataFrame, ts_col: str, day) -> F.Column:
-    from pyspark.sql.types import TimestampNTZType
-
-    target = "timestamp_ntz" if isinstance(df.schema[ts_col].dataType, TimestampNTZType) else "timestamp"
-    return day.cast(target)
+        name = uuid.uuid4().hex[:12]
+        staged = f"{self.path(table)}/_compaction/{name}"
+        df.repartitionByRange(n, *order).sortWithinPartitions(*order).write.partitionBy(spec.date_col).parquet(staged)
+        fs, p = hadoop_fs(self.spark, staged)
+        moves = []
+        for folder in (s.getPath() for s in fs.listStatus(p)):
+            if folder.getName().startswith(f"{spec.date_col}="):
+                for f in (s.getPath() for s in fs.listStatus(folder)):
+                    if f.getName().startswith("part-"):
+                        moves.append([str(f), f"{self.path(table)}/{folder.getName()}/{name}-{f.getName()}"])
+        self._write_text(f"{staged}.json", json.dumps({"old": old, "moves": moves}))
+        self.finish_compactions(table)
+        return len(moves)
+
+    def finish_compactions(self, table: str) -> None:
+        """Carry out the manifests left under the table; repeatable."""
+        fs, p = hadoop_fs(self.spark, f"{self.path(table)}/_compaction")
+        if not fs.exists(p):
+            return
+        for status in fs.listStatus(p):
+            manifest = status.getPath()
+            if not manifest.getName().endswith(".json"):
+                continue
+            todo = json.loads(self.spark.read.text(str(manifest), wholetext=True).first()[0])
+            for source, target in todo["moves"]:
+                fs_out, out = hadoop_fs(self.spark, target)
+                _, here = hadoop_fs(self.spark, source)
+                if not fs_out.exists(out) and not fs_out.rename(here, out):
+                    raise RuntimeError(f"could not move {source} to {target}")
+            for f in todo["old"]:
+                fs_old, gone = hadoop_fs(self.spark, f)
+                fs_old.delete(gone, False)
+            fs.delete(manifest, False)
+            _, staged = hadoop_fs(self.spark, str(manifest)[: -len(".json")])
+            fs.delete(staged, True)
+
+    def _write_text(self, path: str, text: str) -> None:
+        fs, p = hadoop_fs(self.spark, path)
+        out = fs.create(p, True)
+        out.write(bytearray(text.encode()))
+        out.close()

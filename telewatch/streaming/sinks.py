@@ -1,17 +1,13 @@
 """Micro-batch sinks.
 
 ``foreachBatch`` is at-least-once: after a failure the last micro-batch is
-replayed with the same ``batch_id``.  ``BatchLedger`` turns that into
-effectively-once for a fan-out of several sinks:
+replayed with the same ``batch_id``, and producers may deliver an event twice
+at any time.  Both are handled alike: every sink appends through the table's
+key (K9), on every batch, against the days the batch touches.  What is stored
+then does not depend on whether a failure happened.
 
-* ``done/<id>`` exists → the batch was fully written before; skip it.
-* ``started/<id>`` exists but not done → an earlier attempt died part-way;
-  write again with the K9 anti-join against the target's *affected date
-  partitions* (rows already landed are not written twice).
-* neither → the normal case; plain appends, no read of the targets.
-
-So the steady state never reads the targets, and only a replayed batch pays
-for the anti-join — against those dates only, never the whole history.
+``BatchLedger`` keeps one marker, the last batch whose sinks were all written,
+so a replay of a finished batch is skipped without reading the targets.
 """
 
 from __future__ import annotations
@@ -25,42 +21,43 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telewatch.operators.merge import unique_append
-from telewatch.sources.tables import TABLES, Warehouse, hadoop_fs
+from telewatch.sources.tables import Warehouse, hadoop_fs
 
 
 class BatchLedger:
-    """Start/done markers per batch id, kept inside the stream's checkpoint
-    folder: the checkpoint is the stream's identity (restarts resume from
-    it whatever the query is called), so its ledger lives and dies with it."""
+    """The last finished batch, kept inside the stream's checkpoint folder: the
+    checkpoint is the stream's identity (restarts resume from it whatever the
+    query is called), so its ledger lives and dies with it."""
 
     def __init__(self, spark: SparkSession, checkpoint: str):
         self.spark = spark
-        self.base = f"{checkpoint.rstrip('/')}/_ledger"
+        self.base = f"{checkpoint.rstrip('/')}/_ledger/done"
 
-    def _marker(self, kind: str, batch_id: int):
-        return hadoop_fs(self.spark, f"{self.base}/{kind}/{batch_id}")
+    def _finished(self) -> list[int]:
+        fs, p = hadoop_fs(self.spark, self.base)
+        if not fs.exists(p):
+            return []
+        return sorted(int(s.getPath().getName()) for s in fs.listStatus(p) if s.getPath().getName().isdigit())
 
-    def state(self, batch_id: int) -> str:
-        fs, p = self._marker("done", batch_id)
-        if fs.exists(p):
-            return "done"
-        fs, p = self._marker("started", batch_id)
-        return "started" if fs.exists(p) else "new"
+    def is_done(self, batch_id: int) -> bool:
+        return batch_id in self._finished()
 
-    def mark(self, kind: str, batch_id: int) -> None:
-        fs, p = self._marker(kind, batch_id)
+    def mark_done(self, batch_id: int) -> None:
+        """Batches end in order, so older markers are not needed any more."""
+        fs, p = hadoop_fs(self.spark, f"{self.base}/{batch_id}")
         fs.mkdirs(p)
+        for old in self._finished():
+            if old < batch_id:
+                _, gone = hadoop_fs(self.spark, f"{self.base}/{old}")
+                fs.delete(gone, True)
 
 
 @dataclass
 class TableSink:
-    """Append a projection of the batch to a warehouse table.  With
-    ``tag_batch`` the rows carry ``source_batch`` (the micro-batch id), for
-    tables whose rows are per-batch partials and so keyed by it."""
+    """Append a projection of the batch to a warehouse table, by its key."""
 
     table: str
     project: Callable[[DataFrame], DataFrame]
-    tag_batch: bool = False
 
 
 @dataclass
@@ -76,30 +73,17 @@ class FanOut:
     parallel: bool = True
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
-        spark = batch_df.sparkSession
-        ledger = BatchLedger(spark, self.checkpoint)
-        state = ledger.state(batch_id)
-        if state == "done":
+        ledger = BatchLedger(batch_df.sparkSession, self.checkpoint)
+        if ledger.is_done(batch_id):
             return
         prepared = self.prepare(batch_df).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if prepared.isEmpty():  # K5, without an RDD round trip
-                ledger.mark("done", batch_id)
-                return
-            ledger.mark("started", batch_id)
-
-            def write(sink: TableSink) -> None:
-                rows = sink.project(prepared)
-                if sink.tag_batch:
-                    rows = rows.withColumn("source_batch", F.lit(batch_id).cast("bigint"))
-                if state == "started":
-                    rows = self._not_yet_written(sink.table, rows)
-                self.warehouse.append(sink.table, rows)
-
-            writers = [lambda s=s: write(s) for s in self.sinks]
-            writers += [lambda fn=fn: fn(prepared, batch_id) for fn in self.extra]
-            self._run_all(writers)
-            ledger.mark("done", batch_id)
+            # One job fills the whole cache before the sinks start side by side.
+            if prepared.count() > 0:  # K5
+                writers = [lambda s=s: self.warehouse.append_unique(s.table, s.project(prepared)) for s in self.sinks]
+                writers += [lambda fn=fn: fn(prepared, batch_id) for fn in self.extra]
+                self._run_all(writers)
+            ledger.mark_done(batch_id)
         finally:
             prepared.unpersist()
 
@@ -131,28 +115,15 @@ class FanOut:
         if errors:
             raise errors[0]
 
-    def _not_yet_written(self, table: str, rows: DataFrame) -> DataFrame:
-        """K9 against the target, read only for the dates in this batch."""
-        spec = TABLES[table]
-        if not self.warehouse.exists(table):
-            return rows
-        rows = self.warehouse.with_date(table, rows)
-        bounds = rows.agg(F.min(spec.date_col).alias("lo"), F.max(spec.date_col).alias("hi")).first()
-        if bounds["lo"] is None:
-            return rows
-        target = self.warehouse.read(table, bounds["lo"], bounds["hi"])
-        return unique_append(rows, target, spec.key)
-
-
 def jdbc_writer(url: str, table: str, user_env: str = "TELEWATCH_DB_USER",
                 password_env: str = "TELEWATCH_DB_PASSWORD", driver: str | None = None,
                 batch_size: int = 10_000, num_partitions: int | None = None):
     """K4: a ``(df, batch_id)`` function appending to a JDBC table.
 
-    Credentials come from the environment only.  Pair it with the ledger (as
-    an ``extra`` of ``FanOut``) or with deterministic keys so a replay does
-    not hit the target's primary key.  Not exercised here: no database runs
-    in this environment.
+    Credentials come from the environment only.  Use it with
+    ``jdbc_key_reader`` in an ``ExternalSink``, which keeps rows that the
+    target's primary key would reject away from it.  Not exercised here: no
+    database runs in this environment.
     """
 
     def write(df: DataFrame, batch_id: int) -> None:
@@ -175,17 +146,54 @@ def jdbc_writer(url: str, table: str, user_env: str = "TELEWATCH_DB_USER",
     return write
 
 
+def jdbc_key_reader(url: str, table: str, key: Sequence[str], ts_col: str, user_env: str = "TELEWATCH_DB_USER",
+                    password_env: str = "TELEWATCH_DB_PASSWORD", driver: str | None = None):
+    """A ``(spark, low, high)`` function reading a JDBC table's keys with
+    ``ts_col`` between two times; the database applies the range."""
+
+    def read(spark: SparkSession, low, high) -> DataFrame:
+        query = (
+            f"SELECT {', '.join(key)} FROM {table} WHERE {ts_col} BETWEEN "
+            f"TIMESTAMP '{low:%Y-%m-%d %H:%M:%S.%f}' AND TIMESTAMP '{high:%Y-%m-%d %H:%M:%S.%f}'"
+        )
+        r = (
+            spark.read.format("jdbc")
+            .option("url", url)
+            .option("query", query)
+            .option("user", os.environ.get(user_env, ""))
+            .option("password", os.environ.get(password_env, ""))
+        )
+        return (r.option("driver", driver) if driver else r).load()
+
+    return read
+
+
 @dataclass
 class ExternalSink:
     """An extra writer of a ``FanOut``: project the prepared batch, then hand
-    it to ``write(df, batch_id)`` (e.g. ``jdbc_writer``).  Runs only for
-    batches the ledger has not completed."""
+    it to ``write(df, batch_id)`` (e.g. ``jdbc_writer``).
+
+    With a ``key`` and a ``read_keys`` only rows go out that the target does
+    not hold, within the batch's range of ``ts_col``: a replay after a partial
+    write, or an event delivered again, passes the target's primary key."""
 
     project: Callable[[DataFrame], DataFrame]
     write: Callable[[DataFrame, int], None]
+    key: tuple[str, ...] = ()
+    ts_col: str = "event_timestamp"
+    read_keys: Callable[[SparkSession, object, object], DataFrame] | None = None
 
     def __call__(self, prepared: DataFrame, batch_id: int) -> None:
-        self.write(self.project(prepared), batch_id)
+        rows = self.project(prepared)
+        if self.key:
+            target = None
+            if self.read_keys is not None:
+                low, high = rows.agg(F.min(self.ts_col), F.max(self.ts_col)).first()
+                if low is None:
+                    return
+                target = self.read_keys(rows.sparkSession, low, high)
+            rows = unique_append(rows, target, self.key)
+        self.write(rows, batch_id)
 
 
 def console_preview(df: DataFrame, trigger: dict | None = None, name: str | None = None):

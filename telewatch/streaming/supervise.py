@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import threading
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -78,11 +78,14 @@ def attach_listener(spark: SparkSession) -> StatusListener:
 
 
 def supervise(spark: SparkSession, queries: Sequence[StreamingQuery], stop_all_on_failure: bool = True,
-              poll_s: float = 5.0) -> None:
+              poll_s: float = 5.0, on_poll: Callable[[], None] | None = None) -> None:
     """Block until a query ends; on a failure stop the others (optional) and
-    raise with the failing query's name.  Ctrl-C stops every query."""
+    raise with the failing query's name.  Ctrl-C stops every query.
+    ``on_poll`` runs between two looks (e.g. ``write_status``)."""
     try:
         while True:
+            if on_poll is not None:
+                on_poll()
             for q in queries:
                 if not q.isActive:
                     exc = q.exception()
@@ -99,3 +102,14 @@ def supervise(spark: SparkSession, queries: Sequence[StreamingQuery], stop_all_o
         for q in queries:
             if q.isActive:
                 q.stop()
+
+
+def write_status(spark: SparkSession, listener: StatusListener, root: str, settle_s: float = 0.0) -> None:
+    """The status table, one row per query, as Parquet under ``root``.
+
+    Listener events arrive late; with ``settle_s`` the write waits up to so
+    long for every query's end to be reported."""
+    until = time.monotonic() + settle_s
+    while time.monotonic() < until and any(s.get("state") != "stopped" for s in listener.snapshot().values()):
+        time.sleep(0.1)
+    listener.status_frame(spark).coalesce(1).write.mode("overwrite").parquet(f"{root}/stream_status")

@@ -35,6 +35,9 @@ def test_cli_jobs(spark, scratch, tmp_path, capsys):
     assert main(["dashboard", "--root", root, "--as-of", "2024-01-30T23:59:00"]) == 0
     board = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert board["total_events"][0]["value"] == wh.read("raw_network_events").count()
+    assert len(board) == 13 and "latency_band" in str(board["high_latency_1h"] or "latency_band")
+    assert spark.read.parquet(f"{root}/stream_status").count() > 0
+    assert main(["rollup", "--root", root]) == 0
     assert main(["compact", "--root", root, "--table", "raw_network_events", "--start", "2024-01-01",
                  "--end", "2024-01-30", "--rows-per-file", "100"]) == 0
     assert summary_rows == wh.read("daily_monitoring_summary").count()
@@ -57,3 +60,18 @@ def test_backfill_reports_every_day(spark, scratch, tmp_path):
     assert "No data recorded for this date." in text
     full = (tmp_path / "reports" / "daily_report_2024-01-30.md").read_text().splitlines()
     assert full[5].startswith("| Device |") and len(full) > 7
+
+
+def test_alert_rules_from_a_file(spark, scratch, tmp_path):
+    rules = [
+        {"alert_type": "CPU_HIGH", "severity": "HIGH", "column": "cpu_usage", "template": "%s at %.2f", "above": 90.0},
+        {"alert_type": "CPU_HIGH", "severity": "CRITICAL", "column": "cpu_usage", "template": "%s at %.2f", "above": 95.0, "rule_id": "CPU_95"},
+    ]
+    (tmp_path / "rules.json").write_text(json.dumps(rules, indent=1))
+    frame, root = f"{scratch}/frame", f"{scratch}/wh"
+    kafka_frame_from_events(read_events(spark, SF001)).write.parquet(frame)
+    assert main(["alerts", "--root", root, "--files", frame, "--trigger", "available-now", "--rules", str(tmp_path / "rules.json")]) == 0
+    alerts = Warehouse(spark, root).read("alerts")
+    by = {r["severity"]: r["count"] for r in alerts.groupBy("severity").count().collect()}
+    assert by["HIGH"] > by["CRITICAL"] > 0
+    assert alerts.select("alert_id").distinct().count() == alerts.count()

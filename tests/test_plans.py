@@ -8,6 +8,8 @@ import pytest
 from conftest import SF01
 
 
+from conftest import SF001
+
 from telewatch.operators import dashboard as dash
 from telewatch.operators import quality, rollup
 from telewatch.plans.catalog import Fixture
@@ -67,17 +69,25 @@ def test_day_read_prunes_partitions_and_pushes_time_range(spark, scratch):
     wh.append("raw_network_events", df)
     day = wh.read_day("raw_network_events", "2024-03-02")
     p = plan(day)
-    assert "PartitionFilters: [isnotnull(event_date" in p and "2024-03-02" in p
+    # only that day's folder is listed, with the time range pushed to the scan
+    assert len(day.inputFiles()) == 1 and "event_date=2024-03-02" in day.inputFiles()[0]
     assert "PushedFilters: [IsNotNull(event_timestamp), GreaterThanOrEqual(event_timestamp" in p
     assert [r["event_id"] for r in day.collect()] == ["b"]
 
 
-def test_bounded_broadcast_check(spark):
-    from telewatch.operators.joins import has_at_most, join_small
+def test_only_a_side_of_proven_size_is_hinted(spark):
+    from telewatch.operators.joins import join_small
 
     small = spark.range(5).withColumnRenamed("id", "k")
     big = spark.range(100).withColumnRenamed("id", "k")
-    assert has_at_most(small, 5) and not has_at_most(big, 5)
-    assert "BroadcastHashJoin" in plan(join_small(big, small, "k", max_rows=10))
-    # beyond the bound no hint is added; the row count stays exact either way
-    assert join_small(small, big, "k", max_rows=10).count() == 5
+    assert "ResolvedHint" in join_small(big, small, "k", known_small=True)._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in join_small(big, small, "k")._jdf.queryExecution().analyzed().toString()
+    assert join_small(small, big, "k").count() == 5
+
+
+@pytest.mark.parametrize("name", ["g4_active_devices_5m", "g5_device_failures_1h", "g7_avg_cpu_5m", "o2_high_latency_recent"])
+def test_recency_bound_reaches_the_scan(spark, name):
+    from telewatch.plans import catalog
+
+    p = plan(catalog.queries()[name](spark, SF001))
+    assert any("GreaterThan(ts" in part.split("]")[0] for part in p.split("PushedFilters: ")[1:])

@@ -5,6 +5,8 @@ from __future__ import annotations
 import pytest
 from conftest import kafka_rows, payload
 
+from pyspark.sql import functions as F
+
 from telewatch.functions.enrich import enrich
 from telewatch.sources.tables import Warehouse
 from telewatch.streaming.jobs import _ingestion_sinks, parsed_stream, run_available, start_alerting
@@ -27,17 +29,22 @@ def test_fanout_replay_is_effectively_once(spark, scratch):
     assert counts == {"bronze": 6, "raw_network_events": 5, "rejects": 1}
     fan(batch, 0)  # replay of a completed batch: skipped by the ledger
     assert wh.read("raw_network_events").count() == 5
-    # an attempt that died after "started": rows already landed are not re-added
+    # the same messages under the next batch id (or after a crash): nothing is added
     ledger = BatchLedger(spark, f"{scratch}/ckpt")
-    ledger.mark("started", 1)
-    assert ledger.state(1) == "started"
+    assert not ledger.is_done(1)
     fan(batch, 1)
     assert wh.read("raw_network_events").count() == 5
     assert wh.read("rejects").count() == 1 and wh.read("bronze").count() == 6
-    assert ledger.state(1) == "done"
+    assert ledger.is_done(1) and not ledger.is_done(0)  # older markers are purged
+    # an event delivered twice in one batch is stored once
+    twice = parsed_stream(kafka_rows(spark, [payload(event_id="e-t"), payload(event_id="e-t")]), provenance=True)
+    fan(twice, 10)
+    assert wh.read("raw_network_events").count() == 6 and wh.read("bronze").count() == 6
+    spark_rows = wh.read("raw_network_events").where("event_id = 'e-t'").count()
+    assert spark_rows == 1
     # a genuinely new batch appends
-    fan(parsed_stream(kafka_rows(spark, [payload(event_id="e-new")]), provenance=True), 2)
-    assert wh.read("raw_network_events").count() == 6
+    fan(parsed_stream(kafka_rows(spark, [payload(event_id="e-new")]), provenance=True), 12)
+    assert wh.read("raw_network_events").count() == 7
 
 
 def test_empty_batch_writes_nothing(spark, scratch):
@@ -45,7 +52,7 @@ def test_empty_batch_writes_nothing(spark, scratch):
     fan = FanOut(wh, f"{scratch}/ckpt", enrich, _ingestion_sinks(include_bronze=True))
     fan(_batch(spark).limit(0), 0)
     assert not wh.exists("raw_network_events")
-    assert BatchLedger(spark, f"{scratch}/ckpt").state(0) == "done"
+    assert BatchLedger(spark, f"{scratch}/ckpt").is_done(0)
 
 
 def test_alert_stream_matches_batch_and_supervisor_returns(spark, scratch):
@@ -97,19 +104,99 @@ def test_supervise_raises_named_failure(spark, scratch):
         supervise(spark, [q], poll_s=0.2)
 
 
-def test_in_stream_dedupe_keeps_rejects_distinct(spark, scratch):
+def test_late_events_and_rejects_are_all_kept(spark, scratch):
     from telewatch.streaming.jobs import start_ingestion
 
-    values = [payload(event_id="dup"), payload(event_id="dup"), payload(event_id="other"), "{bad", "{bad2", None]
-    kafka_rows(spark, values).write.parquet(f"{scratch}/frame")
+    late = payload(event_id="late", timestamp="2024-02-29T12:30:00.000Z")
+    ahead = payload(event_id="ahead", timestamp="2034-03-01T12:00:00.000Z")
+    frames = [[payload(event_id="dup"), ahead], [payload(event_id="dup"), late, "{bad", None]]
+    offset = 0
+    for k, values in enumerate(frames):
+        rows = kafka_rows(spark, values).withColumn("offset", F.col("offset") + offset)
+        offset += len(values)
+        rows.coalesce(1).write.parquet(f"{scratch}/frame/f{k}")
     wh = Warehouse(spark, f"{scratch}/wh")
-    q = start_ingestion(kafka_files_stream(spark, f"{scratch}/frame"), wh, f"{scratch}/ckpt",
-                        trigger={"availableNow": True}, dedupe_watermark="1 hour", name="dedupe_test")
+    q = start_ingestion(kafka_files_stream(spark, f"{scratch}/frame/*", max_files_per_trigger=1), wh, f"{scratch}/ckpt",
+                        trigger={"availableNow": True}, name="late_test")
     run_available(q)
-    assert sorted(r["event_id"] for r in wh.read("raw_network_events").collect()) == ["dup", "other"]
+    assert sorted(r["event_id"] for r in wh.read("raw_network_events").collect()) == ["ahead", "dup", "late"]
+    assert wh.read("rejects").count() == 2 and wh.read("bronze").count() == 6
+
+
+def test_quarantine_holds_rows_the_table_cannot(spark, scratch):
+    wh = Warehouse(spark, scratch)
+    fan = FanOut(wh, f"{scratch}/ckpt", enrich, _ingestion_sinks(include_bronze=False))
+    values = [payload(event_id="ok"), payload(event_id="x" * 37), payload(event_id="r", region=None), payload(event_id="w", device_id="d" * 21)]
+    fan(parsed_stream(kafka_rows(spark, values), provenance=True), 0)
+    assert [r["event_id"] for r in wh.read("raw_network_events").collect()] == ["ok"]
     assert wh.read("rejects").count() == 3
 
 
+def test_alerts_of_events_without_a_time_stay_in_silver(spark, scratch):
+    frame = kafka_rows(spark, [payload(event_id="a", cpu_usage=99.0), payload(event_id="b", cpu_usage=99.0, timestamp="soon")])
+    frame.write.parquet(f"{scratch}/frame")
+    wh = Warehouse(spark, f"{scratch}/wh")
+    run_available(start_alerting(kafka_files_stream(spark, f"{scratch}/frame"), wh, f"{scratch}/ckpt",
+                                 trigger={"availableNow": True}, name="timeless_test"))
+    assert sorted(r["event_id"] for r in wh.read("silver_alerts").collect()) == ["a", "b"]
+    assert [r["event_id"] for r in wh.read("alerts").collect()] == ["a"]
+
+
+def test_timeout_is_a_failure(spark, scratch):
+    frame = kafka_rows(spark, [payload()])
+    frame.write.parquet(f"{scratch}/frame")
+    q = parsed_stream(kafka_files_stream(spark, f"{scratch}/frame")).writeStream.format("noop").option(
+        "checkpointLocation", f"{scratch}/ckpt").trigger(processingTime="1 second").start()
+    try:
+        with pytest.raises(TimeoutError):
+            run_available(q, timeout_s=1)
+    finally:
+        q.stop()
+
+
+def test_external_sink_passes_a_primary_key(spark, scratch):
+    """A target that rejects keys it holds: a replay after a partial write, and
+    an event delivered again later, must both go through."""
+    from telewatch.streaming.sinks import ExternalSink
+
+    stored = {}
+
+    def write(df, batch_id):
+        for r in df.collect():
+            if r["event_id"] in stored:
+                raise ValueError(f"duplicate key {r['event_id']}")
+            stored[r["event_id"]] = batch_id
+            if fail_after and len(stored) == fail_after[0]:
+                fail_after.clear()
+                raise ValueError("connection lost")
+
+    def read_keys(session, low, high):
+        return session.createDataFrame([(k,) for k in stored], "event_id STRING")
+
+    sink = ExternalSink(lambda df: df.where("event_id IS NOT NULL"), write, ("event_id",), "event_timestamp", read_keys)
+    fan = FanOut(Warehouse(spark, scratch), f"{scratch}/ckpt", enrich, _ingestion_sinks(False), [sink])
+    batch, fail_after = _batch(spark), [3]
+    with pytest.raises(ValueError, match="connection lost"):
+        fan(batch, 0)
+    fan(batch, 0)
+    fan(batch, 1)
+    assert sorted(stored) == [f"e-{i}" for i in range(5)]
+    assert Warehouse(spark, scratch).read("raw_network_events").count() == 5
+
+
+def test_status_table(spark, scratch):
+    from telewatch.streaming.supervise import write_status
+
+    kafka_rows(spark, [payload()]).write.parquet(f"{scratch}/frame")
+    listener = attach_listener(spark)
+    q = start_alerting(kafka_files_stream(spark, f"{scratch}/frame"), Warehouse(spark, f"{scratch}/wh"), f"{scratch}/ckpt",
+                       trigger={"availableNow": True}, name="status_test")
+    supervise(spark, [q], poll_s=0.2, on_poll=lambda: write_status(spark, listener, scratch))
+    write_status(spark, listener, scratch, settle_s=5.0)
+    row = spark.read.parquet(f"{scratch}/stream_status").where("query_name = 'status_test'").first()
+    assert row["state"] == "stopped" and row["exception"] is None
+
+
 def test_external_sinks_run_once_per_batch_with_fact_projection(spark, scratch):
     from telewatch.schemas import PROCESSED_EVENT_COLUMNS, RAW_EVENT_COLUMNS
     from telewatch.streaming import jobs
@@ -136,7 +223,8 @@ def test_restart_after_lost_commit_writes_nothing_twice(spark, scratch):
 
     values = [payload(event_id=f"e-{i}") for i in range(6)]
     for i in range(3):  # three files -> three micro-batches
-        kafka_rows(spark, values[2 * i: 2 * i + 2]).coalesce(1).write.parquet(f"{scratch}/frame/f{i}")
+        rows = kafka_rows(spark, values[2 * i: 2 * i + 2]).withColumn("offset", F.col("offset") + 2 * i)
+        rows.coalesce(1).write.parquet(f"{scratch}/frame/f{i}")
     src_glob = f"{scratch}/frame/*"
     wh = Warehouse(spark, f"{scratch}/wh")
     ckpt = f"{scratch}/ckpt"
@@ -178,28 +266,17 @@ def test_kafka_source_needs_only_the_connector(spark):
         kafka_stream(spark, "localhost:1", starting_offsets="latest")
 
 
-def test_alert_fanout_partial_replay_does_not_double_count(spark, scratch):
-    import shutil
-
-    from telewatch.functions.parse import is_rejected
+def test_alerts_of_two_streams_are_counted_once(spark, scratch):
     from telewatch.operators.alerts import detect_alerts
-    from telewatch.operators.dashboard import alert_count_partials
     from telewatch.streaming.sinks import TableSink
 
     wh = Warehouse(spark, scratch)
-    sinks = [
-        TableSink("alerts", lambda df: df),
-        TableSink("alert_counts", alert_count_partials, tag_batch=True),
-    ]
-    fan = FanOut(wh, f"{scratch}/ckpt", lambda b: detect_alerts(enrich(b.filter(~is_rejected()))), sinks)
     batch = _batch(spark)  # five CPU_HIGH events
-    fan(batch, 7)
-    # crash after the writes, before "done": drop the marker, replay
-    shutil.rmtree(f"{scratch}/ckpt/_ledger/done/7")
-    assert BatchLedger(spark, f"{scratch}/ckpt").state(7) == "started"
-    fan(batch, 7)
+    for ckpt in ("one", "two"):
+        FanOut(wh, f"{scratch}/{ckpt}", detect_alerts, [TableSink("alerts", lambda df: df)])(batch, 0)
+        wh.roll_up("alert_counts")
     assert wh.read("alerts").count() == 5
-    assert wh.read("alert_counts").groupBy().sum("alerts").first()[0] == 5
+    assert wh.counts("alert_counts").groupBy().sum("alerts").first()[0] == 5
 
 
 def test_fixture_frame_has_kafka_shape(spark):
