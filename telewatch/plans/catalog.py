@@ -9,30 +9,39 @@ comparison with the SQL oracle does not depend on summation order.
 
 from __future__ import annotations
 
+import dataclasses
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from telewatch.functions.bands import last_not_null
 from telewatch.functions.enrich import enrich
-from telewatch.functions.parse import parse_kafka, split_rejects
-from telewatch.functions.rules import DEFAULT_RULES, anomalous_reading
-from telewatch.functions.timecols import latest
+from telewatch.functions.parse import is_rejected, parse_kafka, split_rejects
+from telewatch.functions.rules import CPU_HIGH, DEFAULT_RULES, anomalous_reading
+from telewatch.functions.timecols import Latest
 from telewatch.operators import dashboard as dash
 from telewatch.operators import quality, report, rollup
 from telewatch.operators.alerts import alert_count, detect_alerts
 from telewatch.operators.merge import unique_append, upsert_summary, with_defaults
+from telewatch.plans import dashboard
+from telewatch.plans.daily import append_alerts, run_range
 from telewatch.schemas import (
+    ALERT_COLUMNS,
     PRIMARY_KEYS,
     PROCESSED_EVENT_COLUMNS,
     RAW_EVENT_COLUMNS,
     REQUIRED_COLUMNS,
     STRING_WIDTHS,
 )
-from telewatch.session import configure
-from telewatch.sources.devices import seed_devices
+from telewatch.session import configure, scratch_path
+from telewatch.sources.devices import read_devices, seed_devices, update_devices
 from telewatch.sources.fixtures import kafka_frame_from_events, read_events, telemetry_from_events
+from telewatch.sources.tables import Warehouse
+from telewatch.streaming.jobs import run_available, start_alerting, start_ingestion, stream_checkpoint
+from telewatch.streaming.sources import kafka_files_stream
 
 ROUND_PLACES = 6
 
@@ -55,8 +64,11 @@ class Fixture:
         self.events = read_events(spark, sf_dir)
         self.raw = telemetry_from_events(self.events)
         self.enriched = enrich(self.raw)
+        # the same with the number that the faulty rows are chosen by
+        self.marked = telemetry_from_events(self.events, extra={"fixture_k": F.col("_k")})
         self.alerts = detect_alerts(self.enriched)
-        self.as_of: Column = latest(self.raw, "event_timestamp")
+        self.now = Latest(self.raw, "event_timestamp")
+        self.as_of: Column = self.now.column()
 
     def processed(self) -> DataFrame:
         return self.enriched.select(*PROCESSED_EVENT_COLUMNS)
@@ -170,27 +182,27 @@ def g3(fx: Fixture) -> DataFrame:
 
 @register("g4_active_devices_5m")
 def g4(fx: Fixture) -> DataFrame:
-    return dash.active_devices(fx.raw, fx.as_of)
+    return dash.active_devices(fx.raw, fx.now)
 
 
 @register("g5_device_failures_1h")
 def g5(fx: Fixture) -> DataFrame:
-    return dash.device_failures(fx.raw, fx.as_of)
+    return dash.device_failures(fx.raw, fx.now)
 
 
 @register("g6_alerts_24h")
 def g6(fx: Fixture) -> DataFrame:
-    return dash.recent_alerts(fx.alerts, fx.as_of)
+    return dash.recent_alerts(fx.alerts, fx.now)
 
 
 @register("g7_avg_cpu_5m")
 def g7(fx: Fixture) -> DataFrame:
-    return round_doubles(dash.recent_average(fx.raw, "cpu_usage", fx.as_of))
+    return round_doubles(dash.recent_average(fx.raw, "cpu_usage", fx.now))
 
 
 @register("g8_avg_memory_5m")
 def g8(fx: Fixture) -> DataFrame:
-    return round_doubles(dash.recent_average(fx.raw, "memory_usage", fx.as_of))
+    return round_doubles(dash.recent_average(fx.raw, "memory_usage", fx.now))
 
 
 @register("g9_cpu_memory_trend")
@@ -205,7 +217,7 @@ def g10(fx: Fixture) -> DataFrame:
 
 @register("o2_high_latency_recent")
 def o2(fx: Fixture) -> DataFrame:
-    return dash.high_latency_recent(fx.raw, fx.as_of)
+    return dash.high_latency_recent(fx.raw, fx.now)
 
 
 @register("g12_alerts_by_region")
@@ -225,7 +237,7 @@ def w1(fx: Fixture) -> DataFrame:
 
 @register("q7_kpi_panel")
 def q7(fx: Fixture) -> DataFrame:
-    return round_doubles(dash.kpi_panel(fx.raw, fx.alerts, fx.as_of))
+    return round_doubles(dash.kpi_panel(fx.raw, fx.alerts, fx.now))
 
 
 @register("f10_anomalies_per_hour")
@@ -345,7 +357,7 @@ def j3(fx: Fixture) -> DataFrame:
 
 @register("g15_freshness")
 def g15(fx: Fixture) -> DataFrame:
-    return quality.freshness(fx.raw, fx.as_of)
+    return quality.freshness(fx.raw, fx.now)
 
 
 @register("k9_unique_append")
@@ -359,6 +371,67 @@ def k9(fx: Fixture) -> DataFrame:
     return unique_append(batch, target, ["event_id"])
 
 
+@register("g15_freshness_stale")
+def g15_stale(fx: Fixture) -> DataFrame:
+    """Two hours after the last arrival."""
+    return quality.freshness(fx.raw, fx.as_of + F.expr("INTERVAL 2 HOURS"))
+
+
+@register("a6_two_cpu_rules")
+def a6(fx: Fixture) -> DataFrame:
+    """Two rules of one alert type raise alerts of different ids."""
+    return detect_alerts(fx.enriched, rules=[CPU_HIGH, dataclasses.replace(CPU_HIGH, above=95.0, rule_id="CPU_HIGH_95")])
+
+
+# --- faulty rows: the checks on tables that break every constraint ---------
+
+
+def _faulty_raw(fx: Fixture) -> DataFrame:
+    """The raw table with faults by ``k``: 10 — the row twice; 11 — no region;
+    12 — a device id of 23 characters; 13 — a device that does not exist."""
+    k = F.col("fixture_k")
+    rows = fx.marked.withColumn("region", F.when(k.eqNullSafe(11), None).otherwise(F.col("region"))).withColumn(
+        "device_id",
+        F.when(k == 12, F.concat(F.rpad("device_id", 12, "-"), F.lit("-overlong-id")))
+        .when(k == 13, F.lit("GHOST-1"))
+        .otherwise(F.col("device_id")),
+    )
+    return rows.unionByName(rows.where(k == 10))
+
+
+@register("q2_faulty_keys")
+def q2_faulty(fx: Fixture) -> DataFrame:
+    return quality.key_report("raw_network_events", _faulty_raw(fx), PRIMARY_KEYS["raw_network_events"])
+
+
+@register("q3_faulty_nulls")
+def q3_faulty(fx: Fixture) -> DataFrame:
+    return quality.null_report("raw_network_events", _faulty_raw(fx), REQUIRED_COLUMNS["raw_network_events"])
+
+
+@register("q4_faulty_widths")
+def q4_faulty(fx: Fixture) -> DataFrame:
+    return quality.width_report("raw_network_events", _faulty_raw(fx), STRING_WIDTHS["raw_network_events"])
+
+
+@register("q6_faulty_rejects")
+def q6_faulty(fx: Fixture) -> DataFrame:
+    """Faulty rows that the quarantine must hold back."""
+    return _faulty_raw(fx).where(is_rejected()).groupBy("fixture_k").agg(F.count(F.lit(1)).alias("rejected"))
+
+
+@register("j2_faulty_devices")
+def j2_faulty(fx: Fixture) -> DataFrame:
+    return quality.fk_report("raw_network_events", _faulty_raw(fx), seed_devices(fx.spark), known_small=True)
+
+
+@register("j3_faulty_reconcile")
+def j3_faulty(fx: Fixture) -> DataFrame:
+    """Processed lacks the events of ``k`` = 14, raw those of 15."""
+    k = F.col("fixture_k")
+    return quality.reconcile(enrich(fx.marked).where(~k.eqNullSafe(14)), fx.marked.where(~k.eqNullSafe(15)))
+
+
 # --- phase 5: streaming (stream = batch) -----------------------------------
 
 
@@ -366,32 +439,50 @@ def _kafka_files(fx: Fixture) -> str:
     """The Kafka-shaped frame of ``events`` written as Parquet files under the
     shared checkpoint folder, range-split by offset so the stream sees
     several micro-batches."""
-    from telewatch.session import scratch_path
-
     path = scratch_path(fx.spark, "kafka-frame")
     n = 2 * fx.spark.sparkContext.defaultParallelism
     kafka_frame_from_events(fx.events).repartitionByRange(n, "offset").write.parquet(path)
     return path
 
 
-def _run_stream(fx: Fixture, which: str):
-    from telewatch.session import scratch_path
-    from telewatch.sources.tables import Warehouse
-    from telewatch.streaming.jobs import run_available, start_alerting, start_ingestion, stream_checkpoint
-    from telewatch.streaming.sources import kafka_files_stream
+def _instants(df: DataFrame) -> DataFrame:
+    """Stored tables hold instants; the fixture's times have no zone (UTC)."""
+    times = [f.name for f in df.schema.fields if f.dataType.simpleString() == "timestamp_ntz"]
+    return df.withColumns({c: F.col(c).cast("timestamp") for c in times})
+
+
+def _plain_times(df: DataFrame) -> DataFrame:
+    times = [f.name for f in df.schema.fields if f.dataType.simpleString() == "timestamp"]
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in times})
 
+
+def _warehouse(fx: Fixture) -> Warehouse:
+    return Warehouse(fx.spark, scratch_path(fx.spark, "warehouse"))
+
+
+def _run_stream(fx: Fixture, which: str, wh: Warehouse | None = None, files: str | None = None,
+                checkpoint: str = "") -> Warehouse:
     # one file per core per trigger: two micro-batches, each using every core
     source = kafka_files_stream(
-        fx.spark, _kafka_files(fx), max_files_per_trigger=fx.spark.sparkContext.defaultParallelism
+        fx.spark, files or _kafka_files(fx), max_files_per_trigger=fx.spark.sparkContext.defaultParallelism
     )
-    wh = Warehouse(fx.spark, scratch_path(fx.spark, "warehouse"))
+    wh = wh or _warehouse(fx)
     start = start_ingestion if which == "ingestion" else start_alerting
-    q = start(source, wh, stream_checkpoint(wh.root, which), trigger={"availableNow": True},
-              name=f"{which}_{id(wh)}")
+    q = start(source, wh, stream_checkpoint(wh.root, which + checkpoint), trigger={"availableNow": True},
+              name=f"{which}{checkpoint}_{id(wh)}")
     run_available(q)
     return wh
 
 
+def _stored(fx: Fixture) -> tuple[Warehouse, dt.datetime]:
+    """A warehouse holding the fixture's events and alerts, and its "now"."""
+    wh = _warehouse(fx)
+    now = fx.raw.agg(F.max(F.col("event_timestamp").cast("timestamp")).cast("string")).first()[0]
+    wh.append_unique("raw_network_events", _instants(fx.raw.select(*RAW_EVENT_COLUMNS, "ingested_at")))
+    append_alerts(wh, _instants(fx.alerts))
+    return wh, dt.datetime.fromisoformat(now)
+
+
 @register("t4_stream_raw_events")
 def t4_raw(fx: Fixture) -> DataFrame:
     wh = _run_stream(fx, "ingestion")
@@ -403,3 +494,105 @@ def t4_raw(fx: Fixture) -> DataFrame:
 def t5(fx: Fixture) -> DataFrame:
     wh = _run_stream(fx, "alerting")
     return dash.alerts_by(wh.read("alerts"), "severity")
+
+
+@register("k9_tables_after_redelivery")
+def k9_tables(fx: Fixture) -> DataFrame:
+    """Both streams run, then run again over the same messages from checkpoints
+    of their own: every table must hold each key once."""
+    wh, files = _warehouse(fx), _kafka_files(fx)
+    for checkpoint in ("", "_again"):
+        for which in ("ingestion", "alerting"):
+            _run_stream(fx, which, wh, files, checkpoint)
+    names = ("bronze", "raw_network_events", "processed_network_events", "rejects", "silver_alerts", "alerts")
+    return _union([quality.key_report(t, wh.read(t), wh.spec(t).key) for t in names])
+
+
+@register("k7_stream_processed_events")
+def k7(fx: Fixture) -> DataFrame:
+    rows = _run_stream(fx, "ingestion").read("processed_network_events").select(*PROCESSED_EVENT_COLUMNS)
+    return round_doubles(_plain_times(rows))
+
+
+@register("k3_stream_silver_alerts")
+def k3(fx: Fixture) -> DataFrame:
+    return _plain_times(_run_stream(fx, "alerting").read("silver_alerts").select(*ALERT_COLUMNS))
+
+
+@register("g11_rollup_panels")
+def g11_rollup(fx: Fixture) -> DataFrame:
+    """All-time panels while the roll-up covers some days only: older days
+    predate it, and one covered day has got late alerts since."""
+    wh = _warehouse(fx)
+    alerts = _instants(fx.alerts)
+    late = F.crc32(F.col("event_id").cast("binary")) % 7 == 0
+    append_alerts(wh, alerts.where(~late))
+    days = wh.days("alerts")
+    wh.roll_up("alert_counts", days[len(days) // 2])
+    append_alerts(wh, alerts.where(late & (F.to_date("alert_timestamp") == F.lit(days[max(len(days) - 2, 0)]).cast("date"))))
+    append_alerts(wh, alerts)
+    wh.roll_up("alert_counts", days[-1])
+    append_alerts(wh, alerts)  # delivered again: nothing new
+    counts = wh.counts("alert_counts")
+    panels_ = [
+        dash.alerts_by_rollup(counts, key).select(F.lit(key).alias("panel"), F.col(key).alias("value"), "count")
+        for key in ("severity", "region", "device_id")
+    ]
+    return _union(panels_)
+
+
+@register("q7_kpi_row_stored")
+def q7_stored(fx: Fixture) -> DataFrame:
+    wh, now = _stored(fx)
+    return round_doubles(dashboard.kpi_row(fx.spark, dashboard.panels(fx.spark, wh.root, now)))
+
+
+@register("g9_trend_last_hour")
+def g9_hour(fx: Fixture) -> DataFrame:
+    """the panel's default range, from the stored table."""
+    wh, now = _stored(fx)
+    return round_doubles(_plain_times(dashboard.panels(fx.spark, wh.root, now)["cpu_memory_trend"]))
+
+
+@register("o2_high_latency_bands")
+def o2_bands(fx: Fixture) -> DataFrame:
+    """Q7 on the high-latency panel, from the stored table."""
+    wh, now = _stored(fx)
+    return _plain_times(dashboard.panels(fx.spark, wh.root, now)["high_latency_1h"])
+
+
+@register("s5_stored_summary")
+def s5(fx: Fixture) -> DataFrame:
+    """The stored summary after a backfill that ran twice."""
+    wh, _ = _stored(fx)
+    first, last = (wh.days("raw_network_events")[k] for k in (0, -1))
+    for _ in range(2):
+        run_range(fx.spark, wh.root, first, last)
+    return round_doubles(wh.read("daily_monitoring_summary").drop("computed_at"))
+
+
+@register("s6_stored_devices")
+def s6(fx: Fixture) -> DataFrame:
+    """The device dimension, first and last seen, when some devices are new."""
+    wh = _warehouse(fx)
+    rows = _instants(_faulty_raw(fx).select(*RAW_EVENT_COLUMNS))
+    wh.append_unique("raw_network_events", rows.withColumn("ingested_at", F.col("event_timestamp")))
+    for _ in range(2):
+        update_devices(wh)
+    return _plain_times(read_devices(wh))
+
+
+@register("k15_report_with_empty_day")
+def k15(fx: Fixture) -> DataFrame:
+    """Reports of the last day and of the day after it, which has no data."""
+    day = fx.raw.select(F.to_date(F.max("event_timestamp")).alias("d"))
+    days = day.select(F.explode(F.array("d", F.date_add("d", 1))).alias("summary_date"))
+    summary = fx.summary()
+    return report.report_lines(summary.join(days, "summary_date", "left_semi"), days)
+
+
+@register("q8_last_not_null")
+def q8(fx: Fixture) -> DataFrame:
+    """The latest non-null CPU value of each device."""
+    order = F.struct("event_timestamp", "event_id")
+    return fx.raw.groupBy("device_id").agg(last_not_null(F.col("cpu_usage"), order).alias("value"))

@@ -1,6 +1,6 @@
 """DuckDB oracle SQL for the registered queries.
 
-Written independently of the Spark code: the alert engine is a UNION ALL of
+Written independently of the Spark code (nothing of the package is imported): the alert engine is a UNION ALL of
 one SELECT per rule (not an array + explode), the device lookup is a join to
 a VALUES table (not an array index), the roll-up uses correlated-free
 conditional aggregates.  Double literals are written ``100e0`` (``100.0`` is
@@ -9,11 +9,64 @@ DECIMAL in SQL).  Averages are rounded to 6 places, as in the Spark queries.
 
 from __future__ import annotations
 
-from telewatch.functions.rules import DEFAULT_RULES
-from telewatch.sources.devices import SEED_DEVICES
+# The expected values are written out here, not taken from the package: a wrong
+# threshold, text, device or width there shows as a difference.
+RULES = [
+    ("CPU_HIGH", "HIGH", "cpu_usage > 90e0", "CPU usage on %s reached %.2f%%, exceeding the 90%% threshold.", "cpu_usage"),
+    ("MEMORY_HIGH", "HIGH", "memory_usage > 90e0", "Memory usage on %s reached %.2f%%, exceeding the 90%% threshold.", "memory_usage"),
+    ("PACKET_LOSS_HIGH", "HIGH", "packet_loss > 5e0", "Packet loss on %s reached %.2f%%, exceeding the 5%% threshold.", "packet_loss"),
+    ("LATENCY_HIGH", "MEDIUM", "latency_ms > 200e0", "Latency on %s reached %.2f ms, exceeding the 200 ms threshold.", "latency_ms"),
+    ("BANDWIDTH_SATURATION", "MEDIUM", "bandwidth_utilization_pct > 95e0",
+     "Bandwidth utilization on %s reached %.2f%%, exceeding the 95%% threshold.", "bandwidth_utilization_pct"),
+    ("DEVICE_DOWN", "CRITICAL", "status = 'DOWN'", "Device %s is reporting DOWN status.", None),
+]
+
+DEVICES = [
+    ("RTR-ASW-001", "router", "Aswan"),
+    ("RTR-ASW-002", "router", "Aswan"),
+    ("RTR-MNS-003", "router", "Mansoura"),
+    ("RTR-SHR-004", "router", "Sharqia"),
+    ("RTR-ALX-005", "router", "Alexandria"),
+    ("RTR-ALX-006", "router", "Alexandria"),
+    ("RTR-SHR-007", "router", "Sharqia"),
+    ("RTR-GIZ-008", "router", "Giza"),
+    ("SWT-GIZ-001", "switch", "Giza"),
+    ("SWT-ALX-002", "switch", "Alexandria"),
+    ("SWT-GIZ-003", "switch", "Giza"),
+    ("SWT-ASW-004", "switch", "Aswan"),
+    ("SWT-CAI-005", "switch", "Cairo"),
+    ("SWT-ASW-006", "switch", "Aswan"),
+    ("SWT-ALX-007", "switch", "Alexandria"),
+    ("SWT-MNS-008", "switch", "Mansoura"),
+    ("FWL-CAI-001", "firewall", "Cairo"),
+    ("FWL-SHR-002", "firewall", "Sharqia"),
+    ("FWL-CAI-003", "firewall", "Cairo"),
+    ("FWL-ALX-004", "firewall", "Alexandria"),
+    ("BST-ALX-001", "base_station", "Alexandria"),
+    ("BST-ASW-002", "base_station", "Aswan"),
+    ("BST-MNS-003", "base_station", "Mansoura"),
+    ("BST-ALX-004", "base_station", "Alexandria"),
+    ("BST-CAI-005", "base_station", "Cairo"),
+    ("BST-GIZ-006", "base_station", "Giza"),
+]
+
+REQUIRED = {
+    "raw_network_events": "event_id event_timestamp device_id device_type region ingested_at",
+    "processed_network_events": "event_id event_timestamp device_id device_type region health_status processed_at",
+    "alerts": "alert_id alert_timestamp device_id device_type region alert_type severity description created_at",
+    "daily_monitoring_summary": "summary_date device_id device_type region total_events total_alerts critical_alerts "
+    "high_alerts medium_alerts computed_at",
+}
+
+WIDTHS = {
+    "raw_network_events": {"event_id": 36, "device_id": 20, "device_type": 20, "region": 30, "status": 10},
+    "processed_network_events": {"event_id": 36, "device_id": 20, "device_type": 20, "region": 30, "health_status": 10},
+    "alerts": {"alert_id": 36, "device_id": 20, "device_type": 20, "region": 30, "alert_type": 30, "severity": 10},
+    "daily_monitoring_summary": {"device_id": 20, "device_type": 20, "region": 30},
+}
 
 _DEVICE_ROWS = ",\n        ".join(
-    f"({i}, '{d}', '{t}', '{r}')" for i, (d, t, r) in enumerate(SEED_DEVICES)
+    f"({i}, '{d}', '{t}', '{r}')" for i, (d, t, r) in enumerate(DEVICES)
 )
 
 BASE = f"""
@@ -62,20 +115,16 @@ as_of_t AS (SELECT max(event_timestamp) AS t FROM tel),
 """
 
 
-def _rule_select(rule) -> str:
-    if rule.above is not None:
-        cond = f"{rule.column} > CAST({float(rule.above)!r} AS DOUBLE)"
-        desc = f"printf('{rule.template}', device_id, {rule.column})"
-    else:
-        cond = f"{rule.column} = '{rule.equals}'"
-        desc = f"printf('{rule.template}', device_id)"
-    return f"""SELECT md5(concat_ws('|', event_id, '{rule.alert_type}')) AS alert_id, event_id,
+def _rule_select(rule, rule_id: str = "") -> str:
+    alert_type, severity, condition, template, value = rule
+    arguments = f"device_id, {value}" if value else "device_id"
+    return f"""SELECT md5(concat_ws('|', event_id, '{rule_id or alert_type}')) AS alert_id, event_id,
            event_timestamp AS alert_timestamp, device_id, device_type, region,
-           '{rule.alert_type}' AS alert_type, '{rule.severity}' AS severity, {desc} AS description
-    FROM enr WHERE {cond}"""
+           '{alert_type}' AS alert_type, '{severity}' AS severity, printf('{template}', {arguments}) AS description
+    FROM enr WHERE {condition}"""
 
 
-def _alerts_cte(rules=DEFAULT_RULES, name: str = "alerts_t") -> str:
+def _alerts_cte(rules=RULES, name: str = "alerts_t") -> str:
     body = "\n    UNION ALL\n    ".join(_rule_select(r) for r in rules)
     return f"{name} AS (\n    {body}\n)"
 
@@ -119,8 +168,8 @@ def _q(body: str, with_summary: bool = False) -> str:
 
 
 _RULE_SQL = {
-    f"r{i}_{r.alert_type.lower()}": BASE + _alerts_cte([r]) + "\nSELECT * FROM alerts_t"
-    for i, r in enumerate(DEFAULT_RULES, start=1)
+    f"r{i}_{r[0].lower()}": BASE + _alerts_cte([r]) + "\nSELECT * FROM alerts_t"
+    for i, r in enumerate(RULES, start=1)
 }
 
 def _per_column(table: str, source: str, tests: dict[str, str], value: str) -> str:
@@ -160,20 +209,16 @@ FROM (SELECT {keys[t]}, count(*) AS n FROM {src} GROUP BY {keys[t]})"""
 
 
 def _q3() -> str:
-    from telewatch.schemas import REQUIRED_COLUMNS
-
     parts = [
-        _per_column(t, src, {c: f"{c} IS NULL" for c in REQUIRED_COLUMNS[t]}, "null_rows")
+        _per_column(t, src, {c: f"{c} IS NULL" for c in REQUIRED[t].split()}, "null_rows")
         for t, src in _quality_tables().items()
     ]
     return _q("\nUNION ALL\n".join(parts), with_summary=True)
 
 
 def _q4() -> str:
-    from telewatch.schemas import STRING_WIDTHS
-
     parts = [
-        _per_column(t, src, {c: f"length({c}) > {n}" for c, n in STRING_WIDTHS[t].items()}, "too_long_rows")
+        _per_column(t, src, {c: f"length({c}) > {n}" for c, n in WIDTHS[t].items()}, "too_long_rows")
         for t, src in _quality_tables().items()
     ]
     return _q("\nUNION ALL\n".join(parts), with_summary=True)
@@ -217,6 +262,124 @@ UNION ALL SELECT summary_date, line_no, line FROM rws
     )
 
 
+FAULTY = """, marked AS (
+    SELECT * REPLACE (
+        CASE WHEN fixture_k = 11 THEN NULL ELSE region END AS region,
+        CASE WHEN fixture_k = 12 THEN rpad(device_id, 12, '-') || '-overlong-id'
+             WHEN fixture_k = 13 THEN 'GHOST-1' ELSE device_id END AS device_id)
+    FROM tel),
+faulty AS (SELECT * FROM marked UNION ALL SELECT * FROM marked WHERE fixture_k = 10)
+"""
+
+
+def _key_row(table: str, source: str, key: str) -> str:
+    return f"""SELECT '{table}' AS table_name, CAST(coalesce(sum(n), 0) AS BIGINT) AS total_rows,
+       count(*) AS distinct_keys, count(*) FILTER (WHERE n > 1) AS duplicate_keys,
+       CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS surplus_rows
+FROM (SELECT {key}, count(*) AS n FROM {source} GROUP BY {key})"""
+
+
+def _stored_queries() -> dict[str, str]:
+    good = "(SELECT * FROM tel WHERE fixture_k IS DISTINCT FROM 97)"
+    alerts = "(SELECT a.* FROM alerts_t a JOIN tel t USING (event_id) WHERE t.fixture_k IS DISTINCT FROM 97)"
+    tables = [
+        ("bronze", "tel", "event_id"),
+        ("raw_network_events", good, "event_id"),
+        ("processed_network_events", good, "event_id"),
+        ("rejects", "(SELECT * FROM tel WHERE fixture_k = 97)", "event_id"),
+        ("silver_alerts", alerts, "alert_id"),
+        ("alerts", alerts, "alert_id"),
+    ]
+    raw = "raw_network_events"
+    return {
+        "k9_tables_after_redelivery": _q("\nUNION ALL\n".join(_key_row(*t) for t in tables)),
+        "k7_stream_processed_events": _q(
+            """SELECT event_id, date_trunc('millisecond', event_timestamp) AS event_timestamp, device_id, device_type,
+       region, round(bandwidth_utilization_pct, 6) AS bandwidth_utilization_pct, health_status
+FROM enr WHERE fixture_k IS DISTINCT FROM 97"""
+        ),
+        "k3_stream_silver_alerts": _q(
+            f"SELECT * REPLACE (date_trunc('millisecond', alert_timestamp) AS alert_timestamp) FROM {alerts}"
+        ),
+        "g11_rollup_panels": _q(
+            "\nUNION ALL\n".join(
+                f"(SELECT '{key}' AS panel, {key} AS value, count(*) AS count FROM alerts_t GROUP BY {key})"
+                for key in ("severity", "region", "device_id")
+            )
+        ),
+        "g9_trend_last_hour": _q(
+            """SELECT date_trunc('minute', event_timestamp) AS time, round(avg(cpu_usage), 6) AS cpu_usage,
+       round(avg(memory_usage), 6) AS memory_usage FROM tel, as_of_t
+WHERE event_timestamp BETWEEN t - INTERVAL 1 HOUR AND t GROUP BY 1"""
+        ),
+        "o2_high_latency_bands": _q(
+            """SELECT event_id, device_id, device_type, region, latency_ms, event_timestamp,
+       CASE WHEN latency_ms >= 300 THEN 'red' WHEN latency_ms >= 200 THEN 'orange' ELSE 'green' END AS latency_band
+FROM tel, as_of_t WHERE latency_ms > 200e0 AND event_timestamp > t - INTERVAL 1 HOUR
+ORDER BY event_timestamp DESC, event_id LIMIT 50"""
+        ),
+        "s5_stored_summary": _q("SELECT * EXCLUDE (computed_at) FROM summ", with_summary=True),
+        "s6_stored_devices": _q(
+            FAULTY
+            + """, seen AS (
+    SELECT device_id, arg_min(device_type, r) AS device_type,
+           max(CASE WHEN r = 1 THEN region END) AS region, min(event_timestamp) AS first_seen_at,
+           max(event_timestamp) AS last_seen_at
+    FROM (SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY event_timestamp, event_id) AS r FROM marked)
+    GROUP BY device_id)
+SELECT coalesce(dev.device_id, seen.device_id) AS device_id,
+       CASE WHEN dev.device_id IS NULL THEN seen.device_type ELSE dev.device_type END AS device_type,
+       CASE WHEN dev.device_id IS NULL THEN seen.region ELSE dev.region END AS region,
+       'UP' AS current_status, first_seen_at, last_seen_at
+FROM dev FULL JOIN seen ON dev.device_id = seen.device_id"""
+        ),
+        "k15_report_with_empty_day": _report().replace(
+            "SELECT summary_date, CAST(line_no AS INTEGER) AS line_no, line FROM hdr",
+            """, every AS (SELECT summary_date, CAST(line_no AS INTEGER) AS line_no, line FROM hdr""",
+        )
+        + """),
+day AS (SELECT CAST(t AS DATE) AS d FROM as_of_t)
+SELECT every.* FROM every, day WHERE summary_date = d
+UNION ALL SELECT d + 1, 0, '# Daily Network Monitoring Report — ' || strftime(d + 1, '%Y-%m-%d') FROM day
+UNION ALL SELECT d + 1, 1, '' FROM day
+UNION ALL SELECT d + 1, 2, 'No data recorded for this date.' FROM day""",
+        "q8_last_not_null": _q(
+            """SELECT device_id, max(CASE WHEN r = 1 THEN cpu_usage END) AS value
+FROM (SELECT *, row_number() OVER (PARTITION BY device_id, cpu_usage IS NULL
+        ORDER BY event_timestamp DESC, event_id DESC) AS r FROM tel)
+GROUP BY device_id"""
+        ),
+        "g15_freshness_stale": _q("SELECT CAST(0 AS BIGINT) AS recent_rows, 'STALE' AS status"),
+        "a6_two_cpu_rules": BASE
+        + "alerts_t AS ("
+        + _rule_select(RULES[0])
+        + "\nUNION ALL\n"
+        + _rule_select((*RULES[0][:2], "cpu_usage > 95e0", *RULES[0][3:]), "CPU_HIGH_95")
+        + ")\nSELECT * FROM alerts_t",
+        "q2_faulty_keys": _q(FAULTY + _key_row(raw, "faulty", "event_id")),
+        "q3_faulty_nulls": _q(
+            FAULTY + _per_column(raw, "faulty", {c: f"{c} IS NULL" for c in REQUIRED[raw].split()}, "null_rows")
+        ),
+        "q4_faulty_widths": _q(
+            FAULTY + _per_column(raw, "faulty", {c: f"length({c}) > {n}" for c, n in WIDTHS[raw].items()}, "too_long_rows")
+        ),
+        "q6_faulty_rejects": _q(
+            FAULTY + "SELECT fixture_k, count(*) AS rejected FROM faulty WHERE fixture_k IN (11, 12) GROUP BY 1"
+        ),
+        "j2_faulty_devices": _q(
+            FAULTY
+            + f"""SELECT '{raw}' AS table_name, count(*) AS orphan_devices, CAST(coalesce(sum(n), 0) AS BIGINT) AS orphan_rows
+FROM (SELECT device_id, count(*) AS n FROM faulty GROUP BY device_id) f
+WHERE NOT EXISTS (SELECT 1 FROM dev WHERE dev.device_id = f.device_id)"""
+        ),
+        "j3_faulty_reconcile": _q(
+            """SELECT count(*) FILTER (WHERE fixture_k IS NULL OR fixture_k NOT IN (14, 15)) AS in_both,
+       count(*) FILTER (WHERE fixture_k = 15) AS processed_only,
+       count(*) FILTER (WHERE fixture_k = 14) AS raw_only FROM tel"""
+        ),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     q = {
         "g11_alerts_by_severity": _q(
@@ -401,4 +564,5 @@ FROM tel WHERE fixture_k IS DISTINCT FROM 97"""
 WHERE t.fixture_k IS DISTINCT FROM 97 GROUP BY a.severity ORDER BY count DESC, a.severity"""
         ),
     }
-    return q
+    q["q7_kpi_row_stored"] = q["q7_kpi_panel"]
+    return q | _stored_queries()

@@ -12,13 +12,58 @@ from conftest import SF01
 sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
-from oracle_check import compare  # noqa: E402
+from oracle_check import compare, duck_connection  # noqa: E402
 
-NAMES = sorted(entry.queries())
+from telewatch.plans import catalog, oracle  # noqa: E402
+
+# Queries of the optional subpackages have tests of their own.
+NAMES = sorted(catalog.queries())
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(NAMES)
+    assert set(oracle.oracle_sql()) == set(NAMES)
+    assert set(NAMES) <= set(entry.queries()) and set(NAMES) <= set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+ORDERED = {
+    "o1_last_day_report_rows": lambda r: (-r["total_alerts"], r["device_id"]),
+    "o2_high_latency_recent": lambda r: (-r["event_timestamp"].timestamp(), r["event_id"]),
+    "g11_alerts_by_severity": lambda r: (-r["count"], r["severity"]),
+    "g12_alerts_by_region": lambda r: (-r["count"], r["region"]),
+    "g13_top_devices_by_alerts": lambda r: (-r["count"], r["device_id"]),
+    "g9_cpu_memory_trend": lambda r: r["time"],
+    "g10_packet_loss_trend": lambda r: r["time"],
+}
+
+
+@pytest.mark.parametrize("name", sorted(ORDERED))
+def test_rows_come_in_order(spark, name):
+    """The comparison with the oracle does not see the order of rows."""
+    rows = catalog.queries()[name](spark, SF01).collect()
+    assert len(rows) > 1 and rows == sorted(rows, key=ORDERED[name])
+
+
+def test_a_changed_rule_shows(spark, monkeypatch):
+    changed = list(oracle.RULES)
+    changed[0] = ("CPU_HIGH", "HIGH", "cpu_usage > 91e0", *changed[0][3:])
+    monkeypatch.setattr(oracle, "ALERTS", oracle._alerts_cte(changed))
+    sql = oracle.oracle_sql()["g11_alerts_by_severity"]
+    want = duck_connection(SF01).execute(sql).fetchall()
+    got = [tuple(r) for r in catalog.queries()["g11_alerts_by_severity"](spark, SF01).collect()]
+    assert got != want
+
+
+def test_fault_queries_find_faults(spark):
+    q = catalog.queries()
+    assert q["q2_faulty_keys"](spark, SF01).first()["duplicate_keys"] > 0
+    nulls = {r["column_name"]: r["null_rows"] for r in q["q3_faulty_nulls"](spark, SF01).collect()}
+    assert nulls["region"] > 0 and nulls["event_id"] == 0
+    wide = {r["column_name"]: r["too_long_rows"] for r in q["q4_faulty_widths"](spark, SF01).collect()}
+    assert wide["device_id"] > 0
+    assert q["j2_faulty_devices"](spark, SF01).first()["orphan_devices"] > 1
+    row = q["j3_faulty_reconcile"](spark, SF01).first()
+    assert row["processed_only"] > 0 and row["raw_only"] > 0
 
 
 @pytest.fixture(scope="module")
