@@ -110,7 +110,8 @@ def bucket_weights(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: s
     # The join moves texts, which are smaller than their n-grams; what the counts
     # shuffle is one row per task and bucket.
     target = F.coalesce(F.col("trusted_id").isNotNull(), F.lit(False)).cast("long")
-    rows = rows.join(ids, rows.id == ids.trusted_id, "left").select(target.alias("target"), "t")
+    # Always a shuffle: the number of trusted ids grows with the corpus.
+    rows = rows.join(ids.hint("merge"), rows.id == ids.trusted_id, "left").select(target.alias("target"), "t")
     rows = with_buckets(rows, F.col("t"), "grams", buckets).select("target", "grams")
     grams = rows.select("target", F.explode_outer("grams").alias("g"))
     grams = grams.select("target", F.explode_outer(F.array("g.u", "g.b")).alias("bucket"))
