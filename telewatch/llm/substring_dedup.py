@@ -43,7 +43,7 @@ from telewatch.llm.common import col, fresh, stored, table
 WINDOW = 200
 GRAM = 32
 CROWDED = 16_384
-INDEX_BYTES = 2 << 20  # spans go to one index until they are so many bytes
+INDEX_BYTES = 1 << 20  # spans go to one index until they are so many bytes
 _BLOCK = 1 << 20  # windows of one text that are cut at a time
 _SYMBOL_BITS, _SYMBOLS = 9, 7  # symbols in the first sort key: bytes + 1, 0 past a span's end
 
