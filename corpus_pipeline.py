@@ -47,9 +47,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, the token ids, and the digests of op7_bpe."""
-    path = bpe.default_path()
-    decoded = bpe.bpe_decode(bpe.bpe_encode(docs.select("doc_id", "text"), path).select("doc_id", "ids"), path)
-    return bpe.digests(decoded, "ids", keep_ids=True)
+    encoded = bpe.bpe_encode(docs.select("doc_id", "text"), bpe.default_path(), decoded_col="decoded")
+    return bpe.digests(encoded, keep_ids=True)
 
 
 STAGES = [

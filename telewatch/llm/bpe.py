@@ -30,8 +30,8 @@ from pyspark.sql import types as T
 from telewatch.llm.common import col, fresh, table
 
 TOKENIZER = "byte_bpe_50k.json"
-KEPT_PIECES = 500_000  # pieces whose ids a task keeps
-BATCH_CHARS = 8 << 20  # texts of about so many characters go to the index together
+KEPT_PIECES = 150_000  # pieces whose ids a task keeps
+BATCH_CHARS = 4 << 20  # texts of about so many characters go to the index together
 FEW = 24  # up to so many positions of a pair merge one by one, more as arrays
 
 # Fixed values of the byte-level alphabet: bytes that stand for themselves; the
@@ -53,8 +53,21 @@ def byte_alphabet() -> dict[int, str]:
     return alphabet
 
 
+def token_bytes(data: str) -> list[bytes]:
+    """The bytes of every id of a vocabulary file."""
+    spec = json.loads(data)
+    to_byte = {c: b for b, c in byte_alphabet().items()}
+    ids, special = spec["model"]["vocab"], {t["content"]: t["id"] for t in spec["added_tokens"]}
+    out = [b""] * (max([*ids.values(), *special.values()]) + 1)
+    for token, i in ids.items():
+        out[i] = bytes(to_byte[c] for c in token)
+    for token, i in special.items():
+        out[i] = token.encode()
+    return out
+
+
 class Vocabulary:
-    """The vocabulary file's content: bytes of every id, ranked merges, special tokens."""
+    """What encoding needs of a vocabulary file: ranked merges, special tokens, the pattern."""
 
     def __init__(self, data: str) -> None:
         import re
@@ -63,15 +76,8 @@ class Vocabulary:
 
         spec = json.loads(data)
         model = spec["model"]
-        to_byte = {c: b for b, c in byte_alphabet().items()}
         ids = model["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        size = max([*ids.values(), *self.special.values()]) + 1
-        self.bytes: list[bytes] = [b""] * size
-        for token, i in ids.items():
-            self.bytes[i] = bytes(to_byte[c] for c in token)
-        for token, i in self.special.items():
-            self.bytes[i] = token.encode()
         self.byte_ids = np.array([ids[c] for _, c in sorted(byte_alphabet().items())], dtype=np.int32)
         #: by rank: left id, right id, merged id
         self.merge_list: list[tuple[int, int, int]] = []
@@ -240,8 +246,8 @@ class Encoder:
         self.counts = np.concatenate((self.counts, counts))
 
 
-def decode(ids: Iterable[int], vocabulary: Vocabulary) -> str:
-    return b"".join(map(vocabulary.bytes.__getitem__, ids)).decode("utf-8", "replace")
+def decode(ids: Iterable[int], tokens: list[bytes]) -> str:
+    return b"".join(map(tokens.__getitem__, ids)).decode("utf-8", "replace")
 
 
 def _by_size(texts: Iterable[str], limit: int) -> Iterator[list[str]]:
@@ -261,41 +267,56 @@ def _vocabulary_text(path: str) -> str:
         return file.read()
 
 
-def _outside(df: DataFrame, result: str) -> list[str]:
-    return [c for c in df.columns if c.lower() != result.lower()]
+def _outside(df: DataFrame, *results: str) -> list[str]:
+    return [c for c in df.columns if c.lower() not in {r.lower() for r in results}]
+
+
+def _decoded(ids: np.ndarray, ends: np.ndarray, tokens: list[bytes]) -> pa.Array:
+    return pa.array((decode(ids[a:b].tolist(), tokens) for a, b in zip(ends[:-1], ends[1:], strict=True)), pa.string())
 
 
 def bpe_encode(
-    docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids", kept_pieces: int = KEPT_PIECES
+    docs: DataFrame,
+    path: str,
+    text_col: str = "text",
+    ids_col: str = "ids",
+    decoded_col: str | None = None,
+    kept_pieces: int = KEPT_PIECES,
 ) -> DataFrame:
-    """``docs`` with ``ids_col``, the token ids of the whole text.
+    """``docs`` with ``ids_col``, the token ids of the whole text, and, if named,
+    ``decoded_col``, what these ids decode to (see :func:`bpe_decode`).
 
-    Every row comes back with its other columns (one named ``ids_col`` is
-    replaced).  Null and empty texts have no ids; repeated rows are encoded
+    Every row comes back with its other columns (those named like the new ones
+    are replaced).  Null and empty texts have no ids; repeated rows are encoded
     like any other; an empty table gives an empty table.  ``path`` is read by
     the driver; the vocabulary, of fixed size, is broadcast.
     """
     vocabulary = docs.sparkSession.sparkContext.broadcast(_vocabulary_text(path))
-    keep = _outside(docs, ids_col)
-    schema = T.StructType(
-        [docs.schema[c] for c in keep] + [T.StructField(ids_col, T.ArrayType(T.IntegerType(), False), False)]
-    )
+    new = [ids_col, *([decoded_col] if decoded_col else [])]
+    keep = _outside(docs, *new)
+    fields = [docs.schema[c] for c in keep] + [T.StructField(ids_col, T.ArrayType(T.IntegerType(), False), False)]
+    if decoded_col:
+        fields.append(T.StructField(decoded_col, T.StringType(), False))
     (text_,) = fresh(docs, "bpe_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Vocabulary(vocabulary.value), kept_pieces)
+        tokens = token_bytes(vocabulary.value) if decoded_col else []
         for batch in batches:
             texts = (x.as_py() or "" for x in batch.column(len(keep)))
             at = 0
             for part in _by_size(texts, BATCH_CHARS):
                 flat, counts = encoder.encode(part)
-                ends = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+                ends = np.concatenate(([0], np.cumsum(counts)))
+                out = [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))]
+                if decoded_col:
+                    out.append(_decoded(flat, ends, tokens))
                 rows = batch.slice(at, len(part))
                 at += len(part)
-                yield pa.RecordBatch.from_arrays([*rows.columns[: len(keep)], ids], [*keep, ids_col])
+                yield pa.RecordBatch.from_arrays([*rows.columns[: len(keep)], *out], [*keep, *new])
+            pa.default_memory_pool().release_unused()
 
-    return docs.select(*[col(c) for c in keep], col(text_col).alias(text_)).mapInArrow(run, schema)
+    return docs.select(*[col(c) for c in keep], col(text_col).alias(text_)).mapInArrow(run, T.StructType(fields))
 
 
 def bpe_decode(docs: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -310,9 +331,11 @@ def bpe_decode(docs: DataFrame, path: str, ids_col: str = "ids", text_col: str =
     (ids_,) = fresh(docs, "bpe_ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Vocabulary(vocabulary.value)
+        tokens = token_bytes(vocabulary.value)
         for batch in batches:
-            texts = pa.array([decode(x.as_py() or (), words) for x in batch.column(len(keep))], pa.string())
+            lists = batch.column(len(keep)).fill_null([])
+            ids, ends = lists.flatten().to_numpy(), np.cumsum([0, *lists.value_lengths().to_pylist()])
+            texts = _decoded(ids, ends, tokens)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], texts], [*keep, text_col])
 
     return docs.select(*[col(c) for c in keep], col(ids_col).alias(ids_)).mapInArrow(run, schema)
@@ -339,6 +362,5 @@ def default_path() -> str:
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 for every document."""
-    path = default_path()
-    encoded = bpe_encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
-    return digests(bpe_decode(encoded.select("doc_id", "ids"), path))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return digests(bpe_encode(docs, default_path(), decoded_col="decoded").select("doc_id", "ids", "decoded"))
