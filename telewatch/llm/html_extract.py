@@ -6,7 +6,8 @@ node the probability that it holds main text, from its subtree's density, its
 attribute tokens, depth and siblings.  Choices are decoded from the root: a
 node may be kept only below kept ancestors, and the kept set with the largest
 total likelihood is taken, so no choice contradicts one above or below it.  The
-kept runs are the text, one per line, in page order.
+kept runs are the text in page order, one per line; runs with only embedded
+elements (formulas, icons, players) between them share a line.
 
 The trees are fitted on the driver on ``TRAINING_PAGES`` labelled pages, laid
 out at random from the page parts that the task names; parsing and scoring run
@@ -34,19 +35,29 @@ TREES, DEPTH, RATE, MIN_LEAF, BINS = 40, 4, 0.3, 10, 24
 BATCH_NODES = 50_000
 
 # Fixed values of HTML: elements without content, elements whose content is not
-# markup, inline elements, and elements that end an open paragraph.
+# markup, embedded elements (nodes that stand inside a line), foreign ones among
+# them and the parts of those that are nodes, inline elements, and elements that
+# end an open paragraph or an open foreign element.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style noscript template textarea title iframe svg math object canvas video audio select".split())
+RAW = set("script style textarea title iframe".split())
+EMBEDDED = "svg math object video audio canvas select template noscript".split()
+FOREIGN = {"svg", "math"}
+FOREIGN_PARTS = {"foreignobject", "desc", "annotation", "annotation-xml"}
 INLINE = set(
-    "a abbr acronym b bdi bdo big br button cite code data del dfn em font i img input ins kbd label mark meter "
-    "output progress q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big br button cite code data del dfn em embed font i img input ins kbd label mark meter "
+    "output param progress q rp rt ruby s samp small source span strike strong sub sup time track tt u var wbr".split()
 )
 CLOSES_P = set(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 "
     "h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split()
 )
+BREAKS_OUT = CLOSES_P | set("b big body br code dd dt em embed head i img li meta ruby s small span strong strike sub sup td th tr tt u var".split())
 SAME_CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = {"ul", "ol", "dl", "table", "menu"}
+_IN_LINE = {*EMBEDDED, *FOREIGN_PARTS, "option", "optgroup"}
+_SPACED = {"br", "text", "option", "optgroup"}  # words on either side stay apart
+_P_SCOPES = {"td", "th", "li", "div", "article", "section", "object", "template", "foreignobject"}
+_GAPS = ("", " ", "\n")
 
 _PIECE = re.compile(
     r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
@@ -69,7 +80,8 @@ NAME_TOKENS = [
     "article post entry story main content body text page",
 ]
 _TOKEN_LINE = {t: k for k, line in enumerate(NAME_TOKENS) for t in line.split()}
-TAGS = "#text p div section article main nav header footer aside form ul ol li table td h1 h2 h3 h4 pre blockquote figure".split()
+TAGS = "#text p div section article main nav header footer aside form ul ol li table td h1 h2 h3 h4 pre blockquote figure".split() + EMBEDDED
+TAGS += ["#ended", "#unended"]  # an embedded element with and without its end tag
 _TAG_NUMBER = {t: k for k, t in enumerate(TAGS)}
 
 
@@ -87,6 +99,8 @@ class Node:
     paragraphs: int = 0
     marks: int = 0
     place: int = 0  # among its siblings
+    ended: bool = False  # by its own end tag
+    gap: int = 2  # what stands between a run and the one before it, a place in _GAPS
 
 
 def _tokens(attributes: str) -> frozenset[int]:
@@ -100,24 +114,31 @@ def _tokens(attributes: str) -> frozenset[int]:
 def parse(page: str) -> list[Node]:
     """The page's nodes in document order, the root first.
 
-    Open elements end where HTML has them end; unknown and stray tags are
-    passed over; a page cut off anywhere parses as far as it goes."""
+    Open elements end where HTML has them end, embedded ones at ``/>``, at their
+    end tag or with their parent; unknown and stray tags are passed over; a page
+    cut off anywhere parses as far as it goes."""
     nodes = [Node("#root", frozenset(), 0, -1)]
     open_ = [0]
     run: list[str] = []
-    links, linked = 0, 0
+    links, linked, gap = 0, 0, 2
 
-    def flush() -> None:
-        nonlocal linked
-        text = _SPACE.sub(" ", html.unescape("".join(run))).strip()
+    def flush(line: bool = True) -> None:
+        nonlocal linked, gap
+        raw = html.unescape("".join(run))
+        text = _SPACE.sub(" ", raw).strip()
         run.clear()
+        if raw[:1].isspace():
+            gap = max(gap, 1)
         if text:
             parent = open_[-1]
             nodes[parent].children.append(len(nodes))
-            node = Node("#text", frozenset(), nodes[parent].depth + 1, parent, text=text)
+            node = Node("#text", frozenset(), nodes[parent].depth + 1, parent, text=text, gap=gap)
             node.chars, node.linked = len(text), min(linked, len(text))
             node.place = len(nodes[parent].children) - 1
             nodes.append(node)
+            gap = int(raw[-1:].isspace())
+        if line:
+            gap = 2
         linked = 0
 
     def add(text: str) -> None:
@@ -126,10 +147,11 @@ def parse(page: str) -> list[Node]:
         if links:
             linked += len(text)
 
-    def close(tags: set[str], until: set[str]) -> None:
+    def close(tags: set[str], until: set[str], own: bool = False) -> None:
         for k in range(len(open_) - 1, 0, -1):
             tag = nodes[open_[k]].tag
             if tag in tags:
+                nodes[open_[k]].ended = own
                 del open_[k:]
                 return
             if tag in until:
@@ -145,32 +167,53 @@ def parse(page: str) -> list[Node]:
             add(page[at : found.start()])
         at = found.end()
         end, start, attributes = found.groups()
+        foreign = nodes[open_[-1]].tag in FOREIGN
         if end:
             tag = end.lower()
             if tag == "a":
                 links = max(0, links - 1)
+            elif foreign and not any(nodes[k].tag == tag for k in open_):
+                if tag in _SPACED:
+                    add(" ")
             elif tag not in INLINE and tag not in VOID:
-                flush()
-                close({tag}, set() if tag in CLOSES_P or tag in SCOPES or tag == "body" else SCOPES)
+                flush(tag not in _IN_LINE)
+                if tag in _SPACED:
+                    add(" ")
+                close({tag}, set() if tag in CLOSES_P or tag in SCOPES or tag == "body" else SCOPES, own=True)
         elif start:
             tag = start.lower()
+            empty = attributes.endswith("/")
             if tag in RAW:
-                done = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-                at = done.end() if done else len(page)
+                if foreign and empty:
+                    continue
+                ends = rf"</{re.escape(tag)}\b[^>]*>" + (r"|(?=</(?:svg|math)\b)" if foreign else "")
+                if done := re.compile(ends, re.I).search(page, at):
+                    at = done.end()
+                elif not (empty or foreign):
+                    at = len(page)
                 continue
-            if tag == "br":
+            if foreign and tag in BREAKS_OUT:
+                flush(False)
+                while nodes[open_[-1]].tag in FOREIGN:
+                    open_.pop()
+            elif foreign and tag not in _IN_LINE and tag not in INLINE:
+                if tag in _SPACED:
+                    add(" ")
+                continue
+            if tag in _SPACED:
                 add(" ")
-            elif tag == "a":
+            if tag == "a":
                 links += 1
-            if tag in INLINE:
+            if tag in INLINE or tag in _IN_LINE and empty:
                 continue
-            flush()
-            links = 0
+            flush(tag not in _IN_LINE)
+            if tag not in _IN_LINE:
+                links = 0
             if tag in CLOSES_P:
-                close({"p"}, {"td", "th", "li", "div", "article", "section"})
+                close({"p"}, _P_SCOPES)
             if tag in SAME_CLOSES:
                 close(SAME_CLOSES[tag], SCOPES - {tag})
-            if tag in VOID or attributes.endswith("/") and tag not in CLOSES_P:
+            if tag in VOID or empty and tag not in CLOSES_P:
                 continue
             parent = open_[-1]
             nodes[parent].children.append(len(nodes))
@@ -206,14 +249,15 @@ def features(nodes: list[Node]) -> np.ndarray:
             siblings, place = len(up.children), node.place
         else:
             names, tags, up, siblings, place = frozenset(), frozenset(), node, 1, 0
-        number = _TAG_NUMBER.get(node.tag)
+        own = {node.tag, *(["#ended" if node.ended else "#unended"] if node.tag in EMBEDDED else [])}
+        numbers = {_TAG_NUMBER[t] for t in own if t in _TAG_NUMBER}
         row = out[k]
         for t in node.tokens:
             row[t] = 1
         for t in names:
             row[lines + t] = 1
-        if number is not None:
-            row[3 * lines + number] = 1
+        for t in numbers:
+            row[3 * lines + t] = 1
         for t in tags:
             row[3 * lines + len(TAGS) + t] = 1
         row[-16:] = (
@@ -223,7 +267,7 @@ def features(nodes: list[Node]) -> np.ndarray:
             order / max(1, nodes[0].runs), len(node.children),
         )
         order += node.tag == "#text"
-        above.append((names | node.tokens, tags | ({number} if number is not None else frozenset())))
+        above.append((names | node.tokens, tags | numbers))
     return out
 
 
@@ -309,11 +353,19 @@ def decode(nodes: list[Node], margin: np.ndarray) -> list[bool]:
 
 def main_text(nodes: list[Node], margin: np.ndarray) -> str:
     kept = decode(nodes, margin)
-    return "\n".join(n.text for n, k in zip(nodes, kept, strict=True) if k and n.tag == "#text")
+    parts: list[str] = []
+    gap = 0
+    for node, keep in zip(nodes, kept, strict=True):
+        if node.tag == "#text":
+            gap = max(gap, node.gap)
+            if keep:
+                parts += [_GAPS[gap] if parts else "", node.text]
+                gap = 0
+    return "".join(parts)
 
 
 def training_page(rnd: random.Random) -> tuple[str, set[str]]:
-    """A page of random words and layout, and the texts of its main part."""
+    """A page of random words and layout, and the lines of its main part."""
     serial = iter(range(10_000))
 
     def words(low: int, high: int) -> str:
@@ -328,12 +380,35 @@ def training_page(rnd: random.Random) -> tuple[str, set[str]]:
             main.add(_SPACE.sub(" ", html.unescape(text)).strip())
         inner = html.escape(text)
         style = rnd.random()
-        if style < 0.15:
+        if rnd.random() < 0.08:
+            left, _, right = text.partition(" ")
+            inner = f"{html.escape(left)} {inside(html.escape(right), good)}"
+        elif style < 0.15:
             inner = f"<b>{inner}</b>"
         elif style < 0.22:
             inner = f"<b>{inner}<br>"  # never closed
         return f"<{tag}>{inner}</{tag}>" if rnd.random() < 0.9 or tag not in ("p", "li") else f"<{tag}>{inner}"
 
+    def inside(rest: str, good: bool) -> str:
+        """An embedded element before ``rest``, or a formula around its first word."""
+        kind = rnd.randrange(4)
+        if kind == 0:
+            return rnd.choice(['<svg class="icon"/>', '<svg><path d="M0 0"/></svg>', "<canvas></canvas>", "<video src='v'/>"]) + f" {rest}"
+        if kind == 1 and good:
+            first, _, last = rest.partition(" ")
+            return f"<math><mi>{first}</mi></math> {last}"
+        return f"{closed(False)} {rest}"
+
+    def closed(blocks: bool = True) -> str:
+        """An embedded element with text that is not the page's: what a browser shows in its stead, labels, choices."""
+        text = words(1, 12)
+        kind = rnd.choice(EMBEDDED)
+        if kind == "select":
+            return "<select>" + "".join(f"<option>{words(1, 2)}</option>" for _ in range(rnd.randint(1, 5))) + "</select>"
+        if kind in FOREIGN:
+            return f"<svg class='chart'><g><text x='1'>{text}</text><path d='M0 0'/></g></svg>"
+        return f"<{kind}>{block('p', text, False) if blocks and rnd.random() < 0.5 else text}</{kind}>"
+
     def links(low: int, high: int) -> str:
         each = [f'<li><a href="/{next(serial)}">{words(1, 3)}</a></li>' for _ in range(rnd.randint(low, high))]
         return "<ul>" + "".join(each) + "</ul>"
@@ -343,7 +418,7 @@ def training_page(rnd: random.Random) -> tuple[str, set[str]]:
         return f'<{(t := rnd.choice(tags))} {how}="{name}">{body}</{t}>'
 
     def boiler() -> str:
-        kind = rnd.randrange(9)
+        kind = rnd.randrange(10)
         text = words(3, 45)
         if kind == 0:
             return f"<nav>{links(3, 9)}</nav>" if rnd.random() < 0.6 else named(rnd.choice(["menu", "site-nav", "breadcrumbs"]), links(2, 8))
@@ -362,6 +437,8 @@ def training_page(rnd: random.Random) -> tuple[str, set[str]]:
             return named("comments", block("h3", words(1, 3), False) + many)
         if kind == 7:
             return f'<form action="/s">{words(1, 4)}<input name="q"><button>{words(1, 1)}</button></form>'
+        if kind == 8:
+            return closed() if rnd.random() < 0.7 else named(rnd.choice(["menu", "sidebar", "promo", "widget"]), closed() + block("p", text, False))
         return f"<script>var t='{text}</p>';</script><style>p{{margin:0}}</style><!-- {text} -->"
 
     tops = [boiler() for _ in range(rnd.randint(1, 4))]
@@ -381,6 +458,20 @@ def training_page(rnd: random.Random) -> tuple[str, set[str]]:
             body.append(boiler() if rnd.random() < 0.7 else block("pre", words(5, 40), True))
     if not main:
         body.append(block("p", words(2, 30), True))
+    embedded = rnd.random()
+    place = rnd.randint(0, len(body))
+    if embedded < 0.1:
+        body.insert(place, closed())
+    elif embedded < 0.2:  # text that has no other place
+        kind = rnd.choice(["math", "noscript", "object"])
+        text = block("p", words(20, 80), True) if kind != "math" else words(2, 12)
+        if kind == "math":
+            main.add(text)
+        body.insert(place, f"<{kind}>{text}</{kind}>" if kind != "math" else f"<div><math display='block'><mrow>{text}</mrow></math></div>")
+    elif embedded < 0.32:  # never closed: the rest of the article is in it
+        if place == len(body):
+            body.append(block("p", words(5, 60), True))
+        body.insert(place, f"<{rnd.choice(EMBEDDED)} class='{rnd.choice(['x', 'player', 'wide'])}'>")
     article = "".join(body)
     wrap = rnd.random()
     if wrap < 0.55:
@@ -402,7 +493,8 @@ def labelled_pages(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     for _ in range(n):
         page, main = training_page(rnd)
         nodes = parse(page)
-        good = [node.tag == "#text" and node.text in main for node in nodes]
+        lines = "\n".join(main)  # a run may be a part of one
+        good = [node.tag == "#text" and node.text in lines for node in nodes]
         for k in range(len(nodes) - 1, 0, -1):
             good[nodes[k].parent] |= good[k]
         xs.append(features(nodes))

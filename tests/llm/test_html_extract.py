@@ -89,3 +89,46 @@ def test_edge_rows(spark, model):
     size = len("Title\n" + ("Some words. " * 30).strip())
     assert got == [(0, 0), (1, size), (1, size), (2, 0), (3, 3000 * len(("many words here. " * 20).strip()) + 2999)]
     assert he.extract(pages.limit(0), model).collect() == []
+
+
+WORDS = "Some words of the article, which go on for a while. " * 4
+
+
+def around(body):
+    nav = "<nav><ul><li><a href='/'>home</a></li><li><a href='/b'>more</a></li></ul></nav>"
+    return f"<html><body>{nav}<article><h1>Title</h1><p>1 {WORDS}</p>{body}</article><footer>&copy; foot</footer></body></html>"
+
+
+def lines_of(page, model):
+    return [x if len(x) < 60 else x[0] for x in text_of(page, model).split("\n")]
+
+
+@pytest.mark.parametrize("tag", he.EMBEDDED)
+def test_embedded_elements_take_no_text_with_them(model, tag):
+    for start in (f"<{tag} class='x'/>", f"<{tag} class='x'>", f"<{tag} class='x'></{tag}>"):
+        page = around(f"{start}<p>2 {WORDS}</p><p>3 {WORDS}</p>")
+        assert lines_of(page, model) == ["Title", "1", "2", "3"]
+        assert len(text_of(page, model)) == len("Title\n") + 3 * len(f"1 {WORDS}".strip()) + 2
+
+
+def test_embedded_text_is_the_models_choice(model):
+    page = around(f"<noscript><p>2 {WORDS}</p></noscript><object data='a'><p>3 {WORDS}</p></object><p>4 {WORDS}</p>")
+    assert lines_of(page, model) == ["Title", "1", "2", "3", "4"]
+    page = around(f"<p>As <math><mi>x</mi><mo>=</mo><mn>2</mn></math>, it holds.</p><p>3 {WORDS}</p>")
+    assert lines_of(page, model) == ["Title", "1", "As x=2, it holds.", "3"]
+    page = around(f"<video controls><source src='a.mp4'>Your browser cannot play this.</video><p>2 {WORDS}</p>")
+    assert lines_of(page, model) == ["Title", "1", "2"]
+
+
+def test_parse_embedded_elements():
+    def texts(page):
+        return [n.text for n in he.parse(page) if n.text]
+
+    assert texts("<p>a <svg><g/><path d='M0'/></svg>b<svg><text>c</text><text>d</text></svg><p>e") == ["a", "b", "c d", "e"]
+    assert texts("<div><svg><g><p>a</div><p>b") == ["a", "b"]
+    assert texts("<svg><title/><style>x{}</style><script/></svg>a<script src='s'/><p>b") == ["a", "b"]
+    assert texts("<svg><style>x{}</svg><p>a<iframe>b</iframe><p>c<textarea>d") == ["a", "c"]
+    nodes = he.parse("<article><video><p>a</article><p>b")
+    assert [nodes[n.parent].depth for n in nodes if n.text] == [3, 1]
+    nodes = he.parse("<p>a <select><option>b<option>c</select> d<canvas></canvas>e")
+    assert he.main_text(nodes, np.ones(len(nodes))) == "a b c de"
