@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telewatch.llm.common import col, table
+from telewatch.llm.licences import known_texts
 
 # Spellings that licence texts use alike, and the one they become.
 # Matched as whole words, after case and punctuation are gone.
@@ -46,7 +47,8 @@ EQUIVALENT = {
     "wilful": "willful",
 }
 
-# Known texts: short notices, and the texts of short public licences.
+# Short known texts: notices, and the texts of short public licences.  The full
+# texts of the common licences are in the package ``licences``.
 _WARRANTY = (
     'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO '
     "THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE "
@@ -114,7 +116,7 @@ def normalised(text: Column) -> Column:
     return F.when(plain.rlike(r"\b(" + "|".join(EQUIVALENT) + r")\b"), one).otherwise(plain)
 
 
-def known_digests(spark: SparkSession, known: list[tuple[str, str]] = KNOWN_TEXTS) -> DataFrame:
+def known_digests(spark: SparkSession, known: list[tuple[str, str]]) -> DataFrame:
     """(digest, licence) of the known texts; their number is fixed."""
     texts = spark.createDataFrame(known, "licence string, text string")
     texts = texts.select("licence", normalised(F.col("text")).alias("plain"))
@@ -125,10 +127,13 @@ def license_scan(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    known: list[tuple[str, str]] = KNOWN_TEXTS,
+    known: list[tuple[str, str]] | None = None,
 ) -> DataFrame:
     """(id, whole, n_units, licences) for every row.
 
+    ``known`` is a table of names and texts, by default ``KNOWN_TEXTS`` and the
+    full texts of the common licences, with and without their titles.
+
     ``whole`` is the licence that the whole text is, or null; ``n_units`` the
     paragraphs and lines that are a licence's text (the whole text, where it is
     one line, is one of them); ``licences`` all licences found, sorted.  A unit
@@ -136,6 +141,7 @@ def license_scan(
     hold none; rows that repeat an id and a text get the same answer; extra
     columns are not read; an empty table gives no rows.
     """
+    known = known_texts(KNOWN_TEXTS) if known is None else known
     digests = known_digests(docs.sparkSession, known).groupBy("digest").agg(F.min("licence").alias("licence"))
     text = F.coalesce(col(text_col), F.lit(""))
     rows = docs.select(col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("t"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from telewatch.llm.licences import FULL, SHORT_TITLES, files, known_texts, without_title
 from telewatch.llm.license_scan import EQUIVALENT, KNOWN_TEXTS, license_scan
 
 
@@ -56,3 +57,33 @@ def test_equals_brute_force(spark):
 
 def test_empty_table(spark):
     assert license_scan(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def whole_licences(spark, texts):
+    """What ``license_scan`` calls each text, in their order."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [w for _, w in sorted((r.id, r.whole) for r in license_scan(docs).collect())]
+
+
+def full_texts():
+    """(name, text as shipped, titles) of the licences known in full."""
+    out = [(name, files("telewatch.llm.licences").joinpath(f"{file}.txt").read_text("utf-8"), titles) for name, file, titles in FULL]
+    return out + [(name, text, SHORT_TITLES[name]) for name, text in KNOWN_TEXTS if "\n\n" in text]
+
+
+def test_full_texts_with_and_without_title(spark):
+    cases = []
+    for name, text, titles in full_texts():
+        body = without_title(text, titles)
+        cases += [(name, text), (name, body), (name, f"{titles[0]}\n\nCopyright 2020 Somebody\n\n{body}")]
+        cases += [(None, body[: len(body) // 2]), (None, body.replace(" not ", " "))][: 1 + (" not " in body)]
+    apache = next(t for n, t, _ in full_texts() if n == "Apache-2.0")
+    cases += [("Apache-2.0", apache[: apache.index("   APPENDIX")]), ("Apache-2.0", apache.replace("Copyright [yyyy] [name of copyright owner]", "Copyright 2020 Me"))]
+    assert whole_licences(spark, [t for _, t in cases]) == [n for n, _ in cases]
+
+
+def test_known_texts_keep_the_short_ones_first():
+    known = known_texts(KNOWN_TEXTS)
+    assert known[: len(KNOWN_TEXTS)] == KNOWN_TEXTS and len(set(known)) == len(known)
+    names = "Apache-2.0 BSD-2-Clause BSD-3-Clause CC0-1.0 GPL-2.0 GPL-3.0 LGPL-2.1 LGPL-3.0 MIT ISC MPL-2.0"
+    assert set(names.split()) <= {name for name, text in known if len(text) > 600}
