@@ -2,7 +2,9 @@
 
 A text is normalised until copies of a licence that differ in case, punctuation,
 white space, copyright lines or equivalent spellings read the same; the MD5 of
-the result is joined to the digests of known licences.  Entire texts are
+the result is joined to the digests of known licences.  A line that begins with
+"copyright" or the like is taken for a copyright line unless it goes on as a
+sentence of a known text does, so that a sentence may break anywhere.  Entire texts are
 compared, never parts of one: the units are a document's whole text, and each
 of its paragraphs (between blank lines) and lines as texts of their own, so
 that a notice added to other prose is found as well.
@@ -13,6 +15,8 @@ known table, whose size is the number of known licences, is broadcast.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,18 +101,62 @@ KNOWN_TEXTS = [
     ),
 ]
 
-_LINE_START = r"(?i)^[^\p{L}\p{N}\n]*(copyright\b|\(c\)|©|all rights reserved)"
+_SIGN = r"copyright\b|\(c\)|©|all rights reserved"
 _PUNCTUATION = r"[^\p{L}\p{N}]+"
+# What stands between the words of a sentence; a placeholder's bracket does not.
+_BETWEEN = r"[^\p{L}\p{N}<\[{]"
+# Copyright statements of the known texts: a sign and a year, another sign or a placeholder.
+_STATEMENT = re.compile(
+    r"[\W_]*?((?:copyright\b|\(c\)|©)[^\w<\[{(©]*(?:\d\d[\dxy]{2}|yyyy|[<\[{©]|\(c\))|all rights reserved[\W_]*$)", re.I
+)
+
+
+def sentence_starts(known: list[tuple[str, str]]) -> str:
+    """A pattern of the words that a known text's sentences have from "copyright"
+    (or another sign) on.
+
+    Where a line breaks before such a word, the line is no copyright statement.
+    The words may be cut short by the next line break, and be spelled otherwise."""
+    others: dict[str, set[str]] = {}
+    for other, word in EQUIVALENT.items():
+        a, b = other.removeprefix("copyright "), word.removeprefix("copyright ")
+        if " " not in a:
+            others.setdefault(b, {b}).add(a)
+    canonical = {a: b for b, group in others.items() for a in group}
+    starts: set[tuple[str, ...]] = set()
+    for text in {text for _, text in known}:
+        kept = "\n".join("" if _STATEMENT.match(line) else line for line in text.split("\n"))
+        for sign in re.finditer(_SIGN, kept, re.I):
+            words = re.match(r"[^\w<\[{]*([^\W_]+)(?:(?:[^\w<\[{]|_)+([^\W_]+))?", kept[sign.end() : sign.end() + 200])
+            if words and (words[2] or words[1].lower() != "c"):  # "(c)" before a placeholder says nothing
+                starts.add((sign[0].lower(), *(canonical.get(w.lower(), w.lower()) for w in words.groups() if w)))
+
+    def spelled(word: str) -> str:
+        return "(?:" + "|".join(map(re.escape, sorted(others.get(word, {word})))) + r")\b"
+
+    end = _BETWEEN + "*$"
+    patterns = set()
+    for sign, *words in starts:
+        rest = end
+        for word in reversed(words):
+            rest = f"(?:{end}|{_BETWEEN}+{spelled(word)}{'' if rest is end else rest})"
+        if sign == "all rights reserved":  # alone it is a statement
+            rest = f"(?!{end}){rest}"
+        patterns.add(sign.replace("(", r"\(").replace(")", r"\)") + rest)
+    return "|".join(sorted(patterns)) or r"(?!)"
 
 
-def without_copyright_lines(text: Column) -> Column:
-    lines = F.filter(F.split(text, "\n", -1), lambda line: ~line.rlike(_LINE_START))
+def without_copyright_lines(text: Column, sentences: str) -> Column:
+    """``text`` without its copyright statements: lines that begin with a sign and
+    do not go on as one of the ``sentences``."""
+    start = rf"(?i)^[^\p{{L}}\p{{N}}\n]*(?={_SIGN})(?!{sentences})(?:{_SIGN})"
+    lines = F.filter(F.split(text, "\n", -1), lambda line: ~line.rlike(start))
     return F.when(F.lower(text).rlike(r"copyright|\(c\)|©|all rights reserved"), F.array_join(lines, "\n")).otherwise(text)
 
 
-def normalised(text: Column) -> Column:
+def normalised(text: Column, sentences: str) -> Column:
     """Lower case, words only, one space between them, equivalent spellings as one."""
-    plain = F.trim(F.regexp_replace(F.lower(without_copyright_lines(text)), _PUNCTUATION, " "))
+    plain = F.trim(F.regexp_replace(F.lower(without_copyright_lines(text, sentences)), _PUNCTUATION, " "))
     one = plain
     for other, word in EQUIVALENT.items():
         one = F.regexp_replace(one, rf"\b{other}\b", word)
@@ -119,7 +167,7 @@ def normalised(text: Column) -> Column:
 def known_digests(spark: SparkSession, known: list[tuple[str, str]]) -> DataFrame:
     """(digest, licence) of the known texts; their number is fixed."""
     texts = spark.createDataFrame(known, "licence string, text string")
-    texts = texts.select("licence", normalised(F.col("text")).alias("plain"))
+    texts = texts.select("licence", normalised(F.col("text"), sentence_starts(known)).alias("plain"))
     return texts.select(F.md5("plain").alias("digest"), "licence").distinct()
 
 
@@ -143,6 +191,7 @@ def license_scan(
     """
     known = known_texts(KNOWN_TEXTS) if known is None else known
     digests = known_digests(docs.sparkSession, known).groupBy("digest").agg(F.min("licence").alias("licence"))
+    sentences = sentence_starts(known)
     text = F.coalesce(col(text_col), F.lit(""))
     rows = docs.select(col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("t"))
     lines = F.split("t", "\n", -1)
@@ -150,7 +199,7 @@ def license_scan(
 
     def units(kind: str, texts: Column) -> DataFrame:
         some = rows.select("id", "text_hash", F.explode_outer(texts).alias("unit"))
-        some = some.select("id", "text_hash", F.lit(kind).alias("kind"), normalised(F.col("unit")).alias("plain"))
+        some = some.select("id", "text_hash", F.lit(kind).alias("kind"), normalised(F.col("unit"), sentences).alias("plain"))
         return some.where(F.length("plain") > 0).select("id", "text_hash", "kind", F.md5("plain").alias("digest"))
 
     every = units("whole", F.array("t")).unionByName(units("line", lines)).unionByName(units("paragraph", paragraphs))

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import re
+import textwrap
+
+import pytest
 
 from telewatch.llm.licences import FULL, SHORT_TITLES, files, known_texts, without_title
-from telewatch.llm.license_scan import EQUIVALENT, KNOWN_TEXTS, license_scan
+from telewatch.llm.license_scan import _STATEMENT, EQUIVALENT, KNOWN_TEXTS, license_scan
 
 
 def normalise(text):
@@ -87,3 +90,37 @@ def test_known_texts_keep_the_short_ones_first():
     assert known[: len(KNOWN_TEXTS)] == KNOWN_TEXTS and len(set(known)) == len(known)
     names = "Apache-2.0 BSD-2-Clause BSD-3-Clause CC0-1.0 GPL-2.0 GPL-3.0 LGPL-2.1 LGPL-3.0 MIT ISC MPL-2.0"
     assert set(names.split()) <= {name for name, text in known if len(text) > 600}
+
+
+def wrapped(text, width):
+    """Every paragraph broken anew; copyright statements stay lines of their own."""
+    out, lines = [], []
+    for line in [*text.split("\n"), ""]:
+        if line.strip() and not _STATEMENT.match(line):
+            lines.append(line)
+            continue
+        out += [textwrap.fill(" ".join(" ".join(lines).split()), width, break_long_words=False), line]
+        lines = []
+    return "\n".join(out)
+
+
+@pytest.mark.parametrize("width", [24, 40, 60, 72, 79, 10_000])
+def test_known_texts_wrapped(spark, width):
+    cases = [(name, wrapped(text, width)) for name, text, _ in full_texts()]
+    assert whole_licences(spark, [t for _, t in cases]) == [n for n, _ in cases]
+
+
+def test_copyright_lines_go_and_sentences_stay(spark):
+    isc = dict(reversed([(n, t) for n, t in KNOWN_TEXTS if len(t) > 300]))["ISC"]
+    body = without_title(isc, SHORT_TITLES["ISC"]).replace("Copyright (c) <year> <owner>", "").strip()
+    body = body.replace("above copyright notice and", "above\ncopyright notice and")
+    statements = [
+        "Copyright 2001", "Copyright (c) 2020, Me", "(c) 2020 Me", "© Me", "Copyright Me and others", "COPYRIGHT ME",
+        "Copyright [yyyy] [name]", "Copyright (C) The Holders. All rights reserved.", "All rights reserved.", " * Copyright (C) <year> Me",
+    ]
+    texts = [f"{x}\n{body}" for x in statements] + [body, body.upper(), body.replace("notice and this", "notices and this")]
+    assert whole_licences(spark, texts) == ["ISC"] * (len(statements) + 2) + [None]
+    own = [("X", "Keep this copyright line of yours, all rights reserved or not.")]
+    texts = ["Keep this\ncopyright line of\nyours,\nall rights reserved or\nnot.\nCopyright Me", "Keep this\ncopyright\nline of yours, all rights\nreserved or not."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted((r.id, r.whole) for r in license_scan(docs, known=own).collect()) == [(0, "X"), (1, "X")]
