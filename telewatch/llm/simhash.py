@@ -160,14 +160,26 @@ def simhash_dedup(
 def keep_one_of_each(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS
 ) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's smallest.
+    """The rows of ``docs`` whose id is their own component's smallest.
 
-    Rows that repeat that id stay together; rows of a null id stay."""
-    (id_,) = fresh(docs, "sh_id")
+    A row's component is that of its text, so an id that stands for several
+    texts may stay with one and go with another, and no component goes whole.
+    Rows of a component that repeat its smallest id stay together; rows of a
+    null id stay."""
+    id_, fp_, own = fresh(docs, "sh_id", "sh_fp", "sh_own")
     found = simhash_dedup(docs, id_col, text_col, words, max_bits)
-    gone = found.groupBy(F.col("id").alias(id_)).agg(F.min(F.col("component")).alias("c"))
-    gone = gone.where(col(id_) != F.col("c")).select(id_)
-    return docs.join(gone, col(id_col) == col(id_), "left_anti")
+    gone = found.where(F.col("id") != F.col("component")).select(F.col("id").alias(id_), F.col("fp").alias(fp_)).distinct()
+    at = docs.columns.index(text_col)
+    schema = T.StructType([*docs.schema.fields, T.StructField(own, T.LongType(), False)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = np.array([fingerprint(t.as_py(), words) for t in batch.column(at)], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps.view(np.int64))], schema.names)
+
+    rows = docs.mapInArrow(run, schema)
+    kept = rows.join(gone, (col(id_col) == col(id_)) & (col(own) == col(fp_)), "left_anti")
+    return kept.select(*map(col, docs.columns))
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -87,3 +87,12 @@ def test_edge_rows(spark):
 def test_very_long_text():
     text = "a b c d " * 100_000
     assert simhash.fingerprint(text) == brute_fingerprint(text)
+
+
+def test_repeated_ids_lose_no_group(spark):
+    t1, t2 = "some words that are here", "other words of another text altogether"
+    rows = [(3, t1), (5, t1.upper()), (5, t2), (9, t2.title()), (None, "alone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = simhash.keep_one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(3, t1), (5, t2), (None, "alone")], key=str)
