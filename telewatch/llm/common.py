@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telewatch.session import checkpoint_root, scratch_path
+from telewatch.sources.tables import hadoop_fs
 
 # ASCII white space [\x20\x09-\x0D] and the ASCII letters, in code point order.
 WHITE_SPACE = " \t\n\x0b\x0c\r"
@@ -53,7 +54,10 @@ def checkpoint(df: DataFrame) -> DataFrame:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back: it is
-    computed once however often it is used, and survives lost executors."""
+    computed once however often it is used, and survives lost executors.  The
+    folder goes when the application ends."""
     path = scratch_path(df.sparkSession, name)
+    fs, folder = hadoop_fs(df.sparkSession, path)
+    fs.deleteOnExit(folder)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from telewatch.llm import bpe, decontaminate, html_extract, license_scan, line_dedup, quality, sharding, simhash, substring_dedup, toxicity
+from telewatch.llm import (
+    bpe,
+    decontaminate,
+    html_extract,
+    license_scan,
+    line_dedup,
+    packing,
+    quality,
+    sharding,
+    simhash,
+    substring_dedup,
+    toxicity,
+)
 
 _QUERIES = {
     "op1_sharding": (sharding.op1_sharding, sharding.ORACLE),
@@ -19,6 +31,7 @@ _QUERIES = {
     "op6_license_scan": (license_scan.op6_license_scan, license_scan.ORACLE),
     "op8_html_extraction": (html_extract.op8_html_extraction, None),
     "op9_line_dedup": (line_dedup.op9_line_dedup, line_dedup.ORACLE),
+    "op12_packing": (packing.op12_packing, None),
 }
 
 
