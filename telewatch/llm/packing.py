@@ -24,6 +24,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,7 @@ from telewatch.llm.common import col, fresh, stored, table
 
 CAPACITY = 2048
 END_ID = 0
+KEPT_PIECES = 400_000  # word pieces whose ids a Python worker keeps
 _RANK_BITS = 44  # a piece's length and its rank in one 64-bit number
 
 
@@ -137,6 +139,12 @@ class Places:
         return first[at] + nth // uses[at], offsets[at] + nth % uses[at] * lengths
 
 
+@lru_cache(maxsize=1)
+def _encoder(data: str) -> bpe.Encoder:
+    """The worker's encoder; the next task in the same worker finds its pieces learned."""
+    return bpe.Encoder(bpe.Vocabulary(data), KEPT_PIECES)
+
+
 def token_pieces(
     docs: DataFrame, path: str, text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, keep_ids: bool = False
 ) -> DataFrame:
@@ -157,7 +165,7 @@ def token_pieces(
     (text_,) = fresh(docs, "packing_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = bpe.Encoder(bpe.Vocabulary(vocabulary.value))
+        encoder = _encoder(vocabulary.value)
         for batch in batches:
             at = 0
             for part in bpe._by_size((x.as_py() or "" for x in batch.column(len(keep))), bpe.BATCH_CHARS):
