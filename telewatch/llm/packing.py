@@ -21,6 +21,8 @@ of its length:
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -38,7 +40,6 @@ from telewatch.llm.common import col, fresh, stored, table
 
 CAPACITY = 2048
 END_ID = 0
-KEPT_PIECES = 400_000  # word pieces whose ids a Python worker keeps
 _RANK_BITS = 44  # a piece's length and its rank in one 64-bit number
 
 
@@ -139,10 +140,40 @@ class Places:
         return first[at] + nth // uses[at], offsets[at] + nth % uses[at] * lengths
 
 
+class TextIds:
+    """Token ids by the libraries: tiktoken for texts of Latin letters, where its
+    piece rule and the vocabulary file's agree beyond doubt, and tokenizers for
+    all others and for texts that hold a special token."""
+
+    def __init__(self, data: str) -> None:
+        import tiktoken
+        from tokenizers import Tokenizer
+
+        spec = json.loads(data)
+        self.library = Tokenizer.from_str(data)
+        self.library.no_truncation()
+        self.library.no_padding()
+        self.special = [t["content"] for t in spec["added_tokens"]]
+        ids = spec["model"]["vocab"]
+        pairs = (m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"])
+        merged = [ids[a + b] for a, b in pairs]
+        self.plain = None
+        if merged == sorted(merged):  # ids ascend as merges rank, which is tiktoken's rule
+            special = {t["id"] for t in spec["added_tokens"]}
+            ranks = {token: i for i, token in enumerate(bpe.token_bytes(data)) if i not in special}
+            self.plain = tiktoken.Encoding("plain", pat_str=bpe._PATTERN, mergeable_ranks=ranks, special_tokens={})
+            self.latin = re.compile(bpe._LATIN_TEXT).fullmatch
+
+    def encode(self, text: str) -> np.ndarray:
+        if self.plain is not None and self.latin(text) and not any(s in text for s in self.special):
+            return np.array(self.plain.encode_ordinary(text), dtype="<u4")
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+
 @lru_cache(maxsize=1)
-def _encoder(data: str) -> bpe.Encoder:
-    """The worker's encoder; the next task in the same worker finds its pieces learned."""
-    return bpe.Encoder(bpe.Vocabulary(data), KEPT_PIECES)
+def _text_ids(data: str) -> TextIds:
+    """One for all tasks of a worker: loading takes longer than a small task."""
+    return TextIds(data)
 
 
 def token_pieces(
@@ -165,15 +196,13 @@ def token_pieces(
     (text_,) = fresh(docs, "packing_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(vocabulary.value)
+        encode = _text_ids(vocabulary.value).encode
         for batch in batches:
             at = 0
             for part in bpe._by_size((x.as_py() or "" for x in batch.column(len(keep))), bpe.BATCH_CHARS):
-                flat, sizes = encoder.encode(part)
-                ends = np.cumsum(sizes)
                 rows, numbers, starts, lengths, sums, lists = [], [], [], [], [], []
-                for k, (end, size) in enumerate(zip(ends.tolist(), sizes.tolist(), strict=True)):
-                    ids = np.append(flat[end - size : end], end_id).astype("<u4")
+                for k, text in enumerate(part):
+                    ids = np.append(encode(text), np.uint32(end_id))
                     cuts = [0, *range(ids.size % capacity or capacity, ids.size, capacity), ids.size]
                     for piece, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
                         rows.append(at + k)

@@ -110,6 +110,21 @@ def test_query_equals_library(spark):
     assert check_places(rows, 2048) == len(one_by_one(counts, 2048))
 
 
+def test_odd_texts_equal_library():
+    with open(PATH, encoding="utf-8") as file:
+        ours = packing.TextIds(file.read())
+    assert ours.plain is not None
+    library = ours.library
+    rnd = random.Random(3)
+    parts = ["a", "b", " ", "  ", "\n", "'s", "'LL", "<|endoftext|>", "\u00a0", "\u0085", "é", "ß", "1", "²", "½", "漢",
+             "😀", "\x1c", "\x00", "\u200b", "!", "\u0301", "ʰ", "_", " of", "ing", "×", "aaaaaaa", "      ", "ÿ", "ſ"]
+    latin = [p for p in parts if ours.latin(p)]
+    texts = ["".join(rnd.choice(some) for _ in range(rnd.randint(0, 60))) for some in (parts, latin) for _ in range(3000)]
+    texts += ["", "a" * 5000, " " * 4001, "ab" * 3000, "word " * 20_000, "é" * 700]
+    for text in texts:
+        assert ours.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
 def test_a_length_that_most_rows_share(spark):
     pieces = spark.range(0, 20_000, numPartitions=16).selectExpr("id", "if(id % 3 = 0, id % 50 + 1, 7) AS length")
     rows = packing.pack(pieces, capacity=50).collect()
