@@ -13,6 +13,7 @@ from telewatch.llm import (
     license_scan,
     line_dedup,
     packing,
+    prefix_trie,
     quality,
     sharding,
     simhash,
@@ -32,6 +33,7 @@ _QUERIES = {
     "op8_html_extraction": (html_extract.op8_html_extraction, None),
     "op9_line_dedup": (line_dedup.op9_line_dedup, line_dedup.ORACLE),
     "op12_packing": (packing.op12_packing, None),
+    "op13_prefix_trie": (prefix_trie.op13_prefix_trie, None),
 }
 
 
