@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from telewatch.llm import (
     bpe,
+    collocations,
     decontaminate,
     html_extract,
     license_scan,
@@ -32,6 +33,7 @@ _QUERIES = {
     "op6_license_scan": (license_scan.op6_license_scan, license_scan.ORACLE),
     "op8_html_extraction": (html_extract.op8_html_extraction, None),
     "op9_line_dedup": (line_dedup.op9_line_dedup, line_dedup.ORACLE),
+    "op11_collocations": (collocations.op11_collocations, collocations.ORACLE),
     "op12_packing": (packing.op12_packing, None),
     "op13_prefix_trie": (prefix_trie.op13_prefix_trie, None),
 }
