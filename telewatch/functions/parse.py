@@ -82,6 +82,28 @@ def is_rejected() -> Column:
     return bad
 
 
+def reject_reasons() -> Column:
+    """Q6: why :func:`is_rejected` holds, as an array: ``malformed`` (not a JSON
+    object, or none at all), or ``missing:<column>`` and ``too_long:<column>`` for
+    each; a time that does not parse is ``bad:event_timestamp``.  A field of a
+    wrong type is missing.  Empty for accepted rows.  Needs ``json_value``."""
+    text = F.col("json_value")
+    value = F.try_parse_json(text)
+    malformed = F.coalesce(~F.schema_of_variant(value).startswith("OBJECT"), F.lit(True))
+    reasons = []
+    for c in REQUIRED_WIRE:
+        if c == "event_timestamp":
+            given = F.try_variant_get(value, "$.timestamp", "string").isNotNull()
+            name = F.when(given, F.lit(f"bad:{c}")).otherwise(F.lit(f"missing:{c}"))
+        else:
+            name = F.lit(f"missing:{c}")
+        reasons.append(F.when(F.col(c).isNull(), name))
+    for c, n in WIRE_WIDTHS.items():
+        reasons.append(F.when(F.length(F.col(c)) > F.lit(n), F.lit(f"too_long:{c}")))
+    found = F.filter(F.array(*reasons), lambda r: r.isNotNull())
+    return F.when(malformed, F.array(F.lit("malformed"))).otherwise(found)
+
+
 def split_rejects(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Q6 quarantine split → (accepted, rejected).
 

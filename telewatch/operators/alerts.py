@@ -12,6 +12,8 @@ functions are interpreted and take the Generate out of code generation
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,8 +33,8 @@ def alert_id(event_id: Column | None = None, rule_id: Column | None = None) -> C
     return F.when(event_id.isNotNull(), F.md5(F.concat_ws("|", event_id, rule_id)))
 
 
-def detect_alerts(events: DataFrame, rules=DEFAULT_RULES) -> DataFrame:
-    """Telemetry rows → alert rows (ALERT_COLUMNS).
+def detect_alerts(events: DataFrame, rules=DEFAULT_RULES, keep: Sequence[str] = ()) -> DataFrame:
+    """Telemetry rows → alert rows (ALERT_COLUMNS, and the columns to ``keep``).
 
     ``rules`` is data (A6): append a ``Rule`` to extend.  Events that fire no
     rule produce no row; an event firing n rules produces n rows.
@@ -44,6 +46,7 @@ def detect_alerts(events: DataFrame, rules=DEFAULT_RULES) -> DataFrame:
         "device_id",
         "device_type",
         "region",
+        *keep,
         F.explode(candidates(rules)).alias("_alert"),
     ).filter(F.col("_alert").isNotNull())
     return exploded.select(
@@ -56,6 +59,7 @@ def detect_alerts(events: DataFrame, rules=DEFAULT_RULES) -> DataFrame:
         F.col("_alert.alert_type").alias("alert_type"),
         F.col("_alert.severity").alias("severity"),
         F.col("_alert.description").alias("description"),
+        *keep,
     )
 
 

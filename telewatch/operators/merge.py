@@ -18,13 +18,21 @@ from telewatch.schemas import SUMMARY_COLUMNS, SUMMARY_KEY, SUMMARY_UPDATE_COLUM
 
 
 def unique_append(batch: DataFrame, target: DataFrame | None, key: Sequence[str]) -> DataFrame:
-    """K9: the rows of ``batch`` a primary key on ``key`` would accept —
-    first occurrence within the batch, and none already in ``target``.
+    """K9: the rows of ``batch`` a primary key on ``key`` would accept: one of
+    each key, and none already in ``target``.
 
+    Of rows with one key the least stays, by the batch's other columns in their
+    order, so a replay and every table that gets the same rows choose alike.
     ``target`` should already be restricted to the partitions the batch can
     collide with (same event dates); the anti-join then reads only those.
     """
-    deduped = batch.dropDuplicates(list(key))
+    others = [c for c in batch.columns if c not in key]
+    ordered = [c for c in others if batch.schema[c].dataType.typeName() not in ("map", "variant")]
+    if others:
+        least = batch.groupBy(*key).agg(F.min_by(F.struct(*others), F.struct(F.lit(0), *ordered)).alias("_least"))
+    else:
+        least = batch.distinct()
+    deduped = least.select(*[F.col(c) if c in key else F.col(f"_least.{c}").alias(c) for c in batch.columns])
     if target is None:
         return deduped
     return deduped.join(target.select(*key).dropDuplicates(list(key)), list(key), "left_anti")
@@ -32,8 +40,8 @@ def unique_append(batch: DataFrame, target: DataFrame | None, key: Sequence[str]
 
 def insert_if_absent(new: DataFrame, existing: DataFrame, key: Sequence[str]) -> DataFrame:
     """``ON CONFLICT (key) DO NOTHING`` — rows of ``new`` whose key is
-    not in ``existing`` (one per key)."""
-    return new.dropDuplicates(list(key)).join(existing.select(*key), list(key), "left_anti")
+    not in ``existing`` (one per key, chosen as in ``unique_append``)."""
+    return unique_append(new, existing, key)
 
 
 def with_defaults(df: DataFrame, defaults: dict[str, Column]) -> DataFrame:

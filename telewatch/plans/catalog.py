@@ -9,11 +9,14 @@ comparison with the SQL oracle does not depend on summation order.
 
 from __future__ import annotations
 
+import contextlib
 import dataclasses
 import datetime as dt
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -26,10 +29,11 @@ from telewatch.operators import dashboard as dash
 from telewatch.operators import quality, report, rollup
 from telewatch.operators.alerts import alert_count, detect_alerts
 from telewatch.operators.merge import unique_append, upsert_summary, with_defaults
-from telewatch.plans import dashboard
+from telewatch.plans import dashboard, health
 from telewatch.plans.daily import append_alerts, run_range
 from telewatch.schemas import (
     ALERT_COLUMNS,
+    EVENT_WIRE_SCHEMA,
     PRIMARY_KEYS,
     PROCESSED_EVENT_COLUMNS,
     RAW_EVENT_COLUMNS,
@@ -37,11 +41,13 @@ from telewatch.schemas import (
     STRING_WIDTHS,
 )
 from telewatch.session import configure, scratch_path
-from telewatch.sources.devices import read_devices, seed_devices, update_devices
+from telewatch.sources.devices import read_devices, register_devices, seed_devices, update_devices
 from telewatch.sources.fixtures import kafka_frame_from_events, read_events, telemetry_from_events
+from telewatch.sources.registry import EventRegistry
 from telewatch.sources.tables import Warehouse
-from telewatch.streaming.jobs import run_available, start_alerting, start_ingestion, stream_checkpoint
-from telewatch.streaming.sources import kafka_files_stream
+from telewatch.streaming.jobs import held_events, readmit, run_available, start_alerting, start_ingestion, stream_checkpoint
+from telewatch.streaming.sources import KAFKA_SCHEMA, kafka_files_stream
+from telewatch.streaming.supervise import append_history, attach_listener, read_history
 
 ROUND_PLACES = 6
 
@@ -596,3 +602,154 @@ def q8(fx: Fixture) -> DataFrame:
     """The latest non-null CPU value of each device."""
     order = F.struct("event_timestamp", "event_id")
     return fx.raw.groupBy("device_id").agg(last_not_null(F.col("cpu_usage"), order).alias("value"))
+
+
+# --- phase 6: histories, gates, versions -------------------------------------
+
+
+def _resent(frame: DataFrame, shift: int, **changes: Column) -> DataFrame:
+    """Well-formed messages once more, at later offsets, with changed fields."""
+    parsed = frame.withColumn("d", F.from_json(F.col("value").cast("string"), EVENT_WIRE_SCHEMA)).where("d.event_id IS NOT NULL")
+    value = F.to_json(F.struct(*[changes.get(f.name, F.col(f"d.{f.name}")).alias(f.name) for f in EVENT_WIRE_SCHEMA]))
+    return parsed.withColumns({"value": value.cast("binary"), "offset": F.col("offset") + shift}).select(*KAFKA_SCHEMA.names)
+
+
+@register("k9_one_version_per_id")
+def k9_one_version(fx: Fixture) -> DataFrame:
+    """Every fifth event comes again later with another payload and on another
+    day, and every seventh under a new id twice, with two payloads.  All tables
+    hold the first version of each id, and only that."""
+    wh, files = _warehouse(fx), _kafka_files(fx)
+    for which in ("ingestion", "alerting"):
+        _run_stream(fx, which, wh, files)
+    EventRegistry(fx.spark, wh.root).fold()
+    frame = kafka_frame_from_events(fx.events)
+    other = {"timestamp": F.lit("2031-05-05T05:05:05.000Z"), "cpu_usage": F.lit(99.5), "latency_ms": F.lit(1.0), "status": F.lit("UP")}
+    fifth, seventh = frame.where("offset % 5 = 0"), frame.where("offset % 7 = 0")
+    new_id = F.concat(F.lit("n-"), F.col("d.event_id"))
+    later = _resent(fifth, 10**9, **other).unionByName(_resent(fifth, 2 * 10**9, **other))
+    later = later.unionByName(_resent(seventh, 3 * 10**9, event_id=new_id)).unionByName(_resent(seventh, 4 * 10**9, event_id=new_id, **other))
+    later.coalesce(1).write.mode("append").parquet(files)
+    for which in ("ingestion", "alerting"):
+        _run_stream(fx, which, wh, files)
+    cpu = F.coalesce(F.when(F.col("cpu_usage").isNotNull(), F.format_string("%.2f", "cpu_usage")), F.lit("null"))
+    detail = {"raw_network_events": cpu, "processed_network_events": F.col("health_status"),
+              "alerts": F.col("alert_type"), "silver_alerts": F.col("alert_type")}
+    rows = [
+        wh.read(t).select(
+            F.lit(t).alias("table_name"), "event_id",
+            F.col("alert_timestamp" if "alert" in t else "event_timestamp").cast("timestamp_ntz").alias("event_timestamp"),
+            c.alias("detail"),
+        )
+        for t, c in detail.items()
+    ]
+    return _union(rows)
+
+
+@register("g15_arrivals")
+def g15_arrivals(fx: Fixture) -> DataFrame:
+    """The gate over the table of arrivals of a bulk load."""
+    wh, now = _stored(fx)
+    return health.freshness_status(fx.spark, wh.root, now)
+
+
+@register("k11_register_devices")
+def k11_register(fx: Fixture) -> DataFrame:
+    """Devices offered twice over: known ones stay, new ones come in once."""
+    wh = _warehouse(fx)
+    offered = fx.raw.select("device_id", "device_type", F.lit("Elsewhere").alias("region")).unionByName(
+        fx.raw.select(F.concat(F.lit("NEW-"), "device_id").alias("device_id"), "device_type", "region")
+    )
+    for _ in range(2):
+        register_devices(wh, offered)
+    return read_devices(wh).drop("first_seen_at", "last_seen_at")
+
+
+@register("j2_device_gate")
+def j2_gate(fx: Fixture) -> DataFrame:
+    """Every eleventh event names a device that the dimension lacks: such events
+    are held.  One of the two devices then appears, and its events come in."""
+    wh, path = _warehouse(fx), scratch_path(fx.spark, "kafka-frame")
+    frame, gone = kafka_frame_from_events(fx.events), F.col("offset") % 11 == 0
+    ghost = F.concat(F.lit("GHOST-"), (F.col("offset") % 2).cast("string"))
+    _resent(frame.where(gone), 0, device_id=ghost).unionByName(frame.where(~gone)).write.parquet(path)
+    for which, start in (("ingestion", start_ingestion), ("alerting", start_alerting)):
+        source = kafka_files_stream(fx.spark, path)
+        run_available(start(source, wh, stream_checkpoint(wh.root, which), trigger={"availableNow": True},
+                            name=f"gated_{which}_{id(wh)}", require_known_devices=True))
+
+    def tables(stage: str) -> DataFrame:
+        names = ("raw_network_events", "processed_network_events", "alerts")
+        frames = [wh.read(t).select(F.lit(t).alias("table_name"), "device_id") for t in names]
+        rows = _union([*frames, held_events(wh).select(F.lit("held_events").alias("table_name"), "device_id")])
+        return rows.groupBy(F.lit(stage).alias("stage"), "table_name", "device_id").agg(F.count(F.lit(1)).alias("rows"))
+
+    before = scratch_path(fx.spark, "gate-before")
+    tables("before").write.parquet(before)
+    register_devices(wh, fx.spark.createDataFrame([("GHOST-0", "router", "Cairo")], "device_id STRING, device_type STRING, region STRING"))
+    for _ in range(2):
+        readmit(wh)
+    return fx.spark.read.parquet(before).unionByName(tables("after"))
+
+
+@register("j3_differing_days")
+def j3_days(fx: Fixture) -> DataFrame:
+    """On even days processed lacks the events of ``k`` = 14 and raw those of 15;
+    the other days agree and are not read."""
+    wh, k = _warehouse(fx), F.col("fixture_k")
+    even = F.day("event_timestamp") % 2 == 0
+    wh.append("raw_network_events", _instants(fx.marked.where(~(k.eqNullSafe(15) & even)).select(*RAW_EVENT_COLUMNS, "ingested_at")))
+    processed = enrich(fx.marked).where(~(k.eqNullSafe(14) & even)).select(*PROCESSED_EVENT_COLUMNS, F.col("ingested_at").alias("processed_at"))
+    wh.append("processed_network_events", _instants(processed))
+    for name in ("raw_digests", "processed_digests"):
+        wh.roll_up(name)
+    return health.reconcile_tables(wh)
+
+
+@register("q6_reject_reasons")
+def q6_reasons(fx: Fixture) -> DataFrame:
+    """Rejects by reason, and what bronze keeps of fields of a wrong type."""
+    wh, path, o = _warehouse(fx), scratch_path(fx.spark, "kafka-frame"), F.col("offset")
+    text = F.col("value").cast("string")
+    text = F.when(o % 13 == 0, F.regexp_replace(text, '"region":"[^"]*",', "")).otherwise(text)
+    text = F.when(o % 17 == 0, F.regexp_replace(text, '"device_id":"', '"device_id":"much-too-long-a-name-')).otherwise(text)
+    text = F.when(o % 19 == 0, F.regexp_replace(text, '"timestamp":"[^"]*"', '"timestamp":"soon"')).otherwise(text)
+    text = F.when(o % 23 == 0, F.regexp_replace(text, '"temperature":[0-9.]+', '"temperature":"hot","fan":7')).otherwise(text)
+    kafka_frame_from_events(fx.events).withColumn("value", text.cast("binary")).write.parquet(path)
+    source = kafka_files_stream(fx.spark, path)
+    run_available(start_ingestion(source, wh, stream_checkpoint(wh.root, "ingestion"), trigger={"availableNow": True}, name=f"reasons_{id(wh)}"))
+    rejected = wh.read("rejects").select(F.explode("reasons").alias("reason"))
+    fan = F.try_variant_get("payload", "$.fan", "int") == 7
+    hot = F.col("temperature").isNull() & (F.try_variant_get("payload", "$.temperature", "string") == "hot") & fan
+    kept = wh.read("bronze").where(hot).select(F.lit("kept in bronze").alias("reason"))
+    return rejected.unionByName(kept).groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("t6_stream_history")
+def t6_history(fx: Fixture) -> DataFrame:
+    """The history after one stream that ended well and one that failed."""
+    root, files, listener = scratch_path(fx.spark, "history"), _kafka_files(fx), attach_listener(fx.spark)
+
+    def broken(batch: DataFrame, batch_id: int) -> None:
+        raise ValueError("the sink is down")
+
+    try:
+        for name, sink in (("good", None), ("bad", broken)):
+            writer = kafka_files_stream(fx.spark, files).writeStream.queryName(f"{name}_{id(fx)}").trigger(availableNow=True)
+            writer = writer.option("checkpointLocation", f"{root}/{name}")
+            query = (writer.format("noop") if sink is None else writer.foreachBatch(sink)).start()
+            with contextlib.suppress(StreamingQueryException):
+                query.awaitTermination()
+        until = time.monotonic() + 30
+        while time.monotonic() < until and sum(s.get("state") in ("stopped", "failed") for s in listener.snapshot().values()) < 2:
+            time.sleep(0.2)  # reports arrive after the queries' ends
+    finally:
+        fx.spark.streams.removeListener(listener)
+    append_history(fx.spark, listener, root)
+    history = read_history(fx.spark, root).withColumn("query", F.substring_index("query_name", "_", 1))
+    return history.groupBy("query").agg(
+        F.max(F.when(F.col("kind").isin("stopped", "failed"), F.col("kind"))).alias("ended"),
+        F.count_if(F.col("kind") == "started").alias("starts"),
+        F.coalesce(F.sum(F.when(F.col("kind") == "progress", F.col("input_rows"))), F.lit(0).cast("bigint")).alias("input_rows"),
+        F.coalesce(F.max(F.col("exception").contains("the sink is down")), F.lit(False)).alias("reason_kept"),
+    )

@@ -2,13 +2,14 @@
 
 ``run_daily(spark, root, ds)`` is the scheduled task body: it reads only the
 ``ds`` partitions of the raw and alert tables, upserts that day's summary
-rows (staged, then swapped in with dynamic partition overwrite) and writes
+rows (a new version of the day, committed by a marker) and writes
 the day's report.  ``run_range`` backfills many days in one job — the same
 plan, grouped by (date, device) instead of one date at a time.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +19,7 @@ from telewatch.operators.rollup import daily_alert_counts_from_rollup, daily_sum
 from telewatch.schemas import SUMMARY_COLUMNS
 from telewatch.session import configure
 from telewatch.sources.devices import update_devices
+from telewatch.sources.registry import EventRegistry
 from telewatch.sources.tables import ROLLUPS, Warehouse
 
 SUMMARY = "daily_monitoring_summary"
@@ -117,6 +119,7 @@ def run_daily(spark: SparkSession, root: str, ds, report_dir: str | None = None)
     its summary, then write its report."""
     configure(spark)
     wh = Warehouse(spark, root)
+    EventRegistry(spark, wh.root).fold()
     update_devices(wh, ds, ds)
     roll_up_days(wh, ds, ds)
     upsert_days(wh, ds)
@@ -151,5 +154,10 @@ def roll_up_days(wh: Warehouse, start=None, end=None) -> dict[str, list[str]]:
 
 def append_alerts(wh: Warehouse, alerts: DataFrame) -> None:
     """Batch writer for alerts (e.g. a backfill with new rules): appends the
-    rows whose ids ``alerts`` lacks.  Running it twice adds nothing."""
-    wh.append_unique("alerts", alerts.withColumn("created_at", F.current_timestamp()))
+    rows whose ids ``alerts`` lacks.  Running it twice adds nothing.  The input is
+    read more than once, so it is kept meanwhile."""
+    rows = alerts.withColumn("created_at", F.current_timestamp()).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        wh.append_unique("alerts", rows)
+    finally:
+        rows.unpersist()

@@ -380,6 +380,78 @@ WHERE NOT EXISTS (SELECT 1 FROM dev WHERE dev.device_id = f.device_id)"""
     }
 
 
+_GHOSTS = """, ghosts AS (
+    SELECT * REPLACE (CASE WHEN CAST(event_id AS BIGINT) % 11 = 0 AND fixture_k IS DISTINCT FROM 97
+                           THEN concat('GHOST-', CAST(event_id AS BIGINT) % 2) ELSE device_id END AS device_id)
+    FROM enr WHERE fixture_k IS DISTINCT FROM 97),
+fired AS (SELECT event_id, count(*) AS n FROM alerts_t GROUP BY event_id),
+counted AS (
+    SELECT 'raw_network_events' AS table_name, device_id, count(*) AS rows FROM ghosts GROUP BY ALL
+    UNION ALL SELECT 'processed_network_events', device_id, count(*) FROM ghosts GROUP BY ALL
+    UNION ALL SELECT 'alerts', device_id, CAST(sum(n) AS BIGINT) FROM ghosts JOIN fired USING (event_id) GROUP BY ALL),
+held AS (SELECT 'held_events' AS table_name, device_id, rows FROM counted WHERE table_name = 'raw_network_events')
+"""
+
+# The versions that win: the first of each id; every seventh event also under a new id.
+_VERSIONS = """, won AS (
+    SELECT event_id, event_id AS old_id FROM enr WHERE fixture_k IS DISTINCT FROM 97
+    UNION ALL
+    SELECT concat('n-', event_id), event_id FROM enr
+    WHERE fixture_k IS DISTINCT FROM 97 AND CAST(event_id AS BIGINT) % 7 = 0),
+versions AS (
+    SELECT w.event_id, date_trunc('millisecond', e.event_timestamp) AS event_timestamp, w.old_id, e.cpu_usage, e.health_status
+    FROM won w JOIN enr e ON e.event_id = w.old_id)
+"""
+
+
+def _history_queries() -> dict[str, str]:
+    alert_rows = "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, v.event_id, v.event_timestamp, a.alert_type AS detail FROM versions v JOIN alerts_t a ON a.event_id = v.old_id"
+        for t in ("alerts", "silver_alerts")
+    )
+    device_rows = "\nUNION ALL\n".join(
+        [
+            "SELECT 'before' AS stage, * FROM counted WHERE device_id NOT LIKE 'GHOST%'",
+            "SELECT 'before', * FROM held WHERE device_id LIKE 'GHOST%'",
+            "SELECT 'after', * FROM counted WHERE device_id <> 'GHOST-1'",
+            "SELECT 'after', * FROM held WHERE device_id = 'GHOST-1'",
+        ]
+    )
+    return {
+        "k9_one_version_per_id": _q(
+            _VERSIONS
+            + f"""SELECT 'raw_network_events' AS table_name, event_id, event_timestamp,
+       CASE WHEN cpu_usage IS NULL THEN 'null' ELSE printf('%.2f', cpu_usage) END AS detail FROM versions
+UNION ALL SELECT 'processed_network_events', event_id, event_timestamp, health_status FROM versions
+UNION ALL {alert_rows}"""
+        ),
+        "k11_register_devices": _q(
+            """SELECT device_id, device_type, region, 'UP' AS current_status FROM dev
+UNION ALL SELECT DISTINCT concat('NEW-', device_id), device_type, region, 'UP' FROM tel"""
+        ),
+        "j2_device_gate": _q(_GHOSTS + device_rows),
+        "j3_differing_days": _q(
+            """SELECT CAST(event_timestamp AS DATE) AS event_date,
+       count(*) FILTER (WHERE fixture_k IS NULL OR fixture_k NOT IN (14, 15)) AS in_both,
+       count(*) FILTER (WHERE fixture_k = 15) AS processed_only, count(*) FILTER (WHERE fixture_k = 14) AS raw_only
+FROM tel WHERE day(event_timestamp) % 2 = 0 GROUP BY 1 HAVING count(*) FILTER (WHERE fixture_k IN (14, 15)) > 0"""
+        ),
+        "q6_reject_reasons": _q(
+            """, numbered AS (SELECT CAST(event_id AS BIGINT) AS i, fixture_k IS NOT DISTINCT FROM 97 AS broken FROM tel),
+reasons AS (
+    SELECT 'malformed' AS reason FROM numbered WHERE broken
+    UNION ALL SELECT 'missing:region' FROM numbered WHERE NOT broken AND i % 13 = 0
+    UNION ALL SELECT 'too_long:device_id' FROM numbered WHERE NOT broken AND i % 17 = 0
+    UNION ALL SELECT 'bad:event_timestamp' FROM numbered WHERE NOT broken AND i % 19 = 0
+    UNION ALL SELECT 'kept in bronze' FROM numbered WHERE NOT broken AND i % 23 = 0)
+SELECT reason, count(*) AS rows FROM reasons GROUP BY 1"""
+        ),
+        "t6_stream_history": """SELECT 'good' AS query, 'stopped' AS ended, CAST(1 AS BIGINT) AS starts, count(*) AS input_rows,
+       false AS reason_kept FROM events
+UNION ALL SELECT 'bad', 'failed', CAST(1 AS BIGINT), CAST(0 AS BIGINT), true""",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     q = {
         "g11_alerts_by_severity": _q(
@@ -565,4 +637,5 @@ WHERE t.fixture_k IS DISTINCT FROM 97 GROUP BY a.severity ORDER BY count DESC, a
         ),
     }
     q["q7_kpi_row_stored"] = q["q7_kpi_panel"]
-    return q | _stored_queries()
+    q["g15_arrivals"] = q["g15_freshness"]
+    return q | _stored_queries() | _history_queries()

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    ArrayType,
     DataType,
     DateType,
+    DecimalType,
     DoubleType,
     IntegerType,
     LongType,
@@ -12,6 +14,7 @@ from pyspark.sql.types import (
     StructField,
     StructType,
     TimestampType,
+    VariantType,
 )
 
 METRIC_COLUMNS = (
@@ -181,7 +184,7 @@ _KAFKA_FIELDS = [
 TABLE_SCHEMAS = {
     "bronze": StructType(
         [*_KAFKA_FIELDS, *_fields(*RAW_EVENT_COLUMNS, "bandwidth_utilization_pct", "health_status"),
-         StructField("ingest_date", DateType())]
+         StructField("payload", VariantType()), StructField("ingest_date", DateType())]
     ),
     "raw_network_events": StructType(
         [*_fields(*RAW_EVENT_COLUMNS, "ingested_at"), StructField("event_date", DateType())]
@@ -196,8 +199,26 @@ TABLE_SCHEMAS = {
          StructField("alert_date", DateType())]
     ),
     "event_counts": StructType([StructField("events", LongType()), StructField("event_date", DateType())]),
+    **{
+        name: StructType(
+            [StructField("rows", LongType()), StructField("bits", LongType()), StructField("total", DecimalType(38, 0)),
+             StructField("event_date", DateType())]
+        )
+        for name in ("raw_digests", "processed_digests")
+    },
+    "arrivals": StructType(
+        [StructField("source", StringType()), StructField("batch_id", LongType()), StructField("arrived_at", TimestampType()),
+         StructField("rows", LongType()), StructField("arrival_date", DateType())]
+    ),
     "rejects": StructType(
-        [*_KAFKA_FIELDS, *_fields("json_value", "rejected_at"), StructField("ingest_date", DateType())]
+        [*_KAFKA_FIELDS, *_fields("json_value"), StructField("reasons", ArrayType(StringType())), *_fields("rejected_at"),
+         StructField("ingest_date", DateType())]
+    ),
+    "held_events": StructType(
+        [*_KAFKA_FIELDS[1:], *_fields(*RAW_EVENT_COLUMNS, "held_at"), StructField("ingest_date", DateType())]
+    ),
+    "released_events": StructType(
+        [*_KAFKA_FIELDS[1:], *_fields("event_id", "released_at"), StructField("ingest_date", DateType())]
     ),
     "daily_monitoring_summary": SUMMARY_SCHEMA,
 }

@@ -90,3 +90,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the checkpoint root."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
+
+
+def hadoop_fs(spark: SparkSession, path: str):
+    """The file system of a path, and the path as that file system's."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = hadoop_fs(spark, path)
+    return fs.exists(p)

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telewatch.sources.tables import hadoop_fs, path_exists
+from telewatch.operators.merge import insert_if_absent
+from telewatch.sources.versions import Versions
 
 # The 26 seeded devices (id, type, region), in seed order.
 # The order is part of the test fixture: device number n (0-25) is row n.
@@ -41,6 +40,7 @@ SEED_DEVICES = [
 ]
 
 DEVICE_SCHEMA = "device_id STRING, device_type STRING, region STRING"
+DIMENSION_SCHEMA = f"{DEVICE_SCHEMA}, current_status STRING, first_seen_at TIMESTAMP, last_seen_at TIMESTAMP"
 
 
 def seed_devices(spark: SparkSession) -> DataFrame:
@@ -65,45 +65,47 @@ def observed_devices(telemetry: DataFrame) -> DataFrame:
     ).select("device_id", "_first.device_type", "_first.region", "first_seen_at", "last_seen_at")
 
 
+def register_devices(wh, devices: DataFrame) -> None:
+    """Insert devices (id, type, region) that the dimension lacks; known ones
+    stay as they are.  Of several rows of one id the least counts."""
+    existing = read_devices(wh)
+    never = F.lit(None).cast("timestamp")
+    rows = devices.select(
+        "device_id", "device_type", "region", F.lit("UP").alias("current_status"),
+        never.alias("first_seen_at"), never.alias("last_seen_at"),
+    )
+    _versions(wh).write(existing.unionByName(insert_if_absent(rows, existing, ["device_id"])))
+
+
 def merge_devices(existing: DataFrame, telemetry: DataFrame) -> DataFrame:
-    """K11 on the dimension: devices of the telemetry that ``existing`` lacks
-    are inserted; known ones keep type, region and status, and their times
-    seen widen."""
-    seen = observed_devices(telemetry).select(
-        F.col("device_id").alias("_id"), F.col("device_type").alias("_type"), F.col("region").alias("_region"),
-        F.col("first_seen_at").alias("_first"), F.col("last_seen_at").alias("_last"),
-    )
-    joined = existing.join(seen, existing.device_id == seen._id, "full_outer")
-    known = F.col("device_id").isNotNull()
-    return joined.select(
-        F.coalesce("device_id", "_id").alias("device_id"),
-        F.when(known, F.col("device_type")).otherwise(F.col("_type")).alias("device_type"),
-        F.when(known, F.col("region")).otherwise(F.col("_region")).alias("region"),
-        F.when(known, F.col("current_status")).otherwise(F.lit("UP")).alias("current_status"),
-        F.least("first_seen_at", "_first").alias("first_seen_at"),
-        F.greatest("last_seen_at", "_last").alias("last_seen_at"),
+    """Devices of the telemetry that ``existing`` lacks are inserted (K11); known
+    ones keep type, region and status, and their times seen widen."""
+    seen = observed_devices(telemetry)
+    columns = [c.strip().split(" ")[0] for c in DIMENSION_SCHEMA.split(",")]
+    new = insert_if_absent(seen.withColumn("current_status", F.lit("UP")), existing, ["device_id"])
+    times = seen.select("device_id", F.col("first_seen_at").alias("_first"), F.col("last_seen_at").alias("_last"))
+    known = existing.join(times, "device_id", "left").withColumns(
+        {"first_seen_at": F.least("first_seen_at", "_first"), "last_seen_at": F.greatest("last_seen_at", "_last")}
     )
+    return known.select(*columns).unionByName(new.select(*columns))
+
+
+def _versions(wh) -> Versions:
+    return Versions(wh.spark, f"{wh.root}/devices", DIMENSION_SCHEMA)
 
 
 def read_devices(wh) -> DataFrame:
     """The stored dimension of a warehouse; before the first update the seed,
     not seen yet."""
-    path = f"{wh.root}/devices"
-    if path_exists(wh.spark, path):
-        return wh.spark.read.parquet(path)
+    stored = _versions(wh).read()
+    if stored is not None:
+        return stored
     never = F.lit(None).cast("timestamp")
     return seed_devices(wh.spark).select("*", never.alias("first_seen_at"), never.alias("last_seen_at"))
 
 
 def update_devices(wh, start=None, end=None) -> None:
     """Merge the raw events of a date range into the stored dimension.  Widening
-    is idempotent, so a day may be merged again.  The new version is written
-    beside the old one, then takes its place."""
-    merged = merge_devices(read_devices(wh), wh.read("raw_network_events", start, end))
-    staged = f"{wh.root}/_devices-{uuid.uuid4().hex[:12]}"
-    merged.write.parquet(staged)
-    fs, new = hadoop_fs(wh.spark, staged)
-    _, path = hadoop_fs(wh.spark, f"{wh.root}/devices")
-    fs.delete(path, True)
-    if not fs.rename(new, path):
-        raise RuntimeError(f"could not move {staged} to {path}")
+    is idempotent, so a day may be merged again.  The merged dimension is a new
+    version; until it is committed the one before stands."""
+    _versions(wh).write(merge_devices(read_devices(wh), wh.read("raw_network_events", start, end)))

@@ -15,9 +15,16 @@ they have a partition for.  An append to a source day drops that day's roll-up
 before and after it writes; readers count uncovered days from the source
 itself, so a missing roll-up costs time and never an answer.
 
-Writes never overwrite the path they read: a partition rewrite is staged
-under the shared checkpoint folder first, then swapped in with dynamic
-partition overwrite, so a crash mid-write leaves the old partition intact.
+Tables whose days are rewritten (the summary and the roll-ups) keep versions of
+a day: a new one is written beside the old one and holds when its marker file
+exists, so a crash at any point leaves each day as it was or as it should be.
+The version before stays for readers that have begun.  Other tables' partitions
+are staged under the shared checkpoint folder and swapped in with dynamic
+partition overwrite, which is not safe against a crash between its delete and
+its move; only tests rewrite those.
+
+Every append to the raw table is noted in ``arrivals``, by arrival date: when
+rows came in and how many, so the freshness gate opens no raw file.
 """
 
 from __future__ import annotations
@@ -25,6 +32,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import math
+import time
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
@@ -36,8 +44,10 @@ from pyspark.sql.types import StructType
 from telewatch.functions.timecols import as_date
 from telewatch.operators.dashboard import alert_count_partials
 from telewatch.operators.merge import unique_append
+from telewatch.operators.quality import key_digests
 from telewatch.schemas import TABLE_SCHEMAS
-from telewatch.session import scratch_path
+from telewatch.session import hadoop_fs, path_exists, scratch_path
+from telewatch.sources.versions import create_marker, delete, names_under
 
 NULL_DAY = "__HIVE_DEFAULT_PARTITION__"
 
@@ -49,6 +59,7 @@ class TableSpec:
     date_col: str
     ts_col: str | None
     key: tuple[str, ...]
+    versioned: bool = False  # days are rewritten as a whole
 
     @property
     def schema(self) -> StructType:
@@ -73,14 +84,21 @@ TABLES = {
         TableSpec("alerts", "alerts", "alert_date", "alert_timestamp", ("alert_id",)),
         TableSpec(
             "alert_counts", "gold/alert_counts", "alert_date", None,
-            ("alert_date", "device_id", "region", "severity"),
+            ("alert_date", "device_id", "region", "severity"), True,
         ),
-        TableSpec("event_counts", "gold/event_counts", "event_date", None, ("event_date",)),
+        TableSpec("event_counts", "gold/event_counts", "event_date", None, ("event_date",), True),
+        TableSpec("raw_digests", "gold/raw_digests", "event_date", None, ("event_date",), True),
+        TableSpec("processed_digests", "gold/processed_digests", "event_date", None, ("event_date",), True),
+        # One row for each batch (or arrival time of a bulk load) of the raw table.
+        TableSpec("arrivals", "arrivals", "arrival_date", "arrived_at", ("source", "batch_id", "arrived_at")),
+        # Events of devices that the dimension lacks, and those of them stored since.
+        TableSpec("held_events", "held_events", "ingest_date", "kafka_timestamp", ("kafka_partition", "kafka_offset")),
+        TableSpec("released_events", "released_events", "ingest_date", "kafka_timestamp", ("kafka_partition", "kafka_offset")),
         # Rejects are dated by the Kafka message time: stable across replays.
         TableSpec("rejects", "rejects", "ingest_date", "kafka_timestamp", ("kafka_partition", "kafka_offset")),
         TableSpec(
             "daily_monitoring_summary", "daily_monitoring_summary", "summary_date", None,
-            ("summary_date", "device_id"),
+            ("summary_date", "device_id"), True,
         ),
     )
 }
@@ -90,24 +108,19 @@ def _event_counts(events: DataFrame) -> DataFrame:
     return events.groupBy("event_date").agg(F.count(F.lit(1)).alias("events"))
 
 
+def _digests(events: DataFrame) -> DataFrame:
+    return key_digests(events, "event_date", "event_id")
+
+
 # roll-up -> (source table, its rows from the source's rows)
 ROLLUPS = {
     "alert_counts": ("alerts", alert_count_partials),
     "event_counts": ("raw_network_events", _event_counts),
+    "raw_digests": ("raw_network_events", _digests),
+    "processed_digests": ("processed_network_events", _digests),
 }
 
 
-def hadoop_fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = hadoop_fs(spark, path)
-    return fs.exists(p)
-
-
 def _day(value) -> str | None:
     return None if value is None else str(value)[:10]
 
@@ -134,28 +147,49 @@ class Warehouse:
         """The table's day partitions within ``start``..``end`` (inclusive,
         either open), oldest first; rows without a day count only when both
         sides are open.  One listing of the table's own folder."""
-        fs, p = hadoop_fs(self.spark, self.path(table))
-        if not fs.exists(p):
-            return []
-        mark = f"{TABLES[table].date_col}="
-        names = (status.getPath().getName() for status in fs.listStatus(p))
-        found = sorted(n[len(mark):] for n in names if n.startswith(mark))
+        found = sorted(self._day_paths(table))
         low, high = _day(start), _day(end)
         if low is None and high is None:
             return found
         return [d for d in found if d != NULL_DAY and (low is None or d >= low) and (high is None or d <= high)]
 
+    def _day_paths(self, table: str) -> dict[str, str]:
+        """Where each day's files lie: one listing of the table's folder, and for
+        a versioned table one of its markers."""
+        spec, root = TABLES[table], self.path(table)
+        mark = f"{spec.date_col}="
+        out = {n[len(mark):]: f"{root}/{n}" for n in names_under(self.spark, root) if n.startswith(mark)}
+        if spec.versioned:
+            for day, versions in self._versions(table).items():
+                out[day] = f"{root}/v={versions[-1]}/{mark}{day}"
+        return out
+
+    def _versions(self, table: str) -> dict[str, list[str]]:
+        """The committed versions of each day, oldest first."""
+        out: dict[str, list[str]] = {}
+        for name in names_under(self.spark, f"{self.path(table)}/_days"):
+            day, version = name.split("=")
+            out.setdefault(day, []).append(version)
+        return out
+
     def day_path(self, table: str, day: str) -> str:
-        return f"{self.path(table)}/{TABLES[table].date_col}={day}"
+        return self._day_paths(table).get(day) or f"{self.path(table)}/{TABLES[table].date_col}={day}"
 
     def read_days(self, table: str, days: Iterable[str]) -> DataFrame:
         """Exactly these day partitions; other days are not listed."""
-        spec = TABLES[table]
-        paths = [self.day_path(table, d) for d in days]
-        if not paths:
+        spec, days = TABLES[table], list(days)
+        if not days:
             return self.spark.createDataFrame([], spec.schema)
+        if spec.versioned:
+            at = self._day_paths(table)
+            paths = [at[d] for d in days]
+        else:
+            paths = [f"{self.path(table)}/{spec.date_col}={d}" for d in days]
+        columns = spec.schema.names
         reader = self.spark.read.schema(spec.schema).option("basePath", self.path(table))
-        return reader.parquet(*paths)
+        old = [p for p in paths if "/v=" not in p]
+        parts = [reader.parquet(*some).select(*columns) for some in (old, [p for p in paths if p not in old]) if some]
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
     def read(self, table: str, start=None, end=None) -> DataFrame:
         """The table, restricted to dates ``start``..``end``
@@ -186,28 +220,49 @@ class Warehouse:
         day = F.coalesce(F.col(TABLES[table].date_col).cast("string"), F.lit(NULL_DAY))
         return sorted(r[0] for r in self.with_date(table, df).select(day).distinct().collect())
 
-    def append(self, table: str, df: DataFrame, days: list[str] | None = None) -> None:
+    def append(self, table: str, df: DataFrame, days: list[str] | None = None, arrivals: bool = True) -> None:
         """Append rows as new files in their date partitions, whatever the
         table holds.  No shuffle: each task writes its own rows; file count is
-        tamed by ``compact``."""
+        tamed by ``compact``.  Arrivals of raw rows are counted before the rows
+        are written and noted after, unless the caller notes them itself."""
         spec = TABLES[table]
         of_table = [name for name, (source, _) in ROLLUPS.items() if source == table]
+        rows = self.with_date(table, df)
         if of_table and days is None:
             days = self.days_of(table, df)
+        counted = None
+        if arrivals and table == "raw_network_events" and "ingested_at" in rows.columns:
+            counted = scratch_path(self.spark, "arrivals")
+            source = f"append-{uuid.uuid4().hex[:12]}"
+            rows.where("ingested_at IS NOT NULL").groupBy(F.col("ingested_at").cast("timestamp").alias("arrived_at")).agg(
+                F.count(F.lit(1)).alias("rows")
+            ).select(F.lit(source).alias("source"), F.lit(-1).cast("bigint").alias("batch_id"), "arrived_at", "rows").write.parquet(counted)
         for name in of_table:
             self.drop_days(name, days)
-        self.with_date(table, df).write.mode("append").partitionBy(spec.date_col).parquet(self.path(table))
+        rows.write.mode("append").partitionBy(spec.date_col).parquet(self.path(table))
         for name in of_table:
             self.drop_days(name, days)
-
-    def append_unique(self, table: str, df: DataFrame) -> None:
+        if counted is not None:
+            self.append("arrivals", self.spark.read.parquet(counted).coalesce(1))
+            delete(self.spark, counted)
+
+    def note_arrival(self, source: str, batch_id: int, arrived_at: str, rows: int) -> None:
+        """One row for a finished batch, once: ``arrived_at`` is an instant as text
+        with its offset from UTC."""
+        row = self.spark.createDataFrame([(source, batch_id, rows)], "source STRING, batch_id BIGINT, rows BIGINT")
+        row = row.withColumn("arrived_at", F.lit(arrived_at).cast("timestamp"))
+        self.append_unique("arrivals", row, [arrived_at[:10]])
+
+    def append_unique(self, table: str, df: DataFrame, days: list[str] | None = None, arrivals: bool = True) -> None:
         """K9: append the rows that a primary key on the table's key accepts:
-        the first of each key, and none that the days touched already hold.
-        The target is read for its key columns alone.  Rows with a NULL in
-        the key have no identity and are all kept."""
+        the first of each key (by the remaining columns, so that every run
+        chooses alike), and none that the days touched already hold.  The target
+        is read for its key columns alone.  Rows with a NULL in the key have no
+        identity and are all kept.  ``days``, if known, saves a pass."""
         spec = TABLES[table]
         rows = self.with_date(table, df)
-        days = self.days_of(table, rows)
+        if days is None:
+            days = self.days_of(table, rows)
         if not days:
             return
         present = set(self.days(table))
@@ -216,17 +271,43 @@ class Warehouse:
         for k in spec.key:
             keyed = keyed & F.col(k).isNotNull()
         new = unique_append(rows.filter(keyed), target, spec.key).unionByName(rows.filter(~keyed))
-        self.append(table, new, days)
+        self.append(table, new, days, arrivals)
 
     def drop_days(self, table: str, days: Iterable[str]) -> None:
+        """Remove days; of a versioned table first their markers, then the rows."""
+        spec, root, at = TABLES[table], self.path(table), self._day_paths(table)
+        versions = self._versions(table) if spec.versioned else {}
         for d in days:
-            fs, p = hadoop_fs(self.spark, self.day_path(table, d))
-            if fs.exists(p):
-                fs.delete(p, True)
+            if d not in at:
+                continue
+            for version in versions.get(d, ()):
+                delete(self.spark, f"{root}/_days/{d}={version}")
+            for version in versions.get(d, ()):
+                delete(self.spark, f"{root}/v={version}/{spec.date_col}={d}")
+            delete(self.spark, f"{root}/{spec.date_col}={d}")
 
     def overwrite_partitions(self, table: str, df: DataFrame) -> None:
         """Replace exactly the date partitions present in ``df`` (others are
-        untouched).  Staged first: ``df`` may read from the table itself."""
+        untouched); ``df`` may read the table itself."""
+        spec, root = TABLES[table], self.path(table)
+        if not spec.versioned:
+            return self._swap_partitions(table, df)
+        version = f"{time.time_ns() // 1000:017d}-{uuid.uuid4().hex[:6]}"
+        before = self._versions(table)
+        self.with_date(table, df).write.partitionBy(spec.date_col).parquet(f"{root}/v={version}")
+        mark = f"{spec.date_col}="
+        for name in names_under(self.spark, f"{root}/v={version}"):
+            if name.startswith(mark):
+                self._hold(table, name[len(mark):], version)
+                for old in before.get(name[len(mark):], [])[:-1]:
+                    delete(self.spark, f"{root}/_days/{name[len(mark):]}={old}")
+                    delete(self.spark, f"{root}/v={old}/{name}")
+
+    def _hold(self, table: str, day: str, version: str) -> None:
+        """From here on the day is this version."""
+        create_marker(self.spark, f"{self.path(table)}/_days/{day}={version}")
+
+    def _swap_partitions(self, table: str, df: DataFrame) -> None:
         spec = TABLES[table]
         staged = scratch_path(self.spark, f"stage-{table}")
         self.with_date(table, df).write.mode("overwrite").partitionBy(spec.date_col).parquet(staged)

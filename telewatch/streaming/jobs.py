@@ -15,15 +15,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from telewatch.functions.enrich import enrich
-from telewatch.functions.parse import is_rejected, parse_kafka
+from telewatch.functions.parse import is_rejected, parse_kafka, reject_reasons
 from telewatch.functions.rules import DEFAULT_RULES
 from telewatch.operators.alerts import detect_alerts
 from telewatch.schemas import PROCESSED_EVENT_COLUMNS, RAW_EVENT_COLUMNS, REQUIRED_COLUMNS, STRING_WIDTHS
+from telewatch.session import scratch_path
+from telewatch.sources.devices import read_devices
 from telewatch.sources.tables import Warehouse
 from telewatch.streaming.sinks import ExternalSink, FanOut, TableSink, jdbc_key_reader, jdbc_writer
 
@@ -40,12 +42,12 @@ def parsed_stream(kafka_df: DataFrame, keep_key: bool = True, provenance: bool =
     return parse_kafka(kafka_df, keep_key=keep_key, provenance=provenance)
 
 
-def _ingestion_sinks(include_bronze: bool) -> list[TableSink]:
+def _ingestion_sinks(include_bronze: bool, gated: bool = False) -> list[TableSink]:
     accepted = _accepted
     sinks = [
         TableSink(
             "raw_network_events",
-            lambda df: accepted(df).select(*RAW_EVENT_COLUMNS, F.current_timestamp().alias("ingested_at")),
+            lambda df: accepted(df).select(*RAW_EVENT_COLUMNS, _arrived(df).alias("ingested_at")),
         ),
         TableSink(
             "processed_network_events",
@@ -57,18 +59,76 @@ def _ingestion_sinks(include_bronze: bool) -> list[TableSink]:
             "rejects",
             lambda df: df.filter(is_rejected()).select(
                 "kafka_key", "kafka_partition", "kafka_offset", "kafka_timestamp", "json_value",
+                reject_reasons().alias("reasons"),
                 F.current_timestamp().alias("rejected_at"),
             ),
         ),
     ]
     if include_bronze:
-        # Bronze keeps every parsed row (the reference's archive layer).
-        sinks.insert(0, TableSink("bronze", lambda df: df.select(*BRONZE_COLUMNS)))
+        # Bronze keeps every parsed row (the reference's archive layer), and the
+        # whole payload: fields of a wrong type and unknown ones are in it still.
+        sinks.insert(0, TableSink("bronze", lambda df: df.select(*BRONZE_COLUMNS, _payload(df).alias("payload")), every=True))
+    if gated:
+        sinks.append(
+            TableSink(
+                "held_events",
+                lambda df: df.filter(~is_rejected() & ~F.col("device_known")).select(
+                    "kafka_partition", "kafka_offset", "kafka_timestamp", *RAW_EVENT_COLUMNS, _arrived(df).alias("held_at")
+                ),
+            )
+        )
     return sinks
 
 
+def _arrived(df: DataFrame) -> Column:
+    return F.col("arrived_at") if "arrived_at" in df.columns else F.current_timestamp()
+
+
+def _payload(df: DataFrame) -> Column:
+    return F.col("payload") if "payload" in df.columns else F.try_parse_json(F.col("json_value"))
+
+
 def _accepted(df: DataFrame) -> DataFrame:
-    return df.filter(~is_rejected())
+    known = F.col("device_known") if "device_known" in df.columns else F.lit(True)
+    return df.filter(~is_rejected() & known)
+
+
+def device_gate(warehouse: Warehouse):
+    """Marks rows with ``device_known``, whether the device dimension as of
+    this batch has their device.  The dimension is read anew for every batch."""
+
+    def mark(rows: DataFrame) -> DataFrame:
+        devices = read_devices(warehouse).select("device_id", F.lit(True).alias("device_known"))
+        return rows.join(devices, "device_id", "left").withColumn("device_known", F.coalesce("device_known", F.lit(False)))
+
+    return mark
+
+
+def held_events(warehouse: Warehouse) -> DataFrame:
+    """Held rows that have not been released yet."""
+    released = warehouse.read("released_events").select("kafka_partition", "kafka_offset")
+    return warehouse.read("held_events").join(released, ["kafka_partition", "kafka_offset"], "left_anti")
+
+
+def readmit(warehouse: Warehouse, rules=DEFAULT_RULES) -> int:
+    """Store the held events whose device has appeared since, in every table that
+    would have got them, and note their release last; the number released.  A
+    crash before the note leaves them held, and the tables' keys keep the next
+    run from storing anything twice."""
+    gate = device_gate(warehouse)
+    path = scratch_path(warehouse.spark, "readmitted")
+    gate(held_events(warehouse)).where("device_known").drop("device_known").write.parquet(path)
+    rows = warehouse.spark.read.parquet(path)
+    n = rows.count()
+    if n:
+        stamp = F.current_timestamp()
+        rich = enrich(rows)
+        warehouse.append_unique("raw_network_events", rich.select(*RAW_EVENT_COLUMNS, stamp.alias("ingested_at")))
+        warehouse.append_unique("processed_network_events", rich.select(*PROCESSED_EVENT_COLUMNS, stamp.alias("processed_at")))
+        warehouse.append_unique("alerts", _storable(detect_alerts(rich, rules)).withColumn("created_at", stamp))
+        released = rows.select("kafka_partition", "kafka_offset", "kafka_timestamp", "event_id", stamp.alias("released_at"))
+        warehouse.append_unique("released_events", released)
+    return n
 
 
 def jdbc_fact_sinks(url: str, job: str, **options) -> list[ExternalSink]:
@@ -108,19 +168,26 @@ def start_ingestion(
     include_bronze: bool = True,
     extra_writers: Sequence = (),
     name: str = "raw_ingestion",
+    require_known_devices: bool = False,
 ) -> StreamingQuery:
     """Entry A.  ``trigger`` defaults to the reference's 10 s processing
-    time; tests pass ``{"availableNow": True}``."""
+    time; tests pass ``{"availableNow": True}``.  With ``require_known_devices``
+    events of devices that the dimension lacks are held (see ``readmit``)."""
     parsed = parsed_stream(kafka_df, provenance=True)
 
     def prepare(batch: DataFrame) -> DataFrame:
-        # The payload text is only needed for rejected rows; dropping it from
-        # the others keeps the persisted micro-batch small.
+        # Bronze gets the payload parsed; its text is only needed for rejected
+        # rows, and dropping it from the others keeps the persisted batch small.
+        if include_bronze:
+            batch = batch.withColumn("payload", F.try_parse_json(F.col("json_value")))
         return enrich(batch).withColumn(
             "json_value", F.when(is_rejected(), F.col("json_value"))
         )
 
-    fan = FanOut(warehouse, checkpoint, prepare, _ingestion_sinks(include_bronze), extra_writers)
+    fan = FanOut(
+        warehouse, checkpoint, prepare, _ingestion_sinks(include_bronze, require_known_devices), extra_writers,
+        job="ingestion", gate=device_gate(warehouse) if require_known_devices else None,
+    )
     return _start(parsed, name, fan, checkpoint, trigger or {"processingTime": "10 seconds"})
 
 
@@ -132,21 +199,29 @@ def start_alerting(
     rules=DEFAULT_RULES,
     extra_writers: Sequence = (),
     name: str = "alert_detection",
+    require_known_devices: bool = False,
 ) -> StreamingQuery:
     """Entry B: alert rows into ``silver_alerts`` and ``alerts`` (with
     ``created_at``).  Silver holds every alert the rules raise, also those of
     events that the raw table cannot hold (no parseable time, say); ``alerts``
     holds those that its own required columns and widths admit."""
-    parsed = parsed_stream(kafka_df, keep_key=False, provenance=False)
+    parsed = parsed_stream(kafka_df, keep_key=False, provenance=True).drop("json_value")
+    gated = require_known_devices
 
-    def prepare(batch: DataFrame) -> DataFrame:
-        return detect_alerts(batch, rules)
+    def derive(rows: DataFrame) -> DataFrame:
+        return detect_alerts(rows, rules, keep=("device_known",) if gated else ())
+
+    def known(alerts: DataFrame) -> DataFrame:
+        return alerts.where("device_known").drop("device_known") if gated else alerts
 
     sinks = [
-        TableSink("silver_alerts", lambda df: df),
-        TableSink("alerts", lambda df: _storable(df).withColumn("created_at", F.current_timestamp())),
+        TableSink("silver_alerts", lambda df: df.drop("device_known")),
+        TableSink("alerts", lambda df: _storable(known(df)).withColumn("created_at", F.current_timestamp())),
     ]
-    fan = FanOut(warehouse, checkpoint, prepare, sinks, extra_writers)
+    fan = FanOut(
+        warehouse, checkpoint, lambda batch: batch, sinks, extra_writers,
+        job="alerting", gate=device_gate(warehouse) if gated else None, derive=derive,
+    )
     return _start(parsed, name, fan, checkpoint, trigger or {"processingTime": "10 seconds"})
 
 

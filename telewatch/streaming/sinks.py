@@ -2,9 +2,11 @@
 
 ``foreachBatch`` is at-least-once: after a failure the last micro-batch is
 replayed with the same ``batch_id``, and producers may deliver an event twice
-at any time.  Both are handled alike: every sink appends through the table's
-key (K9), on every batch, against the days the batch touches.  What is stored
-then does not depend on whether a failure happened.
+at any time.  An event id belongs to its first message (``sources.registry``); a
+later message with the id is stored nowhere.  A batch of messages that the job
+has never begun is appended; any other one through the tables' keys (K9), against
+the days it touches.  What is stored then does not depend on whether a failure
+happened.
 
 ``BatchLedger`` keeps one marker, the last batch whose sinks were all written,
 so a replay of a finished batch is skipped without reading the targets.
@@ -12,6 +14,7 @@ so a replay of a finished batch is skipped without reading the targets.
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
@@ -20,8 +23,11 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from telewatch.functions.parse import is_rejected
 from telewatch.operators.merge import unique_append
-from telewatch.sources.tables import Warehouse, hadoop_fs
+from telewatch.session import hadoop_fs
+from telewatch.sources.registry import EventRegistry, Positions
+from telewatch.sources.tables import Warehouse
 
 
 class BatchLedger:
@@ -54,16 +60,35 @@ class BatchLedger:
 
 @dataclass
 class TableSink:
-    """Append a projection of the batch to a warehouse table, by its key."""
+    """Append a projection of the batch to a warehouse table, by its key;
+    ``every`` message of it, or those that the registry admits."""
 
     table: str
     project: Callable[[DataFrame], DataFrame]
+    every: bool = False
+
+
+@dataclass(frozen=True)
+class BatchFacts:
+    """What one pass over a batch tells, a row for each Kafka partition."""
+
+    rows: int
+    accepted: int = 0
+    odd: int = 0  # rejected rows with an event id, which the registry lets pass
+    ranges: dict[int, tuple[int, int]] = field(default_factory=dict)
+    days: tuple[str, ...] = ()
 
 
 @dataclass
 class FanOut:
     """One ``foreachBatch`` function writing several sinks from one persisted
-    batch (the batch is parsed once, not once per sink)."""
+    batch (the batch is parsed once, not once per sink).
+
+    With a ``job`` name, events pass the registry: only the first message of an
+    event id goes on, in every job and table alike.  A batch whose positions the
+    job has never begun is appended as it is; any other is checked against the
+    tables' keys.  ``gate`` marks rows after that (see ``jobs.device_gate``), and
+    ``derive`` makes the rows that the sinks project."""
 
     warehouse: Warehouse
     checkpoint: str
@@ -71,6 +96,12 @@ class FanOut:
     sinks: Sequence[TableSink]
     extra: Sequence[Callable[[DataFrame, int], None]] = field(default_factory=tuple)
     parallel: bool = True
+    job: str | None = None
+    gate: Callable[[DataFrame], DataFrame] | None = None
+    derive: Callable[[DataFrame], DataFrame] | None = None
+
+    # A batch that dies between its sinks and the note of its arrival is replayed
+    # as begun before: its rows are there, its arrival stays unnoted.
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         ledger = BatchLedger(batch_df.sparkSession, self.checkpoint)
@@ -79,14 +110,60 @@ class FanOut:
         prepared = self.prepare(batch_df).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             # One job fills the whole cache before the sinks start side by side.
-            if prepared.count() > 0:  # K5
-                writers = [lambda s=s: self.warehouse.append_unique(s.table, s.project(prepared)) for s in self.sinks]
-                writers += [lambda fn=fn: fn(prepared, batch_id) for fn in self.extra]
-                self._run_all(writers)
+            facts = self._facts(prepared)
+            if facts.rows > 0:  # K5
+                self._store(prepared, facts, batch_id)
             ledger.mark_done(batch_id)
         finally:
             prepared.unpersist()
 
+    def _facts(self, prepared: DataFrame) -> BatchFacts:
+        if self.job is None:
+            return BatchFacts(prepared.count())
+        good = ~is_rejected()
+        parts = prepared.groupBy("kafka_partition").agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(good).alias("accepted"),
+            F.count_if(~good & F.col("event_id").isNotNull()).alias("odd"),
+            F.min("kafka_offset").alias("low"),
+            F.max("kafka_offset").alias("high"),
+            F.collect_set(F.when(good, F.to_date("event_timestamp").cast("string"))).alias("days"),
+        ).collect()
+        return BatchFacts(
+            sum(r.rows for r in parts),
+            sum(r.accepted for r in parts),
+            sum(r.odd for r in parts),
+            {r.kafka_partition: (r.low, r.high) for r in parts},
+            tuple(sorted({d for r in parts for d in r.days})),
+        )
+
+    def _store(self, prepared: DataFrame, facts: BatchFacts, batch_id: int) -> None:
+        wh, rows, begun, duplicates = self.warehouse, prepared, True, 0
+        if self.job is not None:
+            begun = Positions(wh.spark, wh.root, self.job).begin(facts.ranges)
+            admission = EventRegistry(wh.spark, wh.root).admit(prepared, ~is_rejected())
+            rows, duplicates = admission.rows, admission.duplicates
+        stamp = dt.datetime.now(dt.timezone.utc).isoformat()
+        rows, all_rows = (df.withColumn("arrived_at", F.lit(stamp).cast("timestamp")) for df in (rows, prepared))
+        for step in (self.gate, self.derive):
+            rows = step(rows) if step is not None else rows
+
+        def write(sink: TableSink) -> None:
+            out = sink.project(all_rows if sink.every else rows)
+            if begun or (facts.odd and self.derive is not None):
+                wh.append_unique(sink.table, out)
+            else:
+                days = list(facts.days) if wh.spec(sink.table).date_col == "event_date" else None
+                wh.append(sink.table, out, days, arrivals=False)
+
+        writers = [lambda s=s: write(s) for s in self.sinks]
+        writers += [lambda fn=fn: fn(rows, batch_id) for fn in self.extra]
+        self._run_all(writers)
+        if not begun and any(s.table == "raw_network_events" for s in self.sinks):
+            held = rows.where(~is_rejected() & ~F.col("device_known")).count() if self.gate is not None else 0
+            if stored := facts.accepted - duplicates - held:
+                wh.note_arrival(self.checkpoint, batch_id, stamp, stored)
+
     def _run_all(self, writers) -> None:
         """Run the sink writes; concurrently when ``parallel`` (Spark runs
         jobs from several driver threads at once, so one write's planning and
@@ -149,12 +226,14 @@ def jdbc_writer(url: str, table: str, user_env: str = "TELEWATCH_DB_USER",
 def jdbc_key_reader(url: str, table: str, key: Sequence[str], ts_col: str, user_env: str = "TELEWATCH_DB_USER",
                     password_env: str = "TELEWATCH_DB_PASSWORD", driver: str | None = None):
     """A ``(spark, low, high)`` function reading a JDBC table's keys with
-    ``ts_col`` between two times; the database applies the range."""
+    ``ts_col`` between two times; the database applies the range.  The times are
+    text with their offset from UTC, so no zone of the driver, the session or the
+    database shifts them."""
 
     def read(spark: SparkSession, low, high) -> DataFrame:
         query = (
             f"SELECT {', '.join(key)} FROM {table} WHERE {ts_col} BETWEEN "
-            f"TIMESTAMP '{low:%Y-%m-%d %H:%M:%S.%f}' AND TIMESTAMP '{high:%Y-%m-%d %H:%M:%S.%f}'"
+            f"TIMESTAMP WITH TIME ZONE '{low}' AND TIMESTAMP WITH TIME ZONE '{high}'"
         )
         r = (
             spark.read.format("jdbc")
@@ -188,7 +267,8 @@ class ExternalSink:
         if self.key:
             target = None
             if self.read_keys is not None:
-                low, high = rows.agg(F.min(self.ts_col), F.max(self.ts_col)).first()
+                text = [F.date_format(f(F.col(self.ts_col).cast("timestamp")), "yyyy-MM-dd HH:mm:ss.SSSSSSxxx") for f in (F.min, F.max)]
+                low, high = rows.agg(*text).first()
                 if low is None:
                     return
                 target = self.read_keys(rows.sparkSession, low, high)

@@ -9,13 +9,18 @@ every query is named, the listener keeps one status entry per query, and
 
 from __future__ import annotations
 
+import datetime as dt
 import threading
 import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from telewatch.operators.merge import unique_append
+from telewatch.session import path_exists
+
 
 class StatusListener(StreamingQueryListener):
     """Latest progress and terminal state per query name."""
@@ -23,6 +28,23 @@ class StatusListener(StreamingQueryListener):
     def __init__(self):
         self._lock = threading.Lock()
         self.status: dict[str, dict] = {}
+        self._news: list[tuple] = []  # reports not yet in the history
+        self._runs: dict[str, str | None] = {}
+
+    def _report(self, kind: str, name, query_id, run_id, batch_id=None, rows=None, rate=None, exception=None, at=None):
+        at = at or dt.datetime.now(dt.timezone.utc).isoformat()
+        with self._lock:
+            self._runs.setdefault(str(run_id), name)
+            self._news.append((kind, self._runs[str(run_id)], str(query_id), str(run_id), batch_id, rows, rate, exception, at))
+
+    def take_news(self) -> list[tuple]:
+        with self._lock:
+            news, self._news = self._news, []
+        return news
+
+    def put_back(self, news: list[tuple]) -> None:
+        with self._lock:
+            self._news = news + self._news
 
     def _put(self, name, **fields):
         with self._lock:
@@ -30,9 +52,11 @@ class StatusListener(StreamingQueryListener):
 
     def onQueryStarted(self, event):
         self._put(event.name, id=str(event.id), state="running")
+        self._report("started", event.name, event.id, event.runId, at=event.timestamp)
 
     def onQueryProgress(self, event):
         p = event.progress
+        self._report("progress", p.name, p.id, p.runId, p.batchId, p.numInputRows, p.processedRowsPerSecond, at=p.timestamp)
         self._put(
             p.name,
             batch_id=p.batchId,
@@ -44,6 +68,7 @@ class StatusListener(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event):
+        self._report("failed" if event.exception else "stopped", None, event.id, event.runId, exception=event.exception)
         with self._lock:
             for st in self.status.values():
                 if st.get("id") == str(event.id):
@@ -112,4 +137,45 @@ def write_status(spark: SparkSession, listener: StatusListener, root: str, settl
     until = time.monotonic() + settle_s
     while time.monotonic() < until and any(s.get("state") != "stopped" for s in listener.snapshot().values()):
         time.sleep(0.1)
+    append_history(spark, listener, root)
     listener.status_frame(spark).coalesce(1).write.mode("overwrite").parquet(f"{root}/stream_status")
+
+
+HISTORY_KEY = ("query_id", "run_id", "kind", "batch_id")
+HISTORY = (
+    "kind STRING, query_name STRING, query_id STRING, run_id STRING, batch_id BIGINT, input_rows BIGINT, "
+    "rows_per_second DOUBLE, exception STRING, reported_at STRING"
+)
+
+
+def append_history(spark: SparkSession, listener: StatusListener, root: str) -> int:
+    """Append what the listener has heard since the last call to the history,
+    one row for each start, batch and end of a query's run; the number of rows.
+
+    Rows are never rewritten, so failures outlive a restart of the process that
+    had them.  What could not be written is kept for the next call; a report that
+    was written twice (a crash between write and return) is one row in
+    ``read_history``."""
+    news = listener.take_news()
+    if not news:
+        return 0
+    try:
+        rows = [(k, n, q, r, -1 if b is None else b, i, None if v is None else float(v), e, t) for k, n, q, r, b, i, v, e, t in news]
+        df = spark.createDataFrame(rows, HISTORY).withColumn("reported_at", F.col("reported_at").cast("timestamp"))
+        df.withColumn("report_date", F.to_date("reported_at")).coalesce(1).write.mode("append").partitionBy("report_date").parquet(
+            f"{root}/stream_history"
+        )
+    except BaseException:
+        listener.put_back(news)
+        raise
+    return len(news)
+
+
+def read_history(spark: SparkSession, root: str):
+    """The history, one row for each (query, run, kind, batch); ``batch_id`` is -1
+    for starts and ends.  Empty before the first report."""
+    path = f"{root}/stream_history"
+    schema = HISTORY.replace("reported_at STRING", "reported_at TIMESTAMP") + ", report_date DATE"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return unique_append(spark.read.schema(schema).parquet(path), None, HISTORY_KEY)
