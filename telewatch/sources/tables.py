@@ -50,6 +50,7 @@ from telewatch.session import hadoop_fs, path_exists, scratch_path
 from telewatch.sources.versions import create_marker, delete, names_under
 
 NULL_DAY = "__HIVE_DEFAULT_PARTITION__"
+FEW_DAYS = 4  # appends to more days deal their rows by day
 
 
 @dataclass(frozen=True)
@@ -222,8 +223,8 @@ class Warehouse:
 
     def append(self, table: str, df: DataFrame, days: list[str] | None = None, arrivals: bool = True) -> None:
         """Append rows as new files in their date partitions, whatever the
-        table holds.  No shuffle: each task writes its own rows; file count is
-        tamed by ``compact``.  Arrivals of raw rows are counted before the rows
+        table holds.  No shuffle for rows of a few days: each task writes its own;
+        file count is tamed by ``compact``.  Arrivals of raw rows are counted before the rows
         are written and noted after, unless the caller notes them itself."""
         spec = TABLES[table]
         of_table = [name for name, (source, _) in ROLLUPS.items() if source == table]
@@ -239,13 +240,23 @@ class Warehouse:
             ).select(F.lit(source).alias("source"), F.lit(-1).cast("bigint").alias("batch_id"), "arrived_at", "rows").write.parquet(counted)
         for name in of_table:
             self.drop_days(name, days)
-        rows.write.mode("append").partitionBy(spec.date_col).parquet(self.path(table))
+        self._by_day(spec, rows, days).write.mode("append").partitionBy(spec.date_col).parquet(self.path(table))
         for name in of_table:
             self.drop_days(name, days)
         if counted is not None:
             self.append("arrivals", self.spark.read.parquet(counted).coalesce(1))
             delete(self.spark, counted)
 
+    def _by_day(self, spec: TableSpec, rows: DataFrame, days: list[str] | None) -> DataFrame:
+        """Rows of many days are dealt by day first, or every task would write a
+        small file into every day; a day's rows go to several tasks by their key,
+        so a day that holds most of them is no task of its own."""
+        if days is None or len(days) <= FEW_DAYS:
+            return rows
+        tasks = 2 * self.spark.sparkContext.defaultParallelism
+        salt = F.pmod(F.xxhash64(*spec.key), F.lit(max(1, tasks // len(days))))
+        return rows.repartition(max(tasks, min(len(days), 2 * tasks)), spec.date_col, salt)
+
     def note_arrival(self, source: str, batch_id: int, arrived_at: str, rows: int) -> None:
         """One row for a finished batch, once: ``arrived_at`` is an instant as text
         with its offset from UTC."""

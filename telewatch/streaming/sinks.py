@@ -76,7 +76,8 @@ class BatchFacts:
     accepted: int = 0
     odd: int = 0  # rejected rows with an event id, which the registry lets pass
     ranges: dict[int, tuple[int, int]] = field(default_factory=dict)
-    days: tuple[str, ...] = ()
+    days: tuple[str, ...] = ()  # of the accepted events
+    message_days: tuple[str, ...] = ()
 
 
 @dataclass
@@ -128,6 +129,7 @@ class FanOut:
             F.min("kafka_offset").alias("low"),
             F.max("kafka_offset").alias("high"),
             F.collect_set(F.when(good, F.to_date("event_timestamp").cast("string"))).alias("days"),
+            F.collect_set(F.to_date("kafka_timestamp").cast("string")).alias("message_days"),
         ).collect()
         return BatchFacts(
             sum(r.rows for r in parts),
@@ -135,14 +137,18 @@ class FanOut:
             sum(r.odd for r in parts),
             {r.kafka_partition: (r.low, r.high) for r in parts},
             tuple(sorted({d for r in parts for d in r.days})),
+            tuple(sorted({d for r in parts for d in r.message_days})),
         )
 
     def _store(self, prepared: DataFrame, facts: BatchFacts, batch_id: int) -> None:
         wh, rows, begun, duplicates = self.warehouse, prepared, True, 0
         if self.job is not None:
-            begun = Positions(wh.spark, wh.root, self.job).begin(facts.ranges)
-            admission = EventRegistry(wh.spark, wh.root).admit(prepared, ~is_rejected())
-            rows, duplicates = admission.rows, admission.duplicates
+            found = {}
+            self._run_all([
+                lambda: found.update(begun=Positions(wh.spark, wh.root, self.job).begin(facts.ranges)),
+                lambda: found.update(admission=EventRegistry(wh.spark, wh.root).admit(prepared, ~is_rejected())),
+            ])
+            begun, rows, duplicates = found["begun"], found["admission"].rows, found["admission"].duplicates
         stamp = dt.datetime.now(dt.timezone.utc).isoformat()
         rows, all_rows = (df.withColumn("arrived_at", F.lit(stamp).cast("timestamp")) for df in (rows, prepared))
         for step in (self.gate, self.derive):
@@ -153,16 +159,18 @@ class FanOut:
             if begun or (facts.odd and self.derive is not None):
                 wh.append_unique(sink.table, out)
             else:
-                days = list(facts.days) if wh.spec(sink.table).date_col == "event_date" else None
+                # Alerts of admitted events fall on the events' days.
+                days = facts.message_days if wh.spec(sink.table).date_col == "ingest_date" else facts.days
+                days = list(days)
                 wh.append(sink.table, out, days, arrivals=False)
+                if sink.table == "raw_network_events":
+                    held = rows.where(~is_rejected() & ~F.col("device_known")).count() if self.gate is not None else 0
+                    if stored := facts.accepted - duplicates - held:
+                        wh.note_arrival(self.checkpoint, batch_id, stamp, stored)
 
         writers = [lambda s=s: write(s) for s in self.sinks]
         writers += [lambda fn=fn: fn(rows, batch_id) for fn in self.extra]
         self._run_all(writers)
-        if not begun and any(s.table == "raw_network_events" for s in self.sinks):
-            held = rows.where(~is_rejected() & ~F.col("device_known")).count() if self.gate is not None else 0
-            if stored := facts.accepted - duplicates - held:
-                wh.note_arrival(self.checkpoint, batch_id, stamp, stored)
 
     def _run_all(self, writers) -> None:
         """Run the sink writes; concurrently when ``parallel`` (Spark runs
