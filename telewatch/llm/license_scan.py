@@ -9,6 +9,9 @@ compared, never parts of one: the units are a document's whole text, and each
 of its paragraphs (between blank lines) and lines as texts of their own, so
 that a notice added to other prose is found as well.
 
+Texts and units that lack every one of a few words, of which each known text has
+one, equal no known text and are not normalised.
+
 Everything is DataFrame functions.  Documents are exploded to digests only; the
 known table, whose size is the number of known licences, is broadcast.
 """
@@ -16,6 +19,8 @@ known table, whose size is the number of known licences, is broadcast.
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -164,11 +169,34 @@ def normalised(text: Column, sentences: str) -> Column:
     return F.when(plain.rlike(r"\b(" + "|".join(EQUIVALENT) + r")\b"), one).otherwise(plain)
 
 
-def known_digests(spark: SparkSession, known: list[tuple[str, str]]) -> DataFrame:
-    """(digest, licence) of the known texts; their number is fixed."""
+def known_plain(spark: SparkSession, known: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """(licence, normalised text) of the known texts; their number is fixed."""
     texts = spark.createDataFrame(known, "licence string, text string")
     texts = texts.select("licence", normalised(F.col("text"), sentence_starts(known)).alias("plain"))
-    return texts.select(F.md5("plain").alias("digest"), "licence").distinct()
+    return [tuple(r) for r in texts.distinct().collect()]
+
+
+def necessary_words(plain: list[str]) -> list[list[str]]:
+    """Few words such that every known text has one of them; each with the
+    spellings that become it, or part of it.
+
+    Normalising joins no letters that punctuation or white space parts.  So a text
+    whose lower case holds none of these spellings, not even inside a word, equals
+    no known text."""
+    left, chosen = [text for text in plain if text], []
+    while left:
+        words = {w for text in left for w in text.split(" ")}
+        long = {w for w in words if len(w) > 6} or words  # long words are rare in other texts
+        word = min(long, key=lambda w: (-sum(w in text for text in left), len(w), w))
+        spelled = {word, *(max(other.split(" "), key=len) for other, one in EQUIVALENT.items() if word in one)}
+        chosen.append(sorted(w for w in spelled if not any(v != w and v in w for v in spelled)))
+        left = [text for text in left if word not in text]
+    return chosen
+
+
+def may_match(text: Column, words: list[list[str]]) -> Column:
+    lower = F.lower(text)
+    return reduce(or_, (F.contains(lower, F.lit(w)) for group in words for w in group), F.lit(False))
 
 
 def license_scan(
@@ -190,7 +218,10 @@ def license_scan(
     columns are not read; an empty table gives no rows.
     """
     known = known_texts(KNOWN_TEXTS) if known is None else known
-    digests = known_digests(docs.sparkSession, known).groupBy("digest").agg(F.min("licence").alias("licence"))
+    plain = known_plain(docs.sparkSession, known)
+    words = necessary_words([text for _, text in plain])
+    digests = docs.sparkSession.createDataFrame(plain, "licence string, plain string")
+    digests = digests.groupBy(F.md5("plain").alias("digest")).agg(F.min("licence").alias("licence"))
     sentences = sentence_starts(known)
     text = F.coalesce(col(text_col), F.lit(""))
     rows = docs.select(col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("t"))
@@ -198,7 +229,8 @@ def license_scan(
     paragraphs = F.filter(F.split("t", r"\n[\x20\x09-\x0D]*\n", -1), lambda p: F.contains(p, F.lit("\n")))
 
     def units(kind: str, texts: Column) -> DataFrame:
-        some = rows.select("id", "text_hash", F.explode_outer(texts).alias("unit"))
+        some = rows.where(may_match(F.col("t"), words)).select("id", "text_hash", F.explode_outer(texts).alias("unit"))
+        some = some.where(may_match(F.col("unit"), words))
         some = some.select("id", "text_hash", F.lit(kind).alias("kind"), normalised(F.col("unit"), sentences).alias("plain"))
         return some.where(F.length("plain") > 0).select("id", "text_hash", "kind", F.md5("plain").alias("digest"))
 

@@ -8,7 +8,7 @@ import textwrap
 import pytest
 
 from telewatch.llm.licences import FULL, SHORT_TITLES, files, known_texts, without_title
-from telewatch.llm.license_scan import _STATEMENT, EQUIVALENT, KNOWN_TEXTS, license_scan
+from telewatch.llm.license_scan import _STATEMENT, EQUIVALENT, KNOWN_TEXTS, known_plain, license_scan, necessary_words
 
 
 def normalise(text):
@@ -124,3 +124,17 @@ def test_copyright_lines_go_and_sentences_stay(spark):
     texts = ["Keep this\ncopyright line of\nyours,\nall rights reserved or\nnot.\nCopyright Me", "Keep this\ncopyright\nline of yours, all rights\nreserved or not."]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert sorted((r.id, r.whole) for r in license_scan(docs, known=own).collect()) == [(0, "X"), (1, "X")]
+
+
+def test_texts_without_the_necessary_words_are_no_licence(spark):
+    plain = [text for _, text in known_plain(spark, known_texts(KNOWN_TEXTS))]
+    words = necessary_words(plain)
+    assert len(words) <= 5
+    spelled = [w for group in words for w in group]
+    assert all(any(w in text for w in spelled) for text in plain)
+    # other spellings and case of a necessary word count
+    rows = [(0, "LICENCED under the\nMIT-Licence."), (1, "Sub-Licence it whilst favour"), (2, "no such word"), (3, None), (4, "")]
+    known = [("A", "licensed under the mit license"), ("B", "sublicense it while favor")]
+    out = license_scan(spark.createDataFrame(rows, "doc_id long, text string"), known=known)
+    assert {r.id: r.whole for r in out.collect()} == {0: "A", 1: "B", 2: None, 3: None, 4: None}
+    assert necessary_words(["favor", "favor x"]) == [["favor", "favour"]]
