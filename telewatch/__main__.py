@@ -30,6 +30,8 @@ def _parser() -> argparse.ArgumentParser:
         sp.add_argument("--jdbc-url", default=None,
                         help="also append the fact rows to these JDBC tables (credentials from env)")
         sp.add_argument("--jdbc-driver", default=None)
+        sp.add_argument("--known-devices-only", action="store_true",
+                        help="hold events of devices that the dimension lacks (see readmit)")
 
     ing = sub.add_parser("ingest", help="raw ingestion stream (bronze, raw, processed, rejects)")
     stream_args(ing, "earliest")
@@ -66,6 +68,22 @@ def _parser() -> argparse.ArgumentParser:
     ru.add_argument("--start", default=None)
     ru.add_argument("--end", default=None)
 
+    rd = sub.add_parser("register-devices", help="insert devices that the dimension lacks, from a CSV file with a header")
+    rd.add_argument("--root", required=True)
+    rd.add_argument("--csv", required=True, help="device_id, device_type, region")
+
+    ra = sub.add_parser("readmit", help="store the held events whose device is known by now")
+    ra.add_argument("--root", required=True)
+
+    rc = sub.add_parser("reconcile", help="days on which raw and processed events differ")
+    rc.add_argument("--root", required=True)
+    rc.add_argument("--start", default=None)
+    rc.add_argument("--end", default=None)
+
+    hi = sub.add_parser("history", help="starts and ends of the streams, and failures, newest last")
+    hi.add_argument("--root", required=True)
+    hi.add_argument("--last", type=int, default=50)
+
     c = sub.add_parser("compact", help="rewrite date partitions into larger, device-sorted files")
     c.add_argument("--root", required=True)
     c.add_argument("--table", required=True)
@@ -125,10 +143,12 @@ def main(argv: list[str] | None = None) -> int:
         extras = jdbc_fact_sinks(args.jdbc_url, job, driver=args.jdbc_driver) if args.jdbc_url else ()
         if args.cmd == "ingest":
             q = start_ingestion(_source(spark, args), wh, ckpt, _trigger(args.trigger),
-                                include_bronze=not args.no_bronze, extra_writers=extras)
+                                include_bronze=not args.no_bronze, extra_writers=extras,
+                                require_known_devices=args.known_devices_only)
         else:
             rules = load_rules(_text(spark, args.rules)) if args.rules else DEFAULT_RULES
-            q = start_alerting(_source(spark, args), wh, ckpt, _trigger(args.trigger), rules, extra_writers=extras)
+            q = start_alerting(_source(spark, args), wh, ckpt, _trigger(args.trigger), rules, extra_writers=extras,
+                               require_known_devices=args.known_devices_only)
         running = [q]
         if args.cmd == "ingest" and args.console:
             running.append(console_preview(parsed_stream(_source(spark, args)), _trigger(args.trigger)))
@@ -167,6 +187,30 @@ def main(argv: list[str] | None = None) -> int:
         from telewatch.sources.tables import Warehouse
 
         print(json.dumps(roll_up_days(Warehouse(spark, args.root), args.start, args.end)))
+    elif args.cmd == "register-devices":
+        from telewatch.sources.devices import DEVICE_SCHEMA, read_devices, register_devices
+        from telewatch.sources.tables import Warehouse
+
+        wh = Warehouse(spark, args.root)
+        register_devices(wh, spark.read.schema(DEVICE_SCHEMA).option("header", "true").csv(args.csv))
+        print(json.dumps({"devices": read_devices(wh).count()}))
+    elif args.cmd == "readmit":
+        from telewatch.sources.tables import Warehouse
+        from telewatch.streaming.jobs import held_events, readmit
+
+        wh = Warehouse(spark, args.root)
+        print(json.dumps({"released": readmit(wh), "held": held_events(wh).count()}))
+    elif args.cmd == "reconcile":
+        from telewatch.plans.health import reconcile_tables
+        from telewatch.sources.tables import Warehouse
+
+        days = reconcile_tables(Warehouse(spark, args.root), args.start, args.end).orderBy("event_date").collect()  # a row a day
+        print(json.dumps([r.asDict() for r in days], default=str))
+    elif args.cmd == "history":
+        from telewatch.streaming.supervise import read_history
+
+        rows = read_history(spark, args.root).where("kind != 'progress'").orderBy("reported_at", ascending=False).limit(args.last)
+        print(json.dumps([r.asDict() for r in reversed(rows.collect())], default=str))
     elif args.cmd == "compact":
         from telewatch.sources.tables import Warehouse
 

@@ -725,6 +725,22 @@ def q6_reasons(fx: Fixture) -> DataFrame:
     return rejected.unionByName(kept).groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@register("t1_processing_time_trigger")
+def t1_trigger(fx: Fixture) -> DataFrame:
+    """The ingestion job under a processing-time trigger, stopped when it has
+    caught up, then started again: the second run finds nothing to do."""
+    wh, files = _warehouse(fx), _kafka_files(fx)
+    for k in range(2):
+        source = kafka_files_stream(fx.spark, files, max_files_per_trigger=fx.spark.sparkContext.defaultParallelism)
+        query = start_ingestion(source, wh, stream_checkpoint(wh.root, "ingestion"), trigger={"processingTime": "1 second"},
+                                name=f"timed_{k}_{id(wh)}")
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+    return _plain_times(wh.read("raw_network_events").select(*RAW_EVENT_COLUMNS))
+
+
 @register("t6_stream_history")
 def t6_history(fx: Fixture) -> DataFrame:
     """The history after one stream that ended well and one that failed."""

@@ -638,4 +638,5 @@ WHERE t.fixture_k IS DISTINCT FROM 97 GROUP BY a.severity ORDER BY count DESC, a
     }
     q["q7_kpi_row_stored"] = q["q7_kpi_panel"]
     q["g15_arrivals"] = q["g15_freshness"]
+    q["t1_processing_time_trigger"] = q["t4_stream_raw_events"]
     return q | _stored_queries() | _history_queries()

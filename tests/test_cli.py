@@ -75,3 +75,29 @@ def test_alert_rules_from_a_file(spark, scratch, tmp_path):
     by = {r["severity"]: r["count"] for r in alerts.groupBy("severity").count().collect()}
     assert by["HIGH"] > by["CRITICAL"] > 0
     assert alerts.select("alert_id").distinct().count() == alerts.count()
+
+
+def test_devices_gate_and_reports(spark, scratch, tmp_path, capsys):
+    from pyspark.sql import functions as F
+
+    def said():
+        return json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+
+    frame, root = f"{scratch}/frame", f"{scratch}/wh"
+    text = F.col("value").cast("string")
+    ghost = F.when(F.col("offset") % 10 == 0, F.regexp_replace(text, '"device_id":"[^"]*"', '"device_id":"GHOST"')).otherwise(text)
+    kafka_frame_from_events(read_events(spark, SF001)).withColumn("value", ghost.cast("binary")).write.parquet(frame)
+    for job in ("ingest", "alerts"):
+        assert main([job, "--root", root, "--files", frame, "--trigger", "available-now", "--known-devices-only"]) == 0
+    wh = Warehouse(spark, root)
+    held = wh.read("held_events").count()
+    assert held > 0 and wh.read("raw_network_events").count() + held + wh.read("rejects").count() == 1000
+    (tmp_path / "new.csv").write_text("device_id,device_type,region\nGHOST,router,Giza\n")
+    assert main(["register-devices", "--root", root, "--csv", str(tmp_path / "new.csv")]) == 0 and said() == {"devices": 27}
+    assert main(["readmit", "--root", root]) == 0 and said() == {"released": held, "held": 0}
+    assert wh.read("raw_network_events").where("device_id = 'GHOST'").count() == held
+    assert main(["reconcile", "--root", root]) == 0 and said() == []
+    assert main(["history", "--root", root]) == 0
+    rows = said()
+    assert {r["query_name"] for r in rows} >= {"raw_ingestion", "alert_detection"}
+    assert {r["kind"] for r in rows} == {"started", "stopped"}
