@@ -30,8 +30,8 @@ from pyspark.sql import types as T
 
 from telewatch.llm.common import col, fresh, table
 
-TRAINING_PAGES = 300
-TREES, DEPTH, RATE, MIN_LEAF, BINS = 40, 4, 0.3, 10, 24
+TRAINING_PAGES = 700
+TREES, DEPTH, RATE, MIN_LEAF, BINS = 60, 4, 0.3, 10, 24
 BATCH_NODES = 50_000
 
 # Fixed values of HTML: elements without content, elements whose content is not
@@ -64,7 +64,7 @@ _PIECE = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I | re.S)
-_WORDS = re.compile(r"[a-z]+").findall
+_WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+").findall  # also of a name like bodyContent
 _SPACE = re.compile(r"\s+")
 
 # Tokens of names that page authors give to parts; one feature for each line.
@@ -107,7 +107,7 @@ def _tokens(attributes: str) -> frozenset[int]:
     found: set[int] = set()
     if "=" in attributes:
         for _, *values in _ATTRIBUTE.findall(attributes):
-            found.update(_TOKEN_LINE[w] for w in _WORDS(html.unescape("".join(values)).lower()) if w in _TOKEN_LINE)
+            found.update(_TOKEN_LINE[w] for w in map(str.lower, _WORDS(html.unescape("".join(values)))) if w in _TOKEN_LINE)
     return frozenset(found)
 
 
@@ -474,15 +474,24 @@ def training_page(rnd: random.Random) -> tuple[str, set[str]]:
         body.insert(place, f"<{rnd.choice(EMBEDDED)} class='{rnd.choice(['x', 'player', 'wide'])}'>")
     article = "".join(body)
     wrap = rnd.random()
-    if wrap < 0.55:
+    if wrap < 0.3:
         article = f"<article>{article}</article>"
-    elif wrap < 0.75:
+    elif wrap < 0.4:
         article = f"<main>{article}</main>"
-    else:
-        article = named(rnd.choice(["content", "post-body", "entry", "article-text", "story"]), article)
+    elif wrap < 0.55:
+        article = named(rnd.choice(["content", "post-body", "entry", "articleBody", "mainContent", "story"]), article)
+    elif wrap < 0.75:  # containers that tell nothing
+        kind = rnd.choice(["div", "section", "td"])
+        name = rnd.choice(["", "", " class='container'", " class='row'", " class='col-8'", " id='wrapper'", " class='x1'", " class='inner box'"])
+        article = f"<{kind}{name}>{article}</{kind}>"
+        if kind == "td":
+            cell = f"<td>{boiler()}</td>" if rnd.random() < 0.6 else ""
+            article = f"<table><tr>{cell}{article}</tr></table>"
     if rnd.random() < 0.3:
         article = f"<div>{article}</div>"
     page = "".join(tops) + article + "".join(tails)
+    if rnd.random() < 0.25:  # around everything, whatever its name says
+        page = named(rnd.choice(["page", "container", "wrapper", "main", "site", "content"]), page)
     end = "</body></html>" if rnd.random() < 0.9 else ""
     return f"<!DOCTYPE html><html><head><title>{words(2, 8)}</title></head><body>{page}{end}", main
 
