@@ -15,8 +15,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Alternates two steps until the edges no longer change: every node hooks its
     larger neighbours to its smallest one, then its smaller neighbours.  The
-    smallest neighbour is a partial aggregate, so a node with very many edges
-    costs no single task; each round is checkpointed.  Nodes are non-null;
+    smallest neighbour is a partial aggregate; the join that hands it to a node with
+    very many edges is split only where adaptive execution splits a skewed join.
+    Each round is checkpointed.  Nodes are non-null;
     loops and repeated edges are allowed; no edges give no rows.
     """
     edges = checkpoint(

@@ -149,15 +149,21 @@ def contamination(
         F.sort_array(F.collect_set(F.struct(F.col("pos").alias("s"), (F.col("pos") + F.col("size")).alias("e")))).alias("o"),
         F.collect_set("set").alias("sets"),
     )
-    # Overlapping occurrences become one span; each step adds or widens the last.
-    merged = F.aggregate(
-        "o",
-        F.struct(F.lit(None).cast("int").alias("s"), F.lit(None).cast("int").alias("e"), F.array().cast("array<struct<s:int,e:int>>").alias("done")),
-        lambda acc, x: F.when(acc["s"].isNull(), F.struct(x["s"].alias("s"), x["e"].alias("e"), acc["done"].alias("done")))
-        .when(x["s"] <= acc["e"], F.struct(acc["s"].alias("s"), F.greatest(acc["e"], x["e"]).alias("e"), acc["done"].alias("done")))
-        .otherwise(F.struct(x["s"].alias("s"), x["e"].alias("e"), F.concat(acc["done"], F.array(F.struct(acc["s"].alias("s"), acc["e"].alias("e")))).alias("done"))),
-        lambda acc: F.concat(acc["done"], F.array(F.struct(acc["s"].alias("s"), acc["e"].alias("e")))),
-    )
+    # Occurrences that overlap or touch become one span.  Of those with one start the
+    # longest counts; none is longer than the window, so a look back at as many
+    # others tells whether a span begins, and the work grows with the hits alone.
+    longest = F.filter("o", lambda x, i: F.coalesce(F.get("o", i + 1)["s"] != x["s"], F.lit(True)))
+    per_row = per_row.withColumn("o", longest)
+
+    def end_at(i: Column) -> Column:
+        """The furthest end of the occurrences up to the i-th."""
+        near = F.slice("o", F.greatest(i - window, F.lit(0)) + 1, F.least(i, F.lit(window)) + 1)
+        return F.array_max(F.transform(near, lambda y: y["e"]))
+
+    per_row = per_row.withColumn("until", F.transform("o", lambda x, i: end_at(i)))
+    starts = F.filter("o", lambda x, i: F.coalesce(x["s"] > F.get("until", i - 1), F.lit(True)))
+    ends = F.filter("until", lambda e, i: F.coalesce(F.get("o", i + 1)["s"] > e, F.lit(True)))
+    merged = F.zip_with(F.transform(starts, lambda x: x["s"]), ends, lambda s, e: F.struct(s.alias("s"), e.alias("e")))
     per_row = per_row.select("id", "text_hash", merged.alias("spans"), "sets")
     ids = sets.select("set", "items").dropDuplicates(["set"])
     named = (

@@ -8,7 +8,7 @@ its shard.
 Rounds of ``STEP_BITS`` bits find the depths: only cells (sums of bytes per
 prefix) of buckets that are still too large enter a round, and each round sums
 its cells under all its prefix lengths at once.  The directory is a distributed
-table in proportion to total bytes / limit.  Nothing reaches the driver but
+table with a row for each distinct hash.  Nothing reaches the driver but
 the number of rows without a shard.
 
 Rows of one key share all bits.  Where such rows exceed the limit by

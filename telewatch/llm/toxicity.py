@@ -8,7 +8,8 @@ squared change of the score between sentence and copy is penalised, so that
 which group is named cannot carry a score and neutral mentions are not taken
 for attacks.
 
-Fitting sees a bounded sample of labelled rows (``max_rows``).  Spark counts
+Fitting sees a bounded sample of labelled rows (``max_rows``, and ``MAX_SWAPS``
+copied sentences of each).  Spark counts
 their features and selects those that go with a label; at most
 ``MAX_FEATURES`` of them reach the driver.  Scoring reads every row's whole text
 in the tasks.
@@ -20,6 +21,7 @@ import math
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,7 @@ from pyspark.sql import types as T
 from telewatch.llm.common import checkpoint, col, fresh, table
 
 MAX_ROWS = 8_000  # labelled rows that fitting may see
+MAX_SWAPS = 64  # sentences with a swapped term that a labelled row may give
 MAX_FEATURES = 20_000
 MIN_ROWS_OF_FEATURE = 4
 KNOWN_WORDS = 300_000  # words whose features a task keeps
@@ -215,9 +218,12 @@ def train(
 ) -> Model:
     """Fit on at most ``max_rows`` labelled rows outside the held-out fold.
 
-    The sample is the rows least by a hash of their id, the same on every run.
-    Null labels, ids and texts without a label teach nothing; contradicting
-    labels of one id both count; without labelled rows every score is 0.5.
+    The sample is the labels least by a hash of their id, the same on every run,
+    each with one text of its id (the least by hash, where rows repeat an id) and
+    at most ``MAX_SWAPS`` sentences with a swapped term.  So what the driver gets
+    is bounded by ``max_rows``.  Null labels, ids and texts without a label teach
+    nothing; contradicting labels of one id both count; without labelled rows
+    every score is 0.5.
     """
     spark = docs.sparkSession
     key = col(id_col).cast("string")
@@ -230,8 +236,9 @@ def train(
         .limit(max_rows)
     )
     texts = docs.select(col(id_col).alias("id"), col(text_col).alias("t"))
-    joined = texts.join(F.broadcast(sample), F.col("id") == F.col("lid")).select("id", "t", "y")
-    joined = checkpoint(joined)
+    labelled = texts.join(F.broadcast(sample.select("lid").distinct()), F.col("id") == F.col("lid"), "left_semi")
+    one = labelled.groupBy("id").agg(F.min_by("t", F.xxhash64("t")).alias("t"))
+    joined = checkpoint(one.join(F.broadcast(sample), F.col("id") == F.col("lid")).select("id", "t", "y"))
     groups = term_groups(terms)
     schema = "row long, kind int, y double, feature long, value double"
 
@@ -247,7 +254,7 @@ def train(
                 for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                     row += 1
                     out.append((row, 0, y, features(set(words(text)))))
-                    for real, swapped in counterfactuals(text, groups):
+                    for real, swapped in islice(counterfactuals(text, groups), MAX_SWAPS):
                         row += 1
                         a, b = features(real), features(swapped)
                         out.append((row, 1, y, {h: a.get(h, 0.0) - b.get(h, 0.0) for h in a.keys() | b.keys()}))

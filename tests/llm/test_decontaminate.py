@@ -95,3 +95,25 @@ def test_no_items_and_no_rows(spark):
     assert dc.contamination(docs, bench.limit(0)).collect() == []
     assert dc.decontaminate(docs, bench.limit(0)).count() == 5
     assert dc.contamination(docs.limit(0), bench).collect() == []
+
+
+def test_many_hits_in_one_text_stay_linear(spark):
+    """Eight times the hits may not cost more than about eight times the time."""
+    import time
+
+    item = " ".join(f"w{i}" for i in range(10))
+    items = spark.createDataFrame([("a", item), ("b", "w5 w6 w7 w8 w9 w0 w1 w2 w3 w4")], "item_id string, text string")
+
+    def took(hits):
+        text = " ".join(([*item.split(" "), "other"] if k % 3 else item.split(" ")) [j] for k in range(hits) for j in range(11 if k % 3 else 10))
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        began = time.monotonic()
+        (row,) = dc.contamination(docs, items).collect()
+        total = sum(s.e - s.s for s in row.spans)
+        assert total == 10 * hits and list(row["items"]) == ["a", "b"]
+        assert all(a.e < b.s for a, b in zip(row.spans, row.spans[1:]))
+        return time.monotonic() - began
+
+    fixed = min(took(100) for _ in range(2))
+    few, many = took(8_000), took(64_000)
+    assert many - fixed < 10 * max(few - fixed, 1.5)

@@ -88,3 +88,22 @@ def test_without_labels(spark):
     assert tox.train(docs.limit(0), labels) == tox.Model(0.0, {})
     one_class = tox.train(docs, labels.where("toxic = 1"))
     assert one_class.scorer()("anything") > 0.5
+
+
+def test_the_sample_is_bounded_whatever_repeats(spark):
+    """Two labelled ids with very many rows teach as two rows."""
+    docs = spark.range(4000).selectExpr("id % 2 AS doc_id", "if(id % 2 = 0, 'nice words here ', 'awful words here ') || id AS text")
+    labels = spark.createDataFrame([(0, 0), (1, 1)], "doc_id long, toxic int")
+    seen = []
+    fit = tox._fit
+
+    def noting(x, y, pairs, *rest):
+        seen.append(len(y))
+        return fit(x, y, pairs, *rest)
+
+    tox._fit = noting
+    try:
+        tox.train(docs, labels, folds=None)
+    finally:
+        tox._fit = fit
+    assert seen == [2]
