@@ -268,10 +268,15 @@ def _quoted(text: str) -> str:
 
 
 def _oracle() -> str:
-    known = ",\n  ".join(f"({_quoted(name)}, {_quoted(text)})" for name, text in KNOWN_TEXTS)
+    texts = known_texts(KNOWN_TEXTS)
+    known = ",\n  ".join(f"({_quoted(name)}, {_quoted(text)})" for name, text in texts)
     spelled = "trim(regexp_replace(lower(u), '[^\\p{L}\\p{N}]+', ' ', 'g'))"
     for other, word in EQUIVALENT.items():
         spelled = f"regexp_replace({spelled}, '\\b{other}\\b', '{word}', 'g')"
+    # DuckDB's patterns look neither ahead nor back: a statement may begin at any
+    # place before the line's first word, and each place is tried by itself.
+    end = _BETWEEN + "*$"
+    sentences = sentence_starts(texts).replace(f"(?!{end})(?:{end}|", "(?:")
     return f"""
 WITH known(licence, text) AS (VALUES
   {known}),
@@ -282,8 +287,11 @@ units AS (
   UNION ALL SELECT r, 'paragraph', p FROM (
     SELECT r, unnest(regexp_split_to_array(t, '\\n[\\x20\\x09-\\x0D]*\\n')) AS p FROM d) WHERE contains(p, chr(10))
   UNION ALL SELECT -row_number() OVER (), 'known:' || licence, text FROM known),
-kept AS (SELECT r, kind, array_to_string(list_filter(string_split(u, chr(10)),
-    lambda x: NOT regexp_matches(x, '(?i)^[^\\p{{L}}\\p{{N}}\\n]*(copyright\\b|\\(c\\)|©|all rights reserved)')), chr(10)) AS u FROM units),
+kept AS (SELECT r, kind, array_to_string(list_filter(string_split(u, chr(10)), lambda x:
+    CASE WHEN regexp_matches(x, '(?i)^[^\\p{{L}}\\p{{N}}]*({_SIGN})')
+      THEN len(list_filter(range(1, length(regexp_extract(x, '^[^\\p{{L}}\\p{{N}}]*')) + 2), lambda i:
+        regexp_matches(substr(x, i), '(?i)^({_SIGN})') AND NOT regexp_matches(substr(x, i), '(?i)^({sentences})'))) = 0
+      ELSE true END), chr(10)) AS u FROM units),
 plain AS (SELECT r, kind, {spelled} AS p FROM kept),
 digests AS (SELECT min(substr(kind, 7)) AS licence, md5(p) AS digest FROM plain WHERE r < 0 GROUP BY 2),
 hits AS (SELECT r, kind, licence FROM plain JOIN digests ON md5(p) = digest WHERE r > 0 AND p <> ''),

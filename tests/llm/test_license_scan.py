@@ -5,10 +5,20 @@ from __future__ import annotations
 import re
 import textwrap
 
+import duckdb
 import pytest
 
 from telewatch.llm.licences import FULL, SHORT_TITLES, files, known_texts, without_title
-from telewatch.llm.license_scan import _STATEMENT, EQUIVALENT, KNOWN_TEXTS, known_plain, license_scan, necessary_words
+from telewatch.llm.license_scan import (
+    _STATEMENT,
+    EQUIVALENT,
+    KNOWN_TEXTS,
+    ORACLE,
+    known_plain,
+    license_scan,
+    necessary_words,
+)
+from telewatch.llm.license_scan import op6_license_scan as license_scan_query
 
 
 def normalise(text):
@@ -138,3 +148,24 @@ def test_texts_without_the_necessary_words_are_no_licence(spark):
     out = license_scan(spark.createDataFrame(rows, "doc_id long, text string"), known=known)
     assert {r.id: r.whole for r in out.collect()} == {0: "A", 1: "B", 2: None, 3: None, 4: None}
     assert necessary_words(["favor", "favor x"]) == [["favor", "favour"]]
+
+
+def test_query_equals_its_oracle_on_planted_licences(spark, scratch):
+    """Full texts, wrapped, in capitals, with statements and broken before "copyright"."""
+    texts = []
+    for k, (_, text, titles) in enumerate(full_texts()):
+        body = without_title(text, titles)
+        texts += [text, body, wrapped(text, 40 + k), f"{titles[0]}\n\n© Copyright 2020 Somebody\n(c) 2021 Me\n{body}", body.upper()]
+        texts += ["Some prose.\n\n" + text.replace("\n\n", "\n \n"), body[: len(body) // 2], body.replace(" not ", " ", 1)]
+    texts += [f"{start}\n{without_title(KNOWN_TEXTS[-2][1], SHORT_TITLES['ISC'])}" for start in (
+        "* (C) © 2020", "©copyright notice and", "All rights reserved.", "copyright owners", "- copyright notice and this", "© All rights reserved"
+    )]
+    texts += [None, "", "Copyright 2001", *(t for _, t in KNOWN_TEXTS)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)] + [(0, texts[0]), (None, texts[1])], "doc_id long, text string")
+    docs.write.parquet(f"{scratch}/documents.parquet")
+    got = [tuple(r) for r in license_scan_query(spark, scratch).collect()]
+    view = f"CREATE VIEW documents AS SELECT * FROM read_parquet('{scratch}/documents.parquet/*.parquet')"
+    con = duckdb.connect()
+    con.execute(view)
+    assert sorted(got, key=str) == sorted(con.execute(ORACLE).fetchall(), key=str)
+    assert sum(1 for r in got if r[1]) > 5 * len(full_texts())
