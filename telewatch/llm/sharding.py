@@ -5,11 +5,11 @@ bits.  A bucket over the byte limit splits on its next bit, others stay, until
 every bucket fits.  The directory maps each final prefix, with its depth, to
 its shard.
 
-Rounds of ``STEP_BITS`` bits find the depths: only cells (sums of bytes per
-prefix) of buckets that are still too large enter a round, and each round sums
-its cells under all its prefix lengths at once.  The directory is a distributed
-table with a row for each distinct hash.  Nothing reaches the driver but
-the number of rows without a shard.
+Rounds of ``STEP_BITS`` bits find the depths: only rows of buckets that are still
+too large enter a round, and each round sums their bytes under all its prefix
+lengths at once.  The directory has a row for each shard.  Rows look up the entry
+of their first bits; it is broadcast up to ``BROADCAST_SHARDS`` shards and shuffled
+beyond.  Nothing reaches the driver but the number of shards.
 
 Rows of one key share all bits.  Where such rows exceed the limit by
 themselves, they are counted and numbered, and the number joins the key in the
@@ -27,6 +27,7 @@ from telewatch.llm.common import checkpoint, col, table
 SHARD_BYTES = 1 << 20  # small, so that even small tables split; a cluster's files would take more
 STEP_BITS = 8
 HASH_BITS = 60
+BROADCAST_SHARDS = 1 << 18  # at most twice as many entries, of 36 bytes each
 _CHUNK = 4096  # repeats of one row that a single step numbers
 
 
@@ -43,55 +44,54 @@ def prefix(bits: Column, depth: Column | int) -> Column:
 
 
 def directory(cells: DataFrame, limit: int) -> DataFrame:
-    """(bits, depth) of every distinct ``bits`` in ``cells`` (bits, bytes).
-
-    ``depth`` is the least at which the rows sharing so many bits fit the
-    limit; rows that share all bits have depth ``HASH_BITS`` if they do not."""
-    spark = cells.sparkSession
-    open_cells = cells.groupBy("bits").agg(F.sum("bytes").alias("bytes"))
-    open_cells = checkpoint(open_cells)
-    found = []
-    low = 0
-    while low <= HASH_BITS:
+    """(depth, prefix, bytes, rows): one row for each shard of ``cells`` (bits, bytes, rows).
+
+    A shard is a prefix whose rows fit the limit while those of the prefix one bit
+    shorter do not; rows that share all bits are a shard whatever their size."""
+    open_cells, found, low = cells, None, 0
+    total = (F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows"))
+    while True:
         high = min(low + STEP_BITS, HASH_BITS + 1)
         depths = F.explode(F.array(*[F.lit(d) for d in range(low, high)])).alias("depth")
         # Summed per deepest prefix first, so that the explode is small.
-        deepest = open_cells.groupBy(prefix(F.col("bits"), high - 1).alias("cell")).agg(F.sum("bytes").alias("bytes"))
-        sums = (
-            deepest.select("cell", "bytes", depths)
-            .groupBy("depth", F.call_function("shiftright", "cell", F.lit(high - 1) - F.col("depth")).alias("prefix"))
-            .agg(F.sum("bytes").alias("bytes"))
-        )
-        fits = F.col("bytes") <= limit
-        if high > HASH_BITS:
-            fits = fits | (F.col("depth") == HASH_BITS)
-        fitting = sums.where(fits).select("depth", "prefix")
-        # The least fitting depth of each cell of this round.
-        least = (
-            deepest.select("cell", depths)
-            .withColumn("prefix", F.call_function("shiftright", "cell", F.lit(high - 1) - F.col("depth")))
-            .join(fitting, ["depth", "prefix"])
-            .groupBy("cell")
-            .agg(F.min("depth").alias("depth"))
-        )
-        least = checkpoint(least)
-        placed = open_cells.withColumn("cell", prefix(F.col("bits"), high - 1)).join(least, "cell", "left")
-        placed = checkpoint(placed.select("bits", "bytes", "depth"))
-        found.append(placed.where(F.col("depth").isNotNull()).select("bits", "depth"))
-        open_cells = placed.where(F.col("depth").isNull()).select("bits", "bytes")
+        deepest = open_cells.groupBy(prefix(F.col("bits"), high - 1).alias("cell")).agg(*total)
+        shorter = F.call_function("shiftright", "cell", F.lit(high - 1) - F.col("depth")).alias("prefix")
+        sums = deepest.select("cell", "bytes", "rows", depths).groupBy("depth", shorter).agg(*total)
+        fits = (F.col("bytes") <= limit) | (F.col("depth") == HASH_BITS)
+        sums = checkpoint(sums.withColumn("fits", fits))
+        fitting = sums.where("fits")
+        parents = fitting.select((F.col("depth") + 1).alias("below"), F.col("prefix").alias("parent"))
+        same = (F.col("depth") == F.col("below")) & (F.shiftright("prefix", 1) == F.col("parent"))
+        shards = fitting.join(parents, same, "left_anti").select("depth", "prefix", "bytes", "rows")
+        found = shards if found is None else found.unionByName(shards)
+        too_large = sums.where(~F.col("fits") & (F.col("depth") == high - 1)).select(F.col("prefix").alias("cell"))
+        if too_large.isEmpty():
+            return found
+        if high <= 2 * STEP_BITS:  # at most 2^15 prefixes
+            too_large = F.broadcast(too_large)
+        inside = open_cells.withColumn("cell", prefix(F.col("bits"), high - 1)).join(too_large, "cell", "left_semi")
+        open_cells = checkpoint(inside.select("bits", "bytes", "rows"))
         low = high
-        if open_cells.isEmpty():
-            break
-    out = spark.createDataFrame([], "bits long, depth int")
-    for part in found:
-        out = out.unionByName(part)
-    return out
+
+
+def entries(shards: DataFrame, n_shards: int) -> tuple[DataFrame, int]:
+    """The directory as it is looked up, and its level: (entry, depth, prefix, bytes, rows).
+
+    It has an entry for each value of the first ``level`` bits, about as many as
+    there are shards.  A shard of fewer bits stands under several entries, one of
+    more bits beside others under one; so it has at most twice as many rows as shards."""
+    level = max(0, n_shards.bit_length() - 1)
+    less = F.greatest(F.col("depth") - level, F.lit(0))
+    more = F.greatest(F.lit(level) - F.col("depth"), F.lit(0))
+    first = F.call_function("shiftright", "prefix", less)
+    values = F.sequence(F.call_function("shiftleft", first, more), F.call_function("shiftleft", first + 1, more) - 1)
+    return shards.select(F.explode(values).alias("entry"), "depth", "prefix", "bytes", "rows"), level
 
 
 def shard(
     docs: DataFrame, limit: int = SHARD_BYTES, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(id, n_bytes, shard_id, depth) for every row.
+    """(id, n_bytes, shard_id, depth, shard_bytes, shard_rows) for every row.
 
     ``shard_id`` is the bucket's prefix as a string of ``depth`` bits (the
     empty string while one shard holds all).  The key is id and text; null
@@ -105,40 +105,50 @@ def shard(
         col(id_col).alias("id"), F.octet_length(text).cast("long").alias("n_bytes"), hash_bits(key).alias("bits")
     )
     # Repeats of one row, alike in all that is returned, are counted before the
-    # shuffle and numbered after it, in chunks.
-    chunk, last = F.col("chunk") * _CHUNK, F.col("n") - 1
-    rows = (
-        rows.groupBy("id", "n_bytes", "bits")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.floor(last / _CHUNK))))
-        .withColumn("number", F.explode(F.sequence(chunk, F.least(chunk + (_CHUNK - 1), last))))
-    )
-    numbered = F.concat_ws("|", F.col("bits").cast("string"), F.col("number").cast("string"))
+    # shuffle.  Those too large for a shard are numbered after it, the rest stay counted.
+    grouped = rows.groupBy("id", "n_bytes", "bits").agg(F.count(F.lit(1)).alias("n"))
     crowded = (F.col("n") > 1) & (F.col("n") * F.col("n_bytes") > limit)
-    bits = F.when(crowded, hash_bits(numbered)).otherwise(F.col("bits"))
-    rows = checkpoint(rows.select("id", "n_bytes", bits.alias("bits")))
+    numbered = F.concat_ws("|", F.col("bits").cast("string"), F.col("number").cast("string"))
+    units = _numbered(grouped.withColumn("crowded", crowded), F.when(F.col("crowded"), F.col("n")).otherwise(F.lit(1)))
+    units = checkpoint(
+        units.select(
+            "id",
+            "n_bytes",
+            F.when(F.col("crowded"), hash_bits(numbered)).otherwise(F.col("bits")).alias("bits"),
+            F.when(F.col("crowded"), F.lit(1)).otherwise(F.col("n")).alias("n"),
+        )
+    )
 
-    depths = directory(rows.select("bits", F.col("n_bytes").alias("bytes")), limit)
+    cells = units.select("bits", (F.col("n") * F.col("n_bytes")).alias("bytes"), F.col("n").alias("rows"))
+    shards = checkpoint(directory(cells, limit))
+    n_shards = shards.count()
+    pointers, level = entries(shards, n_shards)
+    if n_shards <= BROADCAST_SHARDS:
+        pointers = F.broadcast(pointers)
+    own = F.call_function("shiftright", "bits", F.lit(HASH_BITS) - F.col("depth")) == F.col("prefix")
+    placed = units.withColumn("at", prefix(F.col("bits"), level)).join(pointers, (F.col("at") == F.col("entry")) & own)
     binary = F.lpad(F.bin("bits"), HASH_BITS, "0")
-    return rows.join(depths, "bits").select(
-        "id", "n_bytes", F.substring(binary, F.lit(1), F.col("depth")).alias("shard_id"), "depth"
+    return _numbered(placed, F.col("n")).select(
+        "id",
+        "n_bytes",
+        F.substring(binary, F.lit(1), F.col("depth")).alias("shard_id"),
+        "depth",
+        F.col("bytes").alias("shard_bytes"),
+        F.col("rows").alias("shard_rows"),
     )
 
 
+def _numbered(df: DataFrame, times: Column) -> DataFrame:
+    """Every row ``times`` times, with its ``number`` from 0, made in chunks."""
+    chunk, last = F.col("chunk") * _CHUNK, times - 1
+    chunks = df.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.floor(last / _CHUNK))))
+    return chunks.withColumn("number", F.explode(F.sequence(chunk, F.least(chunk + (_CHUNK - 1), last))))
+
+
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_bytes, shard_id, depth and the shard's bytes and rows, for every document."""
-    placed = checkpoint(shard(table(spark, sf_dir, "documents").select("doc_id", "text")))
-    totals = placed.groupBy("shard_id").agg(
-        F.sum("n_bytes").alias("shard_bytes"), F.count(F.lit(1)).alias("shard_rows")
-    )
-    return placed.join(totals, "shard_id").select(
-        F.col("id").alias("doc_id"),
-        "n_bytes",
-        "shard_id",
-        F.col("depth").cast("long").alias("depth"),
-        "shard_bytes",
-        "shard_rows",
-    )
+    placed = shard(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return placed.withColumnRenamed("id", "doc_id").withColumn("depth", F.col("depth").cast("long"))
 
 
 # The tables hold no row over and over beyond the limit, so the numbering of

@@ -6,8 +6,10 @@ import hashlib
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from telewatch.llm.sharding import HASH_BITS, shard
+from telewatch.llm import sharding
+from telewatch.llm.sharding import HASH_BITS, directory, entries, hash_bits, shard
 
 
 def brute(rows, limit):
@@ -72,3 +74,27 @@ def test_edge_rows(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert shard(docs, 10).collect() == []
+
+
+@pytest.mark.parametrize("n, size, limit", [(5_000, 6_000, 1 << 20), (4_000, 10, 1 << 20), (2_000, 30, 100)])
+def test_the_directory_grows_with_the_shards(spark, n, size, limit):
+    cells = spark.range(n).select(hash_bits(F.col("id").cast("string")).alias("bits"), F.lit(size).alias("bytes"), F.lit(1).alias("rows"))
+    found = directory(cells, limit)
+    shards = found.collect()
+    assert sum(r.rows for r in shards) == n and all(r.bytes <= limit for r in shards)
+    assert len(shards) <= max(1, 4 * n * size // limit)
+    names = sorted(format(r.prefix, "b").zfill(r.depth)[: r.depth] for r in shards)
+    assert not any(b.startswith(a) for a, b in zip(names, names[1:], strict=False))
+    pointers, level = entries(found, len(shards))
+    assert pointers.count() <= 2 * len(shards) and 1 << level <= len(shards)
+
+
+def test_shuffled_directory_gives_the_same(spark, monkeypatch):
+    rows = [(i, "x" * (i % 90), "b", None) for i in range(700)] + [(None, None, "n", None)] * 9_000
+    monkeypatch.setattr(sharding, "BROADCAST_SHARDS", 0)
+    assert got(spark, rows, 500) == brute(rows, 500)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, bits string, n_bytes string")
+    sizes = Counter()
+    for r in (found := shard(docs, 500).collect()):
+        sizes[r.shard_id] += r.n_bytes
+    assert all(r.shard_bytes == sizes[r.shard_id] for r in found)
