@@ -22,11 +22,12 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from telewatch.llm.common import checkpoint, col, fresh, table
+from telewatch.llm.common import checkpoint, col, fresh, stored, table
 from telewatch.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -55,18 +56,26 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
     return int.from_bytes(np.packbits(2 * counts > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """(id, fp): the fingerprint of every row as a signed 64-bit integer."""
-    schema = T.StructType(
-        [T.StructField("id", docs.schema[id_col].dataType), T.StructField("fp", T.LongType(), False)]
-    )
+def with_fingerprints(
+    docs: DataFrame, text_col: str, words: int, keep: list[str], fp_col: str = "fp", row_col: str = "row"
+) -> DataFrame:
+    """The ``keep`` columns of every row, its fingerprint as a signed 64-bit integer
+    and a number that no other row has.  The numbers last only where the result is stored."""
+    at, places = docs.columns.index(text_col), [docs.columns.index(c) for c in keep]
+    added = [T.StructField(fp_col, T.LongType(), False), T.StructField(row_col, T.LongType(), False)]
+    schema = T.StructType([docs.schema.fields[k] for k in places] + added)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        context = TaskContext.get()
+        next_row = (context.partitionId() if context else 0) << 40
         for batch in batches:
-            found = np.array([fingerprint(t.as_py(), words) for t in batch.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["id", "fp"])
+            found = np.array([fingerprint(t.as_py(), words) for t in batch.column(at)], dtype=np.uint64)
+            rows = np.arange(next_row, next_row + len(found), dtype=np.int64)
+            next_row += len(found)
+            kept = [batch.column(k) for k in places]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(found.view(np.int64)), pa.array(rows)], schema.names)
 
-    return docs.select(col(id_col).alias("id"), col(text_col)).mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 def _cut(low: int, high: int, parts: int) -> list[tuple[int, int]]:
@@ -131,6 +140,14 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENTS, cr
     return found.distinct()
 
 
+def _rooted(fps: DataFrame, max_bits: int) -> DataFrame:
+    """``fps``, one row for each fingerprint ``fp``, with the least fingerprint that links reach."""
+    roots = connected_components(links(fps.select("fp"), max_bits))
+    # Only fingerprints with links have a root; the rest are their own.
+    joined = fps.join(roots, fps.fp == roots.node, "left")
+    return joined.select(*fps.columns, F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_dedup(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -144,41 +161,40 @@ def simhash_dedup(
     A null or empty text has fingerprint 0 and links like any other.  Null ids
     count below none: a component of null ids alone is null.  Repeated rows come
     back as often as they occur; an empty table gives no rows.
+
+    Rows get their component in two steps, so that the copies of one fingerprint,
+    however many, are dealt over as many tasks as a shuffle has.
     """
-    rows = checkpoint(fingerprints(docs, id_col, text_col, words))
-    fps = checkpoint(rows.groupBy("fp").agg(F.min("id").alias("least")))
-    roots = connected_components(links(fps.select("fp"), max_bits))
-    # Only fingerprints with links have a root; the rest are their own.
-    rooted = fps.join(roots, fps.fp == roots.node, "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
+    texts = docs.select(col(id_col).alias("id"), col(text_col).alias("text"))
+    rows = stored(with_fingerprints(texts, "text", words, ["id"]), "simhash-rows")
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.select("id", "fp", F.pmod("row", F.lit(tasks)).alias("cell"))
+    cells = checkpoint(rows.groupBy("fp", "cell").agg(F.min("id").alias("least")))
+    fps = checkpoint(cells.groupBy("fp").agg(F.min("least").alias("least")))
+    rooted = _rooted(fps, max_bits)
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    named = rooted.join(smallest, "root").select(F.col("fp").alias("fp_"), "component")
-    return rows.join(named, rows.fp == named.fp_).select("id", "fp", "component")
+    named = rooted.join(smallest, "root").select("fp", "component")
+    told = cells.select("fp", "cell").join(named, "fp")
+    return rows.join(told, ["fp", "cell"]).select("id", "fp", "component")
 
 
 def keep_one_of_each(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS
 ) -> DataFrame:
-    """The rows of ``docs`` whose id is their own component's smallest.
-
-    A row's component is that of its text, so an id that stands for several
-    texts may stay with one and go with another, and no component goes whole.
-    Rows of a component that repeat its smallest id stay together; rows of a
-    null id stay."""
-    id_, fp_, own = fresh(docs, "sh_id", "sh_fp", "sh_own")
-    found = simhash_dedup(docs, id_col, text_col, words, max_bits)
-    gone = found.where(F.col("id") != F.col("component")).select(F.col("id").alias(id_), F.col("fp").alias(fp_)).distinct()
-    at = docs.columns.index(text_col)
-    schema = T.StructType([*docs.schema.fields, T.StructField(own, T.LongType(), False)])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fps = np.array([fingerprint(t.as_py(), words) for t in batch.column(at)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps.view(np.int64))], schema.names)
-
-    rows = docs.mapInArrow(run, schema)
-    kept = rows.join(gone, (col(id_col) == col(id_)) & (col(own) == col(fp_)), "left_anti")
+    """One row of ``docs`` for each component of near copies.
+
+    It is the row of the smallest id, null ids after all others; where rows of the
+    component repeat that id, the one whose text has the least hash; of rows alike
+    in id and text, any one.  Rows, not ids, are decided on, so an id that stands
+    for several texts may stay with one and go with another, and no component
+    goes whole.  The texts are stored once beside their fingerprints."""
+    fp, row, digest = fresh(docs, "sh_fp", "sh_row", "sh_digest")
+    marked = with_fingerprints(docs, text_col, words, docs.columns, fp, row)
+    rows = stored(marked.withColumn(digest, F.xxhash64(col(text_col))), "simhash-texts")
+    order = F.struct(col(id_col).isNull().alias("none"), col(id_col).alias("id"), col(digest).alias("digest"), col(row).alias("row"))
+    fps = checkpoint(rows.groupBy(col(fp).alias("fp")).agg(F.min(order).alias("first")))
+    first = _rooted(fps, max_bits).groupBy("root").agg(F.min("first").alias("first"))
+    kept = rows.join(first.select(F.col("first.row").alias(row)), row, "left_semi")
     return kept.select(*map(col, docs.columns))
 
 

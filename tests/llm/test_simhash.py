@@ -7,6 +7,7 @@ import random
 import pytest
 import xxhash
 from conftest import SF001
+from pyspark.sql import functions as F
 
 from telewatch.llm import simhash
 from telewatch.llm.common import table
@@ -80,7 +81,7 @@ def test_edge_rows(spark):
     assert got == sorted([(5, 0, 4), (4, 0, 4), (9, f, 9), (9, f, 9), (None, f, 9), (2, g, 2)], key=str)
     kept = simhash.keep_one_of_each(docs)
     assert kept.columns == docs.columns
-    assert sorted(str(r.doc_id) for r in kept.collect()) == ["2", "4", "9", "9", "None"]
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["2", "4", "9"]
     assert simhash.simhash_dedup(docs.limit(0)).count() == 0
 
 
@@ -96,3 +97,33 @@ def test_repeated_ids_lose_no_group(spark):
     kept = simhash.keep_one_of_each(docs)
     assert kept.columns == docs.columns
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(3, t1), (5, t2), (None, "alone")], key=str)
+
+
+def test_exactly_one_row_of_each_group_stays(spark):
+    """Repeated ids, repeated rows and null ids included, whatever else a row holds."""
+    rnd = random.Random(3)
+    words = [f"w{k}" for k in range(400)]
+    groups = [" ".join(rnd.sample(words, 30)) for _ in range(12)]
+    rows = [(rnd.choice([None, 1, 2, 3, 40]), g.title() if rnd.random() < 0.5 else g, rnd.random()) for g in groups for _ in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, sh_row double").repartition(7)
+    kept = simhash.keep_one_of_each(docs)
+    assert kept.columns == docs.columns
+    got = {r.text.lower(): r.doc_id for r in kept.collect()}
+    least = {g: min((i for i, t, _ in rows if t.lower() == g and i is not None), default=None) for g in groups}
+    assert got == least and kept.count() == len(groups)
+    nulls = docs.selectExpr("CAST(NULL AS BIGINT) AS doc_id", "text", "sh_row")
+    assert simhash.keep_one_of_each(nulls).count() == len(groups)
+
+
+def test_copies_of_one_text_are_dealt_over_the_tasks(spark):
+    docs = spark.range(0, 4000, 1, 5).selectExpr("id % 3 AS doc_id", "if(id % 3 = 0, 'text of its own ' || id, 'one hot text') AS text")
+    found = simhash.simhash_dedup(docs).where(F.col("fp") == _signed(brute_fingerprint("one hot text")))
+    assert found.count() == 2666 and {r.component for r in found.select("component").distinct().collect()} == {1}
+    rows = simhash.with_fingerprints(docs, "text", 3, ["doc_id"])
+    assert rows.select("row").distinct().count() == 4000
+    cells = [r["count"] for r in rows.where("doc_id = 1").groupBy("fp", (F.col("row") % 8).alias("cell")).count().collect()]
+    assert len(cells) == 8 and max(cells) < 2 * min(cells)
+
+
+def _signed(fp):
+    return fp - (1 << 64) if fp >> 63 else fp
