@@ -6,7 +6,11 @@ forms of a stem count together.  Sentences of the labelled rows that name a
 group are copied with the identity term swapped for another of its kind; the
 squared change of the score between sentence and copy is penalised, so that
 which group is named cannot carry a score and neutral mentions are not taken
-for attacks.
+for attacks.  Labelled texts that name no group are given a mention: one of
+their sentences is copied once for each term of a kind, and the copies are held
+against each other and, where the text is labelled harmless, against the
+sentence itself.  Terms share word prefixes with words that do go with a label,
+so this penalty acts also where the labelled texts name nobody.
 
 Fitting sees a bounded sample of labelled rows (``max_rows``, and ``MAX_SWAPS``
 copied sentences of each).  Spark counts
@@ -21,7 +25,7 @@ import math
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +38,7 @@ from pyspark.sql import types as T
 from telewatch.llm.common import checkpoint, col, fresh, table
 
 MAX_ROWS = 8_000  # labelled rows that fitting may see
-MAX_SWAPS = 64  # sentences with a swapped term that a labelled row may give
+MAX_SWAPS = 64  # sentences with a swapped or added term that a labelled row may give
 MAX_FEATURES = 20_000
 MIN_ROWS_OF_FEATURE = 4
 KNOWN_WORDS = 300_000  # words whose features a task keeps
@@ -108,9 +112,14 @@ def features(some: set[str]) -> dict[int, float]:
     return out
 
 
+def term_lines(terms: str = IDENTITY_TERMS) -> list[list[str]]:
+    """The lines of terms that may replace one another."""
+    return [line.split() for line in terms.splitlines() if line.strip()]
+
+
 def term_groups(terms: str = IDENTITY_TERMS) -> dict[str, list[str]]:
     """Each identity term -> the terms that may replace it."""
-    groups = [line.split() for line in terms.strip().splitlines()]
+    groups = term_lines(terms)
     return {term: [t for t in group if t != term] for group in groups for term in group}
 
 
@@ -127,6 +136,21 @@ def counterfactuals(text: str | None, groups: dict[str, list[str]]) -> Iterator[
             yield set(found), swapped
 
 
+def mentions(text: str | None, harmless: bool, lines: list[list[str]]) -> Iterator[tuple[set[str], set[str]]]:
+    """For a text that names no group: the words of one of its sentences (the least by hash) with
+    each term of one line against those with the next term; if ``harmless`` also against none."""
+    sentences = [found for found in map(_WORDS, _SENTENCES((text or "").lower())) if found]
+    terms = {t for line in lines for t in line}
+    if not sentences or any(not terms.isdisjoint(found) for found in sentences):
+        return
+    order, chosen = min((feature_hash("s", " ".join(found)), found) for found in sentences)
+    some, line = set(chosen), lines[order % len(lines)]
+    for term, following in zip(line, line[1:] + line[:1], strict=True):
+        yield some | {term}, some | {following}
+        if harmless:
+            yield some | {term}, some
+
+
 @dataclass(frozen=True)
 class Model:
     bias: float
@@ -220,7 +244,7 @@ def train(
 
     The sample is the labels least by a hash of their id, the same on every run,
     each with one text of its id (the least by hash, where rows repeat an id) and
-    at most ``MAX_SWAPS`` sentences with a swapped term.  So what the driver gets
+    at most ``MAX_SWAPS`` sentences with a swapped or added term.  So what the driver gets
     is bounded by ``max_rows``.  Null labels, ids and texts without a label teach
     nothing; contradicting labels of one id both count; without labelled rows
     every score is 0.5.
@@ -239,7 +263,7 @@ def train(
     labelled = texts.join(F.broadcast(sample.select("lid").distinct()), F.col("id") == F.col("lid"), "left_semi")
     one = labelled.groupBy("id").agg(F.min_by("t", F.xxhash64("t")).alias("t"))
     joined = checkpoint(one.join(F.broadcast(sample), F.col("id") == F.col("lid")).select("id", "t", "y"))
-    groups = term_groups(terms)
+    groups, lines = term_groups(terms), term_lines(terms)
     schema = "row long, kind int, y double, feature long, value double"
 
     def emit(selected: Broadcast | None) -> Callable:
@@ -254,10 +278,15 @@ def train(
                 for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                     row += 1
                     out.append((row, 0, y, features(set(words(text)))))
-                    for real, swapped in islice(counterfactuals(text, groups), MAX_SWAPS):
-                        row += 1
+                    if only is None:  # rows alone are counted
+                        continue
+                    pairs = chain(counterfactuals(text, groups), mentions(text, y == 0, lines) if lines else ())
+                    for real, swapped in islice(pairs, MAX_SWAPS):
                         a, b = features(real), features(swapped)
-                        out.append((row, 1, y, {h: a.get(h, 0.0) - b.get(h, 0.0) for h in a.keys() | b.keys()}))
+                        change = {h: a.get(h, 0.0) - b.get(h, 0.0) for h in a.keys() | b.keys() if h in only}
+                        if any(change.values()):
+                            row += 1
+                            out.append((row, 1, y, change))
                 flat = [
                     (r, kind, y, h, v)
                     for r, kind, y, values in out

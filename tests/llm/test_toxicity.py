@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import random
+import re
 import zlib
 
 import pytest
+import xxhash
 from conftest import SF01
 
 from telewatch.llm import toxicity as tox
@@ -68,6 +71,53 @@ def test_swapped_terms_stop_carrying_the_score(spark):
     assert sum(fair(t) >= 0.5 for t in rude) > 4
 
 
+NEUTRAL = ["we met {} at the station and had tea", "the {} in our town opened a shop", "a report on {} and housing was published"]
+
+
+def test_mentions_do_not_move_the_query_s_own_model(spark):
+    """The given texts name no group, yet terms share prefixes with words that go with a label."""
+    docs, labels = table(spark, SF1, "documents"), table(spark, SF1, "labels")
+
+    def largest(model):
+        score = model.scorer()
+        gaps = [[score(text.format(t)) for t in line] for line in tox.term_lines() for text in NEUTRAL]
+        return max(max(scores) - min(scores) for scores in gaps), max(map(max, gaps))
+
+    plain, fair = (largest(tox.train(docs, labels, fairness=f)) for f in (0.0, tox.FAIRNESS))
+    assert plain[0] > 0.05
+    assert fair[0] < 0.01 and fair[1] < 0.5
+
+
+def test_mentions_are_bounded_and_leave_texts_that_name_a_group_alone():
+    lines = tox.term_lines()
+    for text in (None, "", " .!? \n", "the women of the town. a walk"):
+        assert list(tox.mentions(text, True, lines)) == []
+    got = list(tox.mentions("a long walk. The River!", True, lines))
+    line = next(line for line in lines if len(got) == 2 * len(line) and {line[0]} <= got[0][0])
+    base = got[1][1]
+    assert base in ({"a", "long", "walk"}, {"the", "river"})
+    assert got[::2] == [(base | {t}, base | {u}) for t, u in zip(line, line[1:] + line[:1], strict=True)]
+    assert got[1::2] == [(base | {t}, base) for t in line]
+    assert list(tox.mentions("a long walk. The River!", False, lines)) == got[::2]
+
+
+def test_scores_equal_the_fitted_weights_summed_by_hand(spark):
+    docs, labels = table(spark, SF01, "documents").select("doc_id", "text"), table(spark, SF01, "labels")
+    model = tox.train(docs, labels)
+    got = {r.doc_id: r.score for r in tox.op4_toxicity(spark, SF01).collect()}
+    texts = docs.collect()
+    assert model.weights and len(got) == len(texts)
+    for doc_id, text in texts:
+        found = set(re.findall(r"\w+", (text or "").lower()))
+        margin = model.bias + sum(model.weights.get(xxhash.xxh3_64_intdigest("w" + w), 0.0) for w in found)
+        for prefix in {w[:n] for w in found for n in range(3, 9) if len(w) >= n}:
+            weight = model.weights.get(xxhash.xxh3_64_intdigest("p" + prefix))
+            if weight:
+                share = sum(w.startswith(prefix) for w in found) / len(found)
+                margin += weight * min(1.0, share / 0.04)
+        assert got[doc_id] == pytest.approx(1 / (1 + math.exp(-margin)), abs=1e-9)
+
+
 def test_edge_rows(spark):
     docs, labels, _ = identity_fixture(spark)
     odd = spark.createDataFrame([(0, None), (None, 1), (1, 1), (1, 0), (99_999, 1)], "doc_id long, toxic int")
