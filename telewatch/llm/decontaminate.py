@@ -20,6 +20,7 @@ from telewatch.llm.common import ascii_lower, col, fresh, stored, table
 
 WINDOW = 10
 MAX_BROADCAST = 2_000_000  # windows: 16 bytes of hash and length each
+MAX_BROADCAST_BYTES = 64 << 20  # of the windows' words, and of their item ids
 _BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -28,6 +29,11 @@ def words(text: Column) -> Column:
     return F.filter(F.split(ascii_lower(F.coalesce(text, F.lit(""))), _BREAK, -1), lambda w: w != "")
 
 
+def _bytes(strings: str) -> Column:
+    """The bytes that a row with an array of strings takes, 16 for the place and length of each."""
+    return F.aggregate(strings, F.lit(16).cast("long"), lambda n, x: n + F.octet_length(x) + 16)
+
+
 def with_window_hashes(frame: DataFrame, word_hashes: str, lengths: list[int], out: str) -> DataFrame:
     """``frame`` with ``out``: one (size, hashes) per length, the hash of each run
     of so many words.
@@ -88,6 +94,7 @@ def contamination(
     item_text_col: str = "text",
     window: int = WINDOW,
     max_broadcast: int = MAX_BROADCAST,
+    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """(id, text_hash, spans, items) of the rows of ``docs`` with a hit.
 
@@ -101,7 +108,11 @@ def contamination(
     # Items with the same windows share a set, so that a window of many items costs one row.
     sets = found.select("size", "words", F.xxhash64("items").alias("set"), "items")
     lengths = [r[0] for r in found.select("size").distinct().collect()]  # at most ``window`` values
-    few = found.count() <= max_broadcast
+    ids = sets.select("set", "items").dropDuplicates(["set"])
+    # What is broadcast is counted first, row by row and byte by byte; the rest is shuffled.
+    n, n_bytes = found.agg(F.count(F.lit(1)), F.coalesce(F.sum(_bytes("words")), F.lit(0))).first()
+    few, short = n <= max_broadcast, n_bytes <= max_bytes
+    small = ids.agg(F.coalesce(F.sum(_bytes("items")), F.lit(0))).first()[0] <= max_bytes
 
     schema = docs.schema[id_col].dataType.simpleString()
     if not lengths:
@@ -144,7 +155,7 @@ def contamination(
         "id", "text_hash", F.col("run.pos").alias("pos"), F.col("run.words").alias("words")
     )
     known = sets.select("size", "words", "set")
-    verified = occurring.join(F.broadcast(known) if few else known, "words")
+    verified = occurring.join(F.broadcast(known) if few and short else known, "words")
     per_row = verified.groupBy("id", "text_hash").agg(
         F.sort_array(F.collect_set(F.struct(F.col("pos").alias("s"), (F.col("pos") + F.col("size")).alias("e")))).alias("o"),
         F.collect_set("set").alias("sets"),
@@ -165,10 +176,9 @@ def contamination(
     ends = F.filter("until", lambda e, i: F.coalesce(F.get("o", i + 1)["s"] > e, F.lit(True)))
     merged = F.zip_with(F.transform(starts, lambda x: x["s"]), ends, lambda s, e: F.struct(s.alias("s"), e.alias("e")))
     per_row = per_row.select("id", "text_hash", merged.alias("spans"), "sets")
-    ids = sets.select("set", "items").dropDuplicates(["set"])
     named = (
         per_row.select("id", "text_hash", F.explode("sets").alias("set"))
-        .join(F.broadcast(ids) if few else ids, "set")
+        .join(F.broadcast(ids) if few and small else ids, "set")
         .select("id", "text_hash", F.explode("items").alias("item"))
         .groupBy("id", "text_hash")
         .agg(F.sort_array(F.collect_set("item")).alias("items"))

@@ -62,12 +62,14 @@ def fixture():
     return docs, items
 
 
-@pytest.mark.parametrize("max_broadcast", [dc.MAX_BROADCAST, 0])
-def test_equals_brute_force(spark, max_broadcast):
+@pytest.mark.parametrize(
+    ("max_broadcast", "max_bytes"), [(dc.MAX_BROADCAST, dc.MAX_BROADCAST_BYTES), (0, dc.MAX_BROADCAST_BYTES), (dc.MAX_BROADCAST, 0)]
+)
+def test_equals_brute_force(spark, max_broadcast, max_bytes):
     rows, items = fixture()
     docs = spark.createDataFrame(rows, "doc_id long, text string, h string, w int")
     bench = spark.createDataFrame(items, "item_id long, text string, size string")
-    found = dc.contamination(docs, bench, max_broadcast=max_broadcast).collect()
+    found = dc.contamination(docs, bench, max_broadcast=max_broadcast, max_bytes=max_bytes).collect()
     got = sorted(repr((r.id, [(s.s, s.e) for s in r.spans], list(r.items))) for r in found)
     assert got == brute(rows, items)
 
