@@ -9,8 +9,9 @@ import xxhash
 from conftest import SF001
 from pyspark.sql import functions as F
 
-from telewatch.llm import simhash
+from telewatch.llm import components, simhash
 from telewatch.llm.common import table
+from telewatch.llm.components import connected_components
 
 
 def brute_fingerprint(text):
@@ -127,3 +128,23 @@ def test_copies_of_one_text_are_dealt_over_the_tasks(spark):
 
 def _signed(fp):
     return fp - (1 << 64) if fp >> 63 else fp
+
+
+def test_components_of_hubs_chains_and_loops(spark):
+    """A node with very many edges, a long chain, loops and repeated edges."""
+    hub = [(5000, k) for k in range(5001, 8000)] + [(k, 5000) for k in range(8000, 9000)]
+    chain = [(k, k + 1) for k in range(100, 200)]
+    edges = hub + chain + chain[:5] + [(k + 1, k) for k in range(105, 110)] + [(7, 7), (9000, 9001), (-3, 9001)]
+    got = connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
+    expected = {k: 5000 for k in range(5001, 9000)} | {k: 100 for k in range(101, 201)} | {9000: -3, 9001: -3}
+    assert len(got) == len(expected) and {r.node: r.root for r in got} == expected
+    assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_a_hub_s_edges_are_dealt_over_the_cells(spark):
+    edges = spark.range(1, 4001).selectExpr("0L AS a", "id AS b")
+    least = spark.createDataFrame([(0, -1)], "a long, m long")
+    rows = components._with_least(edges, least, 8)
+    assert rows.count() == 4000 and rows.where("m = -1").count() == 4000
+    sizes = [r["count"] for r in rows.groupBy("cell").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 1000
