@@ -614,6 +614,13 @@ def _resent(frame: DataFrame, shift: int, **changes: Column) -> DataFrame:
     return parsed.withColumns({"value": value.cast("binary"), "offset": F.col("offset") + shift}).select(*KAFKA_SCHEMA.names)
 
 
+def _append_messages(messages: DataFrame, files: str) -> None:
+    """More files of the stream, one per core: one trigger takes them all.  The
+    messages made from one event share a file, so no trigger comes between them."""
+    n = messages.sparkSession.sparkContext.defaultParallelism
+    messages.repartition(n, F.col("offset") % 10**9).write.mode("append").parquet(files)
+
+
 @register("k9_one_version_per_id")
 def k9_one_version(fx: Fixture) -> DataFrame:
     """Every fifth event comes again later with another payload and on another
@@ -629,7 +636,7 @@ def k9_one_version(fx: Fixture) -> DataFrame:
     new_id = F.concat(F.lit("n-"), F.col("d.event_id"))
     later = _resent(fifth, 10**9, **other).unionByName(_resent(fifth, 2 * 10**9, **other))
     later = later.unionByName(_resent(seventh, 3 * 10**9, event_id=new_id)).unionByName(_resent(seventh, 4 * 10**9, event_id=new_id, **other))
-    later.coalesce(1).write.mode("append").parquet(files)
+    _append_messages(later, files)
     for which in ("ingestion", "alerting"):
         _run_stream(fx, which, wh, files)
     cpu = F.coalesce(F.when(F.col("cpu_usage").isNotNull(), F.format_string("%.2f", "cpu_usage")), F.lit("null"))

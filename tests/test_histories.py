@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from telewatch.functions.enrich import enrich
 from telewatch.functions.parse import is_rejected, reject_reasons
 from telewatch.operators import quality
-from telewatch.plans import daily, health
+from telewatch.plans import catalog, daily, health
 from telewatch.sources import devices as dimension
 from telewatch.sources.registry import EventRegistry, Positions
 from telewatch.sources.tables import Warehouse
@@ -98,6 +98,28 @@ def sinks_source(spark, path):
     return kafka_files_stream(spark, path)
 
 
+def test_later_messages_come_in_a_file_per_core_and_one_trigger(spark, scratch, monkeypatch):
+    """k9_one_version_per_id: no single task writes or reads all the messages that
+    come later, and those of one event never fall into two triggers."""
+    rows = [(k, dt.datetime(2024, 1, 1 + k % 3), k, "view", 1.0, '{"k": 5}') for k in range(350)]
+    events = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, events).write.parquet(f"{scratch}/events.parquet")
+    run, seen = catalog._run_stream, []
+    monkeypatch.setattr(catalog, "_run_stream", lambda fx, which, wh, files: seen.append((wh, files)) or run(fx, which, wh, files))
+    got = catalog.queries()["k9_one_version_per_id"](spark, scratch).where("table_name = 'raw_network_events'")
+    assert got.count() == got.select("event_id").distinct().count() == 350 + 50
+    assert got.where("event_timestamp >= '2031-01-01'").count() == 0
+    (wh, files) = seen[0]
+    later = spark.read.parquet(files).where(F.col("offset") >= 10**9)
+    later = later.select((F.col("offset") % 10**9).alias("event"), F.input_file_name().alias("file"))
+    cores = spark.sparkContext.defaultParallelism
+    assert min(cores, 2) <= later.select("file").distinct().count() <= cores
+    assert later.count() == 2 * 70 + 2 * 50
+    assert later.groupBy("event").agg(F.countDistinct("file").alias("n")).where("n > 1").count() == 0
+    triggers = os.listdir(f"{wh.root}/_checkpoints/ingestion/commits")
+    assert len([t for t in triggers if t.isdigit()]) == 3  # two of the first run, one of the later messages
+
+
 def test_registry_reads_only_touched_buckets(spark, scratch):
     registry = EventRegistry(spark, scratch, buckets=8)
     rows = spark.range(400).selectExpr("concat('e', id) AS event_id", "0 AS kafka_partition", "id AS kafka_offset")
