@@ -42,14 +42,17 @@ def with_repeat_words(frame: DataFrame, words: str, out: str, window: int = REPE
     """``frame`` with ``out``: the words inside runs of ``window`` words that the
     text has twice or more.
 
-    A text's windows are hashed; only where some hash occurs twice are the
-    hashes sorted with their positions, to find which."""
-    n = F.size(words)
-    starts = F.when(n >= window, F.sequence(F.lit(1), n - (window - 1))).otherwise(F.array().cast("array<int>"))
-    hashes = F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, window)))
+    The words are hashed, and a text's windows from the hashes of their words;
+    only where some hash occurs twice are the hashes sorted with their positions,
+    to find which."""
+    frame = frame.withColumn("qr_words", F.transform(words, lambda w: F.xxhash64(w)))
+    starts = F.slice("qr_words", 1, F.greatest(F.size("qr_words") - (window - 1), F.lit(0)))
+    hashes = F.transform(
+        starts, lambda h, i: F.xxhash64(h, *[F.get("qr_words", i + k) for k in range(1, window)])
+    )
     frame = frame.withColumn("qr_hashes", hashes)
     distinct = F.size(F.array_distinct("qr_hashes"))
-    pairs = F.array_sort(F.transform("qr_hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    pairs = F.sort_array(F.transform("qr_hashes", lambda h, i: F.struct(h.alias("h"), (i + 1).alias("i"))))
     frame = frame.withColumn("qr_sorted", F.when(distinct < F.size("qr_hashes"), pairs))
     frame = frame.withColumn("qr_h", F.transform("qr_sorted", lambda p: p["h"]))
     repeated = F.transform(
@@ -58,14 +61,14 @@ def with_repeat_words(frame: DataFrame, words: str, out: str, window: int = REPE
             (p["h"] == F.get("qr_h", k - 1)) | (p["h"] == F.get("qr_h", k + 1)), p["i"]
         ),
     )
-    frame = frame.withColumn("qr_at", F.array_sort(F.array_compact(repeated)))
+    frame = frame.withColumn("qr_at", F.sort_array(F.array_compact(repeated)))
     # Each start covers ``window`` words, or as many as lie before the next start.
     covered = F.transform(
         "qr_at", lambda i, k: F.least(F.lit(window), F.coalesce(F.get("qr_at", k + 1) - i, F.lit(window)))
     )
     total = F.aggregate(covered, F.lit(0).cast("long"), lambda a, x: a + x)
     return frame.withColumn(out, F.coalesce(total, F.lit(0).cast("long"))).drop(
-        "qr_hashes", "qr_sorted", "qr_h", "qr_at"
+        "qr_words", "qr_hashes", "qr_sorted", "qr_h", "qr_at"
     )
 
 
@@ -76,13 +79,12 @@ def base_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = with_repeat_words(rows, "w", "n_repeat_words")
     with_word = F.filter(F.split("t", "\n", -1), lambda line: F.btrim(line, F.lit(WHITE_SPACE)) != "")
     rows = rows.withColumn("lines", with_word)
-    stripped = F.translate("t", WHITE_SPACE, "")
     rows = rows.select(
         "id",
         "t",
         F.size("w").cast("long").alias("n_words"),
-        F.length(stripped).cast("long").alias("word_chars"),
-        (F.length("t") - F.length(F.translate("t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
+        F.regexp_count("t", F.lit(f"[{SYMBOLS}]")).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         "n_repeat_words",
     )

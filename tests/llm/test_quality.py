@@ -10,6 +10,8 @@ import pytest
 import xxhash
 from conftest import SF01
 
+from pyspark.sql import functions as F
+
 from telewatch.llm import quality
 from telewatch.llm.common import table
 
@@ -41,6 +43,21 @@ def test_base_rules_equal_brute_force(spark):
     assert quality.base_rules(docs.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("window", [1, 2, 5])
+def test_windows_are_hashed_from_the_hashes_of_words(spark, window):
+    """op2_quality: each word is hashed once, not once for every window it is in."""
+    texts = [*EDGE[:-1], "a b a b a b c", "b a " * 7 + "c"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    rows = quality.with_repeat_words(docs.select("id", quality.split_words(F.col("text")).alias("w")), "w", "n", window)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "slice(w#" not in plan and plan.count("transform(w#") == 1
+    for r in rows.collect():
+        words = re.findall(r"[^\x20\x09-\x0D]+", texts[r.id] or "")
+        windows = [tuple(words[i : i + window]) for i in range(len(words) - window + 1)]
+        counts = Counter(windows)
+        assert r.n == len({i + k for i, x in enumerate(windows) if counts[x] > 1 for k in range(window)})
+
+
 def signed(value):
     return value - (1 << 64) if value >> 63 else value
 
